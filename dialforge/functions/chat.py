@@ -83,8 +83,8 @@ def normalize_system(messages: Column, system: str | Column = DEFAULT_SYSTEM) ->
 
 
 def first_system_content(messages: Column) -> Column:
-    return F.element_at(F.filter(messages, lambda m: m["role"].eqNullSafe(F.lit("system"))),
-                        1)["content"]
+    return F.try_element_at(F.filter(messages, lambda m: m["role"].eqNullSafe(F.lit("system"))),
+                            F.lit(1))["content"]
 
 
 def last_index_of_role(messages: Column, role: str) -> Column:
@@ -107,4 +107,4 @@ def inference_prompt(messages: Column, default_system: str = DEFAULT_SYSTEM,
 
 
 def last_message(messages: Column) -> Column:
-    return F.element_at(messages, -1)
+    return F.try_element_at(messages, F.lit(-1))

@@ -59,7 +59,7 @@ def pick_from_array(seed: int, keys, tag, arr: Column) -> Column:
     """Uniform draw with replacement from a short array column (1-based
     ``element_at``); null for an empty array."""
     idx = pick_index(seed, keys, tag, F.size(arr))
-    return F.when(F.size(arr) > 0, F.element_at(arr, (idx + 1).cast("int")))
+    return F.when(F.size(arr) > 0, F.try_element_at(arr, (idx + 1).cast("int")))
 
 
 def bucket_of(h: ColumnOrName, bits: int = 16) -> Column:

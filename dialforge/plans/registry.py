@@ -1,8 +1,14 @@
 """Registered queries and their DuckDB twins.
 
-Each query takes ``(spark, sf_dir)``, reads the driver's tables and returns a
-DataFrame of scalar columns; ``ORACLES[name]`` is the same computation in SQL
-that DuckDB runs over the same Parquet tables. Column names match exactly.
+Each query takes ``(spark, sf_dir)``, reads the driver's tables (whole
+tables, no subsets) and returns a DataFrame of scalar columns;
+``ORACLES[name]`` is the same computation written independently in SQL for
+DuckDB over the same Parquet files. Column names match exactly.
+
+Test-table roles: ``conversations`` are chat records (one per ``conv_id``);
+``documents`` are a prompt pool with ``lang`` as the category; ``orders`` are
+plan rows (``o_orderkey`` as the slot); ``part.p_name`` is a base-prompt pool;
+``events.props`` is a JSON body.
 """
 
 from __future__ import annotations
@@ -13,10 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialforge.functions import chat
-from dialforge.functions.draw import sql_str
+from dialforge.functions.draw import pick_from_array, pick_from_list_sql, sql_str, u, u_sql
+from dialforge.operators import generation as gen
 from dialforge.operators import messages as msg
+from dialforge.operators import metrics as mt
+from dialforge.operators import planning as pl
+from dialforge.operators import sampling as sa
 from dialforge.operators import split as sp
-from dialforge.session import read_table
+from dialforge.operators import tokens as tk
+from dialforge.plans import build_dataset as bd
+from dialforge.plans import prepare_training as pt
+from dialforge.session import read_table, scratch_path
+from dialforge.sources import catalog as cat
+from dialforge.sources import jsonl, store
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -24,6 +39,10 @@ ORACLES: dict[str, str] = {}
 
 SEED = 42
 NL = "chr(10)"
+US, RS, NULLMARK = "␟", "␞", "␀"   # separators of the flattened fingerprints
+FORM_LIST = list(gen.FORMS)
+PROVIDERS_RUN = ("messages_api", "single_prompt")
+DEFAULT_SYS_SQL = sql_str(chat.DEFAULT_SYSTEM)
 
 
 def register(name: str, oracle: str | None):
@@ -35,6 +54,22 @@ def register(name: str, oracle: str | None):
     return deco
 
 
+def U(keys, tag: str) -> str:
+    """SQL draw with a literal tag."""
+    return u_sql(SEED, keys, sql_str(tag))
+
+
+def _render_sql(role: str, text: str) -> str:
+    return f"'<|' || {role} || '|>' || {NL} || {text} || '</s>' || {NL}"
+
+
+def _flat_sql(role: str, text: str, order: str = "turn") -> str:
+    return (f"string_agg({role} || '{US}' || coalesce({text}, '{NULLMARK}'), '{RS}' "
+            f"ORDER BY {order})")
+
+
+# ------------------------------------------------------------------ helpers
+
 def _conversations(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "conversations")
 
@@ -44,31 +79,510 @@ def _records(spark, sf_dir) -> DataFrame:
     return msg.assemble_from_turns(_conversations(spark, sf_dir))
 
 
-def _sql_render(role: str, text: str) -> str:
-    return (f"'{chat.ROLE_OPEN}' || {role} || '|>' || {NL} || {text} || '</s>' || {NL}")
+def _n_messages(col: str = "messages"):
+    return F.size(col).cast("long").alias("n_messages")
+
+
+def _doc_pool(spark, sf_dir, with_text: bool = False) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return cat.pool_from_table(docs, "lang", "doc_id", "text" if with_text else None)
+
+
+def _order_plan(spark, sf_dir) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("slot_id"))
+
+
+_W_SQL = "w AS (SELECT lang AS category, CAST(count(*) AS BIGINT) AS weight FROM documents GROUP BY lang)"
+_B_SQL = ("b AS (SELECT category, weight, CAST(sum(weight) OVER (ORDER BY category ROWS BETWEEN "
+          "UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi FROM w)")
+_DRAW_SQL = (f"d AS (SELECT p.slot_id, b.category FROM (SELECT o_orderkey AS slot_id, "
+             f"{U('o_orderkey', 'cat')} % (SELECT CAST(sum(weight) AS BIGINT) FROM w) AS s "
+             f"FROM orders) p JOIN b ON p.s >= b.hi - b.weight AND p.s < b.hi)")
+_POOL_SQL = (f"pool AS (SELECT lang AS category, doc_id, text, row_number() OVER (PARTITION BY lang "
+             f"ORDER BY {U('doc_id', 'pool')}, doc_id) - 1 AS idx FROM documents), "
+             f"sz AS (SELECT category, count(*) AS n FROM pool GROUP BY category)")
+
+
+# ====================================================== 2.1 sources and sinks
+
+@register("catalog_prompts", f"""
+SELECT lang AS category,
+       row_number() OVER (PARTITION BY lang ORDER BY {U('doc_id', 'pool')}, doc_id) - 1 AS idx,
+       doc_id
+FROM documents""")
+def q_catalog_prompts(spark, sf_dir):
+    """#1 a table as the prompt catalogue: category = lang, items numbered."""
+    idx = sa.index_pool(_doc_pool(spark, sf_dir), SEED)
+    return idx.select("category", "idx", F.col("item_id").alias("doc_id"))
+
+
+@register("chat_jsonl_roundtrip", f"""
+SELECT conv_id, count(*) AS n_messages, {_flat_sql('role', 'text')} AS flat
+FROM conversations GROUP BY conv_id""")
+def q_chat_jsonl_roundtrip(spark, sf_dir):
+    """#3/#4 append records as JSON Lines, scan them back strictly."""
+    path = scratch_path(spark, "chat-jsonl")
+    recs = _records(spark, sf_dir).withColumn("category", F.lit("chat"))
+    jsonl.write_records(recs, path, mode="append")
+    back = jsonl.read_records(spark, path, schema=recs.schema, strict=True)
+    return back.select("conv_id", _n_messages(), msg.flatten_messages(F.col("messages")).alias("flat"))
+
+
+@register("existing_count", """
+SELECT count(DISTINCT conv_id) AS n_lines FROM conversations""")
+def q_existing_count(spark, sf_dir):
+    """#5 physical line count of the JSON Lines sink."""
+    path = scratch_path(spark, "chat-jsonl-count")
+    jsonl.write_records(_records(spark, sf_dir).withColumn("category", F.lit("chat")), path)
+    return jsonl.line_count_frame(spark, path)
+
+
+@register("union_provider_shards", f"""
+SELECT conv_id,
+       CASE {U('conv_id', 'shard')} % 3 WHEN 0 THEN 'messages_api'
+            WHEN 1 THEN 'single_prompt' ELSE NULL END AS provider,
+       count(*) AS n_messages
+FROM conversations GROUP BY conv_id""")
+def q_union_provider_shards(spark, sf_dir):
+    """#6 three writers' shards (the third without a provider column) read
+    back and combined by name, bag semantics."""
+    path = scratch_path(spark, "shards")
+    recs = _records(spark, sf_dir).withColumn("shard", F.pmod(u(SEED, "conv_id", "shard"), F.lit(3)))
+    recs.write.mode("overwrite").partitionBy("shard").json(path)
+    schema = recs.drop("shard").schema
+    s0 = spark.read.schema(schema).json(f"{path}/shard=0").withColumn("provider", F.lit("messages_api"))
+    s1 = spark.read.schema(schema).json(f"{path}/shard=1").withColumn("provider", F.lit("single_prompt"))
+    s2 = spark.read.schema(schema).json(f"{path}/shard=2")
+    both = store.union_shards(s0, s1, s2)
+    return both.select("conv_id", "provider", _n_messages())
+
+
+# ================================================= 2.2 sampling and planning
+
+@register("topup_plan", """
+SELECT o.o_orderkey AS slot_id FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_orderkey = o.o_orderkey)""")
+def q_topup_plan(spark, sf_dir):
+    """#7 keyed top-up: plan rows minus done rows."""
+    orders = read_table(spark, sf_dir, "orders")
+    plan = orders.select(F.col("o_orderkey").alias("slot_id"))
+    done = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("slot_id"))
+    return pl.topup_plan(plan, done)
+
+
+@register("weighted_slots", f"""
+WITH {_W_SQL}, {_B_SQL}
+SELECT category, CAST(unnest(range(hi - weight, hi)) AS BIGINT) AS slot FROM b""")
+def q_weighted_slots(spark, sf_dir):
+    """#8 one row per weight unit, ranges by running sum."""
+    weights = cat.weights_from_pool(_doc_pool(spark, sf_dir))
+    return sa.weighted_slots(weights)
+
+
+@register("weighted_draw", f"""
+WITH {_W_SQL}, {_B_SQL}, {_DRAW_SQL}
+SELECT slot_id, category FROM d""")
+def q_weighted_draw(spark, sf_dir):
+    """#9/#10 weighted category per plan row (with replacement)."""
+    weights = cat.weights_from_pool(_doc_pool(spark, sf_dir))
+    return sa.weighted_draw(_order_plan(spark, sf_dir), weights, SEED).select("slot_id", "category")
+
+
+@register("uniform_prompt_draw", f"""
+WITH {_W_SQL}, {_B_SQL}, {_DRAW_SQL}, {_POOL_SQL}
+SELECT d.slot_id, d.category, pool.doc_id
+FROM d JOIN sz ON sz.category = d.category
+JOIN pool ON pool.category = d.category AND pool.idx = {U('d.slot_id', 'prompt')} % sz.n""")
+def q_uniform_prompt_draw(spark, sf_dir):
+    """#11 uniform draw from the drawn category's pool (large-pool form)."""
+    weights = cat.weights_from_pool(_doc_pool(spark, sf_dir))
+    drawn = sa.weighted_draw(_order_plan(spark, sf_dir), weights, SEED)
+    indexed = sa.index_pool(_doc_pool(spark, sf_dir), SEED)
+    out = sa.uniform_pool_draw(drawn, indexed, SEED)
+    return out.select("slot_id", "category", F.col("item_id").alias("doc_id"))
+
+
+@register("assign_provider", """
+SELECT DISTINCT conv_id, 'messages_api' AS provider_single,
+       CASE WHEN conv_id % 2 = 1 THEN 'single_prompt' ELSE 'messages_api' END AS provider_dual
+FROM conversations""")
+def q_assign_provider(spark, sf_dir):
+    """#12 odd slots to the second provider when configured."""
+    keys = _conversations(spark, sf_dir).select(F.col("conv_id").alias("slot_id")).distinct()
+    a = pl.assign_provider(keys, "messages_api", None, out="provider_single")
+    a = pl.assign_provider(a, "messages_api", "single_prompt", out="provider_dual")
+    return a.withColumnRenamed("slot_id", "conv_id")
+
+
+# ================================================ 2.3 projections / scalars
+
+_VAR_SQL = pick_from_list_sql(SEED, "o.o_orderkey", sql_str("var"), cat.VARIATIONS)
+_DET_SQL = pick_from_list_sql(SEED, "o.o_orderkey", sql_str("detail"), cat.DETAIL_REQUESTS)
+
+
+@register("compose_prompt", f"""
+WITH pool AS (SELECT p_partkey, p_name,
+                     row_number() OVER (ORDER BY {U('p_partkey', 'pool')}, p_partkey) - 1 AS idx
+              FROM part)
+SELECT o.o_orderkey AS slot_id, pool.p_partkey,
+       pool.p_name || {_VAR_SQL} || {_DET_SQL} AS user_prompt
+FROM orders o JOIN pool
+  ON pool.idx = {U('o.o_orderkey', 'prompt')} % (SELECT count(*) FROM part)""")
+def q_compose_prompt(spark, sf_dir):
+    """#13 base prompt (a part name drawn uniformly) + variation + detail."""
+    parts = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("item_id"), F.col("p_name").alias("base_prompt"))
+    indexed = sa.index_pool(parts, SEED, category=None)
+    drawn = sa.uniform_pool_draw(_order_plan(spark, sf_dir), indexed, SEED, category=None)
+    composed = pl.compose_prompt(pl.draw_modifiers(drawn, SEED))
+    return composed.select("slot_id", F.col("item_id").alias("p_partkey"), "user_prompt")
+
+
+def _conv_requests(spark, sf_dir, form_by_hash: bool) -> DataFrame:
+    """One request per conversation: its first user turn as the prompt, its
+    system turn (else the default) as the generator system text."""
+    recs = _records(spark, sf_dir)
+    users = F.filter("messages", lambda m: m["role"] == F.lit("user"))
+    plan = recs.select(
+        F.col("conv_id").alias("slot_id"),
+        F.concat(F.lit("turns_"), F.size("messages")).alias("category"),
+        F.coalesce(chat.first_system_content(F.col("messages")),
+                   F.lit(chat.DEFAULT_SYSTEM)).alias("gen_system"),
+        F.try_element_at(users, F.lit(1))["content"].alias("user_prompt"))
+    if form_by_hash:
+        forms = F.array(*[F.lit(f) for f in FORM_LIST])
+        return plan.withColumn("provider", pick_from_array(SEED, "slot_id", "form", forms))
+    return pl.assign_provider(plan, *PROVIDERS_RUN)
+
+
+_CONV_PLAN_SQL = f"""c AS (
+  SELECT conv_id AS slot_id, concat('turns_', count(*)) AS category,
+         coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {DEFAULT_SYS_SQL}) AS gen_system,
+         arg_min(text, turn) FILTER (WHERE role = 'user') AS user_prompt
+  FROM conversations GROUP BY conv_id)"""
+
+_FORMS_SQL = "[" + ", ".join(sql_str(f) for f in FORM_LIST) + "]"
+
+
+@register("shape_request", f"""
+WITH {_CONV_PLAN_SQL},
+p AS (SELECT *, {_FORMS_SQL}[({U('slot_id', 'form')} % 4) + 1] AS provider FROM c)
+SELECT slot_id, provider, 'default' AS model,
+       CASE provider WHEN 'messages_api' THEN '2000' WHEN 'single_prompt' THEN NULL ELSE '2048' END AS max_tokens,
+       CASE WHEN provider IN ('chat_completions', 'local_chat') THEN 0.8::DOUBLE END AS temperature,
+       CASE WHEN provider = 'single_prompt' THEN NULL ELSE gen_system END AS sent_system,
+       CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
+            ELSE user_prompt END AS sent_prompt,
+       CASE provider WHEN 'messages_api' THEN '2000' WHEN 'single_prompt' THEN NULL ELSE '2048' END AS body_cap
+FROM p""")
+def q_shape_request(spark, sf_dir):
+    """#14 the four request forms; the JSON body is checked field by field."""
+    shaped = gen.shape_request(_conv_requests(spark, sf_dir, form_by_hash=True))
+    p, b = F.col("provider"), F.col("body")
+    sent_system = (F.when(p == "messages_api", F.get_json_object(b, "$.system"))
+                   .when(p.isin("chat_completions", "local_chat"),
+                         F.get_json_object(b, "$.messages[0].content")))
+    sent_prompt = (F.when(p == "single_prompt", F.get_json_object(b, "$.contents"))
+                   .when(p == "messages_api", F.get_json_object(b, "$.messages[0].content"))
+                   .otherwise(F.get_json_object(b, "$.messages[1].content")))
+    body_cap = (F.when(p == "local_chat", F.get_json_object(b, "$.options.num_predict"))
+                .otherwise(F.get_json_object(b, "$.max_tokens")))
+    return shaped.select("slot_id", "provider", F.col("request.model").alias("model"),
+                         F.col("request.max_tokens").cast("string").alias("max_tokens"),
+                         F.col("request.temperature").alias("temperature"),
+                         sent_system.alias("sent_system"), sent_prompt.alias("sent_prompt"),
+                         body_cap.alias("body_cap"))
+
+
+@register("extract_response", f"""
+SELECT conv_id, turn, {_FORMS_SQL}[({U(['conv_id', 'turn'], 'form')} % 4) + 1] AS provider,
+       text, CAST(NULL AS VARCHAR) AS error
+FROM conversations WHERE role = 'assistant'""")
+def q_extract_response(spark, sf_dir):
+    """#15 reply bodies in the four forms (built with to_json) -> text."""
+    turns = _conversations(spark, sf_dir).where(F.col("role") == "assistant")
+    forms = F.array(*[F.lit(f) for f in FORM_LIST])
+    wrapped = (turns.withColumn("provider", pick_from_array(SEED, ["conv_id", "turn"], "form", forms))
+               .withColumn("raw", gen.reply_body(F.col("provider"), F.col("text")))
+               .drop("text"))
+    return gen.extract_response(wrapped).select("conv_id", "turn", "provider", "text", "error")
+
+
+@register("extract_json_field", """
+SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
+def q_extract_json_field(spark, sf_dir):
+    """#15 the same path extraction on an arbitrary JSON body column."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@register("assemble_messages", f"""
+SELECT conv_id, count(*) AS n_messages, {_flat_sql('role', 'text')} AS flat
+FROM conversations GROUP BY conv_id""")
+def q_assemble_messages(spark, sf_dir):
+    """#16 turn rows -> ordered messages array."""
+    return _records(spark, sf_dir).select(
+        "conv_id", _n_messages(), msg.flatten_messages(F.col("messages")).alias("flat"))
+
+
+@register("normalize_system", f"""
+SELECT conv_id, 1 + count(*) FILTER (WHERE role <> 'system') AS n_messages,
+       'system{US}' || {DEFAULT_SYS_SQL}
+       || coalesce('{RS}' || {_flat_sql('role', 'text')} FILTER (WHERE role <> 'system'), '') AS flat
+FROM conversations GROUP BY conv_id""")
+def q_normalize_system(spark, sf_dir):
+    """#17 one fixed system message first, others dropped."""
+    recs = msg.normalize_system(_records(spark, sf_dir))
+    return recs.select("conv_id", _n_messages(), msg.flatten_messages(F.col("messages")).alias("flat"))
 
 
-# ------------------------------------------------------------------ render (#18)
 @register("render_chat", f"""
-SELECT conv_id, string_agg({_sql_render('role', 'text')}, '' ORDER BY turn) AS text
+SELECT conv_id, string_agg({_render_sql('role', 'text')}, '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id""")
 def q_render_chat(spark, sf_dir):
+    """#18/#31 training text of every message, no generation cue."""
     return msg.render_chat(_records(spark, sf_dir)).select("conv_id", "text")
 
 
-# ------------------------------------------------------------------ split (#28)
-def _u_sql(keys: str, tag: str) -> str:
-    from dialforge.functions.draw import u_sql
-    return u_sql(SEED, keys, sql_str(tag))
+@register("render_inference_prompt", f"""
+WITH lu AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'user') AS last_user,
+                   coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {DEFAULT_SYS_SQL}) AS sys
+            FROM conversations GROUP BY conv_id)
+SELECT c.conv_id,
+       {_render_sql("'system'", 'lu.sys')}
+       || string_agg({_render_sql('c.role', 'c.text')}, '' ORDER BY c.turn)
+       || '<|assistant|>' || {NL} AS prompt
+FROM conversations c JOIN lu ON lu.conv_id = c.conv_id
+WHERE c.role <> 'system' AND c.turn <= lu.last_user
+GROUP BY c.conv_id, lu.sys""")
+def q_render_inference_prompt(spark, sf_dir):
+    """#19 serving prompt: system, turns up to the last user turn, open cue."""
+    return msg.render_inference_prompt(_records(spark, sf_dir)).select("conv_id", "prompt")
 
 
-@register("train_eval_split", f"""
-WITH r AS (
-  SELECT doc_id, row_number() OVER (ORDER BY {_u_sql('doc_id', 'split')}, doc_id) AS rk,
-         count(*) OVER () AS n
-  FROM documents)
-SELECT doc_id, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eval' ELSE 'train' END AS split
+@register("last_message", """
+SELECT conv_id, arg_max(role, turn) AS last_role, arg_max(text, turn) AS last_content
+FROM conversations GROUP BY conv_id""")
+def q_last_message(spark, sf_dir):
+    """#20 the final message of each record."""
+    return msg.last_message(_records(spark, sf_dir)).select("conv_id", "last_role", "last_content")
+
+
+_TOK_SQL = r"regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')"
+
+
+@register("truncate_tokens", f"""
+WITH t AS (SELECT doc_id,
+                  CASE WHEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') = '' THEN []::VARCHAR[]
+                       ELSE {_TOK_SQL} END AS toks
+           FROM documents)
+SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > {tk.MAX_SEQ_LENGTH} AS truncated,
+       md5(array_to_string(toks[1:{tk.MAX_SEQ_LENGTH}], ' ')) AS capped_md5
+FROM t""")
+def q_truncate_tokens(spark, sf_dir):
+    """#21 cap at 2048 (whitespace) tokens; flag the capped rows."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    capped = tk.truncate_tokens(docs, "text")
+    return capped.select("doc_id", "n_tokens", "truncated", F.md5("text_capped").alias("capped_md5"))
+
+
+# ============================================ 2.4-2.5 generation run, counts
+
+def _run_results(spark, sf_dir) -> DataFrame:
+    """The conversation generation run: plan -> offline backend -> results
+    written to the shared folder -> read back -> extracted."""
+    path = scratch_path(spark, "conv-run")
+    plan = _conv_requests(spark, sf_dir, form_by_hash=False)
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
+                         second_provider=PROVIDERS_RUN[1])
+    bd.generate(spark, plan, gen.offline_backend(SEED), f"{path}/results", cfg)
+    return gen.extract_response(spark.read.parquet(f"{path}/results"))
+
+
+_ENDINGS_SQL = "[" + ", ".join(sql_str(s) for s in gen.OFFLINE_ENDINGS) + "]"
+_KINDS_SQL = "[" + ", ".join(sql_str(s) for s in gen.FAULT_KINDS) + "]"
+
+_RUN_SQL = f"""WITH {_CONV_PLAN_SQL},
+p AS (SELECT *, CASE WHEN slot_id % 2 = 1 THEN 'single_prompt' ELSE 'messages_api' END AS provider FROM c),
+g AS (SELECT *, {U('slot_id', 'fault')} % 20 = 0 AS faulty,
+             {_KINDS_SQL}[({U('slot_id', 'fault_kind')} % 4) + 1] AS kind,
+             CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
+                  ELSE user_prompt END AS sent
+      FROM p),
+r AS (SELECT slot_id, category, provider,
+             CASE WHEN faulty THEN NULL
+                  ELSE {sql_str(gen.OFFLINE_PREFIX)} || sent || {_ENDINGS_SQL}[({U('slot_id', 'reply')} % 3) + 1]
+             END AS text,
+             CASE WHEN NOT faulty THEN NULL
+                  WHEN kind = 'raise' THEN 'RuntimeError: injected fault'
+                  WHEN kind = 'malformed' THEN '{gen.ERR_MALFORMED}'
+                  WHEN kind = 'null' THEN '{gen.ERR_NO_CONTENT}'
+                  ELSE '{gen.ERR_EMPTY}' END AS error
+      FROM g)"""
+
+
+@register("bulk_generate", f"""{_RUN_SQL}
+SELECT slot_id, provider, text, error FROM r""")
+def q_bulk_generate(spark, sf_dir):
+    """#30 one backend call per plan row, row-level error capture."""
+    return _run_results(spark, sf_dir).select("slot_id", "provider", "text", "error")
+
+
+@register("generation_successes", f"""{_RUN_SQL}
+SELECT slot_id, provider, text FROM r WHERE error IS NULL""")
+def q_generation_successes(spark, sf_dir):
+    """#22 keep successes."""
+    return gen.successes(_run_results(spark, sf_dir)).select("slot_id", "provider", "text")
+
+
+@register("generation_failures", f"""{_RUN_SQL}
+SELECT slot_id, provider, error FROM r WHERE error IS NOT NULL""")
+def q_generation_failures(spark, sf_dir):
+    """#23 failure quarantine, keyed for a retry top-up."""
+    return gen.failures(_run_results(spark, sf_dir)).select("slot_id", "provider", "error")
+
+
+@register("category_counts", f"""
+WITH {_CONV_PLAN_SQL}
+SELECT category, count(*) AS attempts FROM c GROUP BY category""")
+def q_category_counts(spark, sf_dir):
+    """#24 counts over attempts (the plan), failures included."""
+    return mt.category_counts(_conv_requests(spark, sf_dir, form_by_hash=False))
+
+
+_ALL_PROVIDERS_SQL = " UNION ALL ".join(f"SELECT {sql_str(f)} AS provider" for f in FORM_LIST)
+
+
+@register("provider_counts", f"""{_RUN_SQL},
+names AS ({_ALL_PROVIDERS_SQL})
+SELECT names.provider, CAST(count(r.slot_id) AS BIGINT) AS successes
+FROM names LEFT JOIN r ON r.provider = names.provider AND r.error IS NULL
+GROUP BY names.provider""")
+def q_provider_counts(spark, sf_dir):
+    """#25 successes per configured provider, 0 when none."""
+    return mt.provider_counts(spark, _run_results(spark, sf_dir), FORM_LIST)
+
+
+@register("run_summary", f"""{_RUN_SQL}
+SELECT count(*) AS attempted, count(*) FILTER (WHERE error IS NULL) AS generated,
+       count(*) FILTER (WHERE error IS NOT NULL) AS failed
 FROM r""")
+def q_run_summary(spark, sf_dir):
+    """#26 attempted, generated, failed."""
+    return mt.run_summary(_run_results(spark, sf_dir))
+
+
+# =============================================== 2.6 split and batching
+
+_SPLIT_SQL = f"""r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY {U('doc_id', 'split')}, doc_id) AS rk,
+         count(*) OVER () AS n
+  FROM documents),
+s AS (SELECT doc_id, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eval' ELSE 'train' END AS split
+      FROM r)"""
+
+
+@register("train_eval_split", f"""WITH {_SPLIT_SQL}
+SELECT doc_id, split FROM s""")
 def q_train_eval_split(spark, sf_dir):
+    """#28 exact-size seeded split, 5 % eval."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id")
     return sp.train_eval_split(docs, "doc_id", seed=SEED).select("doc_id", "split")
+
+
+@register("split_sizes", f"""WITH {_SPLIT_SQL}
+SELECT split, count(*) AS n_rows FROM s GROUP BY split""")
+def q_split_sizes(spark, sf_dir):
+    """#27 rows per split."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return sp.split_sizes(sp.train_eval_split(docs, "doc_id", seed=SEED))
+
+
+@register("batch_manifest", f"""
+WITH e AS (SELECT CAST(unnest(range(0, {sp.EPOCHS})) AS INTEGER) AS epoch),
+r AS (SELECT e.epoch, d.doc_id,
+             row_number() OVER (PARTITION BY e.epoch
+                                ORDER BY {u_sql(SEED, 'd.doc_id', "'epoch:' || e.epoch")}, d.doc_id) - 1 AS position
+      FROM documents d, e)
+SELECT epoch, doc_id, position, position // {sp.MICRO_BATCH} AS micro_batch,
+       position // {sp.MICRO_BATCH * sp.ACCUMULATION} AS step
+FROM r""")
+def q_batch_manifest(spark, sf_dir):
+    """#29 per-epoch order, micro-batches and optimiser steps."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return sp.batch_manifest(docs, "doc_id").select("epoch", "doc_id", "position",
+                                                    "micro_batch", "step")
+
+
+# ================================================= 2.7 end-to-end jobs
+
+def _pool_weights(spark, sf_dir) -> DataFrame:
+    w = cat.weights_from_pool(_doc_pool(spark, sf_dir))
+    return w.withColumn("gen_system", F.concat(
+        F.lit("Reply in the language of the prompt ("), F.col("category"), F.lit(").")))
+
+
+_BUILD_VAR = pick_from_list_sql(SEED, "d.slot_id", sql_str("var"), cat.VARIATIONS)
+_BUILD_DET = pick_from_list_sql(SEED, "d.slot_id", sql_str("detail"), cat.DETAIL_REQUESTS)
+
+
+@register("build_dataset", f"""
+WITH {_W_SQL}, {_B_SQL}, {_DRAW_SQL}, {_POOL_SQL},
+p AS (
+  SELECT d.slot_id, d.category, pool.doc_id,
+         'Reply in the language of the prompt (' || d.category || ').' AS gen_system,
+         pool.text || {_BUILD_VAR} || {_BUILD_DET} AS user_prompt,
+         CASE WHEN d.slot_id % 2 = 1 THEN 'single_prompt' ELSE 'messages_api' END AS provider
+  FROM d JOIN sz ON sz.category = d.category
+  JOIN pool ON pool.category = d.category AND pool.idx = {U('d.slot_id', 'prompt')} % sz.n),
+g AS (SELECT *, {U('slot_id', 'fault')} % 20 = 0 AS faulty,
+             {_KINDS_SQL}[({U('slot_id', 'fault_kind')} % 4) + 1] AS kind,
+             CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
+                  ELSE user_prompt END AS sent
+      FROM p)
+SELECT slot_id, category, provider, doc_id, user_prompt,
+       CASE WHEN faulty THEN NULL
+            ELSE {sql_str(gen.OFFLINE_PREFIX)} || sent || {_ENDINGS_SQL}[({U('slot_id', 'reply')} % 3) + 1]
+       END AS text,
+       CASE WHEN NOT faulty THEN NULL
+            WHEN kind = 'raise' THEN 'RuntimeError: injected fault'
+            WHEN kind = 'malformed' THEN '{gen.ERR_MALFORMED}'
+            WHEN kind = 'null' THEN '{gen.ERR_NO_CONTENT}'
+            ELSE '{gen.ERR_EMPTY}' END AS error
+FROM g""")
+def q_build_dataset(spark, sf_dir):
+    """#32 flagship: orders as slots, documents as the pool (lang =
+    category), offline backend with faults; results written, then read."""
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
+                         second_provider=PROVIDERS_RUN[1])
+    pool = _doc_pool(spark, sf_dir, with_text=True)
+    plan = bd.plan_from_pool(_order_plan(spark, sf_dir), pool, _pool_weights(spark, sf_dir), cfg)
+    out = bd.build_dataset(spark, plan, gen.offline_backend(SEED), scratch_path(spark, "build"), cfg)
+    ext = gen.extract_response(out["results"])
+    return ext.select("slot_id", "category", "provider", F.col("item_id").alias("doc_id"),
+                      "user_prompt", "text", "error")
+
+
+@register("prepare_training_set", f"""
+WITH t AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS la
+           FROM conversations GROUP BY conv_id),
+k AS (SELECT c.* FROM conversations c JOIN t ON t.conv_id = c.conv_id
+      WHERE t.la IS NOT NULL AND c.turn <= t.la),
+r AS (SELECT conv_id, 1 + count(*) FILTER (WHERE role <> 'system') AS n_messages,
+             {_render_sql("'system'", DEFAULT_SYS_SQL)}
+             || string_agg({_render_sql('role', 'text')}, '' ORDER BY turn) FILTER (WHERE role <> 'system') AS text
+      FROM k GROUP BY conv_id),
+s AS (SELECT *, row_number() OVER (ORDER BY {U('conv_id', 'split')}, conv_id) AS rk,
+             count(*) OVER () AS n FROM r),
+x AS (SELECT *, {_TOK_SQL} AS toks FROM s)
+SELECT conv_id, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eval' ELSE 'train' END AS split,
+       n_messages, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > {tk.MAX_SEQ_LENGTH} AS truncated, text
+FROM x""")
+def q_prepare_training_set(spark, sf_dir):
+    """#33 records -> trim -> normalise -> render -> split -> cap, written
+    as split-partitioned Parquet and read back."""
+    prepared = pt.prepare(_records(spark, sf_dir), "conv_id", seed=SEED)
+    path = scratch_path(spark, "training-set")
+    pt.write_training_set(prepared, path)
+    back = spark.read.parquet(path)
+    return back.select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")
