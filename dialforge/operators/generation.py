@@ -145,17 +145,21 @@ def extract_response(df: DataFrame, provider: str = "provider", raw: str = "raw"
         cond = p == F.lit(form)
         val = F.get_json_object(r, spec["path"])
         text = F.when(cond, val) if text is None else text.when(cond, val)
-    valid = F.get_json_object(r, "$").isNotNull()
     known = p.isin(list(FORMS))
     prior = F.col(error) if error in df.columns else F.lit(None).cast("string")
+    t = F.col("_ex_t")
+    # the whole-body validity parse runs only for rows whose path gave null
     err = (F.when(prior.isNotNull(), prior)
-           .when(r.isNull() | ~valid, F.lit(ERR_MALFORMED))
+           .when(r.isNull(), F.lit(ERR_MALFORMED))
            .when(~known, F.lit(ERR_UNKNOWN_FORM))
-           .when(text.isNull(), F.lit(ERR_NO_CONTENT))
-           .when(text == F.lit(""), F.lit(ERR_EMPTY)))
-    return (df.withColumn("_er", err)
-            .withColumn(out, F.when(F.col("_er").isNull(), text))
-            .withColumn(error, F.col("_er")).drop("_er"))
+           .when(t == F.lit(""), F.lit(ERR_EMPTY))
+           .when(t.isNotNull(), F.lit(None).cast("string"))
+           .when(F.get_json_object(r, "$").isNull(), F.lit(ERR_MALFORMED))
+           .otherwise(F.lit(ERR_NO_CONTENT)))
+    return (df.withColumn("_ex_t", text)
+            .withColumn("_ex_e", err)
+            .withColumn(out, F.when(F.col("_ex_e").isNull(), t))
+            .withColumn(error, F.col("_ex_e")).drop("_ex_t", "_ex_e"))
 
 
 def successes(df: DataFrame, error: str = "error") -> DataFrame:
@@ -184,19 +188,24 @@ def _safe(call: Call):
 
 
 def bulk_generate(requests: DataFrame, call: Call, concurrency: int = 8,
-                  fields: tuple[str, ...] = ("slot_id", "provider", "body")) -> DataFrame:
+                  fields: tuple[str, ...] = ("slot_id", "provider", "body"),
+                  keep_body: bool = False) -> DataFrame:
     """One call per row; adds ``raw`` (reply body) and ``error`` (string).
 
     ``call(record) -> raw`` receives ``fields`` of the row as a dict and may
     raise; the exception text becomes the row's ``error``. Up to
     ``concurrency`` calls are in flight per task (network-bound backends).
-    All other columns pass through (scalar columns only: select first).
+    All other columns pass through (scalar columns only: select first);
+    the request ``body`` is dropped from the output unless ``keep_body``
+    (it is re-derivable from the plan and would store the prompt again).
     """
     for f in requests.schema.fields:
         if not isinstance(f.dataType, _SCALARS):
             raise TypeError(f"bulk_generate passes scalar columns only; drop {f.name!r} first")
-    out_schema = T.StructType(list(requests.schema.fields) + [
+    passed = [f for f in requests.schema.fields if keep_body or f.name != "body"]
+    out_schema = T.StructType(passed + [
         T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())])
+    out_cols = [f.name for f in passed]
     safe = _safe(call)
     keep = list(fields)
 
@@ -206,7 +215,7 @@ def bulk_generate(requests: DataFrame, call: Call, concurrency: int = 8,
             for pdf in batches:
                 recs = pdf[keep].to_dict("records")
                 res = list(pool.map(safe, recs)) if pool else [safe(r) for r in recs]
-                yield pdf.assign(raw=[a for a, _ in res], error=[b for _, b in res])
+                yield pdf[out_cols].assign(raw=[a for a, _ in res], error=[b for _, b in res])
         finally:
             if pool:
                 pool.shutdown()

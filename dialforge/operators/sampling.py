@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialforge.functions.draw import u
-from dialforge.operators.rank import exact_rank
+from dialforge.operators.rank import exact_rank_with_sizes
 from dialforge.sources.catalog import validate_weights
 
 DEFAULT_BINS = 1 << 16
@@ -86,35 +86,48 @@ def index_pool(pool: DataFrame, seed: int, item_id: str = "item_id",
                category: str | None = "category", out: str = "idx") -> DataFrame:
     """Number pool items 0..n_c-1 inside each category (order: the draw
     ``u(seed, item_id, "pool")``, ties by id). Item ids must be unique."""
+    return _index_ids(pool, seed, item_id, category, out)[0]
+
+
+def _index_ids(pool: DataFrame, seed: int, item_id: str, category: str | None,
+               out: str = "idx") -> tuple[DataFrame, DataFrame]:
     h = "_pool_h"
-    d = pool.withColumn(h, u(seed, item_id, "pool"))
-    ranked = exact_rank(d, h, item_id, parts=[category] if category else [], out="_pool_r")
-    return ranked.withColumn(out, F.col("_pool_r") - 1).drop(h, "_pool_r")
+    keep = [category, item_id] if category else [item_id]
+    d = pool.select(*keep).withColumn(h, u(seed, item_id, "pool"))
+    ranked, sizes = exact_rank_with_sizes(d, h, item_id, parts=[category] if category else [],
+                                          out="_pool_r")
+    return ranked.withColumn(out, F.col("_pool_r") - 1).drop(h, "_pool_r"), sizes
 
 
 def pool_sizes(pool: DataFrame, category: str = "category") -> DataFrame:
     return pool.groupBy(category).agg(F.count(F.lit(1)).cast("long").alias("pool_size"))
 
 
-def uniform_pool_draw(plan: DataFrame, indexed_pool: DataFrame, seed: int,
+def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
                       key: str = "slot_id", tag: str = "prompt",
-                      category: str | None = "category", idx: str = "idx") -> DataFrame:
+                      category: str | None = "category", item_id: str = "item_id"
+                      ) -> DataFrame:
     """Draw one pool item uniformly per plan row (within its category).
 
-    The pool side is joined on ``(category, idx)``: unique keys, spread evenly.
-    A category with few items but many draws makes hot join keys; AQE's skew
-    join (enabled in the session) splits those partitions.
+    Only ``(category, item_id)`` go through the ranking; the drawn ids are
+    joined on ``(category, idx)`` (unique keys, evenly spread), and any other
+    pool columns (e.g. the prompt text) are fetched by one final join on
+    ``item_id``, so wide pool rows are shuffled once. A category with few
+    items but many draws makes hot join keys; AQE's skew join splits those.
     """
+    ids, sizes = _index_ids(pool, seed, item_id, category, out="_up_i")
     if category is None:
-        n = indexed_pool.count()
+        n = sizes.first()["n"] or 0  # one scalar: the pool size
         if n == 0:
             raise ValueError("empty pool")
         with_idx = plan.withColumn("_up_i", F.pmod(u(seed, key, tag), F.lit(n)))
-        return (with_idx.join(indexed_pool.withColumnRenamed(idx, "_up_i"), "_up_i")
-                .drop("_up_i"))
-    sizes = pool_sizes(indexed_pool, category)
-    with_idx = (plan.join(sizes, category)  # k rows: AQE broadcasts from runtime size
-                .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("pool_size")))
-                .drop("pool_size"))
-    return (with_idx.join(indexed_pool.withColumnRenamed(idx, "_up_i"), [category, "_up_i"])
-            .drop("_up_i"))
+        drawn = with_idx.join(ids, "_up_i").drop("_up_i")
+    else:
+        with_idx = (plan.join(sizes, category)  # one row per category
+                    .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n")))
+                    .drop("n"))
+        drawn = with_idx.join(ids, [category, "_up_i"]).drop("_up_i")
+    payload = [c for c in pool.columns if c not in (category, item_id)]
+    if payload:
+        drawn = drawn.join(pool.select(item_id, *payload), item_id)
+    return drawn

@@ -20,10 +20,14 @@ from pyspark.sql import types as T
 MAX_SEQ_LENGTH = 2048
 
 
+# the characters Java's \s matches (also RE2's, minus vertical tab)
+WHITESPACE = " \t\n\u000b\f\r"
+
+
 def strip_whitespace(text: Column) -> Column:
     """Remove leading/trailing whitespace of every kind (``trim`` only
-    removes spaces)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    removes spaces); a character-set trim, no regex."""
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def whitespace_tokens(text: Column) -> Column:
@@ -31,23 +35,43 @@ def whitespace_tokens(text: Column) -> Column:
     return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
 
 
+def count_tokens(text: Column) -> Column:
+    """Whitespace-token count without materialising the token array."""
+    return F.regexp_count(text, F.lit(r"\S+")).cast("long")
+
+
+def _sum_lengths(arr: Column) -> Column:
+    return F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + F.length(x))
+
+
+def cut_after_tokens(text: Column, cap: int) -> Column:
+    """The original text up to the end of its ``cap``-th token (whitespace
+    and line breaks inside the kept part are preserved): leading whitespace
+    + the first ``cap`` tokens + the ``cap - 1`` separators between them."""
+    stripped = strip_whitespace(text)
+    lead = F.length(text) - F.length(F.ltrim(text, F.lit(WHITESPACE)))
+    toks = F.slice(F.split(stripped, r"\s+"), 1, cap)
+    seps = F.slice(F.regexp_extract_all(stripped, F.lit(r"(\s+)"), 1), 1, max(cap - 1, 1))
+    sep_len = _sum_lengths(seps) if cap > 1 else F.lit(0)
+    return F.substring(text, F.lit(1), (lead + _sum_lengths(toks) + sep_len).cast("int"))
+
+
 def truncate_tokens(df: DataFrame, text: str = "text", cap: int = MAX_SEQ_LENGTH,
                     out: str | None = None,
                     tokenize: Callable[[str], list[tuple[int, int]]] | None = None) -> DataFrame:
     """Adds ``n_tokens``, ``truncated`` (n_tokens > cap) and the capped text
-    (``out``, default ``<text>_capped``). Whitespace mode re-joins the kept
-    tokens with single spaces; span mode cuts the original text."""
+    (``out``, default ``<text>_capped``): the original text cut after its
+    ``cap``-th token, unchanged when it is not over the cap. The cut regex
+    runs only on the over-cap rows."""
     if cap < 1:
         raise ValueError("cap must be >= 1")
     out = out or f"{text}_capped"
     if tokenize is None:
-        toks = whitespace_tokens(F.col(text))
-        return (df.withColumn("_tok", toks)
-                .withColumn("n_tokens", F.size("_tok").cast("long"))
+        t = F.col(text)
+        return (df.withColumn("n_tokens", count_tokens(t))
                 .withColumn("truncated", F.col("n_tokens") > cap)
-                .withColumn(out, F.when(F.col(text).isNotNull(),
-                                        F.array_join(F.slice("_tok", 1, cap), " ")))
-                .drop("_tok"))
+                .withColumn(out, F.when(F.col("truncated"), cut_after_tokens(t, cap))
+                            .otherwise(t)))
 
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("cut", T.LongType())])
 

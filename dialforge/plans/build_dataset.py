@@ -56,14 +56,15 @@ def plan_from_pool(plan_keys: DataFrame, pool: DataFrame, weights: DataFrame,
     """Slots x a large pool ``(category, item_id, base_prompt)``; ``weights``
     is ``(category, weight, gen_system)``."""
     drawn = sa.weighted_draw(plan_keys, weights, cfg.seed, extra=("gen_system",))
-    indexed = sa.index_pool(pool, cfg.seed)
-    drawn = sa.uniform_pool_draw(drawn, indexed, cfg.seed)
+    drawn = sa.uniform_pool_draw(drawn, pool, cfg.seed)
     return _finish_plan(drawn, cfg)
 
 
 def _finish_plan(drawn: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Modifiers, composition, provider. The base prompt is not kept: the
+    composed ``user_prompt`` holds it, and the pool key is kept."""
     drawn = pl.draw_modifiers(drawn, cfg.seed)
-    drawn = pl.compose_prompt(drawn)
+    drawn = pl.compose_prompt(drawn).drop("base_prompt")
     return pl.assign_provider(drawn, cfg.first_provider, cfg.second_provider)
 
 

@@ -197,8 +197,7 @@ def q_uniform_prompt_draw(spark, sf_dir):
     """#11 uniform draw from the drawn category's pool (large-pool form)."""
     weights = cat.weights_from_pool(_doc_pool(spark, sf_dir))
     drawn = sa.weighted_draw(_order_plan(spark, sf_dir), weights, SEED)
-    indexed = sa.index_pool(_doc_pool(spark, sf_dir), SEED)
-    out = sa.uniform_pool_draw(drawn, indexed, SEED)
+    out = sa.uniform_pool_draw(drawn, _doc_pool(spark, sf_dir), SEED)
     return out.select("slot_id", "category", F.col("item_id").alias("doc_id"))
 
 
@@ -232,8 +231,7 @@ def q_compose_prompt(spark, sf_dir):
     """#13 base prompt (a part name drawn uniformly) + variation + detail."""
     parts = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("base_prompt"))
-    indexed = sa.index_pool(parts, SEED, category=None)
-    drawn = sa.uniform_pool_draw(_order_plan(spark, sf_dir), indexed, SEED, category=None)
+    drawn = sa.uniform_pool_draw(_order_plan(spark, sf_dir), parts, SEED, category=None)
     composed = pl.compose_prompt(pl.draw_modifiers(drawn, SEED))
     return composed.select("slot_id", F.col("item_id").alias("p_partkey"), "user_prompt")
 
@@ -368,16 +366,25 @@ def q_last_message(spark, sf_dir):
     return msg.last_message(_records(spark, sf_dir)).select("conv_id", "last_role", "last_content")
 
 
-_TOK_SQL = r"regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')"
+_WS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_NTOK_SQL = "CAST(len(regexp_extract_all({t}, '\\S+')) AS BIGINT)"
+
+
+def _capped_sql(t: str, cap: int) -> str:
+    """Original text cut after its cap-th whitespace token (SQL twin)."""
+    toks = f"regexp_split_to_array(trim({t}, {_WS_SQL}), '\\s+')"
+    seps = f"regexp_extract_all(trim({t}, {_WS_SQL}), '\\s+')"
+    lead = f"(length({t}) - length(ltrim({t}, {_WS_SQL})))"
+    cut = (f"{lead} + list_sum(list_transform(({toks})[1:{cap}], lambda x: length(x))) "
+           f"+ coalesce(list_sum(list_transform(({seps})[1:{cap - 1}], lambda x: length(x))), 0)")
+    return f"substr({t}, 1, CAST({cut} AS BIGINT))"
 
 
 @register("truncate_tokens", f"""
-WITH t AS (SELECT doc_id,
-                  CASE WHEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') = '' THEN []::VARCHAR[]
-                       ELSE {_TOK_SQL} END AS toks
-           FROM documents)
-SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > {tk.MAX_SEQ_LENGTH} AS truncated,
-       md5(array_to_string(toks[1:{tk.MAX_SEQ_LENGTH}], ' ')) AS capped_md5
+WITH t AS (SELECT doc_id, text, {_NTOK_SQL.format(t='text')} AS n FROM documents)
+SELECT doc_id, n AS n_tokens, n > {tk.MAX_SEQ_LENGTH} AS truncated,
+       md5(CASE WHEN n > {tk.MAX_SEQ_LENGTH} THEN {_capped_sql('text', tk.MAX_SEQ_LENGTH)} ELSE text END)
+         AS capped_md5
 FROM t""")
 def q_truncate_tokens(spark, sf_dir):
     """#21 cap at 2048 (whitespace) tokens; flag the capped rows."""
@@ -574,9 +581,9 @@ r AS (SELECT conv_id, 1 + count(*) FILTER (WHERE role <> 'system') AS n_messages
       FROM k GROUP BY conv_id),
 s AS (SELECT *, row_number() OVER (ORDER BY {U('conv_id', 'split')}, conv_id) AS rk,
              count(*) OVER () AS n FROM r),
-x AS (SELECT *, {_TOK_SQL} AS toks FROM s)
+x AS (SELECT *, {_NTOK_SQL.format(t='text')} AS ntok FROM s)
 SELECT conv_id, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eval' ELSE 'train' END AS split,
-       n_messages, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > {tk.MAX_SEQ_LENGTH} AS truncated, text
+       n_messages, ntok AS n_tokens, ntok > {tk.MAX_SEQ_LENGTH} AS truncated, text
 FROM x""")
 def q_prepare_training_set(spark, sf_dir):
     """#33 records -> trim -> normalise -> render -> split -> cap, written
