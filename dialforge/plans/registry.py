@@ -435,6 +435,20 @@ def q_bulk_generate(spark, sf_dir):
     return _run_results(spark, sf_dir).select("slot_id", "provider", "text", "error")
 
 
+@register("stream_generate", f"""{_RUN_SQL}
+SELECT slot_id, provider, text, error FROM r""")
+def q_stream_generate(spark, sf_dir):
+    """#30/#32 the same run as checkpointed waves (Structured Streaming,
+    availableNow): plan files -> foreachBatch generate -> per-wave results."""
+    from dialforge import streaming as st
+
+    path = scratch_path(spark, "conv-stream")
+    st.write_plan_files(_conv_requests(spark, sf_dir, form_by_hash=False), f"{path}/plan", files=4)
+    st.generate_stream(spark, f"{path}/plan", f"{path}/results", f"{path}/checkpoint",
+                       gen.offline_backend(SEED), files_per_wave=1)
+    return st.read_wave_results(spark, f"{path}/results").select("slot_id", "provider", "text", "error")
+
+
 @register("generation_successes", f"""{_RUN_SQL}
 SELECT slot_id, provider, text FROM r WHERE error IS NULL""")
 def q_generation_successes(spark, sf_dir):
