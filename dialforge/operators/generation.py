@@ -187,14 +187,15 @@ def _safe(call: Call):
     return run
 
 
-def bulk_generate(requests: DataFrame, call: Call, concurrency: int = 8,
+def bulk_generate(requests: DataFrame, call: Call, concurrency: int | None = None,
                   fields: tuple[str, ...] = ("slot_id", "provider", "body"),
                   keep_body: bool = False) -> DataFrame:
     """One call per row; adds ``raw`` (reply body) and ``error`` (string).
 
     ``call(record) -> raw`` receives ``fields`` of the row as a dict and may
     raise; the exception text becomes the row's ``error``. Up to
-    ``concurrency`` calls are in flight per task (network-bound backends).
+    ``concurrency`` calls are in flight per task (network-bound backends);
+    by default the backend's own ``concurrency`` attribute, else 8.
     All other columns pass through (scalar columns only: select first);
     the request ``body`` is dropped from the output unless ``keep_body``
     (it is re-derivable from the plan and would store the prompt again).
@@ -206,6 +207,8 @@ def bulk_generate(requests: DataFrame, call: Call, concurrency: int = 8,
     out_schema = T.StructType(passed + [
         T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())])
     out_cols = [f.name for f in passed]
+    if concurrency is None:
+        concurrency = int(getattr(call, "concurrency", 8))
     safe = _safe(call)
     keep = list(fields)
 
@@ -275,11 +278,12 @@ def offline_backend(seed: int = 42, fault_every: int = 20, key: str = "slot_id")
         text = request_text(form, json.loads(rec["body"]))
         ending = OFFLINE_ENDINGS[u_py(seed, k, "reply") % len(OFFLINE_ENDINGS)]
         return wrap_reply(form, OFFLINE_PREFIX + text + ending)
+    call.concurrency = 1  # CPU-bound: threads would only contend for the GIL
     return call
 
 
 def http_backend(urls: dict[str, str], headers: dict[str, str] | None = None,
-                 timeout: float = 300.0) -> Call:
+                 timeout: float = 300.0, concurrency: int = 8) -> Call:
     """POST each body to ``urls[form]``; non-2xx raises (-> row error).
     Uses only the standard library so executors need no client packages."""
     import urllib.request
@@ -290,4 +294,5 @@ def http_backend(urls: dict[str, str], headers: dict[str, str] | None = None,
                                               **(headers or {})}, method="POST")
         with urllib.request.urlopen(req, timeout=timeout) as resp:  # noqa: S310
             return resp.read().decode("utf-8")
+    call.concurrency = concurrency
     return call

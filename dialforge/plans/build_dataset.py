@@ -31,12 +31,15 @@ from dialforge.operators import sampling as sa
 from dialforge.sources import store
 
 
+LONG_TEXT = ("user_prompt", "raw", "base_prompt")
+
+
 @dataclass
 class BuildConfig:
     seed: int = 42
     first_provider: str = "messages_api"
     second_provider: str | None = None
-    concurrency: int = 8
+    concurrency: int | None = None  # None: the backend's own setting
     wave_size: int | None = None
     partitions: int | None = None
     system: str = chat.DEFAULT_SYSTEM
@@ -79,8 +82,7 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     ``done`` holds the keys already successful (default: none). Returns the
     number of waves run. Each wave is its own job and commit.
     """
-    todo = pl.topup_plan(plan, done) if done is not None else plan
-    todo = gen.shape_request(_scalar_plan(todo), models=cfg.models).drop("request")
+    todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
     parts = cfg.partitions or spark.sparkContext.defaultParallelism
     if not cfg.wave_size:
         waves = [None]
@@ -90,12 +92,21 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     for wave in waves:
         part = todo if wave is None else todo.where(
             F.floor(F.col("slot_id") / cfg.wave_size) == wave)
-        out = gen.bulk_generate(part.repartition(parts, "slot_id"), call,
-                                concurrency=cfg.concurrency)
-        store.write_table(out, results_path, mode="append")
+        shaped = gen.shape_request(spread(part, parts), models=cfg.models).drop("request")
+        out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
+        store.write_table(out, results_path, mode="append", long_text=LONG_TEXT)
     return len(waves)
 
 
+def spread(df: DataFrame, parts: int) -> DataFrame:
+    """At least ``parts`` tasks for the calls. A stored plan already read in
+    enough splits is left alone; otherwise it is spread before shaping, so
+    the shuffle carries the plan row once, not the JSON body as well."""
+    if df.rdd.getNumPartitions() >= parts:
+        return df
+    return df.repartition(parts, "slot_id")
+
+
 def records_from_results(results: DataFrame, cfg: BuildConfig) -> tuple[DataFrame, DataFrame]:
     """Results -> (records, failures). Records keep slot, provider, category
     beside the ``messages``/``category`` training shape."""
@@ -124,7 +135,7 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     try:
         stored = spark.read.parquet(plan_path)
     except Exception:  # noqa: BLE001 - first run: write the plan once
-        store.write_table(plan, plan_path, mode="overwrite")
+        store.write_table(plan, plan_path, mode="overwrite", long_text=LONG_TEXT)
         stored = spark.read.parquet(plan_path)
     results_path = f"{out_dir}/results"
     generate(spark, stored, call, results_path, cfg, done=successful_keys(spark, results_path))

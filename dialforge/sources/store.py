@@ -14,8 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
-                partition_by: tuple[str, ...] = ()) -> None:
+                partition_by: tuple[str, ...] = (),
+                long_text: tuple[str, ...] = ()) -> None:
+    """Parquet write. ``long_text`` columns (prompts, replies) skip the
+    dictionary attempt: long, mostly distinct strings always fall back to
+    plain encoding, so trying costs CPU for nothing."""
     w = df.write.mode(mode)
+    for c in long_text:
+        if c in df.columns:
+            w = w.option(f"parquet.enable.dictionary#{c}", "false")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

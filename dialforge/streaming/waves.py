@@ -36,7 +36,7 @@ def write_plan_files(plan: DataFrame, path: str, files: int, mode: str = "append
 
 def generate_stream(spark: SparkSession, plan_path: str, results_path: str,
                     checkpoint: str, call: gen.Call, files_per_wave: int = 1,
-                    concurrency: int = 8, partitions: int | None = None,
+                    concurrency: int | None = None, partitions: int | None = None,
                     models: dict | None = None):
     """Run generation over every plan file not yet processed; blocks until
     the available files are drained. Returns the finished query handle."""
@@ -47,10 +47,11 @@ def generate_stream(spark: SparkSession, plan_path: str, results_path: str,
     parts = partitions or spark.sparkContext.defaultParallelism
 
     def run_wave(batch: DataFrame, batch_id: int) -> None:
-        shaped = gen.shape_request(batch.drop("variation", "detail", "base_prompt"),
-                                   models=models).drop("request")
-        out = gen.bulk_generate(shaped.repartition(parts, "slot_id"), call,
-                                concurrency=concurrency)
+        plan = batch.drop("variation", "detail", "base_prompt")
+        if plan.rdd.getNumPartitions() < parts:
+            plan = plan.repartition(parts, "slot_id")
+        shaped = gen.shape_request(plan, models=models).drop("request")
+        out = gen.bulk_generate(shaped, call, concurrency=concurrency)
         out.write.mode("overwrite").parquet(f"{results_path}/wave={batch_id}")
 
     q = (source.writeStream.foreachBatch(run_wave)
