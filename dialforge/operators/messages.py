@@ -59,6 +59,18 @@ def last_message(df: DataFrame, messages: str = "messages", prefix: str = "last_
             .withColumn(prefix + "content", m["content"]))
 
 
+def last_message_from_turns(turns: DataFrame, key: str = "conv_id", turn: str = "turn",
+                            role: str = "role", content: str = "text",
+                            prefix: str = "last_") -> DataFrame:
+    """Last message per record straight from turn rows with ``max_by``: a
+    partial aggregate (combined map-side), so no record is assembled and a
+    huge conversation never sits whole in one task."""
+    last = F.max_by(F.struct(F.col(role).alias("r"), F.col(content).alias("c")), F.col(turn))
+    return (turns.groupBy(key).agg(last.alias("_lm"))
+            .select(key, F.col("_lm.r").alias(prefix + "role"),
+                    F.col("_lm.c").alias(prefix + "content")))
+
+
 def trim_to_last_role(df: DataFrame, role: str = "assistant",
                       messages: str = "messages") -> DataFrame:
     """Cut each record after its last ``role`` message (records without one

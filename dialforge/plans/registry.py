@@ -238,15 +238,17 @@ def q_compose_prompt(spark, sf_dir):
 
 def _conv_requests(spark, sf_dir, form_by_hash: bool) -> DataFrame:
     """One request per conversation: its first user turn as the prompt, its
-    system turn (else the default) as the generator system text."""
-    recs = _records(spark, sf_dir)
-    users = F.filter("messages", lambda m: m["role"] == F.lit("user"))
-    plan = recs.select(
-        F.col("conv_id").alias("slot_id"),
-        F.concat(F.lit("turns_"), F.size("messages")).alias("category"),
-        F.coalesce(chat.first_system_content(F.col("messages")),
-                   F.lit(chat.DEFAULT_SYSTEM)).alias("gen_system"),
-        F.try_element_at(users, F.lit(1))["content"].alias("user_prompt"))
+    first system turn (else the default) as the generator system text. Built
+    with partial aggregates (``min_by``, ``count``), not assembled records."""
+    turns = _conversations(spark, sf_dir)
+
+    def first_of(role: str):
+        return F.min_by("text", F.when(F.col("role") == role, F.col("turn")))
+
+    plan = turns.groupBy(F.col("conv_id").alias("slot_id")).agg(
+        F.concat(F.lit("turns_"), F.count(F.lit(1))).alias("category"),
+        F.coalesce(first_of("system"), F.lit(chat.DEFAULT_SYSTEM)).alias("gen_system"),
+        first_of("user").alias("user_prompt"))
     if form_by_hash:
         forms = F.array(*[F.lit(f) for f in FORM_LIST])
         return plan.withColumn("provider", pick_from_array(SEED, "slot_id", "form", forms))
@@ -362,8 +364,8 @@ def q_render_inference_prompt(spark, sf_dir):
 SELECT conv_id, arg_max(role, turn) AS last_role, arg_max(text, turn) AS last_content
 FROM conversations GROUP BY conv_id""")
 def q_last_message(spark, sf_dir):
-    """#20 the final message of each record."""
-    return msg.last_message(_records(spark, sf_dir)).select("conv_id", "last_role", "last_content")
+    """#20 the final message of each record (partial aggregate on turns)."""
+    return msg.last_message_from_turns(_conversations(spark, sf_dir))
 
 
 _WS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

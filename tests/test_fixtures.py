@@ -156,6 +156,10 @@ def test_last_message(spark):
     df = _msgs(spark, [("user", "U"), ("assistant", "A")])
     r = msg.last_message(df).first()
     assert (r.last_role, r.last_content) == ("assistant", "A")
+    turns = spark.createDataFrame([(1, 1, "assistant", "A"), (1, 0, "user", "U"), (2, 0, "user", "V")],
+                                  "conv_id long, turn long, role string, text string")
+    got = sorted(map(tuple, msg.last_message_from_turns(turns).collect()))
+    assert got == [(1, "assistant", "A"), (2, "user", "V")]
 
 
 def test_jsonl_mixed(spark, tmp_path):
