@@ -8,6 +8,7 @@ key can merge two records. Everything after assembly is a narrow projection.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +80,21 @@ def trim_to_last_role(df: DataFrame, role: str = "assistant",
     return df.withColumn(messages, F.slice(F.col(messages), F.lit(1), F.coalesce(idx, F.lit(0))))
 
 
+def map_records(df: DataFrame, fn, out: str = "text", messages: str = "messages",
+                return_type: str = "string") -> DataFrame:
+    """Record map with a user's Python function (e.g. a tokenizer's own chat
+    template): ``fn(list of {"role", "content"} dicts) -> value``, run as an
+    Arrow-batched pandas UDF. Prefer :func:`render_chat` (native) when the
+    template is the fixed one."""
+
+    @F.pandas_udf(return_type)
+    def apply(col: pd.Series) -> pd.Series:
+        return col.map(lambda ms: None if ms is None else fn(
+            [{"role": m["role"], "content": m["content"]} for m in ms]))
+
+    return df.withColumn(out, apply(F.col(messages)))
+
+
 def flatten_messages(messages: Column, sep: str = "␞") -> Column:
     """A scalar fingerprint of a messages array for checks: roles and contents
     joined with a separator that does not occur in text."""

@@ -18,6 +18,7 @@ Stages and their Spark shape:
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from dialforge.functions import chat
 from dialforge.operators import generation as gen
 from dialforge.operators import messages as msg
+from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
 from dialforge.operators import sampling as sa
 from dialforge.sources import store
@@ -129,7 +131,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
                   cfg: BuildConfig | None = None) -> dict[str, DataFrame]:
     """Run (or resume) the whole build under ``out_dir`` and return the
     written tables, read back: ``plan``, ``results``, ``records``,
-    ``failures``. Rerunning retries only slots without a success."""
+    ``failures``, and ``metrics`` (attempted, generated, failed, elapsed).
+    Rerunning retries only slots without a success."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
     try:
@@ -138,7 +141,10 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
         store.write_table(plan, plan_path, mode="overwrite", long_text=LONG_TEXT)
         stored = spark.read.parquet(plan_path)
     results_path = f"{out_dir}/results"
+    t0 = time.perf_counter()
     generate(spark, stored, call, results_path, cfg, done=successful_keys(spark, results_path))
+    elapsed = time.perf_counter() - t0
     results = spark.read.parquet(results_path)
     records, fails = records_from_results(results, cfg)
-    return {"plan": stored, "results": results, "records": records, "failures": fails}
+    return {"plan": stored, "results": results, "records": records, "failures": fails,
+            "metrics": mt.run_metrics(results, elapsed)}

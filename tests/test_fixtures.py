@@ -168,6 +168,13 @@ def test_jsonl_mixed(spark, tmp_path):
     p.write_text(good + "\n" + '{"bad' + "\n" + "\n" + '{"messages": []}' + "\n")
     with pytest.raises(Exception):
         jsonl.read_records(spark, str(p), strict=True).count()
+    with pytest.raises(Exception):
+        jsonl.read_records(spark, str(p), strict=True, blank_lines="skip").count()
+    blank_only = tmp_path / "blank.jsonl"
+    blank_only.write_text(good + "\n\n" + good + "\n")
+    with pytest.raises(Exception, match="blank line"):
+        jsonl.read_records(spark, str(blank_only), strict=True).collect()
+    assert jsonl.read_records(spark, str(blank_only), strict=True, blank_lines="skip").count() == 2
     lenient = jsonl.read_records(spark, str(p), strict=False)
     ok, bad = jsonl.split_corrupt(lenient)
     assert lenient.count() == 3
@@ -176,6 +183,19 @@ def test_jsonl_mixed(spark, tmp_path):
     assert jsonl.count_lines(spark, str(p)) == 4
 
 
+def test_map_records_user_function_equals_native_render(spark):
+    from tests.conftest import SF001
+    from dialforge.session import read_table
+
+    def template(ms):
+        return "".join(f"<|{m['role']}|>\n{m['content']}</s>\n" for m in ms)
+
+    recs = msg.assemble_from_turns(read_table(spark, SF001, "conversations"))
+    both = msg.map_records(msg.render_chat(recs, out="native"), template, out="py")
+    assert both.where("native <> py").count() == 0
+    assert both.count() == 100
+
+
 def test_jsonl_unicode_and_null_roundtrip(spark, tmp_path):
     rows = [([{"role": "user", "content": "é"}, {"role": "assistant", "content": 'say "hi"\nnow'},
               {"role": "assistant", "content": None}], "c")]
