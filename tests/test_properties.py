@@ -118,3 +118,39 @@ def test_catalog_plan_prompts_come_from_catalog(spark):
         assert base in prompts
     cats = {r.category for r in rows}
     assert cats == {r.category for r in catalog.collect()}
+
+
+def test_weighted_draw_with_wide_bins_matches_python(spark):
+    """Total weight far above the bin count: bins span many slots, and the
+    range filter must still pick exactly the category holding the slot."""
+    from dialforge.functions.draw import u_py
+
+    weights = spark.createDataFrame([("a", 10**9), ("b", 3 * 10**9), ("c", 1), ("d", 7)],
+                                    "category string, weight long")
+    plan = pl.plan_slots(spark, 3000)
+    got = {r.slot_id: r.category for r in sa.weighted_draw(plan, weights, 9, bins=16).collect()}
+    bounds, lo = [], 0
+    for c, w in [("a", 10**9), ("b", 3 * 10**9), ("c", 1), ("d", 7)]:
+        bounds.append((c, lo, lo + w))
+        lo += w
+    total = lo
+    want = {}
+    for i in range(3000):
+        s = u_py(9, i, "cat") % total
+        want[i] = next(c for c, a, b in bounds if a <= s < b)
+    assert got == want
+
+
+def test_flag_smallest_at_exact_bucket_edges(spark):
+    from dialforge.functions.draw import bucket_of
+
+    df = spark.range(3000).withColumn("h", u(2, "id", "t"))
+    counts = sorted((r.b, r["count"]) for r in df.groupBy(bucket_of("h", 4).alias("b")).count().collect())
+    edges, acc = [], 0
+    for _, c in counts[:5]:
+        acc += c
+        edges.append(acc)
+    ordered = [r.id for r in df.orderBy("h", "id").collect()]
+    for k in edges:
+        got = {r.id for r in flag_smallest(df, "h", "id", k=k, bits=4).where("is_head").collect()}
+        assert got == set(ordered[:k])
