@@ -31,9 +31,6 @@ DEFAULT_SYSTEM = (
     "vivid locations, and exciting encounters for D&D campaigns."
 )
 
-MESSAGE_TYPE = "struct<role:string,content:string>"
-
-
 def message(role: Column | str, content: Column) -> Column:
     r = F.lit(role) if isinstance(role, str) else role
     return F.struct(r.alias("role"), content.alias("content"))

@@ -127,14 +127,6 @@ def reply_body(provider: Column, text: Column) -> Column:
     return expr
 
 
-def reply_path(provider: Column) -> Column:
-    expr = None
-    for form, spec in FORMS.items():
-        cond = provider == F.lit(form)
-        expr = F.when(cond, F.lit(spec["path"])) if expr is None else expr.when(cond, F.lit(spec["path"]))
-    return expr
-
-
 def extract_response(df: DataFrame, provider: str = "provider", raw: str = "raw",
                      error: str = "error", out: str = "text") -> DataFrame:
     """Reply text by form, and the first applicable error:

@@ -15,7 +15,8 @@ Uniform draw from a pool
     Short lists (catalogue prompts, suffixes) are arrays: ``element_at``.
     Large pools (a table) are indexed 0..n_c-1 inside each category by the
     bucketed exact rank (no hot category in one task), and a plan row joins
-    on ``(category, u mod n_c)``.
+    on ``(category, u mod n_c, salt)``; small categories are salted so a
+    popular category with few items cannot create a hot join key.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from dialforge.sources.catalog import validate_weights
 
 DEFAULT_BINS = 1 << 16
 BROADCAST_ROWS = 2_000_000  # rows of (bin, category, lo, hi) safe to broadcast
+MAX_BROADCAST_CATEGORIES = 1_000_000  # rows of (category, size, salts)
+SALT_TARGET = 4096  # (item, salt) pairs a category's draws are spread over
 
 
 def category_bounds(weights: DataFrame, category: str = "category", weight: str = "weight",
@@ -99,34 +102,50 @@ def _index_ids(pool: DataFrame, seed: int, item_id: str, category: str | None,
     return ranked.withColumn(out, F.col("_pool_r") - 1).drop(h, "_pool_r"), sizes
 
 
-def pool_sizes(pool: DataFrame, category: str = "category") -> DataFrame:
-    return pool.groupBy(category).agg(F.count(F.lit(1)).cast("long").alias("pool_size"))
-
-
 def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
                       key: str = "slot_id", tag: str = "prompt",
-                      category: str | None = "category", item_id: str = "item_id"
-                      ) -> DataFrame:
+                      category: str | None = "category", item_id: str = "item_id",
+                      salt_target: int = SALT_TARGET) -> DataFrame:
     """Draw one pool item uniformly per plan row (within its category).
 
     Only ``(category, item_id)`` go through the ranking; the drawn ids are
-    joined on ``(category, idx)`` (unique keys, evenly spread), and any other
-    pool columns (e.g. the prompt text) are fetched by one final join on
-    ``item_id``, so wide pool rows are shuffled once. A category with few
-    items but many draws makes hot join keys; AQE's skew join splits those.
+    joined on ``(category, idx, salt)``, and any other pool columns (e.g. the
+    prompt text) are fetched by one final join on ``item_id``, so wide pool
+    rows are shuffled once.
+
+    Skew: a category with ``n`` items but a large share of the draws would
+    pile its rows onto ``n`` join keys. Its ids are therefore replicated
+    ``ceil(salt_target / n)`` times under a salt, and each plan row takes a
+    salt from its own draw (independent of which item it gets), so no key
+    receives more than ~1/salt_target of a category's draws. Extra id rows
+    are at most ``k * salt_target``; large categories are not replicated.
     """
     ids, sizes = _index_ids(pool, seed, item_id, category, out="_up_i")
+    salts = F.greatest(F.lit(1), F.ceil(F.lit(float(salt_target)) / F.col("n"))).cast("long")
+    sizes = sizes.withColumn("_up_k", salts)
+    salt_of_row = F.pmod(u(seed, key, "salt"), F.col("_up_k"))
     if category is None:
-        n = sizes.first()["n"] or 0  # one scalar: the pool size
-        if n == 0:
+        row = sizes.first()  # one row: the pool size and its salt count
+        if not row or not row["n"]:
             raise ValueError("empty pool")
-        with_idx = plan.withColumn("_up_i", F.pmod(u(seed, key, tag), F.lit(n)))
-        drawn = with_idx.join(ids, "_up_i").drop("_up_i")
+        with_idx = (plan.withColumn("_up_i", F.pmod(u(seed, key, tag), F.lit(row["n"])))
+                    .withColumn("_up_k", F.lit(row["_up_k"])))
+        salted_ids = ids.withColumn("_up_k", F.lit(row["_up_k"]))
+        keys = ["_up_i", "_up_s"]
     else:
-        with_idx = (plan.join(sizes, category)  # one row per category
-                    .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n")))
-                    .drop("n"))
-        drawn = with_idx.join(ids, [category, "_up_i"]).drop("_up_i")
+        # one row per category: broadcast under a checked bound, else a
+        # shuffle join (exact either way)
+        if sizes.count() <= MAX_BROADCAST_CATEGORIES:
+            sizes = F.broadcast(sizes)
+        with_idx = (plan.join(sizes, category)
+                    .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n"))).drop("n"))
+        salted_ids = ids.join(sizes.drop("n"), category)
+        keys = [category, "_up_i", "_up_s"]
+    with_idx = with_idx.withColumn("_up_s", salt_of_row).drop("_up_k")
+    salted_ids = (salted_ids.withColumn("_up_s", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                      F.col("_up_k") - 1)))
+                  .drop("_up_k"))
+    drawn = with_idx.join(salted_ids, keys).drop("_up_i", "_up_s")
     payload = [c for c in pool.columns if c not in (category, item_id)]
     if payload:
         drawn = drawn.join(pool.select(item_id, *payload), item_id)

@@ -9,7 +9,7 @@ involve an exchange; everything else is a narrow projection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialforge.functions import chat
@@ -43,3 +43,18 @@ def write_training_set(prepared: DataFrame, path: str, mode: str = "overwrite")
 def manifest_for(prepared: DataFrame, id_col: str, **kw) -> DataFrame:
     """Batch manifest over the train rows."""
     return sp.batch_manifest(prepared.where(F.col("split") == "train"), id_col, **kw)
+
+
+def prepare_training_set(spark: SparkSession, records: DataFrame, id_col: str, out_dir: str,
+                         seed: int = sp.SPLIT_SEED, system: str = chat.DEFAULT_SYSTEM,
+                         eval_share: float = sp.EVAL_SHARE, cap: int = tk.MAX_SEQ_LENGTH,
+                         **manifest_kw) -> dict[str, DataFrame]:
+    """The whole job: ``out_dir/data`` (split-partitioned training rows) and
+    ``out_dir/manifest`` (per-epoch order of the train rows, ordered
+    shards), both read back; ``unanswered`` are the dropped records."""
+    prepared = prepare(records, id_col, seed=seed, system=system, eval_share=eval_share, cap=cap)
+    write_training_set(prepared, f"{out_dir}/data")
+    data = spark.read.parquet(f"{out_dir}/data")
+    sp.write_manifest(manifest_for(data, id_col, seed=seed, **manifest_kw), f"{out_dir}/manifest")
+    return {"data": data, "manifest": spark.read.parquet(f"{out_dir}/manifest"),
+            "unanswered": unanswered(records)}

@@ -604,8 +604,6 @@ FROM x""")
 def q_prepare_training_set(spark, sf_dir):
     """#33 records -> trim -> normalise -> render -> split -> cap, written
     as split-partitioned Parquet and read back."""
-    prepared = pt.prepare(_records(spark, sf_dir), "conv_id", seed=SEED)
-    path = scratch_path(spark, "training-set")
-    pt.write_training_set(prepared, path)
-    back = spark.read.parquet(path)
-    return back.select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")
+    out = pt.prepare_training_set(spark, _records(spark, sf_dir), "conv_id",
+                                  scratch_path(spark, "training-set"), seed=SEED)
+    return out["data"].select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")

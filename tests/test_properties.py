@@ -154,3 +154,51 @@ def test_flag_smallest_at_exact_bucket_edges(spark):
     for k in edges:
         got = {r.id for r in flag_smallest(df, "h", "id", k=k, bits=4).where("is_head").collect()}
         assert got == set(ordered[:k])
+
+
+def test_prepare_training_set_job_writes_ordered_manifest(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from dialforge.plans import prepare_training as pt
+
+    recs = msg.assemble_from_turns(read_table(spark, SF001, "conversations"))
+    out = scratch_path(spark, "prep")
+    res = pt.prepare_training_set(spark, recs, "conv_id", out, epochs=2)
+    data, man = res["data"], res["manifest"]
+    n_train = data.where("split = 'train'").count()
+    assert data.count() + res["unanswered"].count() == 100
+    assert data.where("split = 'eval'").count() == 5  # ceil(0.05 * 98)
+    assert man.count() == 2 * n_train
+    assert man.groupBy("epoch", "conv_id").count().where("count > 1").count() == 0
+    # files of one epoch hold disjoint, increasing step ranges, sorted inside
+    spans = []
+    for f in glob.glob(f"{out}/manifest/epoch=0/*.parquet"):
+        t = pq.read_table(f).to_pandas()
+        if len(t):
+            assert list(t["position"]) == sorted(t["position"])
+            spans.append((t["step"].min(), t["step"].max()))
+    spans.sort()
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_pool_draw_salting_changes_nothing_but_spread(spark):
+    """A hot category with a 2-item pool: salted and unsalted draws agree."""
+    tiny = spark.createDataFrame([("tiny", 10**6 + i, f"t{i}") for i in range(2)],
+                                 "category string, item_id long, base_prompt string")
+    big = spark.range(5000).selectExpr("'big' AS category", "id AS item_id",
+                                       "concat('b', id) AS base_prompt")
+    pool = tiny.unionByName(big)
+    weights = spark.createDataFrame([("tiny", 1), ("big", 2)], "category string, weight long")
+    plan = sa.weighted_draw(pl.plan_slots(spark, 6000), weights, 4)
+    salted = sa.uniform_pool_draw(plan, pool, 4)
+    plain = sa.uniform_pool_draw(plan, pool, 4, salt_target=1)
+    a = sorted(map(tuple, salted.select("slot_id", "category", "item_id", "base_prompt").collect()))
+    b = sorted(map(tuple, plain.select("slot_id", "category", "item_id", "base_prompt").collect()))
+    assert a == b and len(a) == 6000
+    hot = [r for r in a if r[1] == "tiny"]
+    assert 1700 < len(hot) < 2300
+    assert {r[3] for r in hot} == {"t0", "t1"}
+    single = sa.uniform_pool_draw(pl.plan_slots(spark, 300), tiny.drop("category"), 4, category=None)
+    assert single.count() == 300 and single.select("item_id").distinct().count() == 2
