@@ -2,8 +2,9 @@
 
 Flow: plan rows -> :func:`shape_request` (native: a ``request`` struct and a
 JSON ``body`` per provider form) -> :func:`bulk_generate` (the only Python
-step: ``mapInPandas`` with a bounded thread pool per task, so cluster-wide
-concurrency = tasks x ``concurrency``) -> :func:`extract_response` (native
+step: ``mapInArrow`` with a bounded thread pool per task, so cluster-wide
+concurrency = tasks x ``concurrency``; pass-through columns stay Arrow
+arrays and never become Python objects) -> :func:`extract_response` (native
 ``get_json_object`` by form) -> successes / failures.
 
 Calls are at-least-once: a retried or speculative task calls again. Write the
@@ -205,17 +206,25 @@ def bulk_generate(requests: DataFrame, call: Call, concurrency: int | None = Non
     keep = list(fields)
 
     def run(batches):
+        import pyarrow as pa
+
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
-            for pdf in batches:
-                recs = pdf[keep].to_dict("records")
+            for rb in batches:
+                # only the fields the backend reads become Python objects;
+                # pass-through columns stay Arrow arrays
+                cols = [rb.column(rb.schema.get_field_index(f)).to_pylist() for f in keep]
+                recs = [dict(zip(keep, vals)) for vals in zip(*cols)]
                 res = list(pool.map(safe, recs)) if pool else [safe(r) for r in recs]
-                yield pdf[out_cols].assign(raw=[a for a, _ in res], error=[b for _, b in res])
+                arrays = [rb.column(rb.schema.get_field_index(c)) for c in out_cols]
+                arrays += [pa.array([x for x, _ in res], pa.string()),
+                           pa.array([e for _, e in res], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=out_cols + ["raw", "error"])
         finally:
             if pool:
                 pool.shutdown()
 
-    return requests.mapInPandas(run, out_schema)
+    return requests.mapInArrow(run, out_schema)
 
 
 # ------------------------------------------------------------------ backends

@@ -9,7 +9,7 @@ Stages and their Spark shape:
    rows.
 2. generate: plan rows not yet successful (anti join on ``slot_id``), in
    waves of ``wave_size`` slots; each wave is shaped, sent through
-   ``mapInPandas`` and appended to the results table, so a lost driver or
+   ``mapInArrow`` and appended to the results table, so a lost driver or
    executor costs at most one wave. Calls are at-least-once.
 3. records: results -> reply extraction -> successes become
    ``messages`` records (fixed system text first), failures go to their own

@@ -10,7 +10,7 @@ durability without a hand-written loop:
 - the checkpoint (in the shared folder) records which plan files each
   micro-batch took, so a restarted query continues with the next wave;
 - ``foreachBatch`` shapes requests, calls the backend through
-  ``mapInPandas`` and writes the wave to ``results/wave=<batch_id>`` with
+  ``mapInArrow`` and writes the wave to ``results/wave=<batch_id>`` with
   overwrite, so a micro-batch replayed after a crash replaces its own
   output instead of duplicating it (exactly-once files; the backend calls
   themselves stay at-least-once).

@@ -21,7 +21,7 @@ def _plan(df) -> str:
 def test_no_python_in_native_operators(spark, name):
     plan = _plan(R.QUERIES[name](spark, SF001))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "MapInPandas" not in plan and "PythonUDF" not in plan
+    assert "MapInPandas" not in plan and "MapInArrow" not in plan and "PythonUDF" not in plan
 
 
 def _single_partition_subtrees(plan: str):
