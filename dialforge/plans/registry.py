@@ -213,6 +213,48 @@ def q_assign_provider(spark, sf_dir):
     return a.withColumnRenamed("slot_id", "conv_id")
 
 
+def _catalog_values_sql() -> str:
+    """The bundled catalogue inlined as a VALUES table for the SQL twin."""
+    import json as _json
+
+    rows = []
+    with open(cat.BUNDLED_CATALOG, encoding="utf-8") as f:
+        for line in f:
+            if line.strip():
+                c = _json.loads(line)
+                prompts = "[" + ", ".join(sql_str(x) for x in c["prompts"]) + "]"
+                rows.append(f"({sql_str(c['category'])}, {c['ord']}, {c['weight']}, "
+                            f"{sql_str(c['system'])}, {prompts})")
+    return ("catalog(category, ord, weight, system, prompts) AS (VALUES " + ", ".join(rows) + ")")
+
+
+_CAT_VAR = pick_from_list_sql(SEED, "d.slot_id", sql_str("var"), cat.VARIATIONS)
+_CAT_DET = pick_from_list_sql(SEED, "d.slot_id", sql_str("detail"), cat.DETAIL_REQUESTS)
+
+
+@register("catalog_plan", f"""
+WITH {_catalog_values_sql()},
+b AS (SELECT *, CAST(sum(weight) OVER (ORDER BY ord, category ROWS BETWEEN UNBOUNDED PRECEDING
+                                       AND CURRENT ROW) AS BIGINT) AS hi FROM catalog),
+p AS (SELECT o_orderkey AS slot_id,
+             {U('o_orderkey', 'cat')} % (SELECT CAST(sum(weight) AS BIGINT) FROM catalog) AS s
+      FROM orders),
+d AS (SELECT p.slot_id, b.category, b.system AS gen_system, b.prompts
+      FROM p JOIN b ON p.s >= b.hi - b.weight AND p.s < b.hi)
+SELECT slot_id, category, gen_system,
+       d.prompts[({U('d.slot_id', 'prompt')} % len(d.prompts)) + 1] || {_CAT_VAR} || {_CAT_DET} AS user_prompt,
+       CASE WHEN slot_id % 2 = 1 THEN 'single_prompt' ELSE 'messages_api' END AS provider
+FROM d""")
+def q_catalog_plan(spark, sf_dir):
+    """#1/#2/#9-#13 the catalogue flow: orders as slots, the bundled
+    catalogue (weights, generator system text, short prompt lists) as the
+    broadcast lookup, prompt drawn from the category's array."""
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
+                         second_provider=PROVIDERS_RUN[1])
+    plan = bd.plan_from_catalog(_order_plan(spark, sf_dir), cat.read_catalog(spark), cfg)
+    return plan.select("slot_id", "category", "gen_system", "user_prompt", "provider")
+
+
 # ================================================ 2.3 projections / scalars
 
 _VAR_SQL = pick_from_list_sql(SEED, "o.o_orderkey", sql_str("var"), cat.VARIATIONS)
