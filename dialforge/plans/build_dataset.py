@@ -19,6 +19,7 @@ Stages and their Spark shape:
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from dialforge.operators import messages as msg
 from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
 from dialforge.operators import sampling as sa
-from dialforge.sources import store
+from dialforge.sources import jsonl, store
 
 
 LONG_TEXT = ("user_prompt", "raw", "base_prompt")
@@ -78,13 +79,15 @@ def _scalar_plan(plan: DataFrame) -> DataFrame:
 
 
 def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path: str,
-             cfg: BuildConfig, done: DataFrame | None = None) -> int:
+             cfg: BuildConfig, done: DataFrame | None = None, run_id: str | None = None) -> int:
     """Append one result row per attempted slot to ``results_path``.
 
-    ``done`` holds the keys already successful (default: none). Returns the
-    number of waves run. Each wave is its own job and commit.
+    ``done`` holds the keys already successful (default: none); rows are
+    tagged with ``run_id``. Returns the number of waves run. Each wave is its
+    own job and commit.
     """
     todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
+    todo = todo.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
     parts = cfg.partitions or spark.sparkContext.defaultParallelism
     if not cfg.wave_size:
         waves = [None]
@@ -127,12 +130,24 @@ def successful_keys(spark: SparkSession, results_path: str) -> DataFrame | None:
     return gen.successes(gen.extract_response(res)).select("slot_id")
 
 
+def export_records(records: DataFrame, path: str, mode: str = "append",
+                   keep_keys: bool = False) -> None:
+    """Append the training records as JSON Lines in the chat-record shape
+    (``messages``, ``category``; with ``keep_keys`` also ``slot_id`` and
+    ``provider``), nulls kept."""
+    cols = (["slot_id", "provider"] if keep_keys else []) + ["messages", "category"]
+    jsonl.write_records(records.select(*cols), path, mode=mode)
+
+
 def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir: str,
-                  cfg: BuildConfig | None = None) -> dict[str, DataFrame]:
+                  cfg: BuildConfig | None = None,
+                  export_path: str | None = None) -> dict[str, DataFrame]:
     """Run (or resume) the whole build under ``out_dir`` and return the
     written tables, read back: ``plan``, ``results``, ``records``,
     ``failures``, and ``metrics`` (attempted, generated, failed, elapsed).
-    Rerunning retries only slots without a success."""
+    Rerunning retries only slots without a success. The results table is the
+    durable store; with ``export_path`` the records of *this* run's new
+    successes are appended there as JSON Lines."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
     try:
@@ -141,10 +156,14 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
         store.write_table(plan, plan_path, mode="overwrite", long_text=LONG_TEXT)
         stored = spark.read.parquet(plan_path)
     results_path = f"{out_dir}/results"
+    run_id = uuid.uuid4().hex
     t0 = time.perf_counter()
-    generate(spark, stored, call, results_path, cfg, done=successful_keys(spark, results_path))
+    generate(spark, stored, call, results_path, cfg, done=successful_keys(spark, results_path),
+             run_id=run_id)
     elapsed = time.perf_counter() - t0
     results = spark.read.parquet(results_path)
     records, fails = records_from_results(results, cfg)
+    if export_path:
+        export_records(records.where(F.col("run_id") == run_id), export_path)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
             "metrics": mt.run_metrics(results, elapsed)}

@@ -15,6 +15,7 @@ from dialforge.operators.rank import exact_rank, flag_smallest
 from dialforge.plans import build_dataset as bd
 from dialforge.session import read_table, scratch_path
 from dialforge.sources import catalog as cat
+from dialforge.sources import jsonl
 from tests.conftest import SF001
 
 
@@ -73,11 +74,18 @@ def test_resume_equals_one_full_run(spark):
     plan = bd.plan_from_catalog(pl.plan_slots(spark, 400), catalog, cfg)
 
     out = scratch_path(spark, "resume")
-    first = bd.build_dataset(spark, plan, gen.offline_backend(11, fault_every=5), out, cfg)
+    export = f"{out}/records.jsonl"
+    first = bd.build_dataset(spark, plan, gen.offline_backend(11, fault_every=5), out, cfg,
+                             export_path=export)
     n_fail = first["failures"].count()
     assert 40 < n_fail < 130
-    second = bd.build_dataset(spark, plan, gen.offline_backend(11, fault_every=0), out, cfg)
+    assert jsonl.count_lines(spark, export) == 400 - n_fail
+    second = bd.build_dataset(spark, plan, gen.offline_backend(11, fault_every=0), out, cfg,
+                              export_path=export)
     assert second["failures"].count() == 0
+    exported = jsonl.read_records(spark, export)  # strict, chat-record schema
+    assert exported.count() == 400 == jsonl.count_lines(spark, export)
+    assert exported.where(F.size("messages") != 3).count() == 0
     resumed = second["records"]
 
     full = bd.build_dataset(spark, plan, gen.offline_backend(11, fault_every=0),
