@@ -285,3 +285,39 @@ def test_offline_backend_faults(spark):
                          gen.ERR_EMPTY}
     ok = [r for r in rows if not r.error]
     assert all(r.text.startswith(gen.OFFLINE_PREFIX + f"p{r.slot_id}") for r in ok)
+
+
+def test_http_backend_posts_body_and_captures_errors(spark, monkeypatch):
+    """No network: urlopen is replaced by a stub that echoes the body back in
+    the form's reply shape, and fails for one slot."""
+    import io
+    import urllib.error
+    import urllib.request
+
+    seen = []
+
+    class Resp(io.BytesIO):
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+    def fake_urlopen(req, timeout=None):
+        body = json.loads(req.data.decode("utf-8"))
+        seen.append((req.full_url, req.get_method(), req.headers.get("Content-type")))
+        if gen.request_text("chat_completions", body) == "boom":
+            raise urllib.error.HTTPError(req.full_url, 500, "server error", {}, None)
+        return Resp(gen.wrap_reply("chat_completions", "ok:" + gen.request_text("chat_completions", body)).encode())
+
+    monkeypatch.setattr(urllib.request, "urlopen", fake_urlopen)
+    call = gen.http_backend({"chat_completions": "http://generator.invalid/v1/chat"}, concurrency=2)
+    plan = spark.createDataFrame([(1, "hi"), (2, "boom")], "slot_id long, user_prompt string") \
+        .withColumn("provider", F.lit("chat_completions")).withColumn("gen_system", F.lit("S"))
+    shaped = gen.shape_request(plan).drop("request").toPandas()
+    outs = [gen._safe(call)(r) for r in shaped[["slot_id", "provider", "body"]].to_dict("records")]
+    assert json.loads(outs[0][0])["choices"][0]["message"]["content"] == "ok:hi"
+    assert outs[0][1] is None
+    assert outs[1][0] is None and outs[1][1].startswith("HTTPError")
+    assert seen[0] == ("http://generator.invalid/v1/chat", "POST", "application/json")
+    assert call.concurrency == 2
