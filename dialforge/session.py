@@ -39,6 +39,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_settings(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
+    """Suggested settings for a cluster run (pass to ``SparkSession.builder``
+    or ``spark-submit --conf``); nothing here is applied automatically.
+
+    Shuffle partitions start at ~3x the cores (or ~input / 128 MB when the
+    input size is known, whichever is larger) and AQE coalesces them to the
+    advisory size, so partitions fit executor memory at any scale; skewed
+    partitions are split by AQE's skew join. Generation calls are
+    at-least-once, so speculation stays off.
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        parts = max(parts, -(-input_bytes // (128 << 20)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        # long prompts: keep Arrow batches to tens of MB per Python worker
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        "spark.speculation": "false",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
