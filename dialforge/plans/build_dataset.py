@@ -97,17 +97,23 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     for wave in waves:
         part = todo if wave is None else todo.where(
             F.floor(F.col("slot_id") / cfg.wave_size) == wave)
-        shaped = gen.shape_request(spread(part, parts), models=cfg.models).drop("request")
+        shaped = gen.shape_request(spread(part, parts, exact=cfg.partitions is not None),
+                                   models=cfg.models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
         store.write_table(out, results_path, mode="append", long_text=LONG_TEXT)
     return len(waves)
 
 
-def spread(df: DataFrame, parts: int) -> DataFrame:
-    """At least ``parts`` tasks for the calls. A stored plan already read in
-    enough splits is left alone; otherwise it is spread before shaping, so
-    the shuffle carries the plan row once, not the JSON body as well."""
-    if df.rdd.getNumPartitions() >= parts:
+def spread(df: DataFrame, parts: int, exact: bool = False) -> DataFrame:
+    """At least ``parts`` tasks for the calls (exactly ``parts`` with
+    ``exact``, e.g. to bound in-flight calls to parts x concurrency). A plan
+    read in enough splits is left alone (or coalesced, without a shuffle,
+    when ``exact``); otherwise it is spread before shaping, so the shuffle
+    carries the plan row once, not the JSON body as well."""
+    n = df.rdd.getNumPartitions()
+    if n > parts and exact:
+        return df.coalesce(parts)
+    if n >= parts:
         return df
     return df.repartition(parts, "slot_id")
 
