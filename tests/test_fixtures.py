@@ -321,3 +321,25 @@ def test_http_backend_posts_body_and_captures_errors(spark, monkeypatch):
     assert outs[1][0] is None and outs[1][1].startswith("HTTPError")
     assert seen[0] == ("http://generator.invalid/v1/chat", "POST", "application/json")
     assert call.concurrency == 2
+
+
+def test_attempts_and_successes_differ_with_faults(spark):
+    from dialforge.plans import registry as R
+    from tests.conftest import SF001
+
+    attempts = sum(r.attempts for r in R.QUERIES["category_counts"](spark, SF001).collect())
+    successes = sum(r.successes for r in R.QUERIES["provider_counts"](spark, SF001).collect())
+    summary = R.QUERIES["run_summary"](spark, SF001).first()
+    assert attempts == summary.attempted == 100
+    assert successes == summary.generated < attempts
+    assert summary.failed == attempts - successes
+
+
+def test_shard_union_is_a_bag(spark):
+    from dialforge.sources import store
+
+    a = spark.createDataFrame([(1, "x")], "slot_id long, category string")
+    b = spark.createDataFrame([(1, "x", "p")], "slot_id long, category string, provider string")
+    u = store.union_shards(a, a, b).collect()
+    assert len(u) == 3
+    assert sorted((r.slot_id, r.provider) for r in u) == [(1, None), (1, None), (1, "p")]
