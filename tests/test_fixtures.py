@@ -342,4 +342,4 @@ def test_shard_union_is_a_bag(spark):
     b = spark.createDataFrame([(1, "x", "p")], "slot_id long, category string, provider string")
     u = store.union_shards(a, a, b).collect()
     assert len(u) == 3
-    assert sorted((r.slot_id, r.provider) for r in u) == [(1, None), (1, None), (1, "p")]
+    assert sorted((r.slot_id, r.provider or "") for r in u) == [(1, ""), (1, ""), (1, "p")]
