@@ -31,6 +31,7 @@ from dialforge.operators import messages as msg
 from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
 from dialforge.operators import sampling as sa
+from dialforge.sources import catalog as cat
 from dialforge.sources import jsonl, store
 
 
@@ -50,7 +51,10 @@ class BuildConfig:
 
 
 def plan_from_catalog(plan_keys: DataFrame, catalog: DataFrame, cfg: BuildConfig) -> DataFrame:
-    """Slots x catalogue: category by weight, prompt from its short list."""
+    """Slots x catalogue: category by weight, prompt from its short list.
+    Raises before any job on the slots if a weighted category has no prompts
+    or the weights sum to zero."""
+    cat.validate_catalog(catalog)
     drawn = sa.weighted_draw(plan_keys, catalog.withColumnRenamed("system", "gen_system"),
                              cfg.seed, order="ord", extra=("gen_system", "prompts"))
     drawn = pl.draw_catalog_prompt(drawn, cfg.seed).drop("prompts")

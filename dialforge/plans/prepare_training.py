@@ -22,11 +22,13 @@ def prepare(records: DataFrame, id_col: str, seed: int = sp.SPLIT_SEED,
             system: str = chat.DEFAULT_SYSTEM, eval_share: float = sp.EVAL_SHARE,
             cap: int = tk.MAX_SEQ_LENGTH) -> DataFrame:
     """``(id, messages, ...)`` -> + ``split``, ``text``, ``n_tokens``,
-    ``truncated``, ``text_capped``; unanswered records removed."""
+    ``truncated``, ``text_capped``. Unanswered records are removed, and so
+    are records the render rejects (a null role or content in the kept
+    turns), since a template would silently drop such a turn."""
     trimmed = msg.trim_to_last_role(records, "assistant")
     kept = trimmed.where(F.size("messages") > 0)
     norm = msg.normalize_system(kept, system)
-    rendered = msg.render_chat(norm)
+    rendered = msg.render_chat(norm).where(F.col("text").isNotNull())
     split = sp.train_eval_split(rendered, id_col, seed=seed, eval_share=eval_share)
     return tk.truncate_tokens(split, "text", cap=cap)
 
@@ -36,6 +38,13 @@ def unanswered(records: DataFrame) -> DataFrame:
     return records.where(~F.exists("messages", lambda m: m["role"].eqNullSafe(F.lit("assistant"))))
 
 
+def rejected(records: DataFrame, system: str = chat.DEFAULT_SYSTEM) -> DataFrame:
+    """Answered records that :func:`prepare` drops because a kept turn has a
+    null role or content."""
+    trimmed = msg.trim_to_last_role(records, "assistant").where(F.size("messages") > 0)
+    return trimmed.where(chat.has_null_part(F.col("messages")))
+
+
 def write_training_set(prepared: DataFrame, path: str, mode: str = "overwrite") -> None:
     prepared.write.mode(mode).partitionBy("split").parquet(path)
 
@@ -51,10 +60,11 @@ def prepare_training_set(spark: SparkSession, records: DataFrame, id_col: str, o
                          **manifest_kw) -> dict[str, DataFrame]:
     """The whole job: ``out_dir/data`` (split-partitioned training rows) and
     ``out_dir/manifest`` (per-epoch order of the train rows, ordered
-    shards), both read back; ``unanswered`` are the dropped records."""
+    shards), both read back; ``unanswered`` and ``rejected`` are the
+    dropped records."""
     prepared = prepare(records, id_col, seed=seed, system=system, eval_share=eval_share, cap=cap)
     write_training_set(prepared, f"{out_dir}/data")
     data = spark.read.parquet(f"{out_dir}/data")
     sp.write_manifest(manifest_for(data, id_col, seed=seed, **manifest_kw), f"{out_dir}/manifest")
     return {"data": data, "manifest": spark.read.parquet(f"{out_dir}/manifest"),
-            "unanswered": unanswered(records)}
+            "unanswered": unanswered(records), "rejected": rejected(records, system)}

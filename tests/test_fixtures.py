@@ -343,3 +343,30 @@ def test_shard_union_is_a_bag(spark):
     u = store.union_shards(a, a, b).collect()
     assert len(u) == 3
     assert sorted((r.slot_id, r.provider or "") for r in u) == [(1, ""), (1, ""), (1, "p")]
+
+
+def test_catalog_without_prompts_fails_before_planning(spark):
+    from dialforge.plans import build_dataset as bd
+
+    bad = cat.catalog_from_dict(spark, {"a": {"weight": 1, "prompts": ["x"]},
+                                        "b": {"weight": 1, "prompts": []}})
+    with pytest.raises(ValueError, match="no prompts"):
+        bd.plan_from_catalog(pl.plan_slots(spark, 10), bad, bd.BuildConfig())
+
+
+def test_prepare_drops_unanswered_and_rejected(spark):
+    from dialforge.plans import prepare_training as pt
+
+    schema = T.StructType([T.StructField("rid", T.LongType()), T.StructField("messages", T.ArrayType(
+        T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])))])
+    rows = [(1, [{"role": "user", "content": "u"}, {"role": "assistant", "content": "a"},
+                 {"role": "user", "content": "tail"}]),
+            (2, [{"role": "user", "content": "only a question"}]),
+            (3, [{"role": "user", "content": "u"}, {"role": "assistant", "content": None}])]
+    recs = spark.createDataFrame(rows, schema)
+    out = pt.prepare(recs, "rid").collect()
+    assert [r.rid for r in out] == [1]
+    assert out[0].text == (f"<|system|>{NL}{chat.DEFAULT_SYSTEM}</s>{NL}<|user|>{NL}u</s>{NL}"
+                           f"<|assistant|>{NL}a</s>{NL}")
+    assert [r.rid for r in pt.unanswered(recs).collect()] == [2]
+    assert [r.rid for r in pt.rejected(recs).collect()] == [3]
