@@ -130,8 +130,9 @@ def reply_body(provider: Column, text: Column) -> Column:
 
 def extract_response(df: DataFrame, provider: str = "provider", raw: str = "raw",
                      error: str = "error", out: str = "text") -> DataFrame:
-    """Reply text by form, and the first applicable error:
-    backend error > malformed JSON > unknown form > missing/null > empty."""
+    """Reply text by form, and the first applicable error: backend error >
+    no body > unknown form > empty text > malformed JSON > missing/null text.
+    A row is a success only with non-empty text at its form's path."""
     r, p = F.col(raw), F.col(provider)
     text = None
     for form, spec in FORMS.items():

@@ -30,7 +30,7 @@ from dialforge.sources.catalog import validate_weights
 
 DEFAULT_BINS = 1 << 16
 BROADCAST_ROWS = 2_000_000  # rows of (bin, category, lo, hi) safe to broadcast
-MAX_BROADCAST_CATEGORIES = 1_000_000  # rows of (category, size, salts)
+MAX_BROADCAST_CATEGORIES = 100_000  # rows of (category, size, salts)
 SALT_TARGET = 4096  # (item, salt) pairs a category's draws are spread over
 
 
@@ -133,10 +133,11 @@ def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
         salted_ids = ids.withColumn("_up_k", F.lit(row["_up_k"]))
         keys = ["_up_i", "_up_s"]
     else:
-        # one row per category: broadcast under a checked bound, else a
-        # shuffle join (exact either way)
-        if sizes.count() <= MAX_BROADCAST_CATEGORIES:
-            sizes = F.broadcast(sizes)
+        # one row per category: collected once under a checked bound and
+        # broadcast as a local table (not recomputed), else a shuffle join
+        rows = sizes.limit(MAX_BROADCAST_CATEGORIES + 1).collect()
+        if len(rows) <= MAX_BROADCAST_CATEGORIES:
+            sizes = F.broadcast(plan.sparkSession.createDataFrame(rows, sizes.schema))
         with_idx = (plan.join(sizes, category)
                     .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n"))).drop("n"))
         salted_ids = ids.join(sizes.drop("n"), category)
