@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialforge.functions.draw import u
 from dialforge.operators.rank import exact_rank_with_sizes
@@ -55,6 +56,33 @@ def weighted_slots(weights: DataFrame, category: str = "category", weight: str =
     return b.select(category, F.explode(F.sequence("lo", F.col("hi") - 1)).alias("slot"))
 
 
+def _collect_bounds(weights: DataFrame, category: str, weight: str, order: str | None,
+                    extra: tuple[str, ...]) -> tuple[DataFrame, int, int] | None:
+    """Collect the weights table (one row per category) once, when it has at
+    most MAX_BROADCAST_CATEGORIES rows; validate it and compute each
+    category's slot range on the driver. Returns (bounds as a local
+    relation, total weight, categories) or None above the bound."""
+    cols = list(dict.fromkeys([category, weight] + ([order] if order else []) + list(extra)))
+    rows = weights.select(*cols).limit(MAX_BROADCAST_CATEGORIES + 1).collect()
+    if len(rows) > MAX_BROADCAST_CATEGORIES:
+        return None
+    if any(r[weight] is not None and r[weight] < 0 for r in rows):
+        raise ValueError("catalogue has a negative weight")
+    live = [r for r in rows if r[weight]]
+    total = sum(int(r[weight]) for r in live)
+    if total <= 0:
+        raise ValueError("catalogue weights sum to zero: nothing can be drawn")
+    live.sort(key=lambda r: ((r[order], r[category]) if order else (r[category],)))
+    out, lo = [], 0
+    for r in live:
+        out.append(tuple(r[c] for c in [category, *extra]) + (lo, lo + int(r[weight])))
+        lo += int(r[weight])
+    src = weights.select(category, *extra).schema
+    schema = T.StructType(list(src.fields) + [T.StructField("lo", T.LongType()),
+                                               T.StructField("hi", T.LongType())])
+    return weights.sparkSession.createDataFrame(out, schema), total, len(live)
+
+
 def weighted_draw(plan: DataFrame, weights: DataFrame, seed: int, key: str = "slot_id",
                   tag: str = "cat", category: str = "category", weight: str = "weight",
                   order: str | None = None, bins: int = DEFAULT_BINS,
@@ -63,11 +91,18 @@ def weighted_draw(plan: DataFrame, weights: DataFrame, seed: int, key: str = "sl
 
     ``extra`` columns of ``weights`` (e.g. the catalogue's ``system``) are
     carried along -- this is the category lookup. Raises before any job on
-    the plan if the weights are unusable.
+    the plan if the weights are unusable. The weights table (one row per
+    category) is evaluated once: collected under a checked row bound, its
+    slot ranges computed on the driver, and used as a local relation; above
+    the bound the ranges come from a window over the distributed table.
     """
-    total, k = validate_weights(weights, weight)
+    found = _collect_bounds(weights, category, weight, order, extra)
+    if found is not None:
+        bounds, total, k = found
+    else:
+        total, k = validate_weights(weights, weight)
+        bounds = category_bounds(weights, category, weight, order)
     width = -(-total // bins)  # ceil
-    bounds = category_bounds(weights, category, weight, order)
     bin_tbl = bounds.select(
         category, "lo", "hi", *extra,
         F.explode(F.sequence(F.floor(F.col("lo") / width),

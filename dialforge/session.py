@@ -94,5 +94,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Schemas of the tables the registered queries read, passed explicitly so a
+# scan needs no schema-inference job (and a changed file fails loudly).
+TABLE_SCHEMAS = {
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp, o_orderpriority string"),
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "events": ("event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
+               "props string"),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(table_path(sf_dir, name))
