@@ -64,7 +64,10 @@ def prepare_training_set(spark: SparkSession, records: DataFrame, id_col: str, o
     dropped records."""
     prepared = prepare(records, id_col, seed=seed, system=system, eval_share=eval_share, cap=cap)
     write_training_set(prepared, f"{out_dir}/data")
-    data = spark.read.parquet(f"{out_dir}/data")
-    sp.write_manifest(manifest_for(data, id_col, seed=seed, **manifest_kw), f"{out_dir}/manifest")
-    return {"data": data, "manifest": spark.read.parquet(f"{out_dir}/manifest"),
+    # read back with the known schemas: no inference job over the new files
+    data = spark.read.schema(prepared.schema).parquet(f"{out_dir}/data")
+    manifest = manifest_for(data, id_col, seed=seed, **manifest_kw)
+    sp.write_manifest(manifest, f"{out_dir}/manifest")
+    return {"data": data,
+            "manifest": spark.read.schema(manifest.schema).parquet(f"{out_dir}/manifest"),
             "unanswered": unanswered(records), "rejected": rejected(records, system)}
