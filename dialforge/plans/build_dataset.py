@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialforge.functions import chat
 from dialforge.operators import generation as gen
@@ -83,12 +84,13 @@ def _scalar_plan(plan: DataFrame) -> DataFrame:
 
 
 def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path: str,
-             cfg: BuildConfig, done: DataFrame | None = None, run_id: str | None = None) -> int:
+             cfg: BuildConfig, done: DataFrame | None = None,
+             run_id: str | None = None) -> T.StructType:
     """Append one result row per attempted slot to ``results_path``.
 
     ``done`` holds the keys already successful (default: none); rows are
-    tagged with ``run_id``. Returns the number of waves run. Each wave is its
-    own job and commit.
+    tagged with ``run_id``. Each wave is its own job and commit. Returns the
+    schema of the result rows (to read them back without inference).
     """
     todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
     todo = todo.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
@@ -98,6 +100,7 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     else:
         w = F.floor(F.col("slot_id") / cfg.wave_size)
         waves = [r[0] for r in plan.select(w.alias("w")).distinct().orderBy("w").collect()]
+    schema = None
     for wave in waves:
         part = todo if wave is None else todo.where(
             F.floor(F.col("slot_id") / cfg.wave_size) == wave)
@@ -105,7 +108,8 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
                                    models=cfg.models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
         store.write_table(out, results_path, mode="append", long_text=LONG_TEXT)
-    return len(waves)
+        schema = out.schema
+    return schema
 
 
 def spread(df: DataFrame, parts: int, exact: bool = False) -> DataFrame:
@@ -164,14 +168,14 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
         stored = spark.read.parquet(plan_path)
     except Exception:  # noqa: BLE001 - first run: write the plan once
         store.write_table(plan, plan_path, mode="overwrite", long_text=LONG_TEXT)
-        stored = spark.read.parquet(plan_path)
+        stored = spark.read.schema(plan.schema).parquet(plan_path)
     results_path = f"{out_dir}/results"
     run_id = uuid.uuid4().hex
     t0 = time.perf_counter()
-    generate(spark, stored, call, results_path, cfg, done=successful_keys(spark, results_path),
-             run_id=run_id)
+    schema = generate(spark, stored, call, results_path, cfg,
+                      done=successful_keys(spark, results_path), run_id=run_id)
     elapsed = time.perf_counter() - t0
-    results = spark.read.parquet(results_path)
+    results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
         export_records(records.where(F.col("run_id") == run_id), export_path)

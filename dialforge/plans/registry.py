@@ -446,8 +446,8 @@ def _run_results(spark, sf_dir) -> DataFrame:
     plan = _conv_requests(spark, sf_dir, form_by_hash=False)
     cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
                          second_provider=PROVIDERS_RUN[1])
-    bd.generate(spark, plan, gen.offline_backend(SEED), f"{path}/results", cfg)
-    return gen.extract_response(spark.read.parquet(f"{path}/results"))
+    schema = bd.generate(spark, plan, gen.offline_backend(SEED), f"{path}/results", cfg)
+    return gen.extract_response(spark.read.schema(schema).parquet(f"{path}/results"))
 
 
 _ENDINGS_SQL = "[" + ", ".join(sql_str(s) for s in gen.OFFLINE_ENDINGS) + "]"
