@@ -56,6 +56,30 @@ def cut_after_tokens(text: Column, cap: int) -> Column:
     return F.substring(text, F.lit(1), (lead + _sum_lengths(toks) + sep_len).cast("int"))
 
 
+def tokenizer_file_spans(path: str, add_special_tokens: bool = False):
+    """Span function for :func:`truncate_tokens` from a ``tokenizer.json``
+    file (the ``tokenizers`` library): character offsets of each token.
+    The tokenizer is loaded once per Python worker and encodes whole Arrow
+    batches at a time (``.batch``)."""
+    cache: dict = {}
+
+    def _tok():
+        if "t" not in cache:
+            from tokenizers import Tokenizer
+            cache["t"] = Tokenizer.from_file(path)
+        return cache["t"]
+
+    def spans(text: str) -> list[tuple[int, int]]:
+        return list(_tok().encode(text, add_special_tokens=add_special_tokens).offsets)
+
+    def batch(texts: list[str]) -> list[list[tuple[int, int]]]:
+        encs = _tok().encode_batch(texts, add_special_tokens=add_special_tokens)
+        return [list(e.offsets) for e in encs]
+
+    spans.batch = batch
+    return spans
+
+
 def truncate_tokens(df: DataFrame, text: str = "text", cap: int = MAX_SEQ_LENGTH,
                     out: str | None = None,
                     tokenize: Callable[[str], list[tuple[int, int]]] | None = None) -> DataFrame:
@@ -74,16 +98,19 @@ def truncate_tokens(df: DataFrame, text: str = "text", cap: int = MAX_SEQ_LENGTH
                             .otherwise(t)))
 
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("cut", T.LongType())])
+    batch = getattr(tokenize, "batch", None)
 
     @F.pandas_udf(schema)
     def spans(s: pd.Series) -> pd.DataFrame:
+        texts = [t for t in s if t is not None]
+        found = iter(batch(texts) if batch else [tokenize(t) for t in texts])
         ns, cuts = [], []
         for t in s:
             if t is None:
                 ns.append(None)
                 cuts.append(None)
                 continue
-            sp = tokenize(t)
+            sp = next(found)
             ns.append(len(sp))
             cuts.append(sp[cap - 1][1] if len(sp) > cap else len(t))
         return pd.DataFrame({"n": ns, "cut": cuts})

@@ -370,3 +370,18 @@ def test_prepare_drops_unanswered_and_rejected(spark):
                            f"<|assistant|>{NL}a</s>{NL}")
     assert [r.rid for r in pt.unanswered(recs).collect()] == [2]
     assert [r.rid for r in pt.rejected(recs).collect()] == [3]
+
+
+def test_truncate_with_tokenizer_file(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocab = {"[UNK]": 0, "a": 1, "b": 2, "c": 3, "d": 4, "e": 5, ",": 6}
+    tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Whitespace()])
+    path = str(tmp_path / "tokenizer.json")
+    tok.save(path)
+    df = spark.createDataFrame([("a b,c d e",), ("a b",)], "text string")
+    out = tk.truncate_tokens(df, "text", cap=4, tokenize=tk.tokenizer_file_spans(path)).collect()
+    # tokens: a | b | , | c | d | e  -> 6 tokens, cut after the 4th ("c")
+    assert [(r.n_tokens, r.truncated, r.text_capped) for r in out] == [
+        (6, True, "a b,c"), (2, False, "a b")]
