@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
                 partition_by: tuple[str, ...] = (),
-                long_text: tuple[str, ...] = ()) -> None:
+                long_text: tuple[str, ...] = (), compression: str | None = None) -> None:
     """Parquet write. ``long_text`` columns (prompts, replies) skip the
     dictionary attempt: long, mostly distinct strings always fall back to
-    plain encoding, so trying costs CPU for nothing."""
+    plain encoding, so trying costs CPU for nothing. ``compression`` names
+    the codec (e.g. ``zstd`` for text-heavy tables)."""
     w = df.write.mode(mode)
+    if compression:
+        w = w.option("compression", compression)
     for c in long_text:
         if c in df.columns:
             w = w.option(f"parquet.enable.dictionary#{c}", "false")
