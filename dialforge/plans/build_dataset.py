@@ -87,13 +87,16 @@ def _scalar_plan(plan: DataFrame) -> DataFrame:
 
 def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path: str,
              cfg: BuildConfig, done: DataFrame | None = None,
-             run_id: str | None = None) -> T.StructType:
+             run_id: str | None = None, balanced: bool = False) -> T.StructType:
     """Append one result row per attempted slot to ``results_path``.
 
     ``done`` holds the keys already successful (default: none); rows are
     tagged with ``run_id``. Each wave is its own job and commit. Returns the
     schema of the result rows (to read them back without inference).
+    ``balanced`` says the plan is a stored plan written hash-spread by slot
+    (its splits can be trusted when no anti join reshuffles it).
     """
+    trust = balanced and done is None
     todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
     todo = todo.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
     parts = cfg.partitions or spark.sparkContext.defaultParallelism
@@ -106,7 +109,8 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     for wave in waves:
         part = todo if wave is None else todo.where(
             F.floor(F.col("slot_id") / cfg.wave_size) == wave)
-        shaped = gen.shape_request(spread(part, parts, exact=cfg.partitions is not None),
+        shaped = gen.shape_request(spread(part, parts, exact=cfg.partitions is not None,
+                                          trust_splits=trust),
                                    models=cfg.models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
         store.write_table(out, results_path, mode="append", long_text=LONG_TEXT,
@@ -115,19 +119,19 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     return schema
 
 
-def spread(df: DataFrame, parts: int, exact: bool = False) -> DataFrame:
-    """At least ``parts`` tasks for the calls (exactly ``parts`` with
-    ``exact``, e.g. to bound in-flight calls to parts x concurrency). A plan
-    read in enough splits is left alone (or coalesced, without a shuffle,
-    when ``exact``); otherwise it is spread before shaping, so the shuffle
-    carries the plan row once, not the JSON body as well. The stored plan
-    of :func:`build_dataset` is written hash-spread by slot, so its splits
-    are balanced."""
-    n = df.rdd.getNumPartitions()
-    if n > parts and exact:
-        return df.coalesce(parts)
-    if n >= parts:
-        return df
+def spread(df: DataFrame, parts: int, exact: bool = False,
+           trust_splits: bool = False) -> DataFrame:
+    """``parts`` balanced tasks for the calls (bounding in-flight calls to
+    parts x concurrency). Hash-spread by slot before shaping, so the shuffle
+    carries the plan row once and never the JSON body. Only a plan known to
+    be written balanced (``trust_splits``) keeps its splits (coalesced,
+    without a shuffle, to exactly ``parts`` when ``exact``): a partition
+    count read from the plan says nothing about row balance, and AQE may
+    coalesce a small shuffled plan into one task at run time."""
+    if trust_splits:
+        n = df.rdd.getNumPartitions()
+        if n >= parts:
+            return df.coalesce(parts) if exact and n > parts else df
     return df.repartition(parts, "slot_id")
 
 
@@ -182,7 +186,7 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     run_id = uuid.uuid4().hex
     t0 = time.perf_counter()
     schema = generate(spark, stored, call, results_path, cfg,
-                      done=successful_keys(spark, results_path), run_id=run_id)
+                      done=successful_keys(spark, results_path), run_id=run_id, balanced=True)
     elapsed = time.perf_counter() - t0
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)

@@ -47,9 +47,8 @@ def generate_stream(spark: SparkSession, plan_path: str, results_path: str,
     parts = partitions or spark.sparkContext.defaultParallelism
 
     def run_wave(batch: DataFrame, batch_id: int) -> None:
-        plan = batch.drop("variation", "detail", "base_prompt")
-        if plan.rdd.getNumPartitions() < parts:
-            plan = plan.repartition(parts, "slot_id")
+        # a wave is a few files: spread it over the generation tasks
+        plan = batch.drop("variation", "detail", "base_prompt").repartition(parts, "slot_id")
         shaped = gen.shape_request(plan, models=models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=concurrency)
         out.write.mode("overwrite").parquet(f"{results_path}/wave={batch_id}")
