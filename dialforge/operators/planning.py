@@ -27,6 +27,23 @@ def plan_slots(spark: SparkSession, target: int, existing: int = 0,
     return spark.range(start, int(target), 1, partitions).withColumnRenamed("id", "slot_id")
 
 
+def slots_after_sink(spark: SparkSession, target: int, sink_path: str | None) -> DataFrame:
+    """Count-based top-up, as a line-counting writer resumes: slots from the
+    sink's physical line count up to ``target`` (none when the sink already
+    has ``target`` lines). It cannot tell which rows failed; prefer
+    :func:`topup_plan` (keyed) when results carry slot ids."""
+    from dialforge.sources.jsonl import count_lines
+
+    existing = 0
+    if sink_path:
+        try:
+            existing = count_lines(spark, sink_path)
+        except Exception as e:  # noqa: BLE001 - a missing sink means nothing exists yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    return plan_slots(spark, target, min(existing, target))
+
+
 def topup_plan(plan: DataFrame, done: DataFrame, key: str = "slot_id") -> DataFrame:
     """Plan rows not yet done (keyed resume): a left anti join on the key."""
     return plan.join(done.select(key), key, "left_anti")

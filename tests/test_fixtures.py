@@ -222,6 +222,14 @@ def test_counts_faulty(spark):
     assert (s.attempted, s.generated, s.failed) == (6, 3, 3)
 
 
+def test_slots_after_sink(spark, tmp_path):
+    sink = tmp_path / "sink.jsonl"
+    sink.write_text("\n".join(['{"category": "c"}'] * 4) + "\n")
+    assert [r.slot_id for r in pl.slots_after_sink(spark, 10, str(sink)).collect()] == [4, 5, 6, 7, 8, 9]
+    assert pl.slots_after_sink(spark, 3, str(sink)).count() == 0
+    assert pl.slots_after_sink(spark, 5, str(tmp_path / "missing")).count() == 5
+
+
 def test_topup(spark):
     assert [pl.shortfall(10, e) for e in (0, 4, 10, 12)] == [10, 6, 0, 0]
     assert [r.slot_id for r in pl.plan_slots(spark, 10, 4).collect()] == [4, 5, 6, 7, 8, 9]
