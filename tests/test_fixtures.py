@@ -393,3 +393,11 @@ def test_truncate_with_tokenizer_file(spark, tmp_path):
     # tokens: a | b | , | c | d | e  -> 6 tokens, cut after the 4th ("c")
     assert [(r.n_tokens, r.truncated, r.text_capped) for r in out] == [
         (6, True, "a b,c"), (2, False, "a b")]
+
+
+def test_bundled_catalog_matches_fixed_weights(spark):
+    rows = cat.read_catalog(spark).orderBy("ord").collect()
+    assert {r.category: r.weight for r in rows} == cat.BUNDLED_WEIGHTS
+    assert [r.category for r in rows] == list(cat.BUNDLED_WEIGHTS)
+    assert all(r.prompts and r.system for r in rows)
+    assert cat.validate_catalog(cat.read_catalog(spark)) == (100, 5)
