@@ -193,4 +193,4 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     if export_path:
         export_records(records.where(F.col("run_id") == run_id), export_path)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
-            "metrics": mt.run_metrics(results, elapsed)}
+            "metrics": mt.run_metrics(gen.extract_response(results), elapsed)}

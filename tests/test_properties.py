@@ -210,3 +210,15 @@ def test_pool_draw_salting_changes_nothing_but_spread(spark):
     assert {r[3] for r in hot} == {"t0", "t1"}
     single = sa.uniform_pool_draw(pl.plan_slots(spark, 300), tiny.drop("category"), 4, category=None)
     assert single.count() == 300 and single.select("item_id").distinct().count() == 2
+
+
+def test_build_metrics_count_extraction_failures(spark):
+    """Metrics count every failure, including bodies that parse to no text."""
+    catalog = cat.read_catalog(spark)
+    cfg = bd.BuildConfig(seed=21)
+    plan = bd.plan_from_catalog(pl.plan_slots(spark, 300), catalog, cfg)
+    out = bd.build_dataset(spark, plan, gen.offline_backend(21, fault_every=3),
+                           scratch_path(spark, "metrics"), cfg)
+    m = out["metrics"].first()
+    assert m.failed == out["failures"].count() > 0
+    assert m.generated == out["records"].count() == 300 - m.failed
