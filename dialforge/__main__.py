@@ -61,15 +61,22 @@ def cmd_build(args) -> dict:
 
 def cmd_prepare(args) -> dict:
     from pyspark.sql import functions as F
+    from pyspark.sql import types as T
 
     from dialforge.plans import prepare_training as pt
+    from dialforge.schemas import CHAT_RECORD
     from dialforge.sources import jsonl
 
     spark = _session(args.master)
-    recs = jsonl.read_records(spark, args.records, strict=not args.lenient)
+    schema = T.StructType(list(CHAT_RECORD.fields) + [T.StructField("slot_id", T.LongType())])
+    recs = jsonl.read_records(spark, args.records, schema=schema, strict=not args.lenient)
     if args.lenient:
         recs, _bad = jsonl.split_corrupt(recs)
-    recs = recs.withColumn("record_id", F.xxhash64(F.to_json(F.struct("messages", "category"))))
+    # the split needs unique ids: the slot id of records this tool exported;
+    # otherwise the scan position (same files + split settings -> same ids),
+    # offset above any slot id
+    recs = recs.withColumn("record_id", F.coalesce(
+        F.col("slot_id"), F.monotonically_increasing_id() + F.lit(1 << 62)))
     out = pt.prepare_training_set(spark, recs, "record_id", args.out, seed=args.seed,
                                   eval_share=args.eval_share, cap=args.max_length,
                                   epochs=args.epochs, micro_batch=args.batch_size,

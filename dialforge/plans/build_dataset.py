@@ -170,7 +170,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     ``failures``, and ``metrics`` (attempted, generated, failed, elapsed).
     Rerunning retries only slots without a success. The results table is the
     durable store; with ``export_path`` the records of *this* run's new
-    successes are appended there as JSON Lines."""
+    successes are appended there as JSON Lines (chat-record shape plus
+    ``slot_id`` and ``provider``)."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
     try:
@@ -191,6 +192,6 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
-        export_records(records.where(F.col("run_id") == run_id), export_path)
+        export_records(records.where(F.col("run_id") == run_id), export_path, keep_keys=True)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
             "metrics": mt.run_metrics(gen.extract_response(results), elapsed)}

@@ -19,6 +19,8 @@ def test_build_then_prepare(spark, tmp_path, capsys):
     assert second["failures_pending"] == 0
     assert second["attempted"] == 60 + first["failed"]
     assert jsonl.read_records(spark, f"{out}/records.jsonl").count() == 60
+    keys = spark.read.schema("slot_id long").json(f"{out}/records.jsonl")
+    assert sorted(r.slot_id for r in keys.collect()) == list(range(60))
 
     prep = str(tmp_path / "prep")
     assert main(["prepare", "--records", f"{out}/records.jsonl", "--out", prep, "--epochs", "2"]) == 0
@@ -26,3 +28,16 @@ def test_build_then_prepare(spark, tmp_path, capsys):
     assert res["splits"] == {"train": 57, "eval": 3}
     assert res["unanswered"] == 0 and res["rejected"] == 0
     assert res["manifest_rows"] == 2 * 57
+
+
+def test_prepare_foreign_jsonl_with_duplicates(spark, tmp_path, capsys):
+    """Records without ids (and exact duplicates, which are kept) still get
+    unique ids, so the split is exact."""
+    rec = {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}],
+           "category": "c"}
+    path = tmp_path / "foreign.jsonl"
+    path.write_text("\n".join(json.dumps(rec) for _ in range(40)) + "\n")
+    prep = str(tmp_path / "prep")
+    assert main(["prepare", "--records", str(path), "--out", prep, "--epochs", "1"]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["splits"] == {"train": 38, "eval": 2}
