@@ -27,9 +27,22 @@ MICRO_BATCH = 4
 ACCUMULATION = 4
 
 
+def assert_unique(df: DataFrame, id_col: str) -> None:
+    """Raise if ``id_col`` repeats (a partial count per id; one shuffle of
+    the id column only). Exact sizes and reproducible order need unique ids."""
+    dup = (df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1).limit(1).collect())
+    if dup:
+        raise ValueError(f"{id_col} is not unique: {dup[0][id_col]!r} occurs {dup[0]['_n']} times")
+
+
 def train_eval_split(df: DataFrame, id_col: str, seed: int = SPLIT_SEED,
-                     eval_share: float = EVAL_SHARE, out: str = "split") -> DataFrame:
-    """Add ``out`` in {``train``, ``eval``}; exactly ``ceil(share*n)`` eval rows."""
+                     eval_share: float = EVAL_SHARE, out: str = "split",
+                     check_unique: bool = False) -> DataFrame:
+    """Add ``out`` in {``train``, ``eval``}; exactly ``ceil(share*n)`` eval
+    rows when ids are unique (``check_unique`` verifies it first)."""
+    if check_unique:
+        assert_unique(df, id_col)
     h = "_split_h"
     flagged = flag_smallest(df.withColumn(h, u(seed, id_col, "split")), h, id_col,
                             share=eval_share, out="_is_eval")

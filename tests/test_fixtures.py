@@ -401,3 +401,11 @@ def test_bundled_catalog_matches_fixed_weights(spark):
     assert [r.category for r in rows] == list(cat.BUNDLED_WEIGHTS)
     assert all(r.prompts and r.system for r in rows)
     assert cat.validate_catalog(cat.read_catalog(spark)) == (100, 5)
+
+
+def test_split_checks_unique_ids(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,)], "rid long")
+    with pytest.raises(ValueError, match="not unique"):
+        sp.train_eval_split(df, "rid", check_unique=True)
+    ok = spark.range(30).withColumnRenamed("id", "rid")
+    assert sp.train_eval_split(ok, "rid", check_unique=True).where("split = 'eval'").count() == 2
