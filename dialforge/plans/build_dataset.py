@@ -96,7 +96,7 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     ``balanced`` says the plan is a stored plan written hash-spread by slot
     (its splits can be trusted when no anti join reshuffles it).
     """
-    trust = balanced and done is None
+    trust = balanced and done is None and not cfg.wave_size
     todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
     todo = todo.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
     parts = cfg.partitions or spark.sparkContext.defaultParallelism
@@ -107,8 +107,10 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
         waves = [r[0] for r in plan.select(w.alias("w")).distinct().orderBy("w").collect()]
     schema = None
     for wave in waves:
-        part = todo if wave is None else todo.where(
-            F.floor(F.col("slot_id") / cfg.wave_size) == wave)
+        # a plain range on the key: pushed to the scan, so with a plan stored
+        # in slot order each wave reads only its own files / row groups
+        part = todo if wave is None else todo.where(F.col("slot_id").between(
+            F.lit(int(wave) * cfg.wave_size), F.lit((int(wave) + 1) * cfg.wave_size - 1)))
         shaped = gen.shape_request(spread(part, parts, exact=cfg.partitions is not None,
                                           trust_splits=trust),
                                    models=cfg.models).drop("request")
@@ -177,10 +179,14 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     try:
         stored = spark.read.parquet(plan_path)
     except Exception:  # noqa: BLE001 - first run: write the plan once
-        # hash-spread by slot into the generation task count, so every later
-        # read (waves, resumes) yields balanced tasks without another shuffle
+        # one wave: hash-spread by slot into the generation task count, so
+        # the first run reads balanced splits without another shuffle.
+        # waves: range-partitioned and sorted by slot, so each wave's range
+        # filter prunes to its own files (one read of the plan in total)
         parts = cfg.partitions or spark.sparkContext.defaultParallelism
-        store.write_table(plan.repartition(parts, "slot_id"), plan_path, mode="overwrite",
+        laid = (plan.repartitionByRange(parts, "slot_id").sortWithinPartitions("slot_id")
+                if cfg.wave_size else plan.repartition(parts, "slot_id"))
+        store.write_table(laid, plan_path, mode="overwrite",
                           long_text=LONG_TEXT, compression=TEXT_CODEC)
         stored = spark.read.schema(plan.schema).parquet(plan_path)
     results_path = f"{out_dir}/results"
