@@ -409,3 +409,14 @@ def test_split_checks_unique_ids(spark):
         sp.train_eval_split(df, "rid", check_unique=True)
     ok = spark.range(30).withColumnRenamed("id", "rid")
     assert sp.train_eval_split(ok, "rid", check_unique=True).where("split = 'eval'").count() == 2
+
+
+def test_cluster_settings_scale_with_input():
+    from dialforge.session import cluster_settings
+
+    small = cluster_settings(800)
+    big = cluster_settings(800, input_bytes=100 * 2**40)  # 100 TiB
+    assert small["spark.sql.shuffle.partitions"] == "2400"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    assert big["spark.speculation"] == "false"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
