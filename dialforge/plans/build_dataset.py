@@ -53,12 +53,21 @@ class BuildConfig:
     models: dict = field(default_factory=dict)
 
 
+def _spread_keys(plan_keys: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Spread the slot keys (one long per row) before planning, so the
+    per-row draws and prompt composition run on every task even when the
+    key source is a single split; only the key column crosses the shuffle."""
+    parts = cfg.partitions or plan_keys.sparkSession.sparkContext.defaultParallelism
+    return plan_keys.repartition(parts, "slot_id")
+
+
 def plan_from_catalog(plan_keys: DataFrame, catalog: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Slots x catalogue: category by weight, prompt from its short list.
     Raises before any job on the slots if a weighted category has no prompts
     or the weights sum to zero."""
     cat.validate_catalog(catalog)
-    drawn = sa.weighted_draw(plan_keys, catalog.withColumnRenamed("system", "gen_system"),
+    drawn = sa.weighted_draw(_spread_keys(plan_keys, cfg),
+                             catalog.withColumnRenamed("system", "gen_system"),
                              cfg.seed, order="ord", extra=("gen_system", "prompts"))
     drawn = pl.draw_catalog_prompt(drawn, cfg.seed).drop("prompts")
     return _finish_plan(drawn, cfg)
@@ -68,7 +77,7 @@ def plan_from_pool(plan_keys: DataFrame, pool: DataFrame, weights: DataFrame,
                    cfg: BuildConfig) -> DataFrame:
     """Slots x a large pool ``(category, item_id, base_prompt)``; ``weights``
     is ``(category, weight, gen_system)``."""
-    drawn = sa.weighted_draw(plan_keys, weights, cfg.seed, extra=("gen_system",))
+    drawn = sa.weighted_draw(_spread_keys(plan_keys, cfg), weights, cfg.seed, extra=("gen_system",))
     drawn = sa.uniform_pool_draw(drawn, pool, cfg.seed)
     return _finish_plan(drawn, cfg)
 
