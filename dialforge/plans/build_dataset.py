@@ -124,6 +124,12 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
                                           trust_splits=trust),
                                    models=cfg.models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
+        # parse each reply once, natively, before it is stored: ``text`` and
+        # the final ``error`` (backend or extraction) are kept, the raw body
+        # only for failures (to debug them); resumes, counters and records
+        # then never parse stored replies again
+        out = gen.extract_response(out).withColumn(
+            "raw", F.when(F.col("error").isNotNull(), F.col("raw")))
         store.write_table(out, results_path, mode="append", long_text=LONG_TEXT,
                           compression=TEXT_CODEC)
         schema = out.schema
@@ -146,10 +152,16 @@ def spread(df: DataFrame, parts: int, exact: bool = False,
     return df.repartition(parts, "slot_id")
 
 
+def results_view(results: DataFrame) -> DataFrame:
+    """Result rows with ``text`` and ``error``: as stored by :func:`generate`,
+    or extracted from ``raw`` for tables written without them (streams)."""
+    return results if "text" in results.columns else gen.extract_response(results)
+
+
 def records_from_results(results: DataFrame, cfg: BuildConfig) -> tuple[DataFrame, DataFrame]:
     """Results -> (records, failures). Records keep slot, provider, category
     beside the ``messages``/``category`` training shape."""
-    ext = gen.extract_response(results)
+    ext = results_view(results)
     ok = msg.assemble_triplet(gen.successes(ext), cfg.system, "user_prompt", "text")
     # a slot that failed in one run and succeeded in a later one is not a failure
     still_failing = gen.failures(ext).join(ok.select("slot_id"), "slot_id", "left_anti")
@@ -157,11 +169,13 @@ def records_from_results(results: DataFrame, cfg: BuildConfig) -> tuple[DataFram
 
 
 def successful_keys(spark: SparkSession, results_path: str) -> DataFrame | None:
+    """Slots with a stored success: a pruned scan of (slot_id, error); the
+    verdict was stored at generation time, so no reply is parsed here."""
     try:
         res = spark.read.parquet(results_path)
     except Exception:  # noqa: BLE001 - first run: no results yet
         return None
-    return gen.successes(gen.extract_response(res)).select("slot_id")
+    return gen.successes(results_view(res)).select("slot_id")
 
 
 def export_records(records: DataFrame, path: str, mode: str = "append",
@@ -209,4 +223,4 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     if export_path:
         export_records(records.where(F.col("run_id") == run_id), export_path, keep_keys=True)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
-            "metrics": mt.run_metrics(gen.extract_response(results), elapsed)}
+            "metrics": mt.run_metrics(results_view(results), elapsed)}

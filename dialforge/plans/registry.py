@@ -447,7 +447,7 @@ def _run_results(spark, sf_dir) -> DataFrame:
     cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
                          second_provider=PROVIDERS_RUN[1])
     schema = bd.generate(spark, plan, gen.offline_backend(SEED), f"{path}/results", cfg)
-    return gen.extract_response(spark.read.schema(schema).parquet(f"{path}/results"))
+    return bd.results_view(spark.read.schema(schema).parquet(f"{path}/results"))
 
 
 _ENDINGS_SQL = "[" + ", ".join(sql_str(s) for s in gen.OFFLINE_ENDINGS) + "]"
@@ -623,7 +623,7 @@ def q_build_dataset(spark, sf_dir):
     pool = _doc_pool(spark, sf_dir, with_text=True)
     plan = bd.plan_from_pool(_order_plan(spark, sf_dir), pool, _pool_weights(spark, sf_dir), cfg)
     out = bd.build_dataset(spark, plan, gen.offline_backend(SEED), scratch_path(spark, "build"), cfg)
-    ext = gen.extract_response(out["results"])
+    ext = bd.results_view(out["results"])
     return ext.select("slot_id", "category", "provider", F.col("item_id").alias("doc_id"),
                       "user_prompt", "text", "error")
 

@@ -37,7 +37,7 @@ def test_stream_waves_resume_and_match_batch(spark):
 
     batch_out = scratch_path(spark, "stream-batch")
     bd.generate(spark, plan, call, f"{batch_out}/results", cfg)
-    batch = gen.extract_response(spark.read.parquet(f"{batch_out}/results"))
+    batch = bd.results_view(spark.read.parquet(f"{batch_out}/results"))
     cols = ["slot_id", "provider", "user_prompt", "text", "error"]
     assert sorted(map(tuple, streamed.select(*cols).collect())) == \
         sorted(map(tuple, batch.select(*cols).collect()))
