@@ -51,6 +51,10 @@ def generate_stream(spark: SparkSession, plan_path: str, results_path: str,
         plan = batch.drop("variation", "detail", "base_prompt").repartition(parts, "slot_id")
         shaped = gen.shape_request(plan, models=models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=concurrency)
+        # same stored shape as the batch job: text and verdict parsed once,
+        # the raw body kept only for failures
+        out = gen.extract_response(out).withColumn(
+            "raw", F.when(F.col("error").isNotNull(), F.col("raw")))
         out.write.mode("overwrite").parquet(f"{results_path}/wave={batch_id}")
 
     q = (source.writeStream.foreachBatch(run_wave)
@@ -62,6 +66,8 @@ def generate_stream(spark: SparkSession, plan_path: str, results_path: str,
 
 
 def read_wave_results(spark: SparkSession, results_path: str) -> DataFrame:
-    """All waves' results with the reply extracted (``wave`` kept)."""
-    return gen.extract_response(spark.read.parquet(results_path)).withColumn(
-        "wave", F.col("wave").cast("long"))
+    """All waves' results (``text``, ``error``, ``wave`` kept)."""
+    res = spark.read.parquet(results_path)
+    if "text" not in res.columns:
+        res = gen.extract_response(res)
+    return res.withColumn("wave", F.col("wave").cast("long"))
