@@ -48,3 +48,24 @@ def test_split_exact_size(spark, n, seed):
     rows = sp.train_eval_split(df, "rid", seed=seed).collect()
     assert sorted(r.rid for r in rows) == list(range(n))
     assert sum(r.split == "eval" for r in rows) == math.ceil(0.05 * n)
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=0, max_value=10**6), min_size=1, max_size=6).filter(
+    lambda ws: sum(ws) > 0), st.integers(min_value=1, max_value=64))
+def test_weighted_draw_matches_python(spark, weights, bins):
+    from dialforge.functions.draw import u_py
+    from dialforge.operators import planning as pl
+    from dialforge.operators import sampling as sa
+
+    rows = [(f"c{i}", w) for i, w in enumerate(weights)]
+    wdf = spark.createDataFrame(rows, "category string, weight long")
+    got = {r.slot_id: r.category
+           for r in sa.weighted_draw(pl.plan_slots(spark, 200), wdf, 5, bins=bins).collect()}
+    total, lo, bounds = sum(weights), 0, []
+    for c, w in sorted(rows):
+        if w:
+            bounds.append((c, lo, lo + w))
+            lo += w
+    want = {i: next(c for c, a, b in bounds if a <= u_py(5, i, "cat") % total < b) for i in range(200)}
+    assert got == want
