@@ -441,7 +441,7 @@ def q_truncate_tokens(spark, sf_dir):
 
 def _run_results(spark, sf_dir) -> DataFrame:
     """The conversation generation run: plan -> offline backend -> results
-    written to the shared folder -> read back -> extracted."""
+    (text and verdict parsed once) written to the shared folder -> read back."""
     path = scratch_path(spark, "conv-run")
     plan = _conv_requests(spark, sf_dir, form_by_hash=False)
     cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
@@ -617,7 +617,8 @@ SELECT slot_id, category, provider, doc_id, user_prompt,
 FROM g""")
 def q_build_dataset(spark, sf_dir):
     """#32 flagship: orders as slots, documents as the pool (lang =
-    category), offline backend with faults; results written, then read."""
+    category), offline backend with faults; plan and results written to the
+    shared folder, then the stored text and verdicts read back."""
     cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0],
                          second_provider=PROVIDERS_RUN[1])
     pool = _doc_pool(spark, sf_dir, with_text=True)
