@@ -65,6 +65,28 @@ def cluster_settings(total_cores: int, input_bytes: int | None = None) -> dict[s
     }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``dialforge`` importable in the Python workers of this Spark
+    application (``addPyFile`` of a zip of the package, once per
+    application) -- what ``--py-files`` does at submit time. Needed when the
+    package is on the driver's ``sys.path`` but not installed."""
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="dialforge-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "dialforge"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
