@@ -26,6 +26,8 @@ def _session(master: str | None):
         b = b.master(master)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    from dialforge.session import ship_package
+    ship_package(spark)  # workers need the package unless it is installed / --py-files
     return spark
 
 
