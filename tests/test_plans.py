@@ -65,3 +65,25 @@ def test_scan_is_pruned(spark):
     plan = _plan(R.QUERIES["truncate_tokens"](spark, SF001))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and all("lang" not in s and "source" not in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", sorted(R.QUERIES))
+def test_no_cartesian_or_nested_loop_join(spark, name):
+    plan = _plan(R.QUERIES[name](spark, SF001))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_weighted_draw_does_not_shuffle_plan_rows(spark):
+    plan = _plan(R.QUERIES["weighted_draw"](spark, SF001))
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_ship_package_once_per_application(spark):
+    from dialforge import session
+
+    session.ship_package(spark)
+    n = len(spark.sparkContext._python_includes)
+    session.ship_package(spark)
+    assert len(spark.sparkContext._python_includes) == n
