@@ -8,10 +8,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from dialforge.plans import registry as R
 from tests.conftest import SF001, SF0001
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k in R.QUERIES}
+ORACLES = R.ORACLES
 
 
 def _norm(v):
