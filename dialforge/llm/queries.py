@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import packing, quality, word_bpe
+from dialforge.llm import jaccard, packing, quality, word_bpe
 from dialforge.session import read_table, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,28 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, machine, QUALITY_METADATA).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Every document with its shingles, the pairs that link, and the closure.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+commons AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+             FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM commons o JOIN sizes x ON x.doc_id = o.a JOIN sizes y ON y.doc_id = o.b
+          WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY ALL
+"""
+
+
+@register("op9_jaccard_join", JACCARD_SQL)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(documents(spark, sf_dir))
