@@ -6,15 +6,18 @@ one of the smallest ``n - ceil(t n) + 1`` hashes of either, so:
 
 1. every node posts those hashes, dealt out by hash; hashes that only one node
    posts vanish. The others, with a hub per hash and size band, are written.
-2. each node is checked against its hubs (a linear number of pairs); checked
-   links are joined into components.
-3. hashes whose nodes still lie in several components form tiles by size band;
-   in a tile, every two nodes of different components whose bitmaps allow the
-   threshold become a pair, and is checked too. No pair of a shared hash is
-   left out unless its size, its bitmap or a known link settles it.
-
-A check has two steps. The bitmap of a set (a parity bit per hashed value, as
-many bits as the size band asks for) differs in at most as many bits as the
+2. each node is checked against the hubs of its few smallest shared hashes (a
+   linear number of pairs); checked links are joined into components. This only
+   saves work: it settles nearly all pairs of large groups of copies.
+3. hashes whose nodes still lie in several components form tiles by size band.
+   While it finds links, a round takes for each node the likeliest partner in
+   every other component of its tiles, over its smallest hashes only.
+4. a last round goes over all shared hashes and takes every two nodes of
+   different components whose bitmaps allow the threshold. So no pair of a
+   shared hash is left out unless its size, its bitmap or a known link settles it.
+
+A check has two steps. The bitmap of a set (a parity bit per hashed value, at
+least two bits for each member) differs in at most as many bits as the
 symmetric difference has members, which bounds the overlap from above; what
 passes is compared exactly by intersecting the sorted arrays of shingle hashes.
 The members of one hub are dealt out in groups of ``HUB_GROUP``.
@@ -41,6 +44,7 @@ from dialforge.llm.store import shuffle_partitions, written
 
 WIDTH, PERCENT = 5, 75
 POSTINGS = 1 << 19      # postings that a task gathers before it sends them
+STAR_HASHES = 8         # a node meets the hubs of about so many of its smallest hashes
 HUB_GROUP = 256         # members checked against one copy of a hub
 BLOCK = 256             # rows of a tile compared at once
 FILTER_BITS = 26        # bits of the filter that keeps unneeded texts from the shuffle (8 MB)
@@ -76,8 +80,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Parity bits of a set in 64-bit words; the number of bits is the power of
-    two that is at least the set's size (64 or more)."""
-    bits = max(64, 1 << (len(s) - 1).bit_length()) if len(s) else 64
+    two that is at least twice the set's size (64 or more)."""
+    bits = max(64, 2 << (len(s) - 1).bit_length()) if len(s) else 64
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -139,7 +143,8 @@ def _postings_body(width: int, percent: int, buckets: int):
         sizes = np.array([n for n, _ in held.values()], np.uint32)
         tokens = np.concatenate([t for _, t in held.values()])
         owner = np.repeat(np.arange(len(held), dtype=np.uint32), [len(t) for _, t in held.values()])
-        bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # posted hashes are small ones, so they are mixed before they are dealt out
+        bucket = ((tx.mix(tokens) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         ends = np.searchsorted(bucket[order], np.arange(buckets), "right")
         out, at = [], 0
@@ -214,15 +219,21 @@ def _shared_body(percent: int):
         first = np.ones(len(token), bool)
         first[1:] = (token[1:] != token[:-1]) | (tile[1:] != tile[:-1])
         at = np.flatnonzero(first)
-        hub = np.minimum.reduceat(ref, at)
         group = np.cumsum(first) - 1
+        # the hub is the node whose hashes are shared most widely: among edited
+        # copies the text they come from, which most of them link with
+        _, name = np.unique(ref, return_inverse=True)
+        weight = np.bincount(name, np.diff(np.append(at, len(token)))[group])[name]
+        hub = ref[np.lexsort((ref, -weight, group))[at]]
         after = np.minimum(group + 1, len(at) - 1)
         adjoins = (token[at[after]] == token) & (tile[at[after]] == tile + 1)
+        early = token.astype(np.float64) * n < STAR_HASHES * 2.0 ** 64
         for lo in range(0, len(token), 1 << 18):
             cut = slice(lo, lo + (1 << 18))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[cut].view(np.int64)), pa.array(ref[cut]), pa.array(n[cut]), pa.array(hub[group[cut]]),
-                 pa.array(hub[after[cut]], mask=~adjoins[cut])], ["token", "ref", "n", "hub", "next_hub"])
+                [pa.array(token[cut].view(np.int64)), pa.array(ref[cut]), pa.array(n[cut]),
+                 pa.array(hub[group[cut]], mask=~early[cut]),
+                 pa.array(hub[after[cut]], mask=~(adjoins & early)[cut])], ["token", "ref", "n", "hub", "next_hub"])
     return run
 
 
@@ -341,9 +352,11 @@ def _across_body(percent: int):
     return run
 
 
-def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.ndarray], percent: int):
+def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.ndarray], percent: int, best: bool = False):
     """Pairs of different components under one hash that sizes and bitmaps
-    allow; rows in order of size. Bands of neighbouring sizes form a tile."""
+    allow; rows in order of size. Bands of neighbouring sizes form a tile.
+    ``best``: of the pairs of a row with a component only the likeliest in
+    each block of the tile."""
     tiles = band(n, percent)
     for t in np.unique(tiles):
         own = np.flatnonzero(tiles == t)
@@ -362,8 +375,14 @@ def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.n
                 for w in range(width):
                     differing += np.bitwise_count(table[rows, w][:, None] ^ table[cols, w][None, :])
                 ok &= may_link(n[x][:, None], n[y][None, :], differing, percent)
-                for i, j in zip(*np.nonzero(ok)):
-                    yield int(ref[x[i]]), int(ref[y[j]])
+                i, j = np.nonzero(ok)
+                if best and len(i):
+                    order = np.lexsort((differing[i, j], comp[y][j], i))
+                    i, j = i[order], j[order]
+                    first = np.ones(len(i), bool)
+                    first[1:] = (i[1:] != i[:-1]) | (comp[y][j][1:] != comp[y][j][:-1])
+                    i, j = i[first], j[first]
+                yield from zip(ref[x[i]].tolist(), ref[y[j]].tolist())
 
 
 def sizes_allow(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -371,14 +390,14 @@ def sizes_allow(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return small * 100 >= large * percent
 
 
-def _tiles_body(percent: int):
+def _tiles_body(percent: int, best: bool):
     def run(batches):
         rows: list = []
         seen: set = set()
 
         def close():
             ref, n, comp = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-            for a, b in tile_pairs(ref, n, comp, [np.frombuffer(r[4], np.uint64) for r in rows], percent):
+            for a, b in tile_pairs(ref, n, comp, [np.frombuffer(r[4], np.uint64) for r in rows], percent, best):
                 seen.add((min(a, b), max(a, b)))
 
         def send():
@@ -400,6 +419,17 @@ def _tiles_body(percent: int):
     return run
 
 
+def _tile_candidates(postings: DataFrame, found: DataFrame, sets: DataFrame, buckets: int, percent: int, best: bool) -> DataFrame:
+    """Distinct pairs ``a < b`` from the tiles of hashes shared across components."""
+    labelled = postings.join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
+        "token", "ref", "n", F.coalesce("component", "ref").alias("component"))
+    across = labelled.repartition(buckets, "token").mapInArrow(
+        _across_body(percent), "token long, ref long, n long, component long")
+    tiles = across.join(sets.select("ref", "bits"), "ref").repartition(buckets, "token").sortWithinPartitions("token", "n", "ref")
+    return tiles.select("token", "ref", "n", "component", "bits").mapInArrow(
+        _tiles_body(percent, best), "a long, b long").distinct()
+
+
 # -- the operator -----------------------------------------------------------
 
 def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -418,20 +448,30 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     shared = written(postings.repartition(buckets, "bucket").mapInArrow(
         _shared_body(percent), "token long, ref long, n long, hub long, next_hub long"), "shared")
 
-    stars = shared.select(F.col("hub").alias("a"), F.col("ref").alias("b")).unionAll(
-        shared.where("next_hub is not null").select("next_hub", "ref")).where("a <> b").distinct()
-    links = written(_checked(stars, docs, sets, width, percent), "star-links")
+    stars = shared.select(F.explode(F.array("hub", "next_hub")).alias("a"), F.col("ref").alias("b")).where("a <> b").distinct()
+    stars = written(stars, "stars")
+    checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = written(_checked(stars, docs, sets, width, percent), "links")
     found = connected(links)
 
-    labelled = shared.join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
-        "token", "ref", "n", F.coalesce("component", "ref").alias("component"))
-    across = written(labelled.repartition(buckets, "token").mapInArrow(
-        _across_body(percent), "token long, ref long, n long, component long"), "across")
-    tiles = across.join(sets.select("ref", "bits"), "ref").repartition(buckets, "token").sortWithinPartitions("token", "n", "ref")
-    more = tiles.select("token", "ref", "n", "component", "bits").mapInArrow(_tiles_body(percent), "a long, b long").distinct()
-    rest = written(_checked(more, docs, sets, width, percent), "tile-links")
-    if not rest.isEmpty():
-        found = connected(links.unionAll(rest))
+    # few smallest hashes while that finds links, then all of them once
+    unsigned = F.when(F.col("token") < 0, F.col("token") + F.lit(2.0 ** 64)).otherwise(F.col("token").cast("double"))
+    early = written(shared.where(unsigned * F.col("n") < STAR_HASHES * 2.0 ** 64).select("token", "ref", "n"), "early")
+    best = True
+    while True:
+        pairs = _tile_candidates(early if best else shared, found, sets, buckets, percent, best)
+        pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "tile-pairs")
+        new = written(_checked(pairs, docs, sets, width, percent), "tile-links")
+        if not new.isEmpty():
+            links = links.unionAll(new)
+            found = connected(links)
+        elif best:
+            best = False
+            checked = checked.unionAll(pairs)
+            continue
+        if not best:
+            break
+        checked = checked.unionAll(pairs)
 
     joined = members.select("doc_id", "ref", "n").join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
         "doc_id", "n", F.coalesce("component", "ref").alias("component"))
