@@ -5,8 +5,10 @@ with equal sets are one *node* from the start. Two sets with Jaccard >= t share
 one of the smallest ``n - ceil(t n) + 1`` hashes of either, so:
 
 1. every node posts those hashes, dealt out by hash; hashes that only one node
-   posts vanish. The others, with a hub per hash and size band, are written.
-2. each node is checked against the hubs of its few smallest shared hashes (a
+   posts vanish. Under a hash of at most ``SMALL_GROUP`` nodes, all are paired;
+   pairs that share too few hashes to link (counted over all hashes) are
+   dropped and the rest checked. Larger groups get a hub per size band.
+2. in larger groups, each node is checked against the hubs of its few smallest shared hashes (a
    linear number of pairs); checked links are joined into components. This only
    saves work: it settles nearly all pairs of large groups of copies.
 3. hashes whose nodes still lie in several components form tiles by size band.
@@ -44,7 +46,9 @@ from dialforge.llm.store import shuffle_partitions, written
 
 WIDTH, PERCENT = 5, 75
 POSTINGS = 1 << 19      # postings that a task gathers before it sends them
+SMALL_GROUP = 12        # nodes under one hash that are paired at once
 STAR_HASHES = 8         # a node meets the hubs of about so many of its smallest hashes
+FIRSTS = 8              # smallest hashes of a node that its tiles know
 HUB_GROUP = 256         # members checked against one copy of a hub
 BLOCK = 256             # rows of a tile compared at once
 FILTER_BITS = 26        # bits of the filter that keeps unneeded texts from the shuffle (8 MB)
@@ -213,6 +217,13 @@ def _shared_body(percent: int):
         keep[1:] |= near
         keep[:-1] |= near
         token, ref, n = token[keep], ref[keep], n[keep]
+        if not len(token):
+            return
+        first = np.ones(len(token), bool)
+        first[1:] = token[1:] != token[:-1]
+        many = np.diff(np.append(np.flatnonzero(first), len(token)))[np.cumsum(first) - 1] > SMALL_GROUP
+        yield from _send_pairs(token[~many], ref[~many], n[~many], percent)
+        token, ref, n = token[many], ref[many], n[many]
         if not len(token):
             return
         tile = band(n, percent)
@@ -231,12 +242,37 @@ def _shared_body(percent: int):
         for lo in range(0, len(token), 1 << 18):
             cut = slice(lo, lo + (1 << 18))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[cut].view(np.int64)), pa.array(ref[cut]), pa.array(n[cut]),
-                 pa.array(hub[group[cut]], mask=~early[cut]),
-                 pa.array(hub[after[cut]], mask=~(adjoins & early)[cut])], ["token", "ref", "n", "hub", "next_hub"])
+                [pa.nulls(len(token[cut]), pa.int64()), pa.array(token[cut].view(np.int64)), pa.array(ref[cut]), pa.array(n[cut]),
+                 pa.array(hub[group[cut]], mask=~early[cut]), pa.array(hub[after[cut]], mask=~(adjoins & early)[cut])], _SHARED)
     return run
 
 
+_SHARED = ["other", "token", "ref", "n", "hub", "next_hub"]
+
+
+def _send_pairs(token: np.ndarray, ref: np.ndarray, n: np.ndarray, percent: int):
+    """Pairs of the nodes under hashes of small groups, with the number of
+    such hashes they share here (rows by token and size)."""
+    pairs = []
+    for step in range(1, SMALL_GROUP):
+        ok = (token[step:] == token[:-step]) & (n[:-step] * 100 >= n[step:] * percent)
+        x, y = ref[:-step][ok], ref[step:][ok]
+        pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+    pairs = np.concatenate(pairs)
+    if len(pairs):
+        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+        pairs = pairs[order]
+        first = np.ones(len(pairs), bool)
+        first[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+        at = np.flatnonzero(first)
+        count = np.diff(np.append(at, len(pairs)))
+        for lo in range(0, len(at), 1 << 18):
+            cut = at[lo:lo + (1 << 18)]
+            none = pa.nulls(len(cut), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[cut, 0].copy()), none, pa.array(pairs[cut, 1].copy()),
+                                              pa.array(count[lo:lo + (1 << 18)]), none, none], _SHARED)
+
+
 # -- checks -----------------------------------------------------------------
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -352,11 +388,13 @@ def _across_body(percent: int):
     return run
 
 
-def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.ndarray], percent: int, best: bool = False):
+def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.ndarray], percent: int, best: bool = False,
+               token: int = 0, firsts: np.ndarray | None = None):
     """Pairs of different components under one hash that sizes and bitmaps
     allow; rows in order of size. Bands of neighbouring sizes form a tile.
     ``best``: of the pairs of a row with a component only the likeliest in
-    each block of the tile."""
+    each block of the tile. ``firsts``: the smallest hashes of every row; a pair
+    that shares one smaller than ``token`` is left to that hash's tile."""
     tiles = band(n, percent)
     for t in np.unique(tiles):
         own = np.flatnonzero(tiles == t)
@@ -376,6 +414,12 @@ def tile_pairs(ref: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: list[np.n
                     differing += np.bitwise_count(table[rows, w][:, None] ^ table[cols, w][None, :])
                 ok &= may_link(n[x][:, None], n[y][None, :], differing, percent)
                 i, j = np.nonzero(ok)
+                if firsts is not None and len(i):
+                    own_pair = np.ones(len(i), bool)
+                    for f in range(firsts.shape[1]):
+                        mine = firsts[x[i], f]
+                        own_pair &= ~((mine < token) & (firsts[y[j]] == mine[:, None]).any(axis=1))
+                    i, j = i[own_pair], j[own_pair]
                 if best and len(i):
                     order = np.lexsort((differing[i, j], comp[y][j], i))
                     i, j = i[order], j[order]
@@ -397,7 +441,8 @@ def _tiles_body(percent: int, best: bool):
 
         def close():
             ref, n, comp = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-            for a, b in tile_pairs(ref, n, comp, [np.frombuffer(r[4], np.uint64) for r in rows], percent, best):
+            firsts = np.array([r[5] + [2 ** 63 - 1] * (FIRSTS - len(r[5])) for r in rows], np.int64)
+            for a, b in tile_pairs(ref, n, comp, [np.frombuffer(r[4], np.uint64) for r in rows], percent, best, rows[0][0], firsts):
                 seen.add((min(a, b), max(a, b)))
 
         def send():
@@ -419,14 +464,30 @@ def _tiles_body(percent: int, best: bool):
     return run
 
 
+def _sharing_enough(pairs: DataFrame, large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may share enough posted hashes to link. Sets x, y that link
+    have ``o`` or more values in common; of the posted hashes of the one whose
+    largest is smaller, at most ``n - o`` are not in the other, and the rest are
+    posted by both. Hashes of large groups are not counted by pair: a pair may
+    share as many of them as either posts."""
+    posted = large.groupBy("ref").agg(F.count("*").alias("uncounted"))
+    side = sets.select("ref", "n").join(posted, "ref", "left").select("ref", "n", F.coalesce("uncounted", F.lit(0)).alias("uncounted"))
+    both = pairs.join(side.toDF("a", "na", "ua"), "a").join(side.toDF("b", "nb", "ub"), "b")
+    overlap_needed = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent) - 1e-9)
+    needed = overlap_needed - F.ceil(F.greatest("na", "nb") * percent / 100 - 1e-9) + 1
+    return both.where(F.col("common") + F.least("ua", "ub") >= needed).select("a", "b")
+
+
 def _tile_candidates(postings: DataFrame, found: DataFrame, sets: DataFrame, buckets: int, percent: int, best: bool) -> DataFrame:
     """Distinct pairs ``a < b`` from the tiles of hashes shared across components."""
     labelled = postings.join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
         "token", "ref", "n", F.coalesce("component", "ref").alias("component"))
     across = labelled.repartition(buckets, "token").mapInArrow(
         _across_body(percent), "token long, ref long, n long, component long")
-    tiles = across.join(sets.select("ref", "bits"), "ref").repartition(buckets, "token").sortWithinPartitions("token", "n", "ref")
-    return tiles.select("token", "ref", "n", "component", "bits").mapInArrow(
+    firsts = postings.groupBy("ref").agg(F.slice(F.array_sort(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
+    side = sets.select("ref", "bits").join(firsts, "ref")
+    tiles = across.join(side, "ref").repartition(buckets, "token").sortWithinPartitions("token", "n", "ref")
+    return tiles.select("token", "ref", "n", "component", "bits", "firsts").mapInArrow(
         _tiles_body(percent, best), "a long, b long").distinct()
 
 
@@ -446,13 +507,18 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     postings = keyed.select("text").mapInArrow(
         _postings_body(width, percent, buckets), "bucket int, tokens binary, owner binary, refs binary, sizes binary")
     shared = written(postings.repartition(buckets, "bucket").mapInArrow(
-        _shared_body(percent), "token long, ref long, n long, hub long, next_hub long"), "shared")
-
-    stars = shared.select(F.explode(F.array("hub", "next_hub")).alias("a"), F.col("ref").alias("b")).where("a <> b").distinct()
-    stars = written(stars, "stars")
-    checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = written(_checked(stars, docs, sets, width, percent), "links")
+        _shared_body(percent), "other long, token long, ref long, n long, hub long, next_hub long"), "shared")
+
+    large = shared.where("other is null")
+    stars = large.select(F.explode(F.array("hub", "next_hub")).alias("a"), F.col("ref").alias("b")).where("a <> b").distinct()
+    small = shared.where("other is not null").groupBy(F.col("other").alias("a"), F.col("ref").alias("b")).agg(F.sum("n").alias("common"))
+    small = _sharing_enough(small, large, sets, percent)
+    first = written(stars.unionAll(small.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+                                              ["a", "b"], "left_anti")), "first-pairs")
+    checked = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = written(_checked(first, docs, sets, width, percent), "links")
     found = connected(links)
+    shared = large.select("token", "ref", "n")
 
     # few smallest hashes while that finds links, then all of them once
     unsigned = F.when(F.col("token") < 0, F.col("token") + F.lit(2.0 ** 64)).otherwise(F.col("token").cast("double"))
