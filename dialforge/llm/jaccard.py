@@ -185,7 +185,8 @@ def band(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _shared_body(percent: int):
-    """All postings of some hashes in, those of shared hashes out, with hubs."""
+    """All postings of some hashes in; pairs under hashes of small groups and
+    the postings of the others out."""
     def run(batches):
         tokens, refs, sizes = [], [], []
         for batch in batches:
@@ -226,28 +227,14 @@ def _shared_body(percent: int):
         token, ref, n = token[many], ref[many], n[many]
         if not len(token):
             return
-        tile = band(n, percent)
-        first = np.ones(len(token), bool)
-        first[1:] = (token[1:] != token[:-1]) | (tile[1:] != tile[:-1])
-        at = np.flatnonzero(first)
-        group = np.cumsum(first) - 1
-        # the hub is the node whose hashes are shared most widely: among edited
-        # copies the text they come from, which most of them link with
-        _, name = np.unique(ref, return_inverse=True)
-        weight = np.bincount(name, np.diff(np.append(at, len(token)))[group])[name]
-        hub = ref[np.lexsort((ref, -weight, group))[at]]
-        after = np.minimum(group + 1, len(at) - 1)
-        adjoins = (token[at[after]] == token) & (tile[at[after]] == tile + 1)
-        early = token.astype(np.float64) * n < STAR_HASHES * 2.0 ** 64
         for lo in range(0, len(token), 1 << 18):
             cut = slice(lo, lo + (1 << 18))
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(token[cut]), pa.int64()), pa.array(token[cut].view(np.int64)), pa.array(ref[cut]), pa.array(n[cut]),
-                 pa.array(hub[group[cut]], mask=~early[cut]), pa.array(hub[after[cut]], mask=~(adjoins & early)[cut])], _SHARED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(token[cut]), pa.int64()), pa.array(token[cut].view(np.int64)),
+                                              pa.array(ref[cut]), pa.array(n[cut])], _SHARED)
     return run
 
 
-_SHARED = ["other", "token", "ref", "n", "hub", "next_hub"]
+_SHARED = ["other", "token", "ref", "n"]
 
 
 def _send_pairs(token: np.ndarray, ref: np.ndarray, n: np.ndarray, percent: int):
@@ -268,9 +255,8 @@ def _send_pairs(token: np.ndarray, ref: np.ndarray, n: np.ndarray, percent: int)
         count = np.diff(np.append(at, len(pairs)))
         for lo in range(0, len(at), 1 << 18):
             cut = at[lo:lo + (1 << 18)]
-            none = pa.nulls(len(cut), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[cut, 0].copy()), none, pa.array(pairs[cut, 1].copy()),
-                                              pa.array(count[lo:lo + (1 << 18)]), none, none], _SHARED)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[cut, 0].copy()), pa.nulls(len(cut), pa.int64()),
+                                              pa.array(pairs[cut, 1].copy()), pa.array(count[lo:lo + (1 << 18)])], _SHARED)
 
 
 # -- checks -----------------------------------------------------------------
@@ -464,6 +450,18 @@ def _tiles_body(percent: int, best: bool):
     return run
 
 
+def _stars(early: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (hub ``a``, node ``b``). The hub of a hash and size band is
+    its node with the most widely shared hashes: among edited copies the text
+    they come from, which most of them link with."""
+    spread = large.groupBy("ref").agg(F.count("*").alias("spread"))
+    tile = F.floor(F.log("n") / math.log(100 / percent) + 1e-9)
+    rows = early.join(spread, "ref").select("token", "ref", "spread", tile.alias("tile"))
+    hubs = rows.groupBy("token", "tile").agg(F.max_by("ref", F.struct("spread", "ref")).alias("a"))
+    both = hubs.unionAll(hubs.select("token", F.col("tile") - 1, "a"))       # a band meets the next one's hub too
+    return rows.join(both, ["token", "tile"]).where("a <> ref").select("a", F.col("ref").alias("b")).distinct()
+
+
 def _sharing_enough(pairs: DataFrame, large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that may share enough posted hashes to link. Sets x, y that link
     have ``o`` or more values in common; of the posted hashes of the one whose
@@ -507,10 +505,12 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     postings = keyed.select("text").mapInArrow(
         _postings_body(width, percent, buckets), "bucket int, tokens binary, owner binary, refs binary, sizes binary")
     shared = written(postings.repartition(buckets, "bucket").mapInArrow(
-        _shared_body(percent), "other long, token long, ref long, n long, hub long, next_hub long"), "shared")
+        _shared_body(percent), "other long, token long, ref long, n long"), "shared")
 
-    large = shared.where("other is null")
-    stars = large.select(F.explode(F.array("hub", "next_hub")).alias("a"), F.col("ref").alias("b")).where("a <> b").distinct()
+    large = shared.where("other is null").select("token", "ref", "n")
+    unsigned = F.when(F.col("token") < 0, F.col("token") + F.lit(2.0 ** 64)).otherwise(F.col("token").cast("double"))
+    early = written(large.where(unsigned * F.col("n") < STAR_HASHES * 2.0 ** 64), "early")
+    stars = written(_stars(early, large, percent), "stars")
     small = shared.where("other is not null").groupBy(F.col("other").alias("a"), F.col("ref").alias("b")).agg(F.sum("n").alias("common"))
     small = _sharing_enough(small, large, sets, percent)
     first = written(stars.unionAll(small.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
@@ -518,14 +518,11 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     checked = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = written(_checked(first, docs, sets, width, percent), "links")
     found = connected(links)
-    shared = large.select("token", "ref", "n")
 
     # few smallest hashes while that finds links, then all of them once
-    unsigned = F.when(F.col("token") < 0, F.col("token") + F.lit(2.0 ** 64)).otherwise(F.col("token").cast("double"))
-    early = written(shared.where(unsigned * F.col("n") < STAR_HASHES * 2.0 ** 64).select("token", "ref", "n"), "early")
     best = True
     while True:
-        pairs = _tile_candidates(early if best else shared, found, sets, buckets, percent, best)
+        pairs = _tile_candidates(early if best else large, found, sets, buckets, percent, best)
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "tile-pairs")
         new = written(_checked(pairs, docs, sets, width, percent), "tile-links")
         if not new.isEmpty():

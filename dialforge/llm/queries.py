@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import jaccard, packing, quality, word_bpe
+from dialforge.llm import jaccard, packing, quality, substring, word_bpe
 from dialforge.session import read_table, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,29 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id FROM sizes s JOIN r
 @register("op9_jaccard_join", JACCARD_SQL)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(documents(spark, sf_dir))
+
+
+#: Every window of 35 words that starts in two places, and the words it covers.
+SUBSTRING_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, unnest([md5(array_to_string(w[j:j + 34], ' ')) for j in range(1, len(w) - 33)]) AS h
+  FROM words WHERE len(w) >= 35),
+repeated AS (SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM repeated),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT k.doc_id, count(*) AS n, string_agg(k.word, ' ' ORDER BY k.p) AS t
+  FROM places k ANTI JOIN gone g ON g.doc_id = k.doc_id AND g.p = k.p GROUP BY k.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+
+@register("op6_substring_dedup", SUBSTRING_SQL)
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeated(documents(spark, sf_dir))
+    words = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
+    return kept.select("row.doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
