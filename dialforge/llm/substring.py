@@ -14,8 +14,9 @@ word sequence starts anywhere else goes.
 2. *Exact pass.* Only windows estimated repeated are dealt out by hash, with 96
    bits of hash, row and place. A task sends each distinct window of its batch
    once however often it occurs there, so no copied passage piles up. Equal
-   hashes meet in one task, which answers with places by row.
-3. Rows take back the places of their windows and drop the words covered.
+   hashes meet in one task, which answers each batch; the answers of a batch
+   meet again and become ranges of covered words by row.
+3. Rows take back their ranges and drop the words covered.
 
 Cases: null and empty texts have no words; texts with fewer words than a window
 stay; a window that repeats within one text counts, overlapping or not; repeated
@@ -188,26 +189,23 @@ def maybe_repeated(anchors: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 # -- exact pass ----------------------------------------------------------------
 
-def _places(key: np.ndarray, place: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    """Places by row: one line for each row number in ``key`` (sorted)."""
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    ends = np.append(at[1:], len(key))
-    who = key[at]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys[who, 0]), pa.array(keys[who, 1]), pa.array([place[a:b].astype("<u4").tobytes() for a, b in zip(at, ends)], pa.binary())],
-        ["k1", "k2", "places"])
+def _ranges(places: np.ndarray, width: int) -> bytes:
+    """Sorted places of windows as (first, end) of the words they cover."""
+    new = np.flatnonzero(np.concatenate([[True], places[1:] > places[:-1] + width]))
+    return np.stack([places[new], places[np.append(new[1:] - 1, len(places) - 1)] + width], axis=1).astype("<u4").tobytes()
 
 
 def _deal_body(width: int, buckets: int, sent):
     """Windows estimated repeated, dealt out by hash; one line per bucket and
     batch. Windows found twice in the batch are known repeated: their places go
     along (bucket drawn from the row), with one witness each."""
-    names = ["bucket", "h1", "h2", "row", "place", "keys"]
+    names = ["bucket", "batch", "h1", "h2", "row", "place", "keys"]
 
     def run(batches):
         bits = sent.value
+        task, sends = TaskContext.get().partitionId() << 32, 0
 
-        def send(held):
+        def send(held, batch):
             keys = np.concatenate([k for k, *_ in held])
             base = np.cumsum([0] + [len(k) for k, *_ in held])[:-1]
             h1, h2, place = (np.concatenate([h[i] for h in held]) for i in (1, 2, 4))
@@ -222,11 +220,6 @@ def _deal_body(width: int, buckets: int, sent):
             mark = np.where(known, place | np.uint32(1 << 31), place)[first]
             lines = []
 
-            def line(bucket, pick, a, b, r, p):
-                who, local = np.unique(r[pick], return_inverse=True)
-                lines.append((int(bucket), a[pick].tobytes(), b[pick].tobytes(), local.astype("<u4").tobytes(),
-                              p[pick].astype("<u4").tobytes(), keys[who].tobytes()))
-
             for parts in ((h1[first], h2[first], row[first], mark), (h1[known][:0], h2[known][:0], row[known], place[known])):
                 a, b, r, p = parts
                 bucket = ((a >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64) if len(a) else \
@@ -234,15 +227,14 @@ def _deal_body(width: int, buckets: int, sent):
                 by = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
                 for c, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    if hi > lo and len(a):
-                        line(c, by[lo:hi], a, b, r, p)
-                    elif hi > lo:
+                    if hi > lo:
                         pick = by[lo:hi]
                         who, local = np.unique(r[pick], return_inverse=True)
-                        lines.append((c, b"", b"", local.astype("<u4").tobytes(), p[pick].astype("<u4").tobytes(), keys[who].tobytes()))
+                        hashes = (a[pick].tobytes(), b[pick].tobytes()) if len(a) else (b"", b"")
+                        lines.append((c, batch, *hashes, local.astype("<u4").tobytes(), p[pick].astype("<u4").tobytes(), keys[who].tobytes()))
             for lo in range(0, len(lines), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    zip(*lines[lo:lo + 64]), (pa.int32(), *[pa.binary()] * 5))], names)
+                    zip(*lines[lo:lo + 64]), (pa.int32(), pa.int64(), *[pa.binary()] * 5))], names)
 
         held, n = [], 0
         for batch in batches:
@@ -259,51 +251,74 @@ def _deal_body(width: int, buckets: int, sent):
                 held.append((k[lo:hi][who], w.hashes(0)[at], (w.hashes(1)[at] >> np.uint64(32)).astype(np.uint32), local, place))
                 n += len(at)
                 if n >= WINDOWS_HELD:
-                    yield from send(held)
-                    held, n = [], 0
+                    yield from send(held, task | sends)
+                    held, n, sends = [], 0, sends + 1
         if n:
-            yield from send(held)
+            yield from send(held, task | sends)
     return run
 
 
 def _meet_body():
-    """All windows of some buckets in; places of repeated ones out, by row."""
+    """All windows of some buckets in; rows and places of repeated ones out,
+    one line for each line in that has any."""
+    names = ["batch", "row", "place", "keys"]
+
     def run(batches):
-        h1, h2, rows, places, keys, base = [], [], [], [], [], 0
+        h1, h2, lines, rows, places, source = [], [], [], [], [], []
         for batch in batches:
-            for _, a, b, r, p, k in zip(*(c.to_pylist() for c in batch.columns)):
-                k = np.frombuffer(k, np.int64).reshape(-1, 2)
-                r, p = np.frombuffer(r, "<u4").astype(np.int64), np.frombuffer(p, "<u4")
+            for _, number, a, b, r, p, k in zip(*(c.to_pylist() for c in batch.columns)):
                 if not a:
-                    order = np.lexsort((p, r))
-                    yield _places(r[order], p[order], k)
+                    yield pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([x], pa.binary()) for x in (r, p, k))], names)
                     continue
                 h1.append(np.frombuffer(a, np.uint64))
                 h2.append(np.frombuffer(b, np.uint32))
-                rows.append(r + base)
-                places.append(p)
-                keys.append(k)
-                base += len(k)
+                rows.append(np.frombuffer(r, "<u4"))
+                places.append(np.frombuffer(p, "<u4"))
+                source.append(np.full(len(rows[-1]), len(lines), np.uint32))
+                lines.append((number, k))
         if not h1:
             return
-        a, b, r, p, k = map(np.concatenate, (h1, h2, rows, places, keys))
-        del h1, h2, rows, places, keys
+        a, b, r, p, line = map(np.concatenate, (h1, h2, rows, places, source))
+        del h1, h2, rows, places, source
         order = np.lexsort((b, a))
-        a, b, r, p = a[order], b[order], r[order], p[order]
+        a, b, r, p, line = a[order], b[order], r[order], p[order], line[order]
         first = np.ones(len(a), bool)
         first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         group = np.cumsum(first) - 1
         repeated = (np.bincount(group)[group] > 1) & (p < 1 << 31)       # a witness's own places went along
-        r, p = r[repeated], p[repeated]
-        order = np.lexsort((p, r))
-        r, p = r[order], p[order]
-        cuts = [0, *(np.flatnonzero(r[1:] != r[:-1]) + 1)[(1 << 14) - 1::1 << 14].tolist(), len(r)]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield _places(r[lo:hi], p[lo:hi], k)
+        order = np.flatnonzero(repeated)
+        order = order[np.argsort(line[order], kind="stable")]
+        r, p, line = r[order], p[order], line[order]
+        cuts = np.searchsorted(line, np.arange(len(lines) + 1))
+        for (number, k), lo, hi in zip(lines, cuts[:-1], cuts[1:]):
+            if hi > lo:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([r[lo:hi].tobytes()]), pa.array([p[lo:hi].tobytes()]), pa.array([k])], names)
+    return run
+
+
+def _gather_body(width: int):
+    """Answers to some batches in; one line of ranges per row of a batch out."""
+    def run(batches):
+        answers: dict[int, list] = {}
+        for batch in batches:
+            for number, r, p, k in zip(*(c.to_pylist() for c in batch.columns)):
+                answers.setdefault(number, []).append(
+                    (np.frombuffer(k, np.int64).reshape(-1, 2)[np.frombuffer(r, "<u4")], np.frombuffer(p, "<u4")))
+        while answers:
+            _, parts = answers.popitem()
+            keys, places = np.concatenate([k for k, _ in parts]), np.concatenate([p for _, p in parts]).astype(np.int64)
+            order = np.lexsort((places, keys[:, 1], keys[:, 0]))
+            keys, places = keys[order], places[order]
+            at = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            ends = np.append(at[1:], len(places))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[at, 0].copy()), pa.array(keys[at, 1].copy()),
+                 pa.array([_ranges(places[a:b], width) for a, b in zip(at, ends)], pa.binary())], ["k1", "k2", "ranges"])
     return run
 
 
-def _cut_body(width: int, others: list[str]):
+def _cut_body():
     def run(batches):
         for batch in batches:
             found = batch.column("found")
@@ -313,9 +328,9 @@ def _cut_body(width: int, others: list[str]):
                 cover = np.zeros(len(start) + 1, np.int64)
                 for i in range(lo, hi):
                     for raw in found[i].as_py() or ():
-                        at = np.frombuffer(raw, "<u4").astype(np.int64) + first[i - lo]
-                        np.add.at(cover, at, 1)
-                        np.add.at(cover, at + width, -1)
+                        at = np.frombuffer(raw, "<u4").astype(np.int64).reshape(-1, 2) + first[i - lo]
+                        np.add.at(cover, at[:, 0], 1)
+                        np.add.at(cover, at[:, 1], -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 # a removed word goes with the space up to the next word or the text's end
                 edge = np.zeros(len(buf) + 1, np.int64)
@@ -348,9 +363,10 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sent = spark.sparkContext.broadcast(sketch(base, width))
     buckets = shuffle_partitions(spark)
     dealt = base.select("k1", "k2", "text").mapInArrow(
-        _deal_body(width, buckets, sent), "bucket int, h1 binary, h2 binary, row binary, place binary, keys binary")
-    places = dealt.repartition(buckets, "bucket").mapInArrow(_meet_body(), "k1 long, k2 long, places binary")
-    found = places.groupBy("k1", "k2").agg(F.collect_list("places").alias("found"))
+        _deal_body(width, buckets, sent), "bucket int, batch long, h1 binary, h2 binary, row binary, place binary, keys binary")
+    answers = dealt.repartition(buckets, "bucket").mapInArrow(_meet_body(), "batch long, row binary, place binary, keys binary")
+    ranges = answers.repartition(buckets, "batch").mapInArrow(_gather_body(width), "k1 long, k2 long, ranges binary")
+    found = ranges.groupBy("k1", "k2").agg(F.collect_list("ranges").alias("found"))
     joined = base.join(found, ["k1", "k2"], "left").select("row", "text", "found")
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_cut_body(width, others), f"row {kind}, text string, n_words long, n_removed long")
+    return joined.mapInArrow(_cut_body(), f"row {kind}, text string, n_words long, n_removed long")
