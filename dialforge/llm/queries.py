@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import jaccard, packing, quality, substring, word_bpe
+from dialforge.llm import fingerprints, jaccard, packing, quality, secrets, substring, word_bpe
 from dialforge.session import read_table, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,27 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeated(documents(spark, sf_dir))
     words = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
     return kept.select("row.doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+def _joined_spans(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@register("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs.select("doc_id", "text"), secrets.train(docs))
+    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]}
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select("row.doc_id", *count.values(), F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+                        _joined_spans(F.col("spans")).alias("spans"))
+
+
+@register("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.fingerprints(documents(spark, sf_dir))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       fingerprints.fingerprint("anchors").alias("fingerprint"),
+                       fingerprints.fingerprint("edited_anchors").alias("edited_fingerprint"),
+                       fingerprints.likeness("anchors", "edited_anchors").alias("near_edited"),
+                       fingerprints.likeness("anchors", "next_anchors").alias("near_next"))
