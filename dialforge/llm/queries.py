@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import fingerprints, jaccard, packing, quality, secrets, substring, word_bpe
+from dialforge.llm import fingerprints, jaccard, neighbours, packing, quality, secrets, substring, word_bpe
 from dialforge.session import read_table, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +138,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        fingerprints.fingerprint("edited_anchors").alias("edited_fingerprint"),
                        fingerprints.likeness("anchors", "edited_anchors").alias("near_edited"),
                        fingerprints.likeness("anchors", "next_anchors").alias("near_next"))
+
+
+@register("op10_neighbours")
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(table_path(sf_dir, "embeddings")))
