@@ -492,7 +492,9 @@ def _tile_candidates(postings: DataFrame, found: DataFrame, sets: DataFrame, buc
 # -- the operator -----------------------------------------------------------
 
 def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id`` (a whole number), n_shingles, component_id: one row per row of ``docs``."""
+    """``doc_id`` (a whole number), n_shingles, component_id: one row per row of
+    ``docs``; also ``doc_key`` (``document_key``) and ``group``, which names the
+    component for documents without doc_id too."""
     spark = docs.sparkSession
     keyed = _with_key(docs)
     members = written(keyed.mapInArrow(_members_body(width), "doc_id long, doc_key long, ref long, n long, bits binary"),
@@ -536,9 +538,22 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
             break
         checked = checked.unionAll(pairs)
 
-    joined = members.select("doc_id", "ref", "n").join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
-        "doc_id", "n", F.coalesce("component", "ref").alias("component"))
+    joined = members.select("doc_id", "doc_key", "ref", "n").join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
+        "doc_id", "doc_key", "n", F.coalesce("component", "ref").alias("component"))
     least = joined.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return joined.join(least, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(
-            F.col("least")).alias("component_id"))
+            F.col("least")).alias("component_id"), "doc_key", F.coalesce("component", "doc_key").alias("group"))
+
+
+def document_key():
+    return F.xxhash64("doc_id", F.col("text").cast("string"))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, once;
+    a component without doc_ids keeps one row."""
+    found = components(docs, width, percent)
+    keep = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("k")).select(F.col("k.doc_key"))
+    rows = docs.select(F.struct("*").alias("row"), document_key().alias("doc_key"))
+    return rows.join(keep.distinct(), "doc_key", "left_semi").dropDuplicates(["doc_key"]).select("row.*")

@@ -258,11 +258,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, metadata: list[str
     return fit(words, meta, stats, table["label"].to_numpy(), share)
 
 
-def score(docs: DataFrame, machine: Machine | float, metadata: list[str]) -> DataFrame:
-    """``doc_id, score`` of every row of ``docs``."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def score(docs: DataFrame, machine: Machine | float, metadata: list[str], carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``carry``, all by default) and score, for
+    every row of ``docs``."""
+    row = F.struct(*(carry or docs.columns)).alias("row")
     if isinstance(machine, float):
-        return docs.select("doc_id", F.lit(machine).alias("score"))
+        return docs.select(row, F.lit(machine).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
     def rows(batches):
@@ -270,7 +271,7 @@ def score(docs: DataFrame, machine: Machine | float, metadata: list[str]) -> Dat
         for batch in batches:
             for lo, hi, words, meta, stats in _prepare(batch, metadata):
                 got = m.scores(assemble(words, meta, m.standardise(stats)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(got, pa.float64())],
-                                                 ["key", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(got, pa.float64())], ["row", "score"])
 
-    return _inputs(docs, metadata).mapInArrow(rows, f"key {kind}, score double").withColumnRenamed("key", "doc_id")
+    base = docs.select(row, F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"meta_{i}") for i, c in enumerate(metadata)])
+    return base.mapInArrow(rows, f"row {base.schema['row'].dataType.simpleString()}, score double")

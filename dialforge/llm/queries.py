@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import fingerprints, jaccard, neighbours, packing, quality, secrets, substring, word_bpe
+from dialforge.llm import edits, fingerprints, jaccard, neighbours, ordering, packing, quality, secrets, substring, word_bpe
 from dialforge.session import read_table, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,8 +60,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("n_chars", F.length("text"))
     labels = spark.read.parquet(table_path(sf_dir, "labels"))
     machine = quality.train(docs, labels, ~held_out(), QUALITY_METADATA)
-    return quality.score(docs, machine, QUALITY_METADATA).select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+    return quality.score(docs, machine, QUALITY_METADATA, ["doc_id"]).select(
+        "row.doc_id", F.coalesce(held_out("row.doc_id"), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -87,7 +87,7 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id FROM sizes s JOIN r
 
 @register("op9_jaccard_join", JACCARD_SQL)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.components(documents(spark, sf_dir))
+    return jaccard.components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 #: Every window of 35 words that starts in two places, and the words it covers.
@@ -120,13 +120,17 @@ def _joined_spans(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _spans_of(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind))
+
+
 @register("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = secrets.scan(docs.select("doc_id", "text"), secrets.train(docs))
-    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]}
+    count = [_spans_of(kind).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
     base = F.filter("spans", lambda s: s["kind"] != "crf")
-    return found.select("row.doc_id", *count.values(), F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+    return found.select("row.doc_id", *count, F.sha2(_joined_spans(base), 256).alias("base_sha256"),
                         _joined_spans(F.col("spans")).alias("spans"))
 
 
@@ -143,3 +147,27 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_neighbours")
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
+def _three_edits():
+    """Per document: a cut at a third, an insertion at half, and a replacement
+    near the end, each by pieces of the document itself."""
+    n = F.length("text")
+    return F.array(
+        F.struct(F.floor(n / 3).alias("start"), F.lit(40).alias("removed"), F.lit("").alias("inserted")),
+        F.struct(F.floor(n / 2).alias("start"), F.lit(0).alias("removed"), F.substring("text", 1, 60).alias("inserted")),
+        F.struct((n - 30).alias("start"), F.lit(12).alias("removed"), F.upper(F.substring("text", 20, 25)).alias("inserted")))
+
+
+@register("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = edits.count_edited(docs, _three_edits(), BYTE_BPE)
+    return counted.select("row.doc_id", "tokens_before", "blocks", "tokens", "n_chars", "encoded_chars",
+                          F.sha2("text", 256).alias("edited_sha256"))
+
+
+@register("op5_training_order")
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = ordering.in_training_order(ordering.sequences(documents(spark, sf_dir), BYTE_BPE), key="epoch-0")
+    return ordered.select("slot", "shard", "record", "row.doc_id", "row.start", "row.n_ids", F.crc32("row.ids").alias("ids_crc32"))
