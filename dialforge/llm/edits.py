@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import SPLIT, encoder
+from dialforge.llm.store import text_batches
 
 BLOCK = 64
 BACK = 4
@@ -172,6 +173,7 @@ def count_edited(docs: DataFrame, edits: Column, tokenizer: str, leaves: str | N
     n_chars, encoded_chars, text and leaves after the edits. ``edits`` is an
     array of (start, removed, inserted) in code points; ``leaves`` names a column
     kept from an earlier run, so that the text is not encoded at all."""
+    text_batches(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", leaves)]
     base = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"),
                        edits.cast("array<struct<start:bigint,removed:bigint,inserted:string>>").alias("edits"),

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
 from dialforge.llm.components import connected
-from dialforge.llm.store import shuffle_partitions, written
+from dialforge.llm.store import shuffle_partitions, text_batches, written
 
 WIDTH, PERCENT = 5, 75
 POSTINGS = 1 << 19      # postings that a task gathers before it sends them
@@ -496,6 +496,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     ``docs``; also ``doc_key`` (``document_key``) and ``group``, which names the
     component for documents without doc_id too."""
     spark = docs.sparkSession
+    text_batches(spark)
     keyed = _with_key(docs)
     members = written(keyed.mapInArrow(_members_body(width), "doc_id long, doc_key long, ref long, n long, bits binary"),
                       "members")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import document_ids
-from dialforge.llm.store import shuffle_partitions
+from dialforge.llm.store import shuffle_partitions, text_batches
 from dialforge.session import scratch_path
 
 LENGTH = 1024
@@ -58,6 +58,7 @@ def feistel(x: np.ndarray, n: int, key: str) -> np.ndarray:
 
 def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1) -> DataFrame:
     """``doc_id, start, n_ids, ids`` (little-endian uint32, padded to ``length``)."""
+    text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):

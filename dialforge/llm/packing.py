@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import document_ids
+from dialforge.llm.store import text_batches
 
 POOL = 1024        # rests of examples that a task chooses from
 MIN_CUT = 16       # a gap below this many tokens is padded
@@ -171,6 +172,7 @@ def pack(examples: DataFrame, key: str, limits: Limits = Limits(), loss_from: st
 
 def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int = 1) -> DataFrame:
     """Tokenise ``doc_id, text`` and pack the documents, each closed by ``end_id``."""
+    text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
         document_ids(tokenizer, end_id), f"key {kind}, ids binary").withColumnRenamed("key", "doc_id")

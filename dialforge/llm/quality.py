@@ -26,10 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
+from dialforge.llm.store import text_batches
 
 WORD_BITS = 16
 META_BITS = 10
@@ -220,6 +222,7 @@ def training_sample(labels: DataFrame, usable: Column, label: str = "quality", p
 def train(docs: DataFrame, labels: DataFrame, usable: Column, metadata: list[str], label: str = "quality") -> Machine | float:
     """A machine, or a constant score where there is nothing to learn."""
     spark = docs.sparkSession
+    text_batches(spark)
     sample = training_sample(labels, usable, label).collect()          # at most 2 * PER_CLASS ids
     if not sample:
         return 0.5
@@ -261,7 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, metadata: list[str
 def score(docs: DataFrame, machine: Machine | float, metadata: list[str], carry: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the columns ``carry``, all by default) and score, for
     every row of ``docs``."""
-    row = F.struct(*(carry or docs.columns)).alias("row")
+    text_batches(docs.sparkSession)
+    carry = carry or docs.columns
+    row = F.struct(*carry).alias("row")
     if isinstance(machine, float):
         return docs.select(row, F.lit(machine).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(machine)
@@ -269,9 +274,13 @@ def score(docs: DataFrame, machine: Machine | float, metadata: list[str], carry:
     def rows(batches):
         m = sent.value
         for batch in batches:
+            if in_row is not None:          # the text travels once, inside the row
+                batch = batch.add_column(1, "text", pc.struct_field(batch.column(0), in_row))
             for lo, hi, words, meta, stats in _prepare(batch, metadata):
                 got = m.scores(assemble(words, meta, m.standardise(stats)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(got, pa.float64())], ["row", "score"])
 
-    base = docs.select(row, F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"meta_{i}") for i, c in enumerate(metadata)])
+    in_row = carry.index("text") if "text" in carry and dict(docs.dtypes)["text"] == "string" else None
+    text = [] if in_row is not None else [F.col("text").cast("string").alias("text")]
+    base = docs.select(row, *text, *[F.col(c).alias(f"meta_{i}") for i, c in enumerate(metadata)])
     return base.mapInArrow(rows, f"row {base.schema['row'].dataType.simpleString()}, score double")

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialforge.llm.store import text_batches
+
 #: The rules, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -200,6 +202,7 @@ def fit_texts(texts: list[str], seed: int = 11) -> Field | None:
 
 def train(docs: DataFrame) -> Field | None:
     """A field from a bounded sample of ``docs``, lowest hashes of text first."""
+    text_batches(docs.sparkSession)
     has = F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def flag(batches):
@@ -301,6 +304,7 @@ def redact(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
 def scan(docs: DataFrame, field: Field | None, mark: str | None = None) -> DataFrame:
     """``row`` (a struct of all columns of ``docs`` but text), spans; with a
     ``mark`` also text, in which it replaces every span."""
+    text_batches(docs.sparkSession)
     others = [c for c in docs.columns if c != "text"]
     base = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(field)

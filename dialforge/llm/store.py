@@ -20,3 +20,14 @@ def shuffle_partitions(spark: SparkSession, items: int = 0, per_task: int = 1 <<
     """The session's number of shuffle partitions, or more if a task would
     otherwise hold over ``per_task`` items."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items // per_task))
+
+
+TEXT_ROWS = 512         # rows of an Arrow batch that holds whole texts
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python workers in small batches: the
+    default of 10,000 rows can be hundreds of MB of long documents."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > TEXT_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(TEXT_ROWS))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
-from dialforge.llm.store import shuffle_partitions
+from dialforge.llm.store import shuffle_partitions, text_batches
 
 WIDTH = 35
 ANCHOR = 16             # words of the shingles that anchors are chosen from
@@ -356,6 +356,7 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``row`` (a struct of all columns of ``docs`` but text), text (what is
     kept, with its white space), n_words, n_removed: one row per row of ``docs``."""
     spark = docs.sparkSession
+    text_batches(spark)
     others = [c for c in docs.columns if c != "text"]
     base = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
     base = base.select("row", "text", F.xxhash64("row.doc_id", "text").alias("k1"),

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import byte_alphabet
+from dialforge.llm.store import text_batches
 
 SHORT = 40
 CACHED_WORDS = 250_000     # per worker; the cache starts anew beyond it
@@ -258,6 +259,7 @@ def _decode_body(path: str):
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, text`` -> doc_id, ids (little-endian uint32 binary)."""
+    text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
         _encode_body(tokenizer), f"key {kind}, ids binary").withColumnRenamed("key", "doc_id")
