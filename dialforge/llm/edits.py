@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import SPLIT, encoder
-from dialforge.llm.store import text_batches
+from dialforge.llm.store import map_arrow, text_batches
 
 BLOCK = 64
 BACK = 4
@@ -90,7 +90,7 @@ def _counter(path: str):
     def count(piece: str) -> int:
         n = known.get(piece)
         if n is None:
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
             known[piece] = n = len(enc.ranks.encode_ordinary(piece)) if piece.isascii() else \
                 len(enc.library.encode(piece, add_special_tokens=False).ids)
@@ -179,5 +179,5 @@ def count_edited(docs: DataFrame, edits: Column, tokenizer: str, leaves: str | N
                        edits.cast("array<struct<start:bigint,removed:bigint,inserted:string>>").alias("edits"),
                        *([F.col(leaves).alias("leaves")] if leaves else []))
     kind = base.schema["row"].dataType.simpleString()
-    return base.mapInArrow(_apply_body(tokenizer), f"row {kind}, tokens_before long, blocks long, tokens long, n_chars long, "
+    return base.transform(map_arrow, _apply_body(tokenizer), f"row {kind}, tokens_before long, blocks long, tokens long, n_chars long, "
                            "encoded_chars long, text string, leaves array<struct<chars:bigint,tokens:bigint>>")

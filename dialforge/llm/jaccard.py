@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
 from dialforge.llm.components import connected
-from dialforge.llm.store import shuffle_partitions, text_batches, written
+from dialforge.llm.store import map_arrow, shuffle_partitions, text_batches, written
 
 WIDTH, PERCENT = 5, 75
 POSTINGS = 1 << 19      # postings that a task gathers before it sends them
@@ -276,7 +276,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     b = sets.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
     near = pairs.join(a, "a").join(b, "b").where(
         (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    return near.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+    return near.select("a", "b", "na", "nb", "bits_a", "bits_b").transform(map_arrow, run, "a long, b long")
 
 
 def _filter_bits(keys: DataFrame) -> np.ndarray:
@@ -296,7 +296,7 @@ def _filter_bits(keys: DataFrame) -> np.ndarray:
                                               pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["part", "bits"])
 
     dealt = keys.select(F.shiftrightunsigned(keys.columns[0], 64 - low).cast("int").alias("part"), keys.columns[0])
-    rows = dealt.repartition("part").select(keys.columns[0]).mapInArrow(run, "part int, bits binary").collect()
+    rows = dealt.repartition("part").select(keys.columns[0]).transform(map_arrow, run, "part int, bits binary").collect()
     out = np.zeros((1 << low, 1 << 16), np.uint8)
     for r in rows:
         out[r["part"]] |= np.frombuffer(r["bits"], np.uint8)
@@ -316,7 +316,7 @@ def _texts(docs: DataFrame, sets: DataFrame, refs: DataFrame) -> DataFrame:
             hit = bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
             yield batch.filter(pa.array(hit.astype(bool)))
 
-    found = _with_key(docs).select("doc_key", "text").mapInArrow(run, "doc_key long, text string")
+    found = _with_key(docs).select("doc_key", "text").transform(map_arrow, run, "doc_key long, text string")
     return found.join(wanted, "doc_key").select("ref", "text")
 
 
@@ -346,7 +346,7 @@ def _checked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, per
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["u", "v"])
 
     placed = dealt.unionByName(hubs).join(texts, "ref").repartition("a", "part")
-    return placed.sortWithinPartitions("a", "part", "member").select("a", "part", "ref", "member", "text").mapInArrow(
+    return placed.sortWithinPartitions("a", "part", "member").select("a", "part", "ref", "member", "text").transform(map_arrow,
         run, "u long, v long")
 
 
@@ -480,12 +480,12 @@ def _tile_candidates(postings: DataFrame, found: DataFrame, sets: DataFrame, buc
     """Distinct pairs ``a < b`` from the tiles of hashes shared across components."""
     labelled = postings.join(found.withColumnRenamed("node", "ref"), "ref", "left").select(
         "token", "ref", "n", F.coalesce("component", "ref").alias("component"))
-    across = labelled.repartition(buckets, "token").mapInArrow(
+    across = labelled.repartition(buckets, "token").transform(map_arrow,
         _across_body(percent), "token long, ref long, n long, component long")
     firsts = postings.groupBy("ref").agg(F.slice(F.array_sort(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
     side = sets.select("ref", "bits").join(firsts, "ref")
     tiles = across.join(side, "ref").repartition(buckets, "token").sortWithinPartitions("token", "n", "ref")
-    return tiles.select("token", "ref", "n", "component", "bits", "firsts").mapInArrow(
+    return tiles.select("token", "ref", "n", "component", "bits", "firsts").transform(map_arrow,
         _tiles_body(percent, best), "a long, b long").distinct()
 
 
@@ -498,16 +498,16 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     spark = docs.sparkSession
     text_batches(spark)
     keyed = _with_key(docs)
-    members = written(keyed.mapInArrow(_members_body(width), "doc_id long, doc_key long, ref long, n long, bits binary"),
+    members = written(keyed.transform(map_arrow, _members_body(width), "doc_id long, doc_key long, ref long, n long, bits binary"),
                       "members")
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = shuffle_partitions(spark, total * (100 - percent) // 100)
     sets = written(members.where("ref is not null").groupBy("ref").agg(
         F.min("doc_key").alias("doc_key"), F.min("n").alias("n"), F.min("bits").alias("bits")), "sets")
 
-    postings = keyed.select("text").mapInArrow(
+    postings = keyed.select("text").transform(map_arrow,
         _postings_body(width, percent, buckets), "bucket int, tokens binary, owner binary, refs binary, sizes binary")
-    shared = written(postings.repartition(buckets, "bucket").mapInArrow(
+    shared = written(postings.repartition(buckets, "bucket").transform(map_arrow,
         _shared_body(percent), "other long, token long, ref long, n long"), "shared")
 
     large = shared.where("other is null").select("token", "ref", "n")

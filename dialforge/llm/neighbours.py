@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialforge.llm.store import shuffle_partitions, written
+from dialforge.llm.store import map_arrow, shuffle_partitions, written
 
 ORDERS, DIMS, BITS = 6, 6, 10
 TILE = 256              # vectors of a tile, on average
@@ -134,7 +134,7 @@ def distinct_vectors(table: DataFrame, id_col: str, vector_col: str, every: int,
         if held:
             yield send()
 
-    parts = ok.mapInArrow(rows, "v binary, ids array<bigint>, asked boolean")
+    parts = ok.transform(map_arrow, rows, "v binary, ids array<bigint>, asked boolean")
     ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)
     return parts.groupBy("v").agg(ids.alias("ids"), F.max("asked").alias("asked")).select(F.col("ids")[0].alias("vid"), "v", "ids", "asked")
 
@@ -200,7 +200,7 @@ def _fit(vectors: DataFrame, curves: Curves, tiles: int, k: int) -> int:
             yield pa.RecordBatch.from_arrays([pa.array(s.who), pa.array(s.vid), pa.array(s.score),
                                               pa.array([kept[i].tobytes() for i in s.vid.tolist()])], ["who", "vid", "score", "v"])
 
-    found = vectors.select("vid", "v").mapInArrow(rows, "who long, vid long, score double, v binary")
+    found = vectors.select("vid", "v").transform(map_arrow, rows, "who long, vid long, score double, v binary")
     best = Window.partitionBy("who").orderBy(F.desc("score"), "vid")
     near = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).collect()    # at most SAMPLE * (k + 1)
     near = [r for r in near if r["vid"] != own[r["who"]]]
@@ -286,7 +286,7 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             size = (_matrix(batch.column(0)) ** 2).sum(axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([float(size.max())]), pa.array([float(size.sum())])], ["most", "total"])
 
-    most, total = vectors.select("v").mapInArrow(sizes, "most double, total double").agg(F.max("most"), F.sum("total")).first()
+    most, total = vectors.select("v").transform(map_arrow, sizes, "most double, total double").agg(F.max("most"), F.sum("total")).first()
     curves = Curves.random(dim // 8, most ** 0.5, max((total / n / (dim // 8)) ** 0.5, most ** 0.5 * 1e-6))
     tiles = int(min(max(n // TILE, 1), MAX_TILES))
 
@@ -295,16 +295,16 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             for o, key in enumerate(curves.keys(_matrix(batch.column(0)), False)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), o, np.int32)), pa.array(key)], ["ordering", "key"])
 
-    cuts = vectors.select("v").mapInArrow(keys, "ordering int, key long").groupBy("ordering").agg(
+    cuts = vectors.select("v").transform(map_arrow, keys, "ordering int, key long").groupBy("ordering").agg(
         F.percentile_approx("key", [i / tiles for i in range(1, tiles)] or [0.5], 10 * MAX_TILES).alias("cuts")).collect()
     curves.bounds = [np.array(sorted(r["cuts"]), np.int64) for r in sorted(cuts, key=lambda r: r["ordering"])]
     curves.reach = _fit(vectors, curves, tiles, k)
     run_tiles = max(2 * curves.reach, 8)
 
-    placed = vectors.select("vid", "v", "asked").mapInArrow(
+    placed = vectors.select("vid", "v", "asked").transform(map_arrow,
         _place_body(curves, run_tiles), "ordering int, run int, kind int, tile int, vid long, v binary")
     placed = placed.repartition(shuffle_partitions(spark), "ordering", "run").sortWithinPartitions("ordering", "run", "kind")
-    found = placed.mapInArrow(_search_body(curves.reach, k + 1), "query long, vid long, score double").distinct()
+    found = placed.transform(map_arrow, _search_body(curves.reach, k + 1), "query long, vid long, score double").distinct()
     # the best of all orderings, then the ids behind each vector, then each query without itself
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     ids = found.join(vectors.select("vid", "ids"), "vid").select("query", "score", F.explode("ids").alias("id"))
@@ -321,7 +321,7 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in keep], pa.int64()), pa.array([b for _, b in keep], pa.binary())],
                                              ["query_id", "v"])
 
-    asked = asked.mapInArrow(raw, "query_id long, v binary").join(vectors.where("asked").select("v", F.col("vid").alias("query")), "v")
+    asked = asked.transform(map_arrow, raw, "query_id long, v binary").join(vectors.where("asked").select("v", F.col("vid").alias("query")), "v")
     near = asked.join(ids, "query").select(
         "query_id", F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k).alias("near"))
     return near.select("query_id", F.posexplode("near").alias("rank", "x")).select(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import document_ids
-from dialforge.llm.store import shuffle_partitions, text_batches
+from dialforge.llm.store import map_arrow, shuffle_partitions, text_batches
 from dialforge.session import scratch_path
 
 LENGTH = 1024
@@ -73,9 +73,9 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
                      pa.array([p + PAD.to_bytes(4, "little") * (length - len(p) // 4) for p in parts], pa.binary())],
                     ["key", "start", "n_ids", "ids"])
 
-    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
+    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).transform(map_arrow,
         document_ids(tokenizer, end_id), f"key {kind}, ids binary")
-    return ids.mapInArrow(cut, f"key {kind}, start long, n_ids long, ids binary").withColumnRenamed("key", "doc_id")
+    return ids.transform(map_arrow, cut, f"key {kind}, start long, n_ids long, ids binary").withColumnRenamed("key", "doc_id")
 
 
 def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFrame:
@@ -102,7 +102,7 @@ def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFram
                              F.col("_metadata.row_index").alias("at"))
     numbered = numbered.join(F.broadcast(starts), "file").select("row", (F.col("first") + F.col("at")).alias("number"))
     kind = numbered.schema["row"].dataType.simpleString()
-    placed = numbered.mapInArrow(place, f"row {kind}, slot long").select(
+    placed = numbered.transform(map_arrow, place, f"row {kind}, slot long").select(
         "row", "slot", F.floor(F.col("slot") / shard).cast("long").alias("shard"), (F.col("slot") % shard).cast("long").alias("record"))
     return placed.repartitionByRange(shuffle_partitions(spark, n, 1 << 15), "shard").sortWithinPartitions("slot")
 

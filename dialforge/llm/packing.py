@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import document_ids
-from dialforge.llm.store import text_batches
+from dialforge.llm.store import map_arrow, text_batches
 
 POOL = 1024        # rests of examples that a task chooses from
 MIN_CUT = 16       # a gap below this many tokens is padded
@@ -165,7 +165,7 @@ def pack(examples: DataFrame, key: str, limits: Limits = Limits(), loss_from: st
     kind = examples.schema[key].dataType.simpleString()
     rows = examples.select(F.col(key).alias("key"), F.col("ids"),
                            (F.col(loss_from) if loss_from else F.lit(0)).cast("long").alias("loss_from"))
-    out = rows.mapInArrow(_body(limits), f"key {kind}, start long, length long, ids binary, doc_tokens long, "
+    out = rows.transform(map_arrow, _body(limits), f"key {kind}, start long, length long, ids binary, doc_tokens long, "
                                          "sequence_id long, offset long")
     return out.withColumnRenamed("key", key)
 
@@ -174,6 +174,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
     """Tokenise ``doc_id, text`` and pack the documents, each closed by ``end_id``."""
     text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
+    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).transform(map_arrow,
         document_ids(tokenizer, end_id), f"key {kind}, ids binary").withColumnRenamed("key", "doc_id")
     return pack(ids, "doc_id", limits)

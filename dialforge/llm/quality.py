@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
-from dialforge.llm.store import text_batches
+from dialforge.llm.store import map_arrow, text_batches
 
 WORD_BITS = 16
 META_BITS = 10
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, metadata: list[str
                     ["feature", "value", "meta", "stats", "key", "label"])
 
     table = _inputs(docs, metadata).join(F.broadcast(chosen), "key").select(
-        "key", "text", *[f"meta_{i}" for i in range(len(metadata))], "label").mapInArrow(
+        "key", "text", *[f"meta_{i}" for i in range(len(metadata))], "label").transform(map_arrow,
         rows, "feature binary, value binary, meta binary, stats binary, key long, label int").toPandas()
     sizes = {r["label"]: r["of_class"] for r in sample}
     total = sum(sizes.values())
@@ -283,4 +283,4 @@ def score(docs: DataFrame, machine: Machine | float, metadata: list[str], carry:
     in_row = carry.index("text") if "text" in carry and dict(docs.dtypes)["text"] == "string" else None
     text = [] if in_row is not None else [F.col("text").cast("string").alias("text")]
     base = docs.select(row, *text, *[F.col(c).alias(f"meta_{i}") for i, c in enumerate(metadata)])
-    return base.mapInArrow(rows, f"row {base.schema['row'].dataType.simpleString()}, score double")
+    return base.transform(map_arrow, rows, f"row {base.schema['row'].dataType.simpleString()}, score double")

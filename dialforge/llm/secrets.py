@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialforge.llm.store import text_batches
+from dialforge.llm.store import map_arrow, text_batches
 
 #: The rules, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "crf")
@@ -81,7 +81,7 @@ def _shape(token: str) -> int:
 
 class _Shapes(dict):
     def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         self[token] = c = _shape(token)
         return c
@@ -210,7 +210,7 @@ def train(docs: DataFrame) -> Field | None:
             hit = [bool(t) and bool(base_spans(t)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(hit, pa.bool_())], ["h", "hit"])
 
-    flags = docs.select(has.alias("text"), F.xxhash64(has).alias("h")).mapInArrow(flag, "h long, hit boolean")
+    flags = docs.select(has.alias("text"), F.xxhash64(has).alias("h")).transform(map_arrow, flag, "h long, hit boolean")
     chosen = [r["h"] for hit in (True, False)
               for r in flags.where(F.col("hit") == hit).select("h").distinct().orderBy("h").limit(PER_KIND).collect()]
     if not chosen:
@@ -249,10 +249,7 @@ def decode(field: Field, shape: np.ndarray, caution: float = CAUTION) -> list[tu
     ends = max(0.0, max(s[OUT, BEGIN], s[OUT, INSIDE]) + max(s[BEGIN, OUT], s[INSIDE, OUT]) - 2 * s[OUT, OUT])
     gain = np.maximum(u[:, BEGIN], u[:, INSIDE]) - u[:, OUT] + inner
     most = gain[gain > 0].sum() + ends
-    hot = np.flatnonzero(gain > 0)
-    if not len(hot):
-        hot = np.flatnonzero(gain + ends > 0)     # an entity without a promising token
-        most = ends
+    hot = np.flatnonzero(gain + ends > 0)         # every entity has such a token
     if not len(hot):
         return []
     loss = np.cumsum(np.maximum(-gain, 0))
@@ -329,5 +326,5 @@ def scan(docs: DataFrame, field: Field | None, mark: str | None = None) -> DataF
                     lo, held, spans, texts = i + 1, 0, [], []
 
     kind = base.schema["row"].dataType.simpleString()
-    return base.mapInArrow(rows, f"row {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
+    return base.transform(map_arrow, rows, f"row {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
                            + (", text string" if mark is not None else ""))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm import text as tx
-from dialforge.llm.store import shuffle_partitions, text_batches
+from dialforge.llm.store import map_arrow, shuffle_partitions, text_batches
 
 WIDTH = 35
 ANCHOR = 16             # words of the shingles that anchors are chosen from
@@ -170,9 +170,9 @@ def sketch(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     twice or more."""
     kinds = "shard int, salt int, once binary, more binary"
     shards = DEPTH << CELL_BITS - SHARD_BITS
-    parts = texts.select("text").mapInArrow(_partial_sketch_body(width), kinds)
-    some = parts.repartition(shards * 2, "shard", "salt").mapInArrow(_merge_body(False), kinds)
-    merged = some.repartition(shards, "shard").mapInArrow(_merge_body(True), "shard int, bits binary").collect()
+    parts = texts.select("text").transform(map_arrow, _partial_sketch_body(width), kinds)
+    some = parts.repartition(shards * 2, "shard", "salt").transform(map_arrow, _merge_body(False), kinds)
+    merged = some.repartition(shards, "shard").transform(map_arrow, _merge_body(True), "shard int, bits binary").collect()
     out = np.zeros((shards, 1 << SHARD_BITS - 3), np.uint8)
     for r in merged:
         out[r["shard"]] = np.frombuffer(r["bits"], np.uint8)
@@ -363,11 +363,11 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                        F.xxhash64(F.lit("second"), "text", "row.doc_id").alias("k2"))
     sent = spark.sparkContext.broadcast(sketch(base, width))
     buckets = shuffle_partitions(spark)
-    dealt = base.select("k1", "k2", "text").mapInArrow(
+    dealt = base.select("k1", "k2", "text").transform(map_arrow,
         _deal_body(width, buckets, sent), "bucket int, batch long, h1 binary, h2 binary, row binary, place binary, keys binary")
-    answers = dealt.repartition(buckets, "bucket").mapInArrow(_meet_body(), "batch long, row binary, place binary, keys binary")
-    ranges = answers.repartition(buckets, "batch").mapInArrow(_gather_body(width), "k1 long, k2 long, ranges binary")
+    answers = dealt.repartition(buckets, "bucket").transform(map_arrow, _meet_body(), "batch long, row binary, place binary, keys binary")
+    ranges = answers.repartition(buckets, "batch").transform(map_arrow, _gather_body(width), "k1 long, k2 long, ranges binary")
     found = ranges.groupBy("k1", "k2").agg(F.collect_list("ranges").alias("found"))
     joined = base.join(found, ["k1", "k2"], "left").select("row", "text", "found")
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_cut_body(), f"row {kind}, text string, n_words long, n_removed long")
+    return joined.transform(map_arrow, _cut_body(), f"row {kind}, text string, n_words long, n_removed long")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.llm.byte_bpe import byte_alphabet
-from dialforge.llm.store import text_batches
+from dialforge.llm.store import map_arrow, text_batches
 
 SHORT = 40
 CACHED_WORDS = 250_000     # per worker; the cache starts anew beyond it
@@ -261,12 +261,12 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, text`` -> doc_id, ids (little-endian uint32 binary)."""
     text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).transform(map_arrow,
         _encode_body(tokenizer), f"key {kind}, ids binary").withColumnRenamed("key", "doc_id")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, ids`` -> doc_id, ids, decoded."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select(F.col("doc_id").alias("key"), "ids").mapInArrow(
+    return encoded.select(F.col("doc_id").alias("key"), "ids").transform(map_arrow,
         _decode_body(tokenizer), f"key {kind}, ids binary, decoded string").withColumnRenamed("key", "doc_id")
