@@ -154,7 +154,13 @@ def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
     salt from its own draw (independent of which item it gets), so no key
     receives more than ~1/salt_target of a category's draws. Extra id rows
     are at most ``k * salt_target``; large categories are not replicated.
+
+    No slot is dropped or multiplied: a plan row whose category (or null) has
+    no pool items fails the job, and a repeated ``item_id`` is an error.
     """
+    repeated = pool.groupBy(item_id).count().where("count > 1").select(item_id).first()
+    if repeated is not None:
+        raise ValueError(f"pool item {repeated[0]!r} is there more than once")
     ids, sizes = _index_ids(pool, seed, item_id, category, out="_up_i")
     salts = F.greatest(F.lit(1), F.ceil(F.lit(float(salt_target)) / F.col("n"))).cast("long")
     sizes = sizes.withColumn("_up_k", salts)
@@ -173,7 +179,7 @@ def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
         rows = sizes.limit(MAX_BROADCAST_CATEGORIES + 1).collect()
         if len(rows) <= MAX_BROADCAST_CATEGORIES:
             sizes = F.broadcast(plan.sparkSession.createDataFrame(rows, sizes.schema))
-        with_idx = (plan.join(sizes, category)
+        with_idx = (plan.join(sizes, category, "left")
                     .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n"))).drop("n"))
         salted_ids = ids.join(sizes.drop("n"), category)
         keys = [category, "_up_i", "_up_s"]
@@ -181,8 +187,11 @@ def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
     salted_ids = (salted_ids.withColumn("_up_s", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                       F.col("_up_k") - 1)))
                   .drop("_up_k"))
-    drawn = with_idx.join(salted_ids, keys).drop("_up_i", "_up_s")
+    drawn = with_idx.join(salted_ids, keys, "left").drop("_up_i", "_up_s")
+    none = F.raise_error(F.concat(F.lit("no pool items for category "),
+                                  F.coalesce(F.col(category).cast("string") if category else F.lit(None), F.lit("null"))))
+    drawn = drawn.withColumn(item_id, F.coalesce(item_id, none.cast(pool.schema[item_id].dataType)))
     payload = [c for c in pool.columns if c not in (category, item_id)]
     if payload:
-        drawn = drawn.join(pool.select(item_id, *payload), item_id)
+        drawn = drawn.join(pool.select(item_id, *payload), item_id, "left")
     return drawn

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,20 +164,41 @@ def records_from_results(results: DataFrame, cfg: BuildConfig) -> tuple[DataFram
     ext = results_view(results)
     ok = msg.assemble_triplet(gen.successes(ext), cfg.system, "user_prompt", "text")
     # a slot that failed in one run and succeeded in a later one is not a failure
-    still_failing = gen.failures(ext).join(ok.select("slot_id"), "slot_id", "left_anti")
+    # and one that failed in several is one failure, with its attempts
+    failed = gen.failures(ext)
+    attempts = failed.groupBy("slot_id").agg(F.count("*").alias("attempts"))
+    still_failing = (failed.join(ok.select("slot_id"), "slot_id", "left_anti")
+                     .dropDuplicates(["slot_id"]).join(attempts, "slot_id"))
     return ok, still_failing
 
 
 def successful_keys(spark: SparkSession, results_path: str) -> DataFrame | None:
     """Slots with a stored success: a pruned scan of (slot_id, error); the
     verdict was stored at generation time, so no reply is parsed here."""
-    try:
-        res = spark.read.parquet(results_path)
-    except Exception:  # noqa: BLE001 - first run: no results yet
-        return None
+    if not store.committed(spark, results_path):
+        return None  # first run: nothing was committed yet
+    res = spark.read.parquet(results_path)
     return gen.successes(results_view(res)).select("slot_id")
 
 
+def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str, parts: int) -> None:
+    """Append the slots of ``plan`` that the stored plan lacks. Raises if a
+    slot of both differs: results of two plans must not mix."""
+    stored = spark.read.schema(plan.schema).parquet(plan_path)
+
+    def digest(df):
+        return df.select("slot_id", F.xxhash64(*sorted(plan.columns)).alias("digest"))
+
+    both = digest(plan).join(digest(stored).withColumnRenamed("digest", "was"), "slot_id")
+    if not both.where("digest <> was").isEmpty():
+        raise ValueError(f"the plan differs from the one stored under {plan_path}; "
+                         "use another folder for another seed, catalogue or provider")
+    new = pl.topup_plan(plan, stored)
+    if not new.isEmpty():
+        store.write_table(new.repartition(parts, "slot_id"), plan_path, mode="append",
+                          long_text=LONG_TEXT, compression=TEXT_CODEC)
+
+
 def export_records(records: DataFrame, path: str, mode: str = "append",
                    keep_keys: bool = False) -> None:
     """Append the training records as JSON Lines in the chat-record shape
@@ -193,34 +214,46 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     """Run (or resume) the whole build under ``out_dir`` and return the
     written tables, read back: ``plan``, ``results``, ``records``,
     ``failures``, and ``metrics`` (attempted, generated, failed, elapsed).
-    Rerunning retries only slots without a success. The results table is the
-    durable store; with ``export_path`` the records of *this* run's new
-    successes are appended there as JSON Lines (chat-record shape plus
-    ``slot_id`` and ``provider``)."""
+    Rerunning retries only slots without a success; a plan with more slots
+    than the stored one extends it; a plan that differs on a stored slot (other
+    seed, catalogue, provider) is an error; with nothing to do no job runs. The
+    results table is the durable store; with ``export_path`` every record that
+    the sink lacks, of whatever run, is appended there as JSON Lines (chat-record
+    shape plus ``slot_id`` and ``provider``)."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
-    try:
-        stored = spark.read.parquet(plan_path)
-    except Exception:  # noqa: BLE001 - first run: write the plan once
+    parts = cfg.partitions or spark.sparkContext.defaultParallelism
+    first_run = not store.committed(spark, plan_path)
+    if first_run:
         # one wave: hash-spread by slot into the generation task count, so
         # the first run reads balanced splits without another shuffle.
         # waves: range-partitioned and sorted by slot, so each wave's range
         # filter prunes to its own files (one read of the plan in total)
-        parts = cfg.partitions or spark.sparkContext.defaultParallelism
         laid = (plan.repartitionByRange(parts, "slot_id").sortWithinPartitions("slot_id")
                 if cfg.wave_size else plan.repartition(parts, "slot_id"))
         store.write_table(laid, plan_path, mode="overwrite",
                           long_text=LONG_TEXT, compression=TEXT_CODEC)
-        stored = spark.read.schema(plan.schema).parquet(plan_path)
+    else:
+        extend_plan(spark, plan, plan_path, parts)
+    stored = spark.read.schema(plan.schema).parquet(plan_path)
     results_path = f"{out_dir}/results"
     run_id = uuid.uuid4().hex
     t0 = time.perf_counter()
-    schema = generate(spark, stored, call, results_path, cfg,
-                      done=successful_keys(spark, results_path), run_id=run_id, balanced=True)
+    done = successful_keys(spark, results_path)
+    schema = None
+    if done is None or not pl.topup_plan(stored.select("slot_id"), done).isEmpty():
+        schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id,
+                          balanced=first_run)
     elapsed = time.perf_counter() - t0
+    if schema is None and done is None:  # an empty plan: an empty results table of the usual shape
+        schema = generate(spark, stored.limit(0), call, results_path,
+                          replace(cfg, wave_size=None), run_id=run_id)
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
-        export_records(records.where(F.col("run_id") == run_id), export_path, keep_keys=True)
+        new = records
+        if store.exists(spark, export_path):
+            new = records.join(spark.read.schema("slot_id long").json(export_path), "slot_id", "left_anti")
+        export_records(new, export_path, keep_keys=True)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
-            "metrics": mt.run_metrics(results_view(results), elapsed)}
+            "metrics": mt.run_metrics(results_view(results.where(F.col("run_id") == run_id)), elapsed)}

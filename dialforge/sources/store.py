@@ -36,3 +36,15 @@ def union_shards(*shards: DataFrame) -> DataFrame:
     if not shards:
         raise ValueError("no shards")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
+
+
+def exists(spark, path: str) -> bool:
+    """Whether ``path`` is there, asked of its own file system: any other
+    error (permission, network) is raised, not taken for an absent path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def committed(spark, path: str) -> bool:
+    """Whether a table was written to its end (its commit marker is there)."""
+    return exists(spark, f"{path}/_SUCCESS")

@@ -240,3 +240,41 @@ def test_wave_filter_prunes_plan_files(spark):
     spans = sorted((r["lo"], r["hi"]) for r in stored.groupBy(F.spark_partition_id().alias("p"))
                    .agg(F.min("slot_id").alias("lo"), F.max("slot_id").alias("hi")).collect())
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # disjoint slot ranges per file
+
+
+def test_build_topup_is_lossless(spark, tmp_path):
+    """Part of the slots with a faulty generator, then all: one record per
+    slot, all of them exported once, nothing done again, no job when done."""
+    catalog = cat.read_catalog(spark)
+    cfg = bd.BuildConfig(seed=9, wave_size=20, partitions=2)
+    out, sink = str(tmp_path / "b"), str(tmp_path / "records.jsonl")
+
+    def plan(n):
+        return bd.plan_from_catalog(pl.plan_slots(spark, n), catalog, cfg)
+
+    first = bd.build_dataset(spark, plan(40), gen.offline_backend(9, fault_every=4), out, cfg)
+    lost = first["failures"].count()
+    assert lost and first["records"].count() == 40 - lost  # not exported: as after a crash
+    again = bd.build_dataset(spark, plan(40), gen.offline_backend(9, fault_every=4), out, cfg)
+    assert again["failures"].count() == lost == again["failures"].select("slot_id").distinct().count()
+    full = bd.build_dataset(spark, plan(90), gen.offline_backend(9, fault_every=0), out, cfg, export_path=sink)
+    assert full["records"].count() == 90 and full["failures"].isEmpty()
+    ids = [r[0] for r in spark.read.schema("slot_id long").json(sink).collect()]
+    assert sorted(ids) == list(range(90))
+    files = sorted(p.name for p in (tmp_path / "b" / "results").iterdir())
+    bd.build_dataset(spark, plan(90), gen.offline_backend(9, fault_every=0), out, cfg, export_path=sink)
+    assert files == sorted(p.name for p in (tmp_path / "b" / "results").iterdir())
+    assert spark.read.schema("slot_id long").json(sink).count() == 90
+    with pytest.raises(ValueError, match="differs"):
+        other = bd.plan_from_catalog(pl.plan_slots(spark, 90), catalog, bd.BuildConfig(seed=10))
+        bd.build_dataset(spark, other, gen.offline_backend(9), out, cfg)
+
+
+def test_pool_draw_drops_and_multiplies_nothing(spark):
+    plan = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(100)], "slot_id long, category string")
+    pool = spark.createDataFrame([("a", 1, "p"), ("a", 2, "q")], "category string, item_id long, base_prompt string")
+    with pytest.raises(Exception, match="no pool items for category b"):
+        sa.uniform_pool_draw(plan, pool, 1).collect()
+    assert sa.uniform_pool_draw(plan.where("category = 'a'"), pool, 1).count() == 50
+    with pytest.raises(ValueError, match="more than once"):
+        sa.uniform_pool_draw(plan, pool.unionAll(pool), 1)
