@@ -213,7 +213,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
                   export_path: str | None = None) -> dict[str, DataFrame]:
     """Run (or resume) the whole build under ``out_dir`` and return the
     written tables, read back: ``plan``, ``results``, ``records``,
-    ``failures``, and ``metrics`` (attempted, generated, failed, elapsed).
+    ``failures``, ``metrics`` (attempted, generated, failed over all runs, and
+    the elapsed time of this one) and ``run_metrics`` (the same for this run).
     Rerunning retries only slots without a success; a plan with more slots
     than the stored one extends it; a plan that differs on a stored slot (other
     seed, catalogue, provider) is an error; with nothing to do no job runs. The
@@ -256,4 +257,5 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
             new = records.join(spark.read.schema("slot_id long").json(export_path), "slot_id", "left_anti")
         export_records(new, export_path, keep_keys=True)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
-            "metrics": mt.run_metrics(results_view(results.where(F.col("run_id") == run_id)), elapsed)}
+            "metrics": mt.run_metrics(results_view(results), elapsed),
+            "run_metrics": mt.run_metrics(results_view(results.where(F.col("run_id") == run_id)), elapsed)}
