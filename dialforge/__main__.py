@@ -58,6 +58,7 @@ def cmd_build(args) -> dict:
                            export_path=f"{args.out}/records.jsonl")
     m = out["metrics"].first().asDict()
     m["failures_pending"] = out["failures"].count()
+    m["report"] = {f"{r.section}: {r.name}": r.n for r in out["report"].collect()}  # categories and providers
     return m
 
 
@@ -107,7 +108,7 @@ def main(argv=None) -> int:
     b.add_argument("--timeout", type=float, default=300.0)
     b.add_argument("--concurrency", type=int, default=None, help="calls in flight per task")
     b.add_argument("--partitions", type=int, default=None, help="generation tasks")
-    b.add_argument("--wave-size", type=int, default=None)
+    b.add_argument("--wave-size", type=int, default=1 << 20, help="slots of one commit")
     b.add_argument("--fault-every", type=int, default=0, help="offline backend fault rate 1/N")
 
     r = sub.add_parser("prepare", help="records -> training set + manifest")

@@ -49,6 +49,7 @@ ERR_MALFORMED = "malformed response"
 ERR_NO_CONTENT = "no content"
 ERR_EMPTY = "empty content"
 ERR_UNKNOWN_FORM = "unknown provider form"
+ERR_NO_REQUEST = "no request body"
 
 
 def _chat_msgs(system: Column, user: Column) -> Column:
@@ -59,7 +60,8 @@ def _chat_msgs(system: Column, user: Column) -> Column:
 def shape_request(df: DataFrame, provider: str = "provider", system: str = "gen_system",
                   user: str = "user_prompt", models: dict[str, str] | None = None,
                   out: str = "request", body: str = "body") -> DataFrame:
-    """Add the ``request`` struct and the provider-specific JSON ``body``."""
+    """Add the ``request`` struct and the provider-specific JSON ``body`` (null
+    for a null prompt or an unknown provider: such a row is never sent)."""
     models = models or {}
     p, s, q = F.col(provider), F.col(system), F.col(user)
 
@@ -104,7 +106,7 @@ def shape_request(df: DataFrame, provider: str = "provider", system: str = "gen_
         temp_col = F.when(cond, temp(form)) if temp_col is None else temp_col.when(cond, temp(form))
     req = F.struct(p.alias("provider"), model_col.alias("model"), s.alias("system"),
                    q.alias("user"), cap_col.alias("max_tokens"), temp_col.alias("temperature"))
-    return df.withColumn(out, req).withColumn(body, body_col)
+    return df.withColumn(out, req).withColumn(body, F.when(q.isNotNull(), body_col))
 
 
 def reply_body(provider: Column, text: Column) -> Column:
@@ -174,6 +176,8 @@ _SCALARS = (T.StringType, T.LongType, T.IntegerType, T.DoubleType, T.BooleanType
 
 def _safe(call: Call):
     def run(rec: dict):
+        if rec.get("body", "") is None:
+            return None, ERR_NO_REQUEST
         try:
             return call(rec), None
         except Exception as e:  # noqa: BLE001 - row-level error capture

@@ -15,72 +15,91 @@ Uniform draw from a pool
     Short lists (catalogue prompts, suffixes) are arrays: ``element_at``.
     Large pools (a table) are indexed 0..n_c-1 inside each category by the
     bucketed exact rank (no hot category in one task), and a plan row joins
-    on ``(category, u mod n_c, salt)``; small categories are salted so a
-    popular category with few items cannot create a hot join key.
+    on ``(category, u mod n_c, salt)``; a category gets salts by its number of
+    draws, so a popular one with few items cannot create a hot join key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dialforge.functions.draw import u
 from dialforge.operators.rank import exact_rank_with_sizes
+from dialforge.session import scratch_path
 from dialforge.sources.catalog import validate_weights
 
 DEFAULT_BINS = 1 << 16
 BROADCAST_ROWS = 2_000_000  # rows of (bin, category, lo, hi) safe to broadcast
-MAX_BROADCAST_CATEGORIES = 100_000  # rows of (category, size, salts)
-SALT_TARGET = 4096  # (item, salt) pairs a category's draws are spread over
+DRAWS_PER_KEY = 10_000  # draws that one (item, salt) key takes on average
 
 
 def category_bounds(weights: DataFrame, category: str = "category", weight: str = "weight",
                     order: str | None = None) -> DataFrame:
-    """(category, weight) -> + ``lo``, ``hi``: slot range of each category.
-
-    The window runs over the category table only (one row per category).
+    """``(category, lo, hi)``: slot range of each category of a table written
+    by :func:`_once`. The running sum is taken inside each range partition of
+    it, above the sums of the partitions before; no task sees all categories.
     Zero-weight categories get an empty range and are dropped.
     """
-    w = Window.orderBy(order or category, category).rowsBetween(Window.unboundedPreceding, 0)
-    hi = F.sum(F.col(weight).cast("long")).over(w)
-    return (weights.where(F.col(weight) > 0)
-            .withColumn("hi", hi)
-            .withColumn("lo", F.col("hi") - F.col(weight).cast("long")))
+    live = weights.where(F.col(weight) > 0).withColumn("_wd_w", F.col(weight).cast("long"))
+    inside = (Window.partitionBy("_wd_part").orderBy(order or category, category)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    before = Window.orderBy("_wd_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (live.groupBy("_wd_part").agg(F.sum("_wd_w").alias("_wd_n"))
+             .select("_wd_part", F.coalesce(F.sum("_wd_n").over(before), F.lit(0)).alias("_wd_off")))
+    hi = F.col("_wd_off") + F.sum("_wd_w").over(inside)
+    return (live.join(parts, "_wd_part").withColumn("hi", hi)
+            .select(category, (F.col("hi") - F.col("_wd_w")).alias("lo"), "hi"))
+
+
+def _check(weights: DataFrame, category: str, weight: str) -> tuple[int, int]:
+    """(total weight, categories); raises before any job on the plan if the
+    weights cannot be drawn from or a weighted category has no name."""
+    if not weights.where(F.col(category).isNull() & (F.col(weight) > 0)).isEmpty():
+        raise ValueError("a weighted category is null")
+    return validate_weights(weights, weight)
+
+
+def _lookup(rows: DataFrame, slot: str, weights: DataFrame, category: str, weight: str,
+            order: str | None, bins: int, total: int, k: int) -> DataFrame:
+    """``rows`` with the category whose slot range holds ``slot``: an equi-join
+    on the bin, then the range. The bin table carries keys and bounds only."""
+    width = -(-total // bins)  # ceil
+    bounds = category_bounds(weights, category, weight, order)
+    bin_tbl = bounds.select(
+        category, "lo", "hi",
+        F.explode(F.sequence(F.floor(F.col("lo") / width),
+                             F.floor((F.col("hi") - 1) / width))).alias("_wd_bin"))
+    if -(-total // width) + k <= BROADCAST_ROWS:
+        bin_tbl = F.broadcast(bin_tbl)
+    return (rows.withColumn("_wd_bin", F.floor(F.col(slot) / width).cast("long"))
+            .join(bin_tbl, "_wd_bin")
+            .where((F.col(slot) >= F.col("lo")) & (F.col(slot) < F.col("hi")))
+            .drop("_wd_bin", "lo", "hi"))
 
 
 def weighted_slots(weights: DataFrame, category: str = "category", weight: str = "weight",
-                   order: str | None = None) -> DataFrame:
-    """The replicated table: one row per slot, ``(category, slot)``."""
-    b = category_bounds(weights, category, weight, order)
-    return b.select(category, F.explode(F.sequence("lo", F.col("hi") - 1)).alias("slot"))
-
-
-def _collect_bounds(weights: DataFrame, category: str, weight: str, order: str | None,
-                    extra: tuple[str, ...]) -> tuple[DataFrame, int, int] | None:
-    """Collect the weights table (one row per category) once, when it has at
-    most MAX_BROADCAST_CATEGORIES rows; validate it and compute each
-    category's slot range on the driver. Returns (bounds as a local
-    relation, total weight, categories) or None above the bound."""
-    cols = list(dict.fromkeys([category, weight] + ([order] if order else []) + list(extra)))
-    rows = weights.select(*cols).limit(MAX_BROADCAST_CATEGORIES + 1).collect()
-    if len(rows) > MAX_BROADCAST_CATEGORIES:
-        return None
-    if any(r[weight] is not None and r[weight] < 0 for r in rows):
-        raise ValueError("catalogue has a negative weight")
-    live = [r for r in rows if r[weight]]
-    total = sum(int(r[weight]) for r in live)
-    if total <= 0:
-        raise ValueError("catalogue weights sum to zero: nothing can be drawn")
-    live.sort(key=lambda r: ((r[order], r[category]) if order else (r[category],)))
-    out, lo = [], 0
-    for r in live:
-        out.append(tuple(r[c] for c in [category, *extra]) + (lo, lo + int(r[weight])))
-        lo += int(r[weight])
-    src = weights.select(category, *extra).schema
-    schema = T.StructType(list(src.fields) + [T.StructField("lo", T.LongType()),
-                                               T.StructField("hi", T.LongType())])
-    return weights.sparkSession.createDataFrame(out, schema), total, len(live)
+                   order: str | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
+    """The replicated table: one row per slot, ``(category, slot)``. Slots are
+    a distributed range looked up in the bin table, so a heavy category is
+    split over tasks and never held as one array."""
+    weights = _once(weights, [category, weight, order], [order or category, category])
+    total, k = _check(weights, category, weight)
+    slots = weights.sparkSession.range(total).withColumnRenamed("id", "slot")
+    return _lookup(slots, "slot", weights, category, weight, order, bins, total, k).select(category, "slot")
+
+
+def _once(weights: DataFrame, cols: list[str | None], sort: list[str] | None = None) -> DataFrame:
+    """A table of one row per category written once, as it is read for its
+    check, its bounds and its other columns; with ``sort`` in ranges, each row
+    with the number of its range (``_wd_part``)."""
+    spark = weights.sparkSession
+    path = scratch_path(spark, "weights")
+    kept = weights.select(*dict.fromkeys(c for c in cols if c))
+    if sort:
+        kept = kept.repartitionByRange(*sort).withColumn("_wd_part", F.spark_partition_id())
+    kept.write.parquet(path)
+    return spark.read.schema(kept.schema).parquet(path)
 
 
 def weighted_draw(plan: DataFrame, weights: DataFrame, seed: int, key: str = "slot_id",
@@ -90,31 +109,17 @@ def weighted_draw(plan: DataFrame, weights: DataFrame, seed: int, key: str = "sl
     """Draw one category per plan row with probability weight / sum(weight).
 
     ``extra`` columns of ``weights`` (e.g. the catalogue's ``system``) are
-    carried along -- this is the category lookup. Raises before any job on
-    the plan if the weights are unusable. The weights table (one row per
-    category) is evaluated once: collected under a checked row bound, its
-    slot ranges computed on the driver, and used as a local relation; above
-    the bound the ranges come from a window over the distributed table.
+    joined by category afterwards -- this is the category lookup: each is held
+    once per category, not once per bin. Raises before any job on the plan if
+    the weights are unusable (no weight, a negative one, a null category),
+    alike at every size.
     """
-    found = _collect_bounds(weights, category, weight, order, extra)
-    if found is not None:
-        bounds, total, k = found
-    else:
-        total, k = validate_weights(weights, weight)
-        bounds = category_bounds(weights, category, weight, order)
-    width = -(-total // bins)  # ceil
-    bin_tbl = bounds.select(
-        category, "lo", "hi", *extra,
-        F.explode(F.sequence(F.floor(F.col("lo") / width),
-                             F.floor((F.col("hi") - 1) / width))).alias("_wd_bin"))
-    if -(-total // width) + k <= BROADCAST_ROWS:
-        bin_tbl = F.broadcast(bin_tbl)
-    s = F.pmod(u(seed, key, tag), F.lit(total))
-    drawn = (plan.withColumn("_wd_s", s)
-             .withColumn("_wd_bin", F.floor(F.col("_wd_s") / width).cast("long"))
-             .join(bin_tbl, "_wd_bin")
-             .where((F.col("_wd_s") >= F.col("lo")) & (F.col("_wd_s") < F.col("hi")))
-             .drop("_wd_bin", "_wd_s", "lo", "hi"))
+    weights = _once(weights, [category, weight, order, *extra], [order or category, category])
+    total, k = _check(weights, category, weight)
+    drawn = _lookup(plan.withColumn("_wd_s", F.pmod(u(seed, key, tag), F.lit(total))), "_wd_s",
+                    weights, category, weight, order, bins, total, k).drop("_wd_s")
+    if extra:  # the written table's size in bytes decides whether it is broadcast
+        drawn = drawn.join(weights.where(F.col(weight) > 0).select(category, *extra), category)
     if out and out != category:
         drawn = drawn.withColumnRenamed(category, out)
     return drawn
@@ -140,20 +145,19 @@ def _index_ids(pool: DataFrame, seed: int, item_id: str, category: str | None,
 def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
                       key: str = "slot_id", tag: str = "prompt",
                       category: str | None = "category", item_id: str = "item_id",
-                      salt_target: int = SALT_TARGET) -> DataFrame:
+                      salt_target: int | None = None) -> DataFrame:
     """Draw one pool item uniformly per plan row (within its category).
 
     Only ``(category, item_id)`` go through the ranking; the drawn ids are
     joined on ``(category, idx, salt)``, and any other pool columns (e.g. the
-    prompt text) are fetched by one final join on ``item_id``, so wide pool
-    rows are shuffled once.
+    prompt text) are fetched by one final join on ``(item_id, salt)``.
 
     Skew: a category with ``n`` items but a large share of the draws would
-    pile its rows onto ``n`` join keys. Its ids are therefore replicated
-    ``ceil(salt_target / n)`` times under a salt, and each plan row takes a
-    salt from its own draw (independent of which item it gets), so no key
-    receives more than ~1/salt_target of a category's draws. Extra id rows
-    are at most ``k * salt_target``; large categories are not replicated.
+    pile its rows onto ``n`` join keys. A category is therefore spread over
+    one key for every ``DRAWS_PER_KEY`` of its draws (``salt_target`` keys,
+    if given): its items are copied ``ceil(keys / n)`` times under a salt, and
+    each plan row takes a salt from its own draw (independent of which item it
+    gets). Copies beyond the pool itself are at most draws / DRAWS_PER_KEY.
 
     No slot is dropped or multiplied: a plan row whose category (or null) has
     no pool items fails the job, and a repeated ``item_id`` is an error.
@@ -162,36 +166,42 @@ def uniform_pool_draw(plan: DataFrame, pool: DataFrame, seed: int,
     if repeated is not None:
         raise ValueError(f"pool item {repeated[0]!r} is there more than once")
     ids, sizes = _index_ids(pool, seed, item_id, category, out="_up_i")
-    salts = F.greatest(F.lit(1), F.ceil(F.lit(float(salt_target)) / F.col("n"))).cast("long")
-    sizes = sizes.withColumn("_up_k", salts)
     salt_of_row = F.pmod(u(seed, key, "salt"), F.col("_up_k"))
     if category is None:
-        row = sizes.first()  # one row: the pool size and its salt count
+        row = sizes.first()  # one row: the pool size
         if not row or not row["n"]:
             raise ValueError("empty pool")
-        with_idx = (plan.withColumn("_up_i", F.pmod(u(seed, key, tag), F.lit(row["n"])))
-                    .withColumn("_up_k", F.lit(row["_up_k"])))
-        salted_ids = ids.withColumn("_up_k", F.lit(row["_up_k"]))
-        keys = ["_up_i", "_up_s"]
+        spread = salt_target or -(-plan.count() // DRAWS_PER_KEY)
+        k = F.lit(max(1, -(-spread // row["n"]))).cast("long")
+        with_idx = plan.withColumn("_up_i", F.pmod(u(seed, key, tag), F.lit(row["n"]))).withColumn("_up_k", k)
+        keys = ["_up_i"]
+
+        def salted(items: DataFrame) -> DataFrame:
+            return items.withColumn("_up_k", k)
     else:
-        # one row per category: collected once under a checked bound and
-        # broadcast as a local table (not recomputed), else a shuffle join
-        rows = sizes.limit(MAX_BROADCAST_CATEGORIES + 1).collect()
-        if len(rows) <= MAX_BROADCAST_CATEGORIES:
-            sizes = F.broadcast(plan.sparkSession.createDataFrame(rows, sizes.schema))
+        spread = (F.lit(salt_target) if salt_target else
+                  F.ceil(F.coalesce("draws", F.lit(0)) / F.lit(DRAWS_PER_KEY)))
+        draws = plan.groupBy(category).agg(F.count(F.lit(1)).alias("draws"))
+        sizes = _once(sizes.join(draws, category, "left").withColumn(
+            "_up_k", F.greatest(F.lit(1), F.ceil(spread / F.col("n"))).cast("long")), [category, "n", "_up_k"])
         with_idx = (plan.join(sizes, category, "left")
                     .withColumn("_up_i", F.pmod(u(seed, key, tag), F.col("n"))).drop("n"))
-        salted_ids = ids.join(sizes.drop("n"), category)
-        keys = [category, "_up_i", "_up_s"]
+        keys = [category, "_up_i"]
+
+        def salted(items: DataFrame) -> DataFrame:
+            return items.join(sizes.select(category, "_up_k"), category)
+
+    def copies(items: DataFrame) -> DataFrame:
+        return (salted(items).withColumn("_up_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_up_k") - 1)))
+                .drop("_up_k"))
+
     with_idx = with_idx.withColumn("_up_s", salt_of_row).drop("_up_k")
-    salted_ids = (salted_ids.withColumn("_up_s", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                      F.col("_up_k") - 1)))
-                  .drop("_up_k"))
-    drawn = with_idx.join(salted_ids, keys, "left").drop("_up_i", "_up_s")
+    drawn = with_idx.join(copies(ids), [*keys, "_up_s"], "left").drop("_up_i")
     none = F.raise_error(F.concat(F.lit("no pool items for category "),
                                   F.coalesce(F.col(category).cast("string") if category else F.lit(None), F.lit("null"))))
     drawn = drawn.withColumn(item_id, F.coalesce(item_id, none.cast(pool.schema[item_id].dataType)))
     payload = [c for c in pool.columns if c not in (category, item_id)]
     if payload:
-        drawn = drawn.join(pool.select(item_id, *payload), item_id, "left")
-    return drawn
+        texts = copies(pool.select(*([category] if category else []), item_id, *payload))
+        drawn = drawn.join(texts.select(item_id, "_up_s", *payload), [item_id, "_up_s"], "left")
+    return drawn.drop("_up_s")

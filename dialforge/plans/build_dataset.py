@@ -8,7 +8,8 @@ Stages and their Spark shape:
    All native expressions; the plan is written once so reruns see the same
    rows.
 2. generate: plan rows not yet successful (anti join on ``slot_id``), in
-   waves of ``wave_size`` slots; each wave is shaped, sent through
+   waves of ``wave_size`` slots (on by default), each dealt to one task for
+   every ``rows_per_task`` rows; each wave is shaped, sent through
    ``mapInArrow`` and appended to the results table, so a lost driver or
    executor costs at most one wave. Calls are at-least-once.
 3. records: results -> reply extraction -> successes become
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,18 +48,25 @@ class BuildConfig:
     first_provider: str = "messages_api"
     second_provider: str | None = None
     concurrency: int | None = None  # None: the backend's own setting
-    wave_size: int | None = None
-    partitions: int | None = None
+    wave_size: int | None = 1 << 20  # rows of a commit, about; None: one commit
+    partitions: int | None = None    # generation tasks of a wave; None: by its rows
+    rows_per_task: int = 20_000
     system: str = chat.DEFAULT_SYSTEM
     models: dict = field(default_factory=dict)
 
 
+def tasks_for(spark: SparkSession, rows: int, cfg: BuildConfig) -> int:
+    """Tasks for so many rows: one for every ``rows_per_task``, and no fewer
+    than the cores at hand (``partitions``, if set)."""
+    return cfg.partitions or max(spark.sparkContext.defaultParallelism, -(-rows // cfg.rows_per_task))
+
+
 def _spread_keys(plan_keys: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Spread the slot keys (one long per row) before planning, so the
     per-row draws and prompt composition run on every task even when the
     key source is a single split; only the key column crosses the shuffle."""
-    parts = cfg.partitions or plan_keys.sparkSession.sparkContext.defaultParallelism
-    return plan_keys.repartition(parts, "slot_id")
+    spark = plan_keys.sparkSession
+    return plan_keys.repartition(tasks_for(spark, plan_keys.count(), cfg), "slot_id")
 
 
 def plan_from_catalog(plan_keys: DataFrame, catalog: DataFrame, cfg: BuildConfig) -> DataFrame:
@@ -96,33 +104,22 @@ def _scalar_plan(plan: DataFrame) -> DataFrame:
 
 def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path: str,
              cfg: BuildConfig, done: DataFrame | None = None,
-             run_id: str | None = None, balanced: bool = False) -> T.StructType:
+             run_id: str | None = None) -> T.StructType:
     """Append one result row per attempted slot to ``results_path``.
 
     ``done`` holds the keys already successful (default: none); rows are
-    tagged with ``run_id``. Each wave is its own job and commit. Returns the
-    schema of the result rows (to read them back without inference).
-    ``balanced`` says the plan is a stored plan written hash-spread by slot
-    (its splits can be trusted when no anti join reshuffles it).
+    tagged with ``run_id``. Each wave is its own job and commit; waves without
+    work are passed over. Returns the schema of the result rows (to read them
+    back without inference).
     """
-    trust = balanced and done is None and not cfg.wave_size
     todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
-    todo = todo.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
-    parts = cfg.partitions or spark.sparkContext.defaultParallelism
-    if not cfg.wave_size:
-        waves = [None]
-    else:
-        w = F.floor(F.col("slot_id") / cfg.wave_size)
-        waves = [r[0] for r in plan.select(w.alias("w")).distinct().orderBy("w").collect()]
+    todo = todo.withColumn("run_id", F.lit(run_id or new_run_id()))
     schema = None
-    for wave in waves:
-        # a plain range on the key: pushed to the scan, so with a plan stored
-        # in slot order each wave reads only its own files / row groups
-        part = todo if wave is None else todo.where(F.col("slot_id").between(
-            F.lit(int(wave) * cfg.wave_size), F.lit((int(wave) + 1) * cfg.wave_size - 1)))
-        shaped = gen.shape_request(spread(part, parts, exact=cfg.partitions is not None,
-                                          trust_splits=trust),
-                                   models=cfg.models).drop("request")
+    for rows, part in _waves(todo, cfg):
+        # hash-spread by slot before shaping, so the shuffle carries the plan
+        # row once and never the JSON body
+        dealt = part.repartition(tasks_for(spark, rows, cfg), "slot_id")
+        shaped = gen.shape_request(dealt, models=cfg.models).drop("request")
         out = gen.bulk_generate(shaped, call, concurrency=cfg.concurrency)
         # parse each reply once, natively, before it is stored: ``text`` and
         # the final ``error`` (backend or extraction) are kept, the raw body
@@ -136,20 +133,25 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     return schema
 
 
-def spread(df: DataFrame, parts: int, exact: bool = False,
-           trust_splits: bool = False) -> DataFrame:
-    """``parts`` balanced tasks for the calls (bounding in-flight calls to
-    parts x concurrency). Hash-spread by slot before shaping, so the shuffle
-    carries the plan row once and never the JSON body. Only a plan known to
-    be written balanced (``trust_splits``) keeps its splits (coalesced,
-    without a shuffle, to exactly ``parts`` when ``exact``): a partition
-    count read from the plan says nothing about row balance, and AQE may
-    coalesce a small shuffled plan into one task at run time."""
-    if trust_splits:
-        n = df.rdd.getNumPartitions()
-        if n >= parts:
-            return df.coalesce(parts) if exact and n > parts else df
-    return df.repartition(parts, "slot_id")
+def _waves(todo: DataFrame, cfg: BuildConfig) -> list[tuple[int, DataFrame]]:
+    """``(rows, slots)`` of each wave: equal ranges of the key, as many as
+    ``wave_size`` rows a wave make; one empty wave if there is no work."""
+    lo, hi, rows, keys = todo.agg(F.min("slot_id"), F.max("slot_id"), F.count(F.lit(1)), F.count("slot_id")).first()
+    if rows != keys:
+        raise ValueError("a slot_id is null")
+    if not rows or not cfg.wave_size or rows <= cfg.wave_size:
+        return [(rows, todo)]
+    width = -(-(hi - lo + 1) // -(-rows // cfg.wave_size))
+    w = F.floor((F.col("slot_id") - F.lit(lo)) / width)
+    # a plain range on the key: pushed to the scan, so with a plan stored
+    # in slot order each wave reads only its own files / row groups
+    return [(n, todo.where(F.col("slot_id").between(F.lit(lo + int(i) * width), F.lit(lo + (int(i) + 1) * width - 1))))
+            for i, n in todo.groupBy(w.alias("w")).count().orderBy("w").collect()]
+
+
+def new_run_id() -> str:
+    """Run ids sort by the time they were made."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex}"
 
 
 def results_view(results: DataFrame) -> DataFrame:
@@ -163,12 +165,13 @@ def records_from_results(results: DataFrame, cfg: BuildConfig) -> tuple[DataFram
     beside the ``messages``/``category`` training shape."""
     ext = results_view(results)
     ok = msg.assemble_triplet(gen.successes(ext), cfg.system, "user_prompt", "text")
-    # a slot that failed in one run and succeeded in a later one is not a failure
-    # and one that failed in several is one failure, with its attempts
+    # a slot that failed in one run and succeeded in a later one is not a
+    # failure; one that failed in several is one: its latest attempt
     failed = gen.failures(ext)
-    attempts = failed.groupBy("slot_id").agg(F.count("*").alias("attempts"))
+    latest = F.max_by(F.struct(*failed.columns), F.col("run_id") if "run_id" in failed.columns else F.lit(""))
     still_failing = (failed.join(ok.select("slot_id"), "slot_id", "left_anti")
-                     .dropDuplicates(["slot_id"]).join(attempts, "slot_id"))
+                     .groupBy("slot_id").agg(latest.alias("_f"), F.count(F.lit(1)).alias("attempts"))
+                     .select("_f.*", "attempts"))
     return ok, still_failing
 
 
@@ -181,7 +184,7 @@ def successful_keys(spark: SparkSession, results_path: str) -> DataFrame | None:
     return gen.successes(results_view(res)).select("slot_id")
 
 
-def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str, parts: int) -> None:
+def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str) -> None:
     """Append the slots of ``plan`` that the stored plan lacks. Raises if a
     slot of both differs: results of two plans must not mix."""
     stored = spark.read.schema(plan.schema).parquet(plan_path)
@@ -195,8 +198,8 @@ def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str, parts: int
                          "use another folder for another seed, catalogue or provider")
     new = pl.topup_plan(plan, stored)
     if not new.isEmpty():
-        store.write_table(new.repartition(parts, "slot_id"), plan_path, mode="append",
-                          long_text=LONG_TEXT, compression=TEXT_CODEC)
+        store.write_table(new.repartitionByRange("slot_id").sortWithinPartitions("slot_id"), plan_path,
+                          mode="append", long_text=LONG_TEXT, compression=TEXT_CODEC)
 
 
 def export_records(records: DataFrame, path: str, mode: str = "append",
@@ -214,7 +217,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     """Run (or resume) the whole build under ``out_dir`` and return the
     written tables, read back: ``plan``, ``results``, ``records``,
     ``failures``, ``metrics`` (attempted, generated, failed over all runs, and
-    the elapsed time of this one) and ``run_metrics`` (the same for this run).
+    the elapsed time of this one), ``run_metrics`` (the same for this run) and
+    ``report`` (this run's attempts by category and successes by provider).
     Rerunning retries only slots without a success; a plan with more slots
     than the stored one extends it; a plan that differs on a stored slot (other
     seed, catalogue, provider) is an error; with nothing to do no job runs. The
@@ -223,32 +227,25 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     shape plus ``slot_id`` and ``provider``)."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
-    parts = cfg.partitions or spark.sparkContext.defaultParallelism
-    first_run = not store.committed(spark, plan_path)
-    if first_run:
-        # one wave: hash-spread by slot into the generation task count, so
-        # the first run reads balanced splits without another shuffle.
-        # waves: range-partitioned and sorted by slot, so each wave's range
-        # filter prunes to its own files (one read of the plan in total)
-        laid = (plan.repartitionByRange(parts, "slot_id").sortWithinPartitions("slot_id")
-                if cfg.wave_size else plan.repartition(parts, "slot_id"))
+    if store.committed(spark, plan_path):
+        extend_plan(spark, plan, plan_path)
+    else:
+        # with waves in slot order, so that each wave's range filter prunes to
+        # its own files (one read of the plan in total)
+        laid = plan.repartitionByRange("slot_id").sortWithinPartitions("slot_id") if cfg.wave_size else plan
         store.write_table(laid, plan_path, mode="overwrite",
                           long_text=LONG_TEXT, compression=TEXT_CODEC)
-    else:
-        extend_plan(spark, plan, plan_path, parts)
     stored = spark.read.schema(plan.schema).parquet(plan_path)
     results_path = f"{out_dir}/results"
-    run_id = uuid.uuid4().hex
+    run_id = new_run_id()
     t0 = time.perf_counter()
     done = successful_keys(spark, results_path)
     schema = None
     if done is None or not pl.topup_plan(stored.select("slot_id"), done).isEmpty():
-        schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id,
-                          balanced=first_run)
+        schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id)
     elapsed = time.perf_counter() - t0
     if schema is None and done is None:  # an empty plan: an empty results table of the usual shape
-        schema = generate(spark, stored.limit(0), call, results_path,
-                          replace(cfg, wave_size=None), run_id=run_id)
+        schema = generate(spark, stored, call, results_path, cfg, run_id=run_id)
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
@@ -256,6 +253,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
         if store.exists(spark, export_path):
             new = records.join(spark.read.schema("slot_id long").json(export_path), "slot_id", "left_anti")
         export_records(new, export_path, keep_keys=True)
+    this_run = results_view(results.where(F.col("run_id") == run_id))
     return {"plan": stored, "results": results, "records": records, "failures": fails,
             "metrics": mt.run_metrics(results_view(results), elapsed),
-            "run_metrics": mt.run_metrics(results_view(results.where(F.col("run_id") == run_id)), elapsed)}
+            "run_metrics": mt.run_metrics(this_run, elapsed),
+            "report": mt.run_report(spark, this_run, [p for p in (cfg.first_provider, cfg.second_provider) if p])}

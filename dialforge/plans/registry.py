@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialforge.functions import chat
 from dialforge.functions.draw import pick_from_array, pick_from_list_sql, sql_str, u, u_sql
@@ -29,6 +30,7 @@ from dialforge.operators import split as sp
 from dialforge.operators import tokens as tk
 from dialforge.plans import build_dataset as bd
 from dialforge.plans import prepare_training as pt
+from dialforge.schemas import CHAT_RECORD
 from dialforge.session import read_table, scratch_path
 from dialforge.sources import catalog as cat
 from dialforge.sources import jsonl, store
@@ -278,30 +280,33 @@ def q_compose_prompt(spark, sf_dir):
     return composed.select("slot_id", F.col("item_id").alias("p_partkey"), "user_prompt")
 
 
-def _conv_requests(spark, sf_dir, form_by_hash: bool) -> DataFrame:
-    """One request per conversation: its first user turn as the prompt, its
-    first system turn (else the default) as the generator system text. Built
-    with partial aggregates (``min_by``, ``count``), not assembled records."""
-    turns = _conversations(spark, sf_dir)
+TURNS = 1_048_575  # slots of a conversation; odd, so that both providers get first turns
 
-    def first_of(role: str):
-        return F.min_by("text", F.when(F.col("role") == role, F.col("turn")))
 
-    plan = turns.groupBy(F.col("conv_id").alias("slot_id")).agg(
+def _conv_requests(spark, sf_dir, form_by_hash: bool) -> DataFrame:
+    """One request per user turn: its text as the prompt, the conversation's
+    first system turn (else the default) as the generator system text. The
+    latter comes from partial aggregates (``min_by``, ``count``)."""
+    turns = _conversations(spark, sf_dir)
+    first_system = F.min_by("text", F.when(F.col("role") == "system", F.col("turn")))
+    whole = turns.groupBy("conv_id").agg(
         F.concat(F.lit("turns_"), F.count(F.lit(1))).alias("category"),
-        F.coalesce(first_of("system"), F.lit(chat.DEFAULT_SYSTEM)).alias("gen_system"),
-        first_of("user").alias("user_prompt"))
+        F.coalesce(first_system, F.lit(chat.DEFAULT_SYSTEM)).alias("gen_system"))
+    plan = turns.where("role = 'user'").join(whole, "conv_id").select(
+        (F.col("conv_id") * TURNS + F.col("turn")).alias("slot_id"), "category", "gen_system",
+        F.col("text").alias("user_prompt"))
     if form_by_hash:
         forms = F.array(*[F.lit(f) for f in FORM_LIST])
         return plan.withColumn("provider", pick_from_array(SEED, "slot_id", "form", forms))
     return pl.assign_provider(plan, *PROVIDERS_RUN)
 
 
-_CONV_PLAN_SQL = f"""c AS (
-  SELECT conv_id AS slot_id, concat('turns_', count(*)) AS category,
-         coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {DEFAULT_SYS_SQL}) AS gen_system,
-         arg_min(text, turn) FILTER (WHERE role = 'user') AS user_prompt
-  FROM conversations GROUP BY conv_id)"""
+_CONV_PLAN_SQL = f"""a AS (
+  SELECT conv_id, concat('turns_', count(*)) AS category,
+         coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), {DEFAULT_SYS_SQL}) AS gen_system
+  FROM conversations GROUP BY conv_id),
+c AS (SELECT t.conv_id * {TURNS} + t.turn AS slot_id, a.category, a.gen_system, t.text AS user_prompt
+      FROM conversations t JOIN a ON a.conv_id = t.conv_id WHERE t.role = 'user')"""
 
 _FORMS_SQL = "[" + ", ".join(sql_str(f) for f in FORM_LIST) + "]"
 
@@ -312,10 +317,11 @@ p AS (SELECT *, {_FORMS_SQL}[({U('slot_id', 'form')} % 4) + 1] AS provider FROM
 SELECT slot_id, provider, 'default' AS model,
        CASE provider WHEN 'messages_api' THEN '2000' WHEN 'single_prompt' THEN NULL ELSE '2048' END AS max_tokens,
        CASE WHEN provider IN ('chat_completions', 'local_chat') THEN 0.8::DOUBLE END AS temperature,
-       CASE WHEN provider = 'single_prompt' THEN NULL ELSE gen_system END AS sent_system,
+       CASE WHEN provider = 'single_prompt' OR user_prompt IS NULL THEN NULL ELSE gen_system END AS sent_system,
        CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
             ELSE user_prompt END AS sent_prompt,
-       CASE provider WHEN 'messages_api' THEN '2000' WHEN 'single_prompt' THEN NULL ELSE '2048' END AS body_cap
+       CASE WHEN user_prompt IS NULL OR provider = 'single_prompt' THEN NULL
+            WHEN provider = 'messages_api' THEN '2000' ELSE '2048' END AS body_cap
 FROM p""")
 def q_shape_request(spark, sf_dir):
     """#14 the four request forms; the JSON body is checked field by field."""
@@ -460,11 +466,12 @@ g AS (SELECT *, {U('slot_id', 'fault')} % 20 = 0 AS faulty,
              CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
                   ELSE user_prompt END AS sent
       FROM p),
-r AS (SELECT slot_id, category, provider,
-             CASE WHEN faulty THEN NULL
+r AS (SELECT slot_id, category, provider, user_prompt,
+             CASE WHEN faulty OR user_prompt IS NULL THEN NULL
                   ELSE {sql_str(gen.OFFLINE_PREFIX)} || sent || {_ENDINGS_SQL}[({U('slot_id', 'reply')} % 3) + 1]
              END AS text,
-             CASE WHEN NOT faulty THEN NULL
+             CASE WHEN user_prompt IS NULL THEN '{gen.ERR_NO_REQUEST}'
+                  WHEN NOT faulty THEN NULL
                   WHEN kind = 'raise' THEN 'RuntimeError: injected fault'
                   WHEN kind = 'malformed' THEN '{gen.ERR_MALFORMED}'
                   WHEN kind = 'null' THEN '{gen.ERR_NO_CONTENT}'
@@ -591,8 +598,7 @@ _BUILD_VAR = pick_from_list_sql(SEED, "d.slot_id", sql_str("var"), cat.VARIATION
 _BUILD_DET = pick_from_list_sql(SEED, "d.slot_id", sql_str("detail"), cat.DETAIL_REQUESTS)
 
 
-@register("build_dataset", f"""
-WITH {_W_SQL}, {_B_SQL}, {_DRAW_SQL}, {_POOL_SQL},
+_BUILD_PLAN_SQL = f"""WITH {_W_SQL}, {_B_SQL}, {_DRAW_SQL}, {_POOL_SQL},
 p AS (
   SELECT d.slot_id, d.category, pool.doc_id,
          'Reply in the language of the prompt (' || d.category || ').' AS gen_system,
@@ -604,7 +610,25 @@ g AS (SELECT *, {U('slot_id', 'fault')} % 20 = 0 AS faulty,
              {_KINDS_SQL}[({U('slot_id', 'fault_kind')} % 4) + 1] AS kind,
              CASE WHEN provider = 'single_prompt' THEN gen_system || {NL} || {NL} || user_prompt
                   ELSE user_prompt END AS sent
-      FROM p)
+      FROM p)"""
+
+
+def _triplet_sql(user: str, assistant: str) -> str:
+    """The stored record, flattened."""
+    return (f"'system{US}' || {DEFAULT_SYS_SQL} || '{RS}user{US}' || {user} "
+            f"|| '{RS}assistant{US}' || {assistant}")
+
+
+def _exported(spark, path: str) -> DataFrame:
+    """The exported JSON Lines, scanned back strictly and flattened."""
+    schema = T.StructType([T.StructField("slot_id", T.LongType()), T.StructField("provider", T.StringType()),
+                           *CHAT_RECORD.fields])
+    back = jsonl.read_records(spark, path, schema=schema, strict=True)
+    return back.select("slot_id", "provider", "category", _n_messages(),
+                       msg.flatten_messages(F.col("messages")).alias("flat"))
+
+
+@register("build_dataset", f"""{_BUILD_PLAN_SQL}
 SELECT slot_id, category, provider, doc_id, user_prompt,
        CASE WHEN faulty THEN NULL
             ELSE {sql_str(gen.OFFLINE_PREFIX)} || sent || {_ENDINGS_SQL}[({U('slot_id', 'reply')} % 3) + 1]
@@ -629,6 +653,63 @@ def q_build_dataset(spark, sf_dir):
                       "user_prompt", "text", "error")
 
 
+@register("build_topup", f"""{_BUILD_PLAN_SQL},
+t AS (SELECT *, {sql_str(gen.OFFLINE_PREFIX)} || sent || {_ENDINGS_SQL}[({U('slot_id', 'reply')} % 3) + 1] AS text FROM g)
+SELECT slot_id, provider, category, CAST(3 AS BIGINT) AS n_messages, {_triplet_sql('user_prompt', 'text')} AS flat
+FROM t""")
+def q_build_topup(spark, sf_dir):
+    """#7/#32 a build on part of the slots with a faulty generator and no
+    export, then on all of them with a sound one: the exported file, read
+    back, holds one record per slot, as after one full run."""
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0], second_provider=PROVIDERS_RUN[1])
+    pool, weights = _doc_pool(spark, sf_dir, with_text=True), _pool_weights(spark, sf_dir)
+    orders = read_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "slot_id")
+    out = scratch_path(spark, "topup")
+    first = bd.plan_from_pool(orders.where("o_orderstatus = 'F'").select("slot_id"), pool, weights, cfg)
+    bd.build_dataset(spark, first, gen.offline_backend(SEED), f"{out}/build", cfg)
+    every = bd.plan_from_pool(orders.select("slot_id"), pool, weights, cfg)
+    bd.build_dataset(spark, every, gen.offline_backend(SEED, fault_every=0), f"{out}/build", cfg,
+                     export_path=f"{out}/records.jsonl")
+    return _exported(spark, f"{out}/records.jsonl")
+
+
+def _conv_build(spark, sf_dir, runs: int = 1, export: str | None = None) -> dict[str, DataFrame]:
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0], second_provider=PROVIDERS_RUN[1])
+    plan, path = _conv_requests(spark, sf_dir, form_by_hash=False), scratch_path(spark, "conv-build")
+    for _ in range(runs):
+        out = bd.build_dataset(spark, plan, gen.offline_backend(SEED), path, cfg, export_path=export)
+    return out
+
+
+@register("build_records", f"""{_RUN_SQL}
+SELECT slot_id, provider, category, CAST(3 AS BIGINT) AS n_messages, {_triplet_sql('user_prompt', 'text')} AS flat
+FROM r WHERE error IS NULL""")
+def q_build_records(spark, sf_dir):
+    """#4/#16 the stored record: plan, replies, three messages, JSON Lines,
+    scanned back."""
+    path = scratch_path(spark, "conv-records")
+    _conv_build(spark, sf_dir, export=path)
+    return _exported(spark, path)
+
+
+@register("build_failures", f"""{_RUN_SQL}
+SELECT slot_id, provider, error, CAST(2 AS BIGINT) AS attempts FROM r WHERE error IS NOT NULL""")
+def q_build_failures(spark, sf_dir):
+    """#23 after two faulty runs: one row per failing slot, its latest error."""
+    return _conv_build(spark, sf_dir, runs=2)["failures"].select("slot_id", "provider", "error", "attempts")
+
+
+@register("build_report", f"""{_RUN_SQL}
+SELECT 'attempts by category' AS section, category AS name, count(*) AS n FROM r GROUP BY category
+UNION ALL
+SELECT 'successes by provider', p.provider, CAST(count(r.slot_id) AS BIGINT)
+FROM (VALUES ('{PROVIDERS_RUN[0]}'), ('{PROVIDERS_RUN[1]}')) p(provider)
+LEFT JOIN r ON r.provider = p.provider AND r.error IS NULL GROUP BY p.provider""")
+def q_build_report(spark, sf_dir):
+    """#24-#26 what a build reports of its run."""
+    return _conv_build(spark, sf_dir)["report"]
+
+
 @register("prepare_training_set", f"""
 WITH t AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS la
            FROM conversations GROUP BY conv_id),

@@ -278,3 +278,71 @@ def test_pool_draw_drops_and_multiplies_nothing(spark):
     assert sa.uniform_pool_draw(plan.where("category = 'a'"), pool, 1).count() == 50
     with pytest.raises(ValueError, match="more than once"):
         sa.uniform_pool_draw(plan, pool.unionAll(pool), 1)
+
+
+def test_hot_one_item_category_is_spread(spark):
+    """Half of all draws go to one item: its rows meet under many salts."""
+    plan = spark.range(200_000).selectExpr("id AS slot_id", "IF(id % 2 = 0, 'one', 'many') AS category")
+    pool = spark.createDataFrame([("one", 10**6, "x")], "category string, item_id long, base_prompt string").unionByName(
+        spark.range(1000).selectExpr("'many' AS category", "id AS item_id", "concat('b', id) AS base_prompt"))
+    drawn = sa.uniform_pool_draw(plan, pool, 4)
+    assert drawn.count() == 200_000 and drawn.where("base_prompt IS NULL").isEmpty()
+    assert drawn.where("item_id = 1000000").count() == 100_000
+    plan_text = drawn._jdf.queryExecution().optimizedPlan().toString()
+    # the texts, too, are joined under the salt
+    assert any("item_id" in j and "_up_s" in j for j in plan_text.splitlines() if "Join LeftOuter" in j)
+
+
+def test_heavy_weights_are_a_distributed_range(spark):
+    """A weight of 10**7 is no array; wide columns are held once per category."""
+    wide = "p" * 10_000
+    weights = spark.createDataFrame([("a", 10**7, wide), ("b", 3, wide), ("z", 0, wide)],
+                                    "category string, weight long, gen_system string")
+    slots = sa.weighted_slots(weights)
+    assert {r[0]: r[1] for r in slots.groupBy("category").count().collect()} == {"a": 10**7, "b": 3}
+    assert slots.selectExpr("count(DISTINCT slot)", "max(slot)").first()[1] == 10**7 + 2
+    drawn = sa.weighted_draw(pl.plan_slots(spark, 500), weights, 4, extra=("gen_system",))
+    assert drawn.where(F.length("gen_system") == 10_000).count() == 500
+
+
+def test_many_categories_take_disjoint_ranges(spark):
+    weights = spark.range(5000).selectExpr("concat('c', id) AS category", "id % 7 AS weight")
+    bounds = sa.category_bounds(sa._once(weights, ["category", "weight"], ["category"])).collect()
+    spans = sorted((r.lo, r.hi) for r in bounds)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert sorted(r.category for r in bounds) == [r.category for r in sorted(bounds, key=lambda r: r.lo)]
+
+
+def test_null_category_is_an_error(spark):
+    weights = spark.createDataFrame([(None, 2), ("b", 3)], "category string, weight long")
+    with pytest.raises(ValueError, match="null"):
+        sa.weighted_draw(pl.plan_slots(spark, 5), weights, 4)
+
+
+def test_generation_tasks_grow_with_rows(spark):
+    cfg = bd.BuildConfig(rows_per_task=10)
+    few = spark.sparkContext.defaultParallelism
+    assert bd.tasks_for(spark, 5, cfg) == few
+    assert bd.tasks_for(spark, 10 * (few + 7), cfg) == few + 7
+    assert bd.tasks_for(spark, 10**6, bd.BuildConfig(partitions=3)) == 3
+
+
+def test_null_prompt_is_an_error_row(spark):
+    plan = spark.createDataFrame([(1, "messages_api", "s", None), (2, "single_prompt", "s", None),
+                                  (3, "single_prompt", "s", "hello"), (4, "unheard_of", "s", "hello")],
+                                 "slot_id long, provider string, gen_system string, user_prompt string")
+    out = gen.extract_response(gen.bulk_generate(gen.shape_request(plan).drop("request"),
+                                                 gen.offline_backend(1, fault_every=0)))
+    got = {r.slot_id: (r.text, r.error) for r in out.collect()}
+    assert got[1] == got[2] == got[4] == (None, gen.ERR_NO_REQUEST)
+    assert got[3][0] and got[3][1] is None
+
+
+def test_failures_keep_the_latest_attempt(spark):
+    res = spark.createDataFrame(
+        [(1, "p", "q", "r2", None, "second"), (1, "p", "q", "r1", None, "first"), (2, "p", "q", "r1", None, "first"),
+         (2, "p", "q", "r2", "fine", None)],
+        "slot_id long, provider string, user_prompt string, run_id string, text string, error string")
+    ok, failed = bd.records_from_results(res, bd.BuildConfig())
+    assert [(r.slot_id, r.error, r.attempts) for r in failed.collect()] == [(1, "second", 2)]
+    assert [r.slot_id for r in ok.collect()] == [2]
