@@ -83,7 +83,7 @@ def cmd_prepare(args) -> dict:
     out = pt.prepare_training_set(spark, recs, "record_id", args.out, seed=args.seed,
                                   eval_share=args.eval_share, cap=args.max_length,
                                   epochs=args.epochs, micro_batch=args.batch_size,
-                                  accumulation=args.accumulation)
+                                  accumulation=args.accumulation, answered_only=args.answered_only)
     sizes = {r.split: r["count"] for r in out["data"].groupBy("split").count().collect()}
     return {"splits": sizes, "unanswered": out["unanswered"].count(),
             "rejected": out["rejected"].count(), "manifest_rows": out["manifest"].count()}
@@ -102,7 +102,8 @@ def main(argv=None) -> int:
     b.add_argument("--provider", default="messages_api")
     b.add_argument("--second-provider", default=None)
     b.add_argument("--model", action="append", default=[], help="FORM=MODEL")
-    b.add_argument("--backend", choices=["offline", "http"], default="offline")
+    b.add_argument("--backend", choices=["offline", "http"], required=True,
+                   help="offline stores made-up replies, for trials only")
     b.add_argument("--url", action="append", default=[], help="FORM=URL (http backend)")
     b.add_argument("--header", action="append", default=[], help="NAME=VALUE (http backend)")
     b.add_argument("--timeout", type=float, default=300.0)
@@ -115,6 +116,8 @@ def main(argv=None) -> int:
     r.add_argument("--records", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--lenient", action="store_true", help="skip malformed lines")
+    r.add_argument("--answered-only", action="store_true",
+                   help="cut records after their last assistant message; drop those without one or with nulls")
     r.add_argument("--eval-share", type=float, default=0.05)
     r.add_argument("--max-length", type=int, default=2048)
     r.add_argument("--epochs", type=int, default=5)

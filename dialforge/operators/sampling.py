@@ -65,7 +65,7 @@ def _lookup(rows: DataFrame, slot: str, weights: DataFrame, category: str, weigh
     """``rows`` with the category whose slot range holds ``slot``: an equi-join
     on the bin, then the range. The bin table carries keys and bounds only."""
     width = -(-total // bins)  # ceil
-    bounds = category_bounds(weights, category, weight, order)
+    bounds = _once(category_bounds(weights, category, weight, order), [category, "lo", "hi"])
     bin_tbl = bounds.select(
         category, "lo", "hi",
         F.explode(F.sequence(F.floor(F.col("lo") / width),

@@ -34,6 +34,7 @@ from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
 from dialforge.operators import sampling as sa
 from dialforge.sources import catalog as cat
+from dialforge.session import scratch_path
 from dialforge.sources import jsonl, store
 
 
@@ -188,6 +189,9 @@ def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str) -> None:
     """Append the slots of ``plan`` that the stored plan lacks. Raises if a
     slot of both differs: results of two plans must not mix."""
     stored = spark.read.schema(plan.schema).parquet(plan_path)
+    path = scratch_path(spark, "plan")  # read three times, drawn and composed once
+    store.write_table(plan, path, long_text=LONG_TEXT, compression=TEXT_CODEC)
+    plan = spark.read.schema(plan.schema).parquet(path)
 
     def digest(df):
         return df.select("slot_id", F.xxhash64(*sorted(plan.columns)).alias("digest"))

@@ -1,10 +1,10 @@
-"""Prepare a training set: records -> trim -> normalise -> render -> split ->
-length cap -> ``split=``-partitioned Parquet (+ the batch manifest).
+"""Prepare a training set: records -> split -> normalise -> render -> length
+cap -> ``split=``-partitioned Parquet (+ the batch manifest).
 
-Records that end on an unanswered user turn are cut back to their last
-assistant message; records with no assistant message at all are dropped and
-counted. Only the split's boundary bucket and the manifest's per-epoch rank
-involve an exchange; everything else is a narrow projection.
+By default every record is kept, as it is: the split then looks at ids alone, so
+the records are assembled and read once. With ``answered_only``, records that
+end on an unanswered user turn are cut back to their last assistant message,
+and records without one, or with a null role or content, are dropped and counted.
 """
 
 from __future__ import annotations
@@ -20,11 +20,15 @@ from dialforge.operators import tokens as tk
 
 def prepare(records: DataFrame, id_col: str, seed: int = sp.SPLIT_SEED,
             system: str = chat.DEFAULT_SYSTEM, eval_share: float = sp.EVAL_SHARE,
-            cap: int = tk.MAX_SEQ_LENGTH) -> DataFrame:
+            cap: int = tk.MAX_SEQ_LENGTH, answered_only: bool = False) -> DataFrame:
     """``(id, messages, ...)`` -> + ``split``, ``text``, ``n_tokens``,
-    ``truncated``, ``text_capped``. Unanswered records are removed, and so
-    are records the render rejects (a null role or content in the kept
-    turns), since a template would silently drop such a turn."""
+    ``truncated``, ``text_capped``. A null role or content is rendered as an
+    empty one. With ``answered_only``, unanswered records are removed, and so
+    are records with a null role or content in the kept turns."""
+    if not answered_only:
+        split = sp.train_eval_split(records, id_col, seed=seed, eval_share=eval_share)
+        rendered = msg.render_chat(msg.normalize_system(split, system), on_null="empty")
+        return tk.truncate_tokens(rendered, "text", cap=cap)
     trimmed = msg.trim_to_last_role(records, "assistant")
     kept = trimmed.where(F.size("messages") > 0)
     norm = msg.normalize_system(kept, system)
@@ -34,13 +38,13 @@ def prepare(records: DataFrame, id_col: str, seed: int = sp.SPLIT_SEED,
 
 
 def unanswered(records: DataFrame) -> DataFrame:
-    """Records dropped by :func:`prepare` (no assistant message)."""
+    """Records that ``answered_only`` drops: no assistant message."""
     return records.where(~F.exists("messages", lambda m: m["role"].eqNullSafe(F.lit("assistant"))))
 
 
 def rejected(records: DataFrame, system: str = chat.DEFAULT_SYSTEM) -> DataFrame:
-    """Answered records that :func:`prepare` drops because a kept turn has a
-    null role or content."""
+    """Answered records that ``answered_only`` drops because a kept turn has
+    a null role or content."""
     trimmed = msg.trim_to_last_role(records, "assistant").where(F.size("messages") > 0)
     return trimmed.where(chat.has_null_part(F.col("messages")))
 
@@ -57,12 +61,13 @@ def manifest_for(prepared: DataFrame, id_col: str, **kw) -> DataFrame:
 def prepare_training_set(spark: SparkSession, records: DataFrame, id_col: str, out_dir: str,
                          seed: int = sp.SPLIT_SEED, system: str = chat.DEFAULT_SYSTEM,
                          eval_share: float = sp.EVAL_SHARE, cap: int = tk.MAX_SEQ_LENGTH,
-                         **manifest_kw) -> dict[str, DataFrame]:
+                         answered_only: bool = False, **manifest_kw) -> dict[str, DataFrame]:
     """The whole job: ``out_dir/data`` (split-partitioned training rows) and
     ``out_dir/manifest`` (per-epoch order of the train rows, ordered
     shards), both read back; ``unanswered`` and ``rejected`` are the
-    dropped records."""
-    prepared = prepare(records, id_col, seed=seed, system=system, eval_share=eval_share, cap=cap)
+    records that ``answered_only`` drops (none without it)."""
+    prepared = prepare(records, id_col, seed=seed, system=system, eval_share=eval_share, cap=cap,
+                       answered_only=answered_only)
     write_training_set(prepared, f"{out_dir}/data")
     # read back with the known schemas: no inference job over the new files
     data = spark.read.schema(prepared.schema).parquet(f"{out_dir}/data")
@@ -70,4 +75,5 @@ def prepare_training_set(spark: SparkSession, records: DataFrame, id_col: str, o
     sp.write_manifest(manifest, f"{out_dir}/manifest")
     return {"data": data,
             "manifest": spark.read.schema(manifest.schema).parquet(f"{out_dir}/manifest"),
-            "unanswered": unanswered(records), "rejected": rejected(records, system)}
+            "unanswered": unanswered(records).where(F.lit(answered_only)),
+            "rejected": rejected(records, system).where(F.lit(answered_only))}

@@ -729,5 +729,47 @@ def q_prepare_training_set(spark, sf_dir):
     """#33 records -> trim -> normalise -> render -> split -> cap, written
     as split-partitioned Parquet and read back."""
     out = pt.prepare_training_set(spark, _records(spark, sf_dir), "conv_id",
-                                  scratch_path(spark, "training-set"), seed=SEED)
+                                  scratch_path(spark, "training-set"), seed=SEED, answered_only=True)
     return out["data"].select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")
+
+
+_EMPTY = "coalesce({0}, '')"
+_ALL_RECORDS_SQL = f"""
+WITH r AS (SELECT conv_id, 1 + count(*) FILTER (WHERE role IS DISTINCT FROM 'system') AS n_messages,
+             {_render_sql("'system'", DEFAULT_SYS_SQL)}
+             || coalesce(string_agg({_render_sql(_EMPTY.format('role'), _EMPTY.format('text'))}, '' ORDER BY turn)
+                         FILTER (WHERE role IS DISTINCT FROM 'system'), '') AS text
+      FROM conversations GROUP BY conv_id),
+s AS (SELECT *, row_number() OVER (ORDER BY {U('conv_id', 'split')}, conv_id) AS rk, count(*) OVER () AS n FROM r),
+x AS (SELECT *, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eval' ELSE 'train' END AS split,
+             {_NTOK_SQL.format(t='text')} AS ntok FROM s)"""
+
+
+def _training_set(spark, sf_dir) -> dict[str, DataFrame]:
+    return pt.prepare_training_set(spark, _records(spark, sf_dir), "conv_id",
+                                   scratch_path(spark, "training-all"), seed=SEED)
+
+
+@register("prepare_all_records", f"""{_ALL_RECORDS_SQL}
+SELECT conv_id, split, n_messages, ntok AS n_tokens, ntok > {tk.MAX_SEQ_LENGTH} AS truncated,
+       md5(CASE WHEN ntok > {tk.MAX_SEQ_LENGTH} THEN {_capped_sql('text', tk.MAX_SEQ_LENGTH)} ELSE text END)
+         AS capped_md5
+FROM x""")
+def q_prepare_all_records(spark, sf_dir):
+    """#33 every record kept: split, normalised, rendered and capped."""
+    return _training_set(spark, sf_dir)["data"].select(
+        "conv_id", "split", _n_messages(), "n_tokens", "truncated", F.md5("text_capped").alias("capped_md5"))
+
+
+@register("prepare_manifest", f"""{_ALL_RECORDS_SQL},
+e AS (SELECT CAST(unnest(range(0, {sp.EPOCHS})) AS INTEGER) AS epoch),
+m AS (SELECT e.epoch, x.conv_id,
+             row_number() OVER (PARTITION BY e.epoch
+                                ORDER BY {u_sql(SEED, 'x.conv_id', "'epoch:' || e.epoch")}, x.conv_id) - 1 AS position
+      FROM x, e WHERE x.split = 'train')
+SELECT epoch, conv_id, position, position // {sp.MICRO_BATCH} AS micro_batch,
+       position // {sp.MICRO_BATCH * sp.ACCUMULATION} AS step
+FROM m""")
+def q_prepare_manifest(spark, sf_dir):
+    """#33/#29 the written manifest of the train rows."""
+    return _training_set(spark, sf_dir)["manifest"].select("epoch", "conv_id", "position", "micro_batch", "step")

@@ -8,13 +8,14 @@ from dialforge.sources import jsonl
 
 def test_build_then_prepare(spark, tmp_path, capsys):
     out = str(tmp_path / "build")
-    assert main(["build", "--out", out, "--num", "60", "--second-provider", "chat_completions",
+    assert main(["build", "--out", out, "--num", "60", "--second-provider", "chat_completions", "--backend", "offline",
                  "--fault-every", "4"]) == 0
     first = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert first["attempted"] == 60 and 0 < first["failed"] < 60
     assert first["failures_pending"] == first["failed"]
     # rerun: only the failures are retried (fault-free), the export is topped up
-    assert main(["build", "--out", out, "--num", "60", "--second-provider", "chat_completions"]) == 0
+    assert main(["build", "--out", out, "--num", "60", "--second-provider", "chat_completions",
+                 "--backend", "offline"]) == 0
     second = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert second["failures_pending"] == 0
     assert second["attempted"] == 60 + first["failed"]

@@ -338,7 +338,8 @@ def test_attempts_and_successes_differ_with_faults(spark):
     attempts = sum(r.attempts for r in R.QUERIES["category_counts"](spark, SF001).collect())
     successes = sum(r.successes for r in R.QUERIES["provider_counts"](spark, SF001).collect())
     summary = R.QUERIES["run_summary"](spark, SF001).first()
-    assert attempts == summary.attempted == 100
+    turns = spark.read.parquet(f"{SF001}/conversations.parquet").where("role = 'user'").count()
+    assert attempts == summary.attempted == turns  # one request per user turn
     assert successes == summary.generated < attempts
     assert summary.failed == attempts - successes
 
@@ -372,7 +373,7 @@ def test_prepare_drops_unanswered_and_rejected(spark):
             (2, [{"role": "user", "content": "only a question"}]),
             (3, [{"role": "user", "content": "u"}, {"role": "assistant", "content": None}])]
     recs = spark.createDataFrame(rows, schema)
-    out = pt.prepare(recs, "rid").collect()
+    out = pt.prepare(recs, "rid", answered_only=True).collect()
     assert [r.rid for r in out] == [1]
     assert out[0].text == (f"<|system|>{NL}{chat.DEFAULT_SYSTEM}</s>{NL}<|user|>{NL}u</s>{NL}"
                            f"<|assistant|>{NL}a</s>{NL}")
@@ -420,3 +421,16 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
     assert big["spark.speculation"] == "false"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_prepare_keeps_every_record(spark):
+    """By default nothing is dropped or cut; nulls render as empty."""
+    recs = spark.createDataFrame(
+        [(1, [("user", "a"), ("assistant", "b"), ("user", "c")]), (2, [("user", "x")]), (3, [("user", None)]), (4, [])],
+        "rid long, messages array<struct<role:string,content:string>>")
+    from dialforge.plans import prepare_training as pt
+
+    got = {r.rid: r.text for r in pt.prepare(recs, "rid", system="s").collect()}
+    assert got == {1: "<|system|>\ns</s>\n<|user|>\na</s>\n<|assistant|>\nb</s>\n<|user|>\nc</s>\n",
+                   2: "<|system|>\ns</s>\n<|user|>\nx</s>\n", 3: "<|system|>\ns</s>\n<|user|>\n</s>\n",
+                   4: "<|system|>\ns</s>\n"}

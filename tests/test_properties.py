@@ -173,7 +173,7 @@ def test_prepare_training_set_job_writes_ordered_manifest(spark):
 
     recs = msg.assemble_from_turns(read_table(spark, SF001, "conversations"))
     out = scratch_path(spark, "prep")
-    res = pt.prepare_training_set(spark, recs, "conv_id", out, epochs=2)
+    res = pt.prepare_training_set(spark, recs, "conv_id", out, epochs=2, answered_only=True)
     data, man = res["data"], res["manifest"]
     n_train = data.where("split = 'train'").count()
     assert data.count() + res["unanswered"].count() == 100
