@@ -7,9 +7,10 @@ sends it to its slot: rounds mix the halves of the number's bits, and as the
 bits span more numbers than there are sequences, a result beyond the last is
 permuted again until it falls inside (cycle-walking). The map is one-to-one, has
 no table and no shuffle of its own, and any slot can be computed anew. Range
-partitions by slot then hold shards of ``shard`` slots; every record of a shard
-has the same number of bytes, so slot s is record ``s % shard`` of shard
-``s // shard``, and reading resumes at any slot.
+partitions by slot then hold shards of ``shard`` slots, and each shard is written
+as one folder; its ids take the same number of bytes in every record, so slot s is
+record ``s % shard`` of shard ``s // shard``, and reading resumes at any slot. As
+the pad is also a token, ``n_ids`` in each record says where its text ends.
 
 Cases: null and empty texts give the one sequence of the end id; very long texts
 give many sequences; repeated rows give their own sequences; a null doc_id
@@ -62,26 +63,48 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
-        for batch in batches:
+        for batch in document_ids(tokenizer, end_id)(batches):
+            rows, starts, sizes, parts = [], [], [], []
             for i in range(batch.num_rows):
                 raw = batch.column(1)[i].as_py()
-                starts = list(range(0, len(raw) // 4, length))
-                parts = [raw[4 * s:4 * (s + length)] for s in starts]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([i] * len(starts))), pa.array(starts, pa.int64()),
-                     pa.array([len(p) // 4 for p in parts], pa.int64()),
-                     pa.array([p + PAD.to_bytes(4, "little") * (length - len(p) // 4) for p in parts], pa.binary())],
-                    ["key", "start", "n_ids", "ids"])
-
-    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text")).transform(map_arrow,
-        document_ids(tokenizer, end_id), f"key {kind}, ids binary")
+                for s in range(0, len(raw) // 4, length):
+                    part = raw[4 * s:4 * (s + length)]
+                    rows.append(i)
+                    starts.append(s)
+                    sizes.append(len(part) // 4)
+                    parts.append(part + PAD.to_bytes(4, "little") * (length - len(part) // 4))
+                if len(parts) * 4 * length > 8 << 20 or i == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
+                         pa.array(parts, pa.binary())], ["key", "start", "n_ids", "ids"])
+                    rows, starts, sizes, parts = [], [], [], []
+
+    ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text"))
     return ids.transform(map_arrow, cut, f"key {kind}, start long, n_ids long, ids binary").withColumnRenamed("key", "doc_id")
 
 
+_ZSTD = "zstd"
+
+
+def pack_ids(ids: bytes) -> bytes:
+    """Width of an id, number of bytes, and the ids compressed: 16 bits each if all fit."""
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and wide.max() > 0xFFFF:
+        width, raw = 4, ids
+    else:
+        width, raw = 2, wide.astype("<u2").tobytes()
+    return bytes([width]) + len(raw).to_bytes(4, "little") + pa.compress(raw, _ZSTD, asbytes=True)
+
+
+def unpack_ids(packed: bytes) -> bytes:
+    raw = pa.decompress(packed[5:], int.from_bytes(packed[1:5], "little"), _ZSTD, asbytes=True)
+    return raw if packed[0] == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
+
+
 def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFrame:
     """The columns of ``seqs`` in ``row``, slot, shard and record, range-partitioned
     and sorted by slot. The sequences are written first: their numbers are then
-    fixed, whatever executor is lost."""
+    fixed, whatever executor is lost. Ids cross the exchange packed."""
     spark = seqs.sparkSession
     path = scratch_path(spark, "llm-sequences")
     seqs.write.option("compression", "zstd").parquet(path)
@@ -93,26 +116,51 @@ def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFram
         n += r["n"]
     starts = spark.createDataFrame(list(first.items()), "file string, first long")
 
-    def place(batches):
-        for batch in batches:
-            number = batch.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feistel(number, n, key))], ["row", "slot"])
+    @F.arrow_udf("long")
+    def place(number: pa.Array) -> pa.Array:
+        return pa.array(feistel(number.to_numpy(zero_copy_only=False), n, key), pa.int64())
 
-    numbered = stored.select(F.struct(*seqs.columns).alias("row"), F.col("_metadata.file_path").alias("file"),
+    @F.arrow_udf("binary")
+    def packed(ids: pa.Array) -> pa.Array:
+        return pa.array([pack_ids(x.as_py()) for x in ids], pa.binary())
+
+    @F.arrow_udf("binary")
+    def unpacked(ids: pa.Array) -> pa.Array:
+        return pa.array([unpack_ids(x.as_py()) for x in ids], pa.binary())
+
+    others = [c for c in seqs.columns if c != "ids"]
+    numbered = stored.select(F.struct(*others).alias("others"), "ids", F.col("_metadata.file_path").alias("file"),
                              F.col("_metadata.row_index").alias("at"))
-    numbered = numbered.join(F.broadcast(starts), "file").select("row", (F.col("first") + F.col("at")).alias("number"))
-    kind = numbered.schema["row"].dataType.simpleString()
-    placed = numbered.transform(map_arrow, place, f"row {kind}, slot long").select(
-        "row", "slot", F.floor(F.col("slot") / shard).cast("long").alias("shard"), (F.col("slot") % shard).cast("long").alias("record"))
-    return placed.repartitionByRange(shuffle_partitions(spark, n, 1 << 15), "shard").sortWithinPartitions("slot")
+    numbered = numbered.join(F.broadcast(starts), "file").select("others", "ids", (F.col("first") + F.col("at")).alias("number"))
+    placed = numbered.select("others", packed("ids").alias("ids"), place("number").alias("slot"))
+    tasks, shards = shuffle_partitions(spark, n, 1 << 15), max(1, -(-n // shard))
+    number = F.floor(F.col("slot") / shard).cast("long")
+    dealt = placed.repartitionById(tasks, F.floor(number * tasks / shards).cast("int")).select("others", "slot", unpacked("ids").alias("ids"))
+    row = F.struct(*[F.col("ids") if c == "ids" else F.col("others").getField(c).alias(c) for c in seqs.columns])
+    return dealt.select(row.alias("row"), "slot", number.alias("shard"), (F.col("slot") % shard).cast("long").alias("record")
+                        ).sortWithinPartitions("shard", "slot")
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:
-    """One folder per shard; records of equal size in slot order."""
-    ordered.select("shard", "slot", "record", "row.ids").write.partitionBy("shard").parquet(path)
+    """One folder per shard; records with ids of equal size in slot order."""
+    ordered.select("shard", "slot", "record", "row.*").write.partitionBy("shard").option("compression", "zstd").parquet(path)
+
+
+def read_shards(spark, path: str, kind: str = "long") -> DataFrame:
+    """All records written, in no order; ``kind`` is the type of doc_id."""
+    return spark.read.schema(f"slot long, record long, doc_id {kind}, start long, n_ids long, ids binary, shard long").parquet(path)
+
+
+def read_from(spark, path: str, slot: int, shard: int = SHARD, kind: str = "long") -> DataFrame:
+    """The records from ``slot`` on, without opening earlier shards. Each task
+    gets one shard and puts its records in their places; tasks follow one another."""
+    first = slot // shard
+    rest = read_shards(spark, path, kind).where((F.col("shard") >= first) & (F.col("slot") >= slot))
+    last = rest.agg(F.max("shard")).first()[0]
+    tasks = max(1, (first if last is None else last) - first + 1)
+    return rest.repartitionById(tasks, (F.col("shard") - first).cast("int")).sortWithinPartitions("record")
 
 
-def read_from(spark, path: str, slot: int, shard: int = SHARD) -> DataFrame:
-    """The records from ``slot`` on, without opening earlier shards."""
-    return spark.read.schema("slot long, record long, ids binary, shard long").parquet(path).where(
-        (F.col("shard") >= slot // shard) & (F.col("slot") >= slot)).orderBy("slot")
+def read_shard(spark, path: str, shard: int, record: int = 0, kind: str = "long") -> DataFrame:
+    """The records of one shard from place ``record`` on, in order; opens that shard only."""
+    return read_shards(spark, path, kind).where((F.col("shard") == shard) & (F.col("record") >= record)).coalesce(1).sortWithinPartitions("record")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialforge.llm import edits, fingerprints, jaccard, neighbours, ordering, packing, quality, secrets, substring, word_bpe
-from dialforge.session import read_table, ship_package, table_path
+from dialforge.session import read_table, scratch_path, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -169,5 +169,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_training_order")
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = ordering.in_training_order(ordering.sequences(documents(spark, sf_dir), BYTE_BPE), key="epoch-0")
-    return ordered.select("slot", "shard", "record", "row.doc_id", "row.start", "row.n_ids", F.crc32("row.ids").alias("ids_crc32"))
+    docs = documents(spark, sf_dir)
+    path = scratch_path(spark, "llm-shards")
+    ordering.write_shards(ordering.in_training_order(ordering.sequences(docs, BYTE_BPE), key="epoch-0"), path)
+    shards = ordering.read_shards(spark, path, docs.schema["doc_id"].dataType.simpleString())
+    return shards.select("slot", "shard", "record", "doc_id", "start", "n_ids", F.crc32("ids").alias("ids_crc32"))

@@ -192,6 +192,39 @@ def test_training_order(spark, table, tmp_path):
     assert ordering.in_training_order(ordering.sequences(table([]), Q.BYTE_BPE), "k").count() == 0
 
 
+def test_packed_ids():
+    for ids in ([], [0, 65535], [0, 65536, 7], list(range(1000)) + [0] * 24):
+        raw = np.array(ids, "<u4").tobytes()
+        assert ordering.unpack_ids(ordering.pack_ids(raw)) == raw
+
+
+def test_shards_hold_the_whole_record(spark, table, tmp_path):
+    rows = EDGE_ROWS + [(40, "a!!"), (41, "!" * 200)]
+    docs, path = table(rows), str(tmp_path / "shards")
+    ordering.write_shards(ordering.in_training_order(ordering.sequences(docs, Q.BYTE_BPE, length=64), "k", shard=16), path)
+    enc, texts = byte_bpe.Encoder(Q.BYTE_BPE), defaultdict(dict)
+    records = ordering.read_shards(spark, path).select("*", "_metadata.file_path", "_metadata.row_index").collect()
+    assert all(r["row_index"] == r["record"] for r in records) and len({r["file_path"] for r in records}) == -(-len(records) // 16)
+    for r in records:
+        ids = np.frombuffer(r["ids"], "<u4")
+        assert len(ids) == 64 and not ids[r["n_ids"]:].any()
+        texts[r["doc_id"]].setdefault(r["start"], []).append(ids[:r["n_ids"]].tolist())
+    for i, t in rows:
+        if i not in (None, 1):
+            assert [x for s in sorted(texts[i]) for x in texts[i][s][0]] == [*enc.ids(t or "").tolist(), 1]
+    from_25 = ordering.read_from(spark, path, 25, shard=16)
+    assert [r["slot"] for r in from_25.collect()] == list(range(25, len(records)))
+    assert "rangepartitioning" not in from_25._jdf.queryExecution().executedPlan().toString()
+    assert [r["slot"] for r in ordering.read_shard(spark, path, 1, 9).collect()] == list(range(25, 32))
+
+
+def test_training_order_query_writes_shards(spark):
+    got = Q.op5_training_order(spark, "/root/testdata/sf0.001")
+    files = got.inputFiles()
+    assert files and all("llm-shards" in f and "/shard=" in f for f in files)
+    assert got.count() > 0 and got.where("record <> slot % 4096 or shard <> slot div 4096").count() == 0
+
+
 # -- 6 substrings -----------------------------------------------------------------------
 
 def brute_removed(texts, width=35):
