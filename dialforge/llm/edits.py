@@ -4,11 +4,15 @@
 block of about ``BLOCK`` pre-tokens: its length in characters and its number of
 tokens, with the sums of both in a binary tree above. ``apply`` replays edits
 ``(start, removed, inserted)``: from the tree it finds the block where the edit
-starts, steps back over the boundary context (``BACK`` characters: a pre-token
+starts, steps back over the boundary context (``BACK`` characters and more: a pre-token
 can look ahead that far), cuts the new text anew from there, and stops as soon
 as it reaches an old block's start beyond the edit: the rest of the text is cut
 the same as before. Only that stretch is encoded; its leaves are replaced and the
-sums above them updated.
+sums above them updated. An added token of the file ('<|endoftext|>') is one
+pre-token of one token wherever its string stands, and the text on each side is
+cut as if it ended there, as the library does; the boundary context is longer
+by the longest of them, so edits make and break them. Added tokens that take in
+white space or whole words only (``lstrip``, ``rstrip``, ``single_word``) are refused.
 
 Cases: a null text is empty and counts 0 tokens; places beyond the end of the
 text are its end, negative ones its start; null edits or null inserted text
@@ -20,6 +24,8 @@ whole; no rows give no rows; other columns come back in ``row``.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -83,26 +89,50 @@ class SumTree:
             self.build(np.concatenate([self.leaves[:lo], np.asarray(leaves, np.int64).reshape(-1, 2), self.leaves[hi:]]))
 
 
-@functools.lru_cache(2)
-def _counter(path: str):
-    enc, known = encoder(path), {}
-
-    def count(piece: str) -> int:
-        n = known.get(piece)
+class Pieces:
+    """The pre-tokens of texts under one tokenizer file, and their numbers of tokens."""
+
+    def __init__(self, path: str):
+        self.enc, self.known = encoder(path), {}
+        with open(path, encoding="utf-8") as f:
+            odd = [t["content"] for t in json.load(f).get("added_tokens", []) if t["lstrip"] or t["rstrip"] or t["single_word"]]
+        if odd:
+            raise ValueError(f"added tokens that depend on the text around them: {odd}")
+        self.added = set(self.enc.added)
+        self.find_added = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
+        self.back = BACK + max(map(len, self.added), default=0)
+
+    def _stretches(self, text: str, start: int):
+        for m in self.find_added.finditer(text, start):
+            yield _CUT.finditer(text, start, m.start())
+            yield (m,)
+            start = m.end()
+        yield _CUT.finditer(text, start)
+
+    def cut(self, text: str, start: int):
+        """Matches of the pre-tokens from ``start`` on."""
+        return itertools.chain.from_iterable(self._stretches(text, start))
+
+    def count(self, piece: str) -> int:
+        n = self.known.get(piece)
         if n is None:
-            if len(known) > 100_000:
-                known.clear()
-            known[piece] = n = len(enc.ranks.encode_ordinary(piece)) if piece.isascii() else \
-                len(enc.library.encode(piece, add_special_tokens=False).ids)
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[piece] = n = 1 if piece in self.added else len(self.enc.ranks.encode_ordinary(piece)) if piece.isascii() else \
+                len(self.enc.library.encode(piece, add_special_tokens=False).ids)
         return n
-    return count
 
 
-def leaves_of(text: str, start: int, count, stop=None) -> tuple[list[tuple[int, int]], int]:
+@functools.lru_cache(2)
+def _pieces(path: str) -> Pieces:
+    return Pieces(path)
+
+
+def leaves_of(text: str, start: int, pieces: Pieces, stop=None) -> tuple[list[tuple[int, int]], int]:
     """Blocks of the pre-tokens from ``start`` on, until ``stop(place)`` holds
     at a block's or pre-token's edge; the blocks and the place reached."""
-    out, chars, tokens, n, at = [], 0, 0, 0, start
-    for m in _CUT.finditer(text, start):
+    out, chars, tokens, n, at, count = [], 0, 0, 0, start, pieces.count
+    for m in pieces.cut(text, start):
         if stop is not None and m.start() > start and stop(m.start()):
             break
         chars, tokens, n, at = chars + len(m[0]), tokens + count(m[0]), n + 1, m.end()
@@ -117,9 +147,9 @@ def leaves_of(text: str, start: int, count, stop=None) -> tuple[list[tuple[int,
 class Document:
     """A text with its tree; ``encoded`` counts characters cut anew by edits."""
 
-    def __init__(self, text: str, count, leaves=None):
-        self.text, self.count, self.encoded = text, count, 0
-        self.tree = SumTree(leaves_of(text, 0, count)[0] if leaves is None else leaves)
+    def __init__(self, text: str, pieces: Pieces, leaves=None):
+        self.text, self.pieces, self.encoded = text, pieces, 0
+        self.tree = SumTree(leaves_of(text, 0, pieces)[0] if leaves is None else leaves)
 
     @property
     def tokens(self) -> int:
@@ -128,15 +158,16 @@ class Document:
     def edit(self, start: int, removed: int, inserted: str) -> None:
         start = min(max(start, 0), len(self.text))
         end = min(start + max(removed, 0), len(self.text))
-        lo, at = self.tree.find(max(start - BACK, 0)) if self.tree.n else (0, 0)
-        while lo and start - at < BACK:
+        back = self.pieces.back
+        lo, at = self.tree.find(max(start - back, 0)) if self.tree.n else (0, 0)
+        while lo and start - at < back:
             lo -= 1
             at -= int(self.tree.leaves[lo, 0])
         grown = len(inserted) - (end - start)
         edges = at + np.concatenate([[0], np.cumsum(self.tree.leaves[lo:, 0])])      # old block starts from here on
         beyond = {int(e) + grown: k for k, e in enumerate(edges) if e >= end}
         self.text = self.text[:start] + inserted + self.text[end:]
-        fresh, reached = leaves_of(self.text, at, self.count, beyond.__contains__)
+        fresh, reached = leaves_of(self.text, at, self.pieces, beyond.__contains__)
         self.encoded += reached - at
         hi = lo + beyond[reached] if reached in beyond else self.tree.n
         self.tree.replace(lo, hi, np.array(fresh, np.int64).reshape(-1, 2))
@@ -144,13 +175,13 @@ class Document:
 
 def _apply_body(path: str):
     def run(batches):
-        count = _counter(path)
+        pieces = _pieces(path)
         for batch in batches:
             out, lo, held = [], 0, 0
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_py() or ""
                 leaves = batch.column("leaves")[i].as_py() if "leaves" in batch.schema.names else None
-                doc = Document(text, count, None if leaves is None else np.array([[x["chars"], x["tokens"]] for x in leaves], np.int64))
+                doc = Document(text, pieces, None if leaves is None else np.array([[x["chars"], x["tokens"]] for x in leaves], np.int64))
                 before, n = doc.tokens, doc.tree.n
                 for e in (batch.column("edits")[i].as_py() or []):
                     if e is not None:

@@ -102,6 +102,30 @@ def test_edited_counts(spark, table):
     assert edits.count_edited(table([]), change, Q.BYTE_BPE).count() == 0
 
 
+def test_edits_make_and_break_added_tokens(table):
+    import random
+
+    lib, end, r = Tokenizer.from_file(Q.BYTE_BPE), "<|endoftext|>", random.Random(5)
+
+    def n_tokens(text):
+        return len(lib.encode(text, add_special_tokens=False).ids)
+
+    doc = words(200, 11) + "  " + end + "! " + words(200, 12) + " !!<|endof"
+    made = F.expr(f"array(named_struct('start', {len(doc)}, 'removed', 0, 'inserted', 'text|> x'))")
+    broken = F.expr(f"array(named_struct('start', {doc.index(end) + 12}, 'removed', 1, 'inserted', ''))")
+    for change, text in ((made, doc + "text|> x"), (broken, doc.replace(end, end[:-1]))):
+        row = edits.count_edited(table([(1, doc)]), change, Q.BYTE_BPE).first()
+        assert (row["tokens_before"], row["text"], row["tokens"]) == (n_tokens(doc), text, n_tokens(text))
+    parts = [end, end, end[:6], end[6:], "<|", "|>", " ", "  ", "\n", "!", "'", "re", "word", " word", "é", "9"]
+    pieces = edits._pieces(Q.BYTE_BPE)
+    for _ in range(150):
+        doc = edits.Document("".join(r.choice(parts) for _ in range(r.randint(0, 400))), pieces)
+        assert doc.tokens == n_tokens(doc.text)
+        for _ in range(12):
+            doc.edit(r.randint(0, len(doc.text)), r.choice([0, 0, 1, 1, 2, 20]), "".join(r.choice(parts) for _ in range(r.randint(0, 2))))
+            assert doc.tokens == n_tokens(doc.text) and doc.tree.total[0] == len(doc.text)
+
+
 def test_sum_tree():
     rng = np.random.default_rng(1)
     tree = edits.SumTree(rng.integers(1, 9, (13, 2)))
