@@ -6,15 +6,17 @@ word sequence starts anywhere else goes.
 1. *Sketch.* Each window is counted under the smallest hash of the shorter
    shingles in it (its anchor), once per place of that shingle. Equal windows
    have equal anchors at different places, so a count below two proves a window
-   unique. Partitions make sparse count-min sketches of ``DEPTH`` rows with
-   ``2 ** CELL_BITS`` saturating cells each; they merge in shards, in two steps.
-   What is left is one bit per cell, "two or more" (a fixed ``DEPTH * 2 **
-   CELL_BITS / 8`` bytes, broadcast). Beyond some 10^8 anchors the sketch fills
-   up and lets more windows through; results stay the same.
+   unique. Partitions make sparse count-min sketches of ``DEPTH`` rows of
+   saturating cells; they merge in shards, in two steps. The anchors are counted
+   first: a row has at least two cells for each, from ``2 ** CELL_BITS`` to
+   ``2 ** MOST_BITS`` cells. What is left is one bit per cell, "two or more"
+   (broadcast: 32 MB to 256 MB). Beyond 2^29 anchors (some 5 * 10^9 words) the
+   sketch fills up and lets more windows through; results stay the same.
 2. *Exact pass.* Only windows estimated repeated are dealt out by hash, with 96
    bits of hash, row and place. A task sends each distinct window of its batch
    once however often it occurs there, so no copied passage piles up. Equal
-   hashes meet in one task, which answers each batch; the answers of a batch
+   hashes meet in one task (as many tasks as the windows let through, which are
+   counted, need at ``PER_TASK`` each), which answers each batch; the answers of a batch
    meet again and become ranges of covered words by row.
 3. Rows take back their ranges and drop the words covered.
 
@@ -40,10 +42,11 @@ from dialforge.llm.store import map_arrow, shuffle_partitions, text_batches
 
 WIDTH = 35
 ANCHOR = 16             # words of the shingles that anchors are chosen from
-DEPTH, CELL_BITS, SHARD_BITS = 2, 27, 21
+DEPTH, CELL_BITS, MOST_BITS, SHARD_BITS = 2, 27, 30, 21
 SALTS = 8               # partial sketches of a shard that merge at once in the first step
 ANCHORS_HELD = 1 << 21  # anchors a task counts before it sends a partial sketch
 WINDOWS_HELD = 1 << 19  # windows a task gathers before it deals them out
+PER_TASK = 1 << 21      # windows that meet in one task, on average
 _ZSTD = pa.Codec("zstd", 1)
 _ROWS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)
 
@@ -97,8 +100,13 @@ class Windows:
 
 # -- sketch -------------------------------------------------------------------
 
-def _cells(anchor: np.ndarray, depth: int) -> np.ndarray:
-    return (tx.mix(anchor * np.uint64(_ROWS[depth])) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def cell_bits(anchors: int) -> int:
+    """Bits of a cell number: two cells or more for each anchor, within bounds."""
+    return min(max((2 * anchors - 1).bit_length(), CELL_BITS), MOST_BITS)
+
+
+def _cells(anchor: np.ndarray, depth: int, n_bits: int) -> np.ndarray:
+    return (tx.mix(anchor * np.uint64(_ROWS[depth])) >> np.uint64(64 - n_bits)).astype(np.int64)
 
 
 def _squeeze(cells: np.ndarray) -> bytes:
@@ -112,7 +120,7 @@ def _expand(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(_ZSTD.decompress(raw[4:], 4 * n, asbytes=True), "<u4").astype(np.int64))
 
 
-def _partial_sketch_body(width: int):
+def _partial_sketch_body(width: int, n_bits: int):
     def run(batches):
         salt = TaskContext.get().partitionId() % SALTS
 
@@ -120,12 +128,12 @@ def _partial_sketch_body(width: int):
             anchors = np.concatenate(held)
             rows = []
             for depth in range(DEPTH):
-                cell, count = np.unique(_cells(anchors, depth), return_counts=True)
-                cuts = np.searchsorted(cell >> SHARD_BITS, np.arange((1 << CELL_BITS - SHARD_BITS) + 1))
+                cell, count = np.unique(_cells(anchors, depth, n_bits), return_counts=True)
+                cuts = np.searchsorted(cell >> SHARD_BITS, np.arange((1 << n_bits - SHARD_BITS) + 1))
                 for shard, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
                     if hi > lo:
                         local, several = cell[lo:hi] & (1 << SHARD_BITS) - 1, count[lo:hi] > 1
-                        rows.append((depth << CELL_BITS - SHARD_BITS | shard, salt, _squeeze(local[~several]), _squeeze(local[several])))
+                        rows.append((depth << n_bits - SHARD_BITS | shard, salt, _squeeze(local[~several]), _squeeze(local[several])))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["shard", "salt", "once", "more"])
 
@@ -165,12 +173,30 @@ def _merge_body(final: bool):
     return run
 
 
+def _count_body(width: int, sent=None):
+    """The number of anchors in a task's texts, or that of windows let through by a sketch."""
+    def run(batches):
+        n = 0
+        for batch in batches:
+            for _, _, buf, offs in tx.chunks(batch.column("text")):
+                w = Windows(buf, offs, width)
+                least, anchors = w.anchors()
+                n += len(anchors) if sent is None else int(maybe_repeated(least[w.valid], sent.value).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+    return run
+
+
+def count(texts: DataFrame, width: int, sent=None) -> int:
+    return texts.select("text").transform(map_arrow, _count_body(width, sent), "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def sketch(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """One bit per cell and row of the merged sketch (a fixed size): counted
-    twice or more."""
+    """One bit per cell and row of the merged sketch, sized by the number of
+    anchors: counted twice or more."""
+    n_bits = cell_bits(count(texts, width))
     kinds = "shard int, salt int, once binary, more binary"
-    shards = DEPTH << CELL_BITS - SHARD_BITS
-    parts = texts.select("text").transform(map_arrow, _partial_sketch_body(width), kinds)
+    shards = DEPTH << n_bits - SHARD_BITS
+    parts = texts.select("text").transform(map_arrow, _partial_sketch_body(width, n_bits), kinds)
     some = parts.repartition(shards * 2, "shard", "salt").transform(map_arrow, _merge_body(False), kinds)
     merged = some.repartition(shards, "shard").transform(map_arrow, _merge_body(True), "shard int, bits binary").collect()
     out = np.zeros((shards, 1 << SHARD_BITS - 3), np.uint8)
@@ -180,9 +206,9 @@ def sketch(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def maybe_repeated(anchors: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(anchors), bool)
+    ok, n_bits = np.ones(len(anchors), bool), (8 * bits.shape[1]).bit_length() - 1
     for depth in range(DEPTH):
-        cell = _cells(anchors, depth)
+        cell = _cells(anchors, depth, n_bits)
         ok &= (bits[depth][cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
     return ok
 
@@ -362,11 +388,12 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     base = base.select("row", "text", F.xxhash64("row.doc_id", "text").alias("k1"),
                        F.xxhash64(F.lit("second"), "text", "row.doc_id").alias("k2"))
     sent = spark.sparkContext.broadcast(sketch(base, width))
-    buckets = shuffle_partitions(spark)
+    through = count(base, width, sent)
+    buckets = shuffle_partitions(spark, through, PER_TASK)
     dealt = base.select("k1", "k2", "text").transform(map_arrow,
         _deal_body(width, buckets, sent), "bucket int, batch long, h1 binary, h2 binary, row binary, place binary, keys binary")
-    answers = dealt.repartition(buckets, "bucket").transform(map_arrow, _meet_body(), "batch long, row binary, place binary, keys binary")
-    ranges = answers.repartition(buckets, "batch").transform(map_arrow, _gather_body(width), "k1 long, k2 long, ranges binary")
+    answers = dealt.repartitionById(buckets, F.col("bucket")).transform(map_arrow, _meet_body(), "batch long, row binary, place binary, keys binary")
+    ranges = answers.repartition(shuffle_partitions(spark, through, WINDOWS_HELD), "batch").transform(map_arrow, _gather_body(width), "k1 long, k2 long, ranges binary")
     found = ranges.groupBy("k1", "k2").agg(F.collect_list("ranges").alias("found"))
     joined = base.join(found, ["k1", "k2"], "left").select("row", "text", "found")
     kind = joined.schema["row"].dataType.simpleString()

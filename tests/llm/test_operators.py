@@ -272,6 +272,22 @@ def test_substring(table):
     assert substring.remove_repeated(table([])).count() == 0
 
 
+def test_substring_sizes_follow_the_input(table, monkeypatch):
+    assert [substring.cell_bits(n) for n in (0, 1 << 26, (1 << 26) + 1, 480_000_000, 1 << 40)] == [27, 27, 28, 30, 30]
+    rows = EDGE_ROWS + [(30, "q " + PASSAGE)]
+    monkeypatch.setattr(substring, "CELL_BITS", 22)
+    monkeypatch.setattr(substring, "cell_bits", lambda n: 23 if n > 1000 else 22)
+    assert substring.sketch(table(rows)).shape == (2, 1 << 20) and substring.sketch(table(rows[:1])).shape == (2, 1 << 19)
+    asked, plain = [], substring.shuffle_partitions
+    monkeypatch.setattr(substring, "PER_TASK", 20)
+    monkeypatch.setattr(substring, "shuffle_partitions", lambda *a: asked.append((a, plain(*a))) or asked[-1][1])
+    got = substring.remove_repeated(table(rows)).select("row.doc_id", "text", "n_words", "n_removed").collect()
+    want = Counter((i, n, g, tuple(kept)) for (i, _), (n, g, kept) in zip(rows, brute_removed([t for _, t in rows])))
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], tuple(WORD.findall(r["text"] or ""))) for r in got) == want
+    (_, through, per_task), buckets = asked[0]
+    assert through >= 300 and per_task == 20 and buckets == max(-(-through // 20), plain(table([]).sparkSession))
+
+
 # -- 7 fingerprints ----------------------------------------------------------------------
 
 def test_fingerprints(table):
