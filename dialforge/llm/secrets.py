@@ -6,7 +6,8 @@ tag at a token sums weights of the token's own shape class, the classes of its
 three predecessors and its successor, and a class of the whole file; adjacent
 tags add a transition weight. Weights are fitted by full-batch gradient ascent
 (forward-backward) on a bounded sample of documents, ``PER_KIND`` with and
-``PER_KIND`` without a rule match, whose matches are the tags to learn; half of
+``PER_KIND`` without a rule match, whose matches are the tags to learn; tasks cut
+them into segments, of which a bounded number reaches the driver. Half of
 the training segments hide their keywords, so that shape and position carry
 weight of their own. The best tag sequence is Viterbi's. Tokens far from any
 promising one are outside for certain: an entity across them would lose more
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialforge.llm.store import map_arrow, text_batches
+from dialforge.llm.store import map_arrow, text_batches, written
 
 #: The rules, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "crf")
@@ -39,6 +40,7 @@ _HEX = re.compile(r"[0-9a-f]{32,}")       # the longest run either way
 
 PER_KIND = 400          # bound of the training sample: documents with, and without, a rule match
 SEGMENT = 64            # tokens of a training segment
+MOST_SEGMENTS = 1 << 12 # with a secret, of the sampled documents; lowest hashes first
 PLAIN_SEGMENTS = 4      # training segments without a secret, for each with one
 STEPS = 60
 CAUTION = 2.0           # added to "outside" when decoding
@@ -178,20 +180,39 @@ def training_tags(text: str) -> tuple[np.ndarray, np.ndarray]:
     return shapes(text), tags
 
 
-def fit_texts(texts: list[str], seed: int = 11) -> Field | None:
+def _segments_body():
+    """``text, h`` in; the segments of each text out, with the classes around them."""
+    names = ["h", "lo", "file", "hit", "shapes", "tags"]
+
+    def run(batches):
+        for batch in batches:
+            for text, h in zip(batch.column(0), batch.column(1)):
+                shape, tag = training_tags(text.as_py())
+                kind, tag = file_class(shape), tag.astype(np.int8)
+                padded = np.concatenate([[EDGE] * 3, shape, [EDGE]]).astype("<i2")
+                for first in range(0, len(shape), SEGMENT << 12):
+                    at = range(first, min(first + (SEGMENT << 12), len(shape)), SEGMENT)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([h.as_py()] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array([kind] * len(at), pa.int64()),
+                         pa.array([bool(tag[lo:lo + SEGMENT].any()) for lo in at], pa.bool_()),
+                         pa.array([padded[lo:lo + SEGMENT + 4].tobytes() for lo in at], pa.binary()),
+                         pa.array([tag[lo:lo + SEGMENT].tobytes() for lo in at], pa.binary())], names)
+    return run
+
+
+def fit_segments(rows: list, seed: int = 11) -> Field | None:
+    """``rows`` are (file, shapes, tags) of segments, the classes around them included."""
     rng = np.random.default_rng(seed)
     around, files, tags, used = [], [], [], []
-    for text in texts:
-        shape, tag = training_tags(text)
-        kind = file_class(shape)
-        cut = np.where(shape == KEYWORD, NAME, shape)
-        for lo in range(0, len(shape), SEGMENT):
-            a = _around(cut if rng.random() < 0.5 else shape)[lo:lo + SEGMENT]
-            pad = SEGMENT - len(a)
-            around.append(np.pad(a, ((0, pad), (0, 0))))
-            files.append(kind)
-            tags.append(np.pad(tag[lo:lo + SEGMENT], (0, pad)))
-            used.append(np.arange(SEGMENT) < SEGMENT - pad)
+    for kind, shape, tag in rows:
+        shape, tag = np.frombuffer(shape, "<i2").astype(np.int64), np.frombuffer(tag, np.int8).astype(np.int64)
+        if rng.random() < 0.5:
+            shape = np.where(shape == KEYWORD, NAME, shape)
+        n = len(tag)
+        around.append(np.pad(np.stack([shape[3 + o:3 + o + n] for o in OFFSETS], axis=1), ((0, SEGMENT - n), (0, 0))))
+        files.append(kind)
+        tags.append(np.pad(tag, (0, SEGMENT - n)))
+        used.append(np.arange(SEGMENT) < n)
     with_secret = np.array([t.any() for t in tags], bool)
     if not with_secret.any():
         return None
@@ -216,8 +237,12 @@ def train(docs: DataFrame) -> Field | None:
     if not chosen:
         return None
     wanted = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in chosen], "h long"))
-    rows = docs.select(has.alias("text"), F.xxhash64(has).alias("h")).join(wanted, "h").dropDuplicates(["h"]).collect()
-    return fit_texts([r["text"] for r in sorted(rows, key=lambda r: r["h"])])
+    texts = docs.select(has.alias("text"), F.xxhash64(has).alias("h")).join(wanted, "h").dropDuplicates(["h"]).select("text", "h")
+    cut = written(texts.transform(map_arrow, _segments_body(), "h long, lo long, file long, hit boolean, shapes binary, tags binary"),
+                  "secret-segments")
+    rows = [r for hit, most in ((True, MOST_SEGMENTS), (False, PLAIN_SEGMENTS * MOST_SEGMENTS))
+            for r in cut.where(F.col("hit") == hit).orderBy(F.xxhash64("h", "lo"), "h", "lo").limit(most).collect()]
+    return fit_segments([(r["file"], r["shapes"], r["tags"]) for r in sorted(rows, key=lambda r: (r["h"], r["lo"]))])
 
 
 def viterbi(u: np.ndarray, steps: np.ndarray) -> list[int]:

@@ -387,6 +387,17 @@ def test_scan(table):
     assert secrets.redact("abcdef", [("a", 1, 3), ("h", 2, 5)], "#") == "a#f"
 
 
+def test_training_sample_is_bounded(table, monkeypatch):
+    secret = ' api_key = "%s" '
+    texts = [words(3000, i) + secret % hashlib.md5(str(i).encode()).hexdigest() + words(3000, i + 50) for i in range(6)]
+    seen = []
+    monkeypatch.setattr(secrets, "MOST_SEGMENTS", 4)
+    monkeypatch.setattr(secrets, "fit_segments", lambda rows: seen.extend(rows))
+    secrets.train(table(list(enumerate(texts))))
+    assert len(seen) == 4 + 16 and sum(any(tags) for _, _, tags in seen) == 4
+    assert all(len(tags) <= 64 and len(shapes) == 2 * (len(tags) + 4) for _, shapes, tags in seen)
+
+
 # -- 9 Jaccard join ------------------------------------------------------------------------------
 
 def brute_components(rows, width=5, percent=75):
