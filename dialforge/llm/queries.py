@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import edits, fingerprints, jaccard, neighbours, ordering, packing, quality, secrets, substring, word_bpe
+from dialforge.llm import (divergence, edits, fingerprints, hard_negatives, jaccard, neighbours, ordering, packing, quality, secrets,
+                           substring, word_bpe)
 from dialforge.session import read_table, scratch_path, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -174,3 +175,47 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordering.write_shards(ordering.in_training_order(ordering.sequences(docs, BYTE_BPE), key="epoch-0"), path)
     shards = ordering.read_shards(spark, path, docs.schema["doc_id"].dataType.simpleString())
     return shards.select("slot", "shard", "record", "doc_id", "start", "n_ids", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(table_path(sf_dir, "embeddings"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, label=label)
+
+
+#: Counts of every term of every document, exact shares, and their differences.
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+occurrences AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM occurrences GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM occurrences JOIN kept USING (lang, term) GROUP BY ALL),
+whole AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL),
+sizes AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS n FROM whole GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT s.lang, s.source, CAST(coalesce(sum(c.n), 0) AS HUGEINT) AS n FROM sources s LEFT JOIN counts c USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT t.lang, t.source, w.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (t.n + 5 * z.v) AS p,
+         1 + (1000000000 * (w.n + 5)::HUGEINT) // (z.n + 5 * z.v) AS q
+  FROM totals t JOIN sizes z USING (lang) JOIN whole w USING (lang) LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = w.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+marked AS (
+  SELECT * FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM marked QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+@register("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
