@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialforge.llm import (divergence, edits, fingerprints, hard_negatives, jaccard, neighbours, ordering, packing, quality, secrets,
-                           substring, word_bpe)
+from dialforge.llm import (divergence, edits, fingerprints, hard_negatives, jaccard, neighbours, ordering, packing, personal, quality,
+                           secrets, substring, word_bpe)
 from dialforge.session import read_table, scratch_path, ship_package, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, label=label)
 
 
+@register("op12_personal_data")
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = personal.scan(docs, personal.train(personal.labelled(docs)))
+    count = [_spans_of(kind).cast("long").alias(f"n_{kind}") for kind in personal.RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal.RULES))
+    return found.select("row.doc_id", *count, F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+                        _joined_spans(F.col("spans")).alias("spans"))
+
+
 #: Counts of every term of every document, exact shares, and their differences.
 DIVERGENCE_SQL = r"""
 WITH docs AS (

@@ -1,9 +1,12 @@
 """Words and hashes of whole texts, vectorised over Arrow string buffers.
 
 A word is a maximal run of bytes other than space and ``\\t\\n\\v\\f\\r``
-(``[^\\x20\\x09-\\x0D]+``). Words are hashed to 64 bits by a polynomial over
-their bytes and a finaliser; two seeds give 128 bits. Nothing here depends on
-the batch a text arrives in.
+(``[^\\x20\\x09-\\x0D]+``). Words are hashed to 64 bits: every pair of a byte and
+its place in the word has a random number of its own, and their sum is mixed.
+Windows of words are hashed by doubling, each step with a multiplier of its own and
+a fold that is not linear. Two seeds share no number, so two of them give 128 bits
+(powers of one multiplier would not: modulo 2^64 some words collide under all odd
+ones). Nothing here depends on the batch a text arrives in.
 """
 
 from __future__ import annotations
@@ -15,11 +18,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SEEDS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)   # odd multipliers, one per hash
+SEEDS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)   # one per hash
 CHUNK_BYTES = 1 << 21
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-_POWERS: dict[int, np.ndarray] = {}
+_PLACES = 64            # places of a word whose numbers are kept in a table
+_NUMBERS: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,13 +35,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-def _powers(seed: int, n: int) -> np.ndarray:
-    have = _POWERS.get(seed)
-    if have is None or len(have) < n:
-        have = np.concatenate([np.ones(1, U), np.cumprod(np.full(max(n, 256) - 1, seed, U))])
-        if n <= 1 << 16:
-            _POWERS[seed] = have
-    return have[:n]
+def _number(seed: int, place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """The random number of a byte at a place of a word."""
+    return mix(mix(place.astype(U) * U(0x9E3779B97F4A7C15) + U(seed)) + byte.astype(U) * U(0xBF58476D1CE4E5B9))
+
+
+def _numbers(seed: int) -> np.ndarray:
+    if seed not in _NUMBERS:
+        _NUMBERS[seed] = _number(seed, np.repeat(np.arange(_PLACES), 256), np.tile(np.arange(256), _PLACES))
+    return _NUMBERS[seed]
 
 
 def lower_ascii(buf: np.ndarray) -> np.ndarray:
@@ -92,9 +98,22 @@ def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int)
     size = end - start
     at = np.cumsum(size) - size
     inside = np.arange(int(size.sum())) - np.repeat(at, size)
-    letters = buf[inside + np.repeat(start, size)].astype(U) + U(1)
-    h = np.add.reduceat(letters * _powers(seed, int(size.max()))[inside], at)
-    return mix(h + size.astype(U) * U(SEEDS[0]))
+    letters = buf[inside + np.repeat(start, size)]
+    numbers = _numbers(seed)[np.minimum(inside, _PLACES - 1) * 256 + letters]
+    far = np.flatnonzero(inside >= _PLACES) if size.max() > _PLACES else []
+    if len(far):
+        numbers[far] = _number(seed, inside[far], letters[far])
+    return mix(np.add.reduceat(numbers, at) + size.astype(U) * U(SEEDS[0]))
+
+
+def _multiplier(seed: int, step: int) -> np.uint64:
+    return mix(np.array([(seed + step * 0xA0761D6478BD642F) % (1 << 64)], U))[0] | U(1)
+
+
+def _joined(left: np.ndarray, right: np.ndarray, seed: int, step: int) -> np.ndarray:
+    x = left * _multiplier(seed, step) + right
+    x ^= x >> U(29)
+    return x
 
 
 def window_hashes(h: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -103,18 +122,18 @@ def window_hashes(h: np.ndarray, width: int, seed: int) -> np.ndarray:
     n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, U)
-    out, done, run, run_len = None, 0, h, 1
-    left = width
+    out, done, run, run_len, left, step = None, 0, h, 1, width, 0
     while left:
         if left & 1:
-            part = run[done:done + n] * U(pow(seed, done, 1 << 64))
-            out = part if out is None else out + part
+            part = run[done:done + n]
+            out = part if out is None else _joined(out, part, seed, 2 * step + 1)
             done += run_len
         left >>= 1
         if left:
-            run = run[:-run_len] + run[run_len:] * U(pow(seed, run_len, 1 << 64))
+            run = _joined(run[:-run_len], run[run_len:], seed, 2 * step + 2)
             run_len *= 2
-    return mix(out)
+        step += 1
+    return mix(out * _multiplier(seed, 0))
 
 
 def row_of(per_row: np.ndarray) -> np.ndarray:
