@@ -7,8 +7,8 @@
 already successful are skipped, failures are retried), and appends the new
 records to ``DIR/records.jsonl``. ``prepare`` turns chat records into the
 split-partitioned training set and its batch manifest. Run under
-``spark-submit`` on a cluster; the session's ``spark.checkpoint.dir`` is not
-needed here because every output goes under ``--out``.
+``spark-submit`` on a cluster, with the session's ``spark.checkpoint.dir`` set to a
+shared folder for intermediate tables; every output goes under ``--out``.
 """
 
 from __future__ import annotations
@@ -63,9 +63,9 @@ def cmd_build(args) -> dict:
 
 
 def cmd_prepare(args) -> dict:
-    from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
+    from dialforge.operators import identity
     from dialforge.plans import prepare_training as pt
     from dialforge.schemas import CHAT_RECORD
     from dialforge.sources import jsonl
@@ -75,11 +75,16 @@ def cmd_prepare(args) -> dict:
     recs = jsonl.read_records(spark, args.records, schema=schema, strict=not args.lenient)
     if args.lenient:
         recs, _bad = jsonl.split_corrupt(recs)
-    # the split needs unique ids: the slot id of records this tool exported;
-    # otherwise the scan position (same files + split settings -> same ids),
-    # offset above any slot id
-    recs = recs.withColumn("record_id", F.coalesce(
-        F.col("slot_id"), F.monotonically_increasing_id() + F.lit(1 << 62)))
+        quarantine = jsonl.corrupt_lines(spark, args.records, schema, blank_lines="skip")
+        quarantine.write.mode("overwrite").json(f"{args.out}/quarantine")   # each with its file and line
+    # the split needs unique ids: the slot id of records this tool exported, else
+    # a hash of the record and the number of its copy (the same in whatever files)
+    try:
+        recs = identity.with_record_id(recs, identity.record_content(), own="slot_id")
+    except Exception:
+        if not args.lenient:
+            jsonl.require_sound(spark, args.records, schema)    # names the lines, if they are the cause
+        raise
     out = pt.prepare_training_set(spark, recs, "record_id", args.out, seed=args.seed,
                                   eval_share=args.eval_share, cap=args.max_length,
                                   epochs=args.epochs, micro_batch=args.batch_size,

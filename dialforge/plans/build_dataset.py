@@ -7,14 +7,15 @@ Stages and their Spark shape:
    large-pool equi-join) -> modifier draws -> composition -> provider.
    All native expressions; the plan is written once so reruns see the same
    rows.
-2. generate: plan rows not yet successful (anti join on ``slot_id``), in
-   waves of ``wave_size`` slots (on by default), each dealt to one task for
-   every ``rows_per_task`` rows; each wave is shaped, sent through
-   ``mapInArrow`` and appended to the results table, so a lost driver or
-   executor costs at most one wave. Calls are at-least-once.
+2. generate: plan rows not yet successful (slot bitmaps of plan and
+   successes, see ``operators.resume``), in waves of ``wave_size`` slots (on by
+   default), each dealt to one task for every ``rows_per_task`` rows; each wave
+   is shaped, sent through ``mapInArrow`` and appended to the results table, so
+   a lost driver or executor costs at most one wave. Calls are at-least-once.
 3. records: results -> reply extraction -> successes become
    ``messages`` records (fixed system text first), failures go to their own
-   table for a later top-up.
+   table for a later top-up. The export appends the records of the runs that
+   the sink's log lacks, exactly once (``sources.sink``).
 """
 
 from __future__ import annotations
@@ -32,10 +33,13 @@ from dialforge.operators import generation as gen
 from dialforge.operators import messages as msg
 from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
+from dialforge.operators import resume as rs
 from dialforge.operators import sampling as sa
+from dialforge.operators import split as sp
 from dialforge.sources import catalog as cat
 from dialforge.session import scratch_path
-from dialforge.sources import jsonl, store
+from dialforge.sources import sink as sk
+from dialforge.sources import store
 
 
 LONG_TEXT = ("user_prompt", "raw", "base_prompt")
@@ -109,14 +113,13 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     """Append one result row per attempted slot to ``results_path``.
 
     ``done`` holds the keys already successful (default: none); rows are
-    tagged with ``run_id``. Each wave is its own job and commit; waves without
-    work are passed over. Returns the schema of the result rows (to read them
-    back without inference).
+    tagged with ``run_id``. Each wave is its own job and commit; without slots
+    left no wave runs. Returns the schema of the result rows (to read them back
+    without inference), or None if no wave ran.
     """
-    todo = _scalar_plan(pl.topup_plan(plan, done) if done is not None else plan)
-    todo = todo.withColumn("run_id", F.lit(run_id or new_run_id()))
+    plan = _scalar_plan(plan).withColumn("run_id", F.lit(run_id or new_run_id()))
     schema = None
-    for rows, part in _waves(todo, cfg):
+    for rows, part in _waves(spark, plan, done, cfg):
         # hash-spread by slot before shaping, so the shuffle carries the plan
         # row once and never the JSON body
         dealt = part.repartition(tasks_for(spark, rows, cfg), "slot_id")
@@ -134,20 +137,52 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
     return schema
 
 
-def _waves(todo: DataFrame, cfg: BuildConfig) -> list[tuple[int, DataFrame]]:
-    """``(rows, slots)`` of each wave: equal ranges of the key, as many as
-    ``wave_size`` rows a wave make; one empty wave if there is no work."""
-    lo, hi, rows, keys = todo.agg(F.min("slot_id"), F.max("slot_id"), F.count(F.lit(1)), F.count("slot_id")).first()
+def _waves(spark: SparkSession, plan: DataFrame, done: DataFrame | None, cfg: BuildConfig) -> list[tuple[int, DataFrame]]:
+    """``(rows, slots)`` of each wave: the plan as it is if nothing is done and
+    it fits one, else what the bitmaps leave, cut into waves of ``wave_size``."""
+    rows, keys = plan.agg(F.count(F.lit(1)), F.count("slot_id")).first()
     if rows != keys:
         raise ValueError("a slot_id is null")
-    if not rows or not cfg.wave_size or rows <= cfg.wave_size:
-        return [(rows, todo)]
-    width = -(-(hi - lo + 1) // -(-rows // cfg.wave_size))
-    w = F.floor((F.col("slot_id") - F.lit(lo)) / width)
-    # a plain range on the key: pushed to the scan, so with a plan stored
-    # in slot order each wave reads only its own files / row groups
-    return [(n, todo.where(F.col("slot_id").between(F.lit(lo + int(i) * width), F.lit(lo + (int(i) + 1) * width - 1))))
-            for i, n in todo.groupBy(w.alias("w")).count().orderBy("w").collect()]
+    if done is None and (not cfg.wave_size or rows <= cfg.wave_size):
+        return [(rows, plan)]
+    waves = todo_waves(spark, plan, done, cfg.wave_size or max(rows, 1))
+    return [(w.rows, rs.rows_of(plan, waves, w, cfg.wave_size)) for w in rs.waves_of(waves)]
+
+
+def todo_waves(spark: SparkSession, plan: DataFrame, done: DataFrame | None, wave_size: int) -> DataFrame:
+    """``wave``, ``slot_id`` of the slots left, written to the shared folder
+    (with the bitmaps' difference, which is read twice). Raises if a slot of the
+    plan repeats: it would be generated more than once."""
+    path = scratch_path(spark, "todo")
+    if rs.far_apart(plan):
+        sp.assert_unique(plan, "slot_id")
+        left = rs.keys_left(plan, done)
+    else:
+        has = rs.slot_bitmaps(plan)
+        store.write_table(has, f"{path}/plan")
+        has = spark.read.schema(has.schema).parquet(f"{path}/plan")
+        if rs.count_slots(has).first()[0] != plan.agg(F.count("slot_id")).first()[0]:
+            raise ValueError("slot_id is not unique in the plan")
+        left = rs.slots_left(has, None if done is None else rs.slot_bitmaps(done))
+    store.write_table(left, f"{path}/left")
+    waves = rs.number_waves(spark.read.schema(left.schema).parquet(f"{path}/left"), wave_size)
+    store.write_table(waves, f"{path}/waves")
+    return spark.read.schema(waves.schema).parquet(f"{path}/waves")
+
+
+def in_slot_order(plan: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """The plan laid out in ranges of the slot, so that a wave reads its own files
+    only. The ranges are cut from the lowest and highest slot, which needs the key
+    column alone; keys with wide gaps are left to Spark's sampled ranges."""
+    lo, hi, rows = plan.agg(F.min("slot_id"), F.max("slot_id"), F.count("slot_id")).first()
+    if not rows:
+        return plan
+    if hi - lo + 1 > 8 * rows:
+        return plan.repartitionByRange("slot_id").sortWithinPartitions("slot_id")
+    parts = tasks_for(plan.sparkSession, rows, cfg)
+    width = -(-(hi - lo + 1) // parts)
+    part = F.floor((F.col("slot_id") - F.lit(lo)) / F.lit(width)).cast("int")
+    return plan.repartitionById(parts, part).sortWithinPartitions("slot_id")
 
 
 def new_run_id() -> str:
@@ -185,7 +220,7 @@ def successful_keys(spark: SparkSession, results_path: str) -> DataFrame | None:
     return gen.successes(results_view(res)).select("slot_id")
 
 
-def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str) -> None:
+def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str, cfg: BuildConfig | None = None) -> None:
     """Append the slots of ``plan`` that the stored plan lacks. Raises if a
     slot of both differs: results of two plans must not mix."""
     stored = spark.read.schema(plan.schema).parquet(plan_path)
@@ -202,17 +237,33 @@ def extend_plan(spark: SparkSession, plan: DataFrame, plan_path: str) -> None:
                          "use another folder for another seed, catalogue or provider")
     new = pl.topup_plan(plan, stored)
     if not new.isEmpty():
-        store.write_table(new.repartitionByRange("slot_id").sortWithinPartitions("slot_id"), plan_path,
+        store.write_table(in_slot_order(new, cfg or BuildConfig()), plan_path,
                           mode="append", long_text=LONG_TEXT, compression=TEXT_CODEC)
 
 
-def export_records(records: DataFrame, path: str, mode: str = "append",
-                   keep_keys: bool = False) -> None:
-    """Append the training records as JSON Lines in the chat-record shape
-    (``messages``, ``category``; with ``keep_keys`` also ``slot_id`` and
-    ``provider``), nulls kept."""
-    cols = (["slot_id", "provider"] if keep_keys else []) + ["messages", "category"]
-    jsonl.write_records(records.select(*cols), path, mode=mode)
+def export_records(records: DataFrame, path: str, runs: list[str]) -> sk.Commit | None:
+    """Append the training records of ``runs`` as JSON Lines in the chat-record
+    shape (``messages``, ``category``; also ``slot_id`` and ``provider``), nulls
+    kept, in one commit of the sink."""
+    return sk.append(records.select("slot_id", "provider", "messages", "category"), path, runs)
+
+
+def export_new(spark: SparkSession, results: DataFrame, path: str, cfg: BuildConfig) -> sk.Commit | None:
+    """Export the successes of all runs that the sink's log lacks; of the results
+    only their rows are read, of the sink only its log. Lines that another writer
+    left there without a log are compared by slot, once."""
+    taken_over = sk.adopt(spark, path)
+    log = sk.recover(spark, path)
+    there = sk.exported_runs(log)
+    rows = results.where(~F.col("run_id").isin(there)) if there else results
+    runs = [r["run_id"] for r in rows.select("run_id").distinct().collect()]      # a row for each run
+    if not runs:
+        return None
+    records, _ = records_from_results(rows, cfg)
+    if taken_over or not there and log:
+        old = sk.read_committed(spark, path, "slot_id long")
+        records = records.join(old, "slot_id", "left_anti")
+    return export_records(records, path, runs)
 
 
 def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir: str,
@@ -226,17 +277,17 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     Rerunning retries only slots without a success; a plan with more slots
     than the stored one extends it; a plan that differs on a stored slot (other
     seed, catalogue, provider) is an error; with nothing to do no job runs. The
-    results table is the durable store; with ``export_path`` every record that
-    the sink lacks, of whatever run, is appended there as JSON Lines (chat-record
-    shape plus ``slot_id`` and ``provider``)."""
+    results table is the durable store; with ``export_path`` the records of every
+    run that the sink's log lacks are appended there as JSON Lines (chat-record
+    shape plus ``slot_id`` and ``provider``), exactly once."""
     cfg = cfg or BuildConfig()
     plan_path = f"{out_dir}/plan"
     if store.committed(spark, plan_path):
-        extend_plan(spark, plan, plan_path)
+        extend_plan(spark, plan, plan_path, cfg)
     else:
         # with waves in slot order, so that each wave's range filter prunes to
         # its own files (one read of the plan in total)
-        laid = plan.repartitionByRange("slot_id").sortWithinPartitions("slot_id") if cfg.wave_size else plan
+        laid = in_slot_order(plan, cfg) if cfg.wave_size else plan
         store.write_table(laid, plan_path, mode="overwrite",
                           long_text=LONG_TEXT, compression=TEXT_CODEC)
     stored = spark.read.schema(plan.schema).parquet(plan_path)
@@ -244,19 +295,12 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     run_id = new_run_id()
     t0 = time.perf_counter()
     done = successful_keys(spark, results_path)
-    schema = None
-    if done is None or not pl.topup_plan(stored.select("slot_id"), done).isEmpty():
-        schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id)
+    schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id)
     elapsed = time.perf_counter() - t0
-    if schema is None and done is None:  # an empty plan: an empty results table of the usual shape
-        schema = generate(spark, stored, call, results_path, cfg, run_id=run_id)
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
-        new = records
-        if store.exists(spark, export_path):
-            new = records.join(spark.read.schema("slot_id long").json(export_path), "slot_id", "left_anti")
-        export_records(new, export_path, keep_keys=True)
+        export_new(spark, results, export_path, cfg)
     this_run = results_view(results.where(F.col("run_id") == run_id))
     return {"plan": stored, "results": results, "records": records, "failures": fails,
             "metrics": mt.run_metrics(results_view(results), elapsed),

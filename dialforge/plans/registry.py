@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from dialforge.functions import chat
 from dialforge.functions.draw import pick_from_array, pick_from_list_sql, sql_str, u, u_sql
 from dialforge.operators import generation as gen
+from dialforge.operators import identity
 from dialforge.operators import messages as msg
 from dialforge.operators import metrics as mt
 from dialforge.operators import planning as pl
@@ -34,6 +35,7 @@ from dialforge.schemas import CHAT_RECORD
 from dialforge.session import read_table, scratch_path
 from dialforge.sources import catalog as cat
 from dialforge.sources import jsonl, store
+from dialforge.sources import sink as sk
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -130,6 +132,33 @@ def q_chat_jsonl_roundtrip(spark, sf_dir):
     return back.select("conv_id", _n_messages(), msg.flatten_messages(F.col("messages")).alias("flat"))
 
 
+SHARD = 16      # conversations of a shard of the written file
+_JSON_LINES_SQL = f"""lines AS (
+  SELECT conv_id // {SHARD} AS shard, conv_id, turn, role,
+         CASE role WHEN 'system' THEN '{{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":'
+                   WHEN 'assistant' THEN '{{"conv_id":' || conv_id || ',"turn":' || turn || '}}'
+                   ELSE '' END AS line
+  FROM conversations),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY conv_id, turn) AS n FROM lines)"""
+
+
+@register("corrupt_lines", f"""WITH {_JSON_LINES_SQL}
+SELECT shard, n AS line, line AS text FROM numbered WHERE role <> 'assistant'""")
+def q_corrupt_lines(spark, sf_dir):
+    """#3 the lines a strict scan fails on, by file and line: a turn a line, in
+    one file a shard; system turns are cut off in the middle, user turns blank."""
+    start = F.format_string('{"conv_id":%d,"turn":%d', "conv_id", "turn")
+    line = (F.when(F.col("role") == "system", F.concat(start, F.lit(',"role":')))
+            .when(F.col("role") == "assistant", F.concat(start, F.lit("}"))).otherwise(F.lit("")))
+    path = scratch_path(spark, "corrupt")
+    turns = _conversations(spark, sf_dir).withColumn("shard", F.floor(F.col("conv_id") / SHARD))
+    (turns.repartition("shard").sortWithinPartitions("shard", "conv_id", "turn").select(line.alias("value"), "shard")
+     .write.partitionBy("shard").text(path))
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType())])
+    bad = jsonl.corrupt_lines(spark, path, schema)
+    return bad.select(F.regexp_extract("file", "shard=([0-9]+)", 1).cast("long").alias("shard"), "line", "text")
+
+
 @register("existing_count", """
 SELECT count(DISTINCT conv_id) AS n_lines FROM conversations""")
 def q_existing_count(spark, sf_dir):
@@ -562,6 +591,31 @@ def q_train_eval_split(spark, sf_dir):
     return sp.train_eval_split(docs, "doc_id", seed=SEED).select("doc_id", "split")
 
 
+def _part_sql(c: str) -> str:
+    return f"coalesce(length({c}) || ':' || {c}, '-')"
+
+
+@register("stable_split", f"""
+WITH one AS (
+  SELECT conv_id, sha256(string_agg({_part_sql('role')} || {_part_sql('text')}, '' ORDER BY turn)) AS content_key
+  FROM conversations GROUP BY conv_id),
+twice AS (SELECT content_key FROM one UNION ALL SELECT content_key FROM one),
+n AS (SELECT content_key, row_number() OVER (PARTITION BY content_key) - 1 AS copy FROM twice),
+r AS (SELECT *, row_number() OVER (ORDER BY {U("content_key || '-' || copy", 'split')}, content_key || '-' || copy) AS rk,
+             count(*) OVER () AS total FROM n)
+SELECT content_key, copy, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * total) AS BIGINT) THEN 'eval' ELSE 'train' END AS split
+FROM r""")
+def q_stable_split(spark, sf_dir):
+    """#28/#33 the split of records without ids that were delivered twice: by
+    content and number of the copy, whatever the files."""
+    records = _records(spark, sf_dir).select("messages")
+    records = records.unionByName(records)
+    made = identity.with_record_id(records, identity.record_content(category=None))
+    split = sp.train_eval_split(made, "record_id", seed=SEED)
+    parts = F.split("record_id", "-")
+    return split.select(parts[0].alias("content_key"), parts[1].cast("long").alias("copy"), "split")
+
+
 @register("split_sizes", f"""WITH {_SPLIT_SQL}
 SELECT split, count(*) AS n_rows FROM s GROUP BY split""")
 def q_split_sizes(spark, sf_dir):
@@ -710,6 +764,57 @@ def q_build_report(spark, sf_dir):
     return _conv_build(spark, sf_dir)["report"]
 
 
+#: The first run takes the slots of the first provider, with faults.
+_FIRST_RUN_SQL = f"""{_RUN_SQL},
+done AS (SELECT slot_id FROM r WHERE provider = '{PROVIDERS_RUN[0]}' AND error IS NULL)"""
+WAVE = 16
+
+
+def _half_done(spark, sf_dir, path: str, export: str | None = None) -> tuple[DataFrame, bd.BuildConfig]:
+    """The plan of all slots, after a faulty run over those of one provider."""
+    cfg = bd.BuildConfig(seed=SEED, first_provider=PROVIDERS_RUN[0], second_provider=PROVIDERS_RUN[1], wave_size=WAVE, partitions=4)
+    plan = _conv_requests(spark, sf_dir, form_by_hash=False)
+    bd.build_dataset(spark, plan.where(F.col("provider") == PROVIDERS_RUN[0]), gen.offline_backend(SEED), path,
+                     bd.BuildConfig(seed=SEED), export_path=export)
+    return plan, cfg
+
+
+@register("resume_waves", f"""{_FIRST_RUN_SQL}
+SELECT (row_number() OVER (ORDER BY slot_id) - 1) // {WAVE} AS wave, slot_id
+FROM r WHERE slot_id NOT IN (SELECT slot_id FROM done)""")
+def q_resume_waves(spark, sf_dir):
+    """#7/#32 what a resumed build still has to do, in even waves: the slots
+    that failed in a first run, and those it had not been given."""
+    path = scratch_path(spark, "resume-waves")
+    plan, cfg = _half_done(spark, sf_dir, path)
+    return bd.todo_waves(spark, plan, bd.successful_keys(spark, f"{path}/results"), cfg.wave_size)
+
+
+@register("sink_commits", f"""{_FIRST_RUN_SQL},
+e AS (SELECT slot_id, CASE WHEN slot_id IN (SELECT slot_id FROM done) THEN 0 ELSE 1 END AS commit
+      FROM r WHERE user_prompt IS NOT NULL),
+n AS (SELECT CAST(unnest([0, 1]) AS BIGINT) AS commit)
+SELECT n.commit, count(e.slot_id) AS logged, count(e.slot_id) AS lines, count(DISTINCT e.slot_id) AS slots,
+       min(e.slot_id) AS first, max(e.slot_id) AS last
+FROM n LEFT JOIN e ON e.commit = n.commit GROUP BY n.commit""")
+def q_sink_commits(spark, sf_dir):
+    """#4 exactly-once append: a run with export, a run whose export was written
+    but never committed (as a crash leaves it), and a rerun; what the log says of
+    each commit, and what its files hold."""
+    path = scratch_path(spark, "sink-commits")
+    sink = f"{path}/records.jsonl"
+    plan, cfg = _half_done(spark, sf_dir, f"{path}/build", export=sink)
+    sound = gen.offline_backend(SEED, fault_every=0)
+    out = bd.build_dataset(spark, plan, sound, f"{path}/build", cfg)
+    sk.stage(out["records"].select("slot_id", "provider", "messages", "category"), sink)
+    bd.build_dataset(spark, plan, sound, f"{path}/build", cfg, export_path=sink)
+    lines = sk.read_committed(spark, sink, "slot_id long", numbers=True).groupBy("commit").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("slot_id").alias("slots"))
+    return sk.commit_frame(spark, sink).join(lines, "commit", "left").select(
+        "commit", F.col("rows").alias("logged"), F.coalesce("lines", F.lit(0)).alias("lines"),
+        F.coalesce("slots", F.lit(0)).alias("slots"), "first", "last")
+
+
 @register("prepare_training_set", f"""
 WITH t AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS la
            FROM conversations GROUP BY conv_id),

@@ -434,3 +434,43 @@ def test_prepare_keeps_every_record(spark):
     assert got == {1: "<|system|>\ns</s>\n<|user|>\na</s>\n<|assistant|>\nb</s>\n<|user|>\nc</s>\n",
                    2: "<|system|>\ns</s>\n<|user|>\nx</s>\n", 3: "<|system|>\ns</s>\n<|user|>\n</s>\n",
                    4: "<|system|>\ns</s>\n"}
+
+
+def test_corrupt_lines_by_file_and_line(spark, tmp_path):
+    """Against plain numbering, with files cut into many splits."""
+    import random
+
+    rng, want = random.Random(4), []
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for f in range(3):
+        lines = []
+        for i in range(1, 800):
+            kind = rng.random()
+            line = ('{"messages": [' if kind < 0.02 else "  " if kind < 0.04 else "" if kind < 0.05 else "é not json" if kind < 0.06
+                    else '{"messages": [], "category": "' + "x" * rng.randint(0, 200) + '"}')
+            if kind < 0.06:
+                want.append((f"f{f}.jsonl", i, line))
+            lines.append(line)
+        (folder / f"f{f}.jsonl").write_text("\n".join(lines) + ("\n" if f else ""), encoding="utf-8")
+    (folder / "empty.jsonl").write_text("")
+    size, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = {k: spark.conf.get(k) for k in (size, cost)}
+    for n in ("8k", "1m"):
+        spark.conf.set(size, n)
+        spark.conf.set(cost, "0")
+        try:
+            got = [(r["file"].rsplit("/", 1)[1], r["line"], r["text"]) for r in jsonl.corrupt_lines(spark, str(folder)).collect()]
+            skipped = jsonl.corrupt_lines(spark, str(folder), blank_lines="skip").count()
+            every = jsonl.numbered_lines(spark, str(folder))
+            counts = {r["file"].rsplit("/", 1)[1]: (r["n"], r["last"]) for r in every.groupBy("file").agg(
+                F.count("*").alias("n"), F.max("line").alias("last")).collect()}
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        assert sorted(got) == sorted(want)
+        assert skipped == sum(bool(t.strip()) for _, _, t in want)
+        assert counts == {f"f{f}.jsonl": (799, 799) for f in range(3)}
+    with pytest.raises(ValueError, match="line "):
+        jsonl.require_sound(spark, str(folder))
+    jsonl.require_sound(spark, str(folder / "empty.jsonl"))
