@@ -195,7 +195,8 @@ def _fit(vectors: DataFrame, curves: Curves, tiles: int, k: int) -> int:
         for batch in batches:
             v, vid = _matrix(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
             s.add(v, vid)
-            kept = {i: x for i, x in [*kept.items(), *zip(vid.tolist(), v)] if i in set(s.vid.tolist())}
+            listed = set(s.vid.tolist())
+            kept = {i: x for i, x in [*kept.items(), *zip(vid.tolist(), v)] if i in listed}
         if len(s.who):
             yield pa.RecordBatch.from_arrays([pa.array(s.who), pa.array(s.vid), pa.array(s.score),
                                               pa.array([kept[i].tobytes() for i in s.vid.tolist()])], ["who", "vid", "score", "v"])

@@ -3,16 +3,17 @@ adds spans the rules miss.
 
 Tokens of a text are tagged begin, inside or outside a secret. The score of a
 tag at a token sums weights of the token's own shape class, the classes of its
-three predecessors and its successor, and a class of the whole file; adjacent
-tags add a transition weight. Weights are fitted by full-batch gradient ascent
-(forward-backward) on a bounded sample of documents, ``PER_KIND`` with and
-``PER_KIND`` without a rule match, whose matches are the tags to learn; tasks cut
-them into segments, of which a bounded number reaches the driver. Half of
-the training segments hide their keywords, so that shape and position carry
-weight of their own. The best tag sequence is Viterbi's. Tokens far from any
-promising one are outside for certain: an entity across them would lose more
-than all promising tokens of the text can gain, so only the neighbourhoods of
-promising tokens are decoded, with the same result as decoding the whole text.
+three predecessors and its successor, hashed identities of the words beside it, and
+a class of the whole file; adjacent tags add a transition weight. Weights are fitted
+(``crf.fit``) on a bounded sample of documents, ``PER_KIND`` with and ``PER_KIND``
+without a rule match, whose matches are the tags to learn; tasks cut them into
+segments, of which a bounded number reaches the driver. In half of the training
+segments a word of the same text stands in each keyword's place, so that the shape
+of what follows carries weight of its own. The best tag sequence is Viterbi's, for a
+batch of documents at once, and only where an entity can be at all (``crf.Bounds``),
+with the result of decoding whole texts. ``caution`` is added to outside when
+decoding; added spans of fewer than ``min_chars`` characters are left out, as those
+of the rules are.
 
 Cases: null and empty texts have no spans; repeated rows are scanned alike;
 without any rule match in the corpus nothing is learnt and only the rules speak;
@@ -23,13 +24,14 @@ give no rows; other columns come back untouched in ``row``.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialforge.llm import crf
 from dialforge.llm.store import map_arrow, text_batches, written
 
 #: The rules, in the order of their kinds.
@@ -42,15 +44,19 @@ PER_KIND = 400          # bound of the training sample: documents with, and with
 SEGMENT = 64            # tokens of a training segment
 MOST_SEGMENTS = 1 << 12 # with a secret, of the sampled documents; lowest hashes first
 PLAIN_SEGMENTS = 4      # training segments without a secret, for each with one
-STEPS = 60
-CAUTION = 2.0           # added to "outside" when decoding
+CAUTION = -2.0          # added to "outside" when decoding; chosen by what it finds, see README
 MIN_CHARS = 8           # shorter added spans are not secrets
+CHUNK_CHARS = 1 << 19   # of texts decoded together; a longer text is alone
 _TOKEN = re.compile(r"[\w+/.\-]+|=|[^\w\s+/.\-=]+")
 _KEYWORD = re.compile(r"(?i)pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|auth|credential|bearer|private[_-]?key|access[_-]?key")
 OUT, BEGIN, INSIDE = 0, 1, 2
-N_SHAPE, N_FILE = 400, 8
-OFFSETS = (0, -1, -2, -3, 1)
-EDGE, KEYWORD, NAME = 0, 1, 2             # classes of no token, a keyword, and what a hidden keyword becomes
+ALLOWED = np.array([[1, 1, 0], [1, 1, 1], [1, 1, 1]])       # an entity starts with begin
+N_SHAPE, N_WORD, N_FILE = 512, 1 << 12, 8
+OFFSETS = (0, -1, -2, -3, 1)              # of the shape classes
+WORD_OFFSETS = (-3, -2, -1, 1)            # of the word identities
+REACH = 3
+SIZES = [N_SHAPE] * len(OFFSETS) + [N_WORD] * len(WORD_OFFSETS) + [N_FILE]
+EDGE, KEYWORD = 0, 1                      # classes of no token, and of a keyword
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, int]]:
@@ -64,105 +70,64 @@ def base_spans(text: str) -> list[tuple[str, int, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def _size(n: int) -> int:
+    return 0 if n < 4 else 1 if n < 8 else 2 if n < 16 else 3 if n < 28 else 4
+
+
 def _shape(token: str) -> int:
     n = len(token)
-    if _KEYWORD.fullmatch(token):
+    if token[0] in "apstcbAPSTCB" and _KEYWORD.fullmatch(token):
         return KEYWORD
-    if not (token[0].isalnum() or len(token) > 1 and any(c.isalnum() for c in token)):
+    varied = min(len(set(token)) * 2 // max(min(n, 24), 1), 1)
+    if token.isascii() and token.isalpha() and (n == 1 or token[1:].islower()):       # most tokens
+        return 12 + _size(n) * 2 + varied
+    if not (token[0].isalnum() or n > 1 and any(map(str.isalnum, token))):
         return 3 + {"=": 0, ":": 1, '"': 2, "'": 3, "(": 4, ",": 5}.get(token[-1], 6)
-    digits = sum(c.isdigit() for c in token)
-    upper = sum(c.isupper() for c in token)
-    lower = sum(c.islower() for c in token)
+    digits, upper, lower = sum(map(str.isdigit, token)), sum(map(str.isupper, token)), sum(map(str.islower, token))
     marks = n - digits - upper - lower
     kind = ((digits > 0) + 2 * (upper > 1 and lower > 0 or upper > 0 and digits > 0) + 4 * (marks > 0)
             + 8 * (digits * 5 > n) + 16 * (digits == n))
-    size = 0 if n < 4 else 1 if n < 8 else 2 if n < 16 else 3 if n < 28 else 4
-    varied = min(len(set(token)) * 2 // max(min(n, 24), 1), 1)
-    return 12 + (kind * 5 + size) * 2 + varied
+    return 12 + (kind * 5 + _size(n)) * 2 + varied
 
 
-class _Shapes(dict):
+def code_of(token: str) -> int:
+    """Shape class of a token and, above it, the hashed identity of a plain word."""
+    word = 0
+    if token.isalpha() and len(token) <= 20:
+        word = 1 + zlib.crc32(token.lower().encode()) % (N_WORD - 1)
+    return _shape(token) + N_SHAPE * word
+
+
+class _Codes(dict):
     def __missing__(self, token: str) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        self[token] = c = _shape(token)
+        c = code_of(token)
+        if len(token) <= 64:
+            if len(self) > 400_000:
+                self.clear()
+            self[token] = c
         return c
 
 
-_SHAPES = _Shapes()
+_CODES = _Codes()
 
 
-def shapes(text: str) -> np.ndarray:
+def codes(text: str) -> np.ndarray:
     tokens = _TOKEN.findall(text)
-    return np.fromiter(map(_SHAPES.__getitem__, tokens), np.int64, len(tokens))
+    return np.fromiter(map(_CODES.__getitem__, tokens), np.int32, len(tokens))
 
 
-def file_class(shape: np.ndarray) -> int:
+def file_class(code: np.ndarray) -> int:
     """Size of the file, and whether it holds keywords."""
-    return min(int(np.log10(len(shape) + 1)), 3) * 2 + int((shape == KEYWORD).any())
-
-
-def _around(shape: np.ndarray) -> np.ndarray:
-    """Classes at ``OFFSETS`` of each token; ``EDGE`` outside the text."""
-    padded = np.concatenate([[EDGE] * 3, shape, [EDGE]])
-    return np.stack([padded[3 + o:3 + o + len(shape)] for o in OFFSETS], axis=1)
-
-
-@dataclass
-class Field:
-    weights: np.ndarray      # offset, class, tag
-    files: np.ndarray        # file class, tag
-    steps: np.ndarray        # tag, next tag
-
-    def scores(self, around: np.ndarray, files: np.ndarray) -> np.ndarray:
-        return sum(self.weights[k][around[..., k]] for k in range(len(OFFSETS))) + self.files[files]
-
-
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
-def fit(around: np.ndarray, files: np.ndarray, tags: np.ndarray, used: np.ndarray) -> Field:
-    """``around`` is (segments, SEGMENT, offsets); ``used`` masks padding."""
-    f = Field(np.zeros((len(OFFSETS), N_SHAPE, 3)), np.zeros((N_FILE, 3)), np.zeros((3, 3)))
-    f.steps[OUT, INSIDE] = -4.0
-    onehot = np.eye(3)[tags] * used[..., None]
-    both = used[:, 1:] & used[:, :-1]
-    seen_steps = np.array([[((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum() for b in range(3)] for a in range(3)])
-    sums = {"weights": np.full_like(f.weights, 1e-2), "files": np.full_like(f.files, 1e-2), "steps": np.full_like(f.steps, 1e-2)}
-    length = used.sum(axis=1)
-    total = max(int(used.sum()), 1)
-    for _ in range(STEPS):
-        u = f.scores(around, files[:, None])
-        ahead = np.zeros_like(u)
-        ahead[:, 0] = u[:, 0]
-        for t in range(1, SEGMENT):
-            ahead[:, t] = np.where(used[:, t, None], u[:, t] + _log_sum(ahead[:, t - 1, :, None] + f.steps, 1), ahead[:, t - 1])
-        z = _log_sum(ahead[:, -1], 1)
-        back = np.zeros_like(u)
-        expected = np.zeros((3, 3))
-        for t in range(SEGMENT - 2, -1, -1):
-            on = used[:, t + 1, None]
-            step = f.steps + (u[:, t + 1] + back[:, t + 1])[:, None, :]
-            expected += (np.exp(ahead[:, t, :, None] + step - z[:, None, None]) * on[..., None]).sum(axis=0)
-            back[:, t] = np.where(on, _log_sum(step, 2), 0)
-        p = np.exp(ahead + back - z[:, None, None]) * used[..., None]
-        miss = onehot - p
-        grads = {"steps": seen_steps - expected, "files": np.zeros_like(f.files), "weights": np.zeros_like(f.weights)}
-        np.add.at(grads["files"], files, miss.sum(axis=1))
-        flat = miss.reshape(-1, 3)
-        for k in range(len(OFFSETS)):
-            at = around[..., k].reshape(-1)
-            for tag in range(3):
-                grads["weights"][k, :, tag] = np.bincount(at, flat[:, tag], N_SHAPE)
-        for name, g in grads.items():
-            w = getattr(f, name)
-            g = g / total * 1000 - 2e-3 * w
-            sums[name] += g * g
-            w += 0.5 * g / np.sqrt(sums[name])
-    f.steps[OUT, INSIDE] = min(f.steps[OUT, INSIDE], -12.0)      # an entity starts with begin
-    return f
+    return min(int(np.log10(len(code) + 1)), 3) * 2 + int((code % N_SHAPE == KEYWORD).any())
+
+
+def features(padded: np.ndarray, files: np.ndarray, near):
+    """Features of tokens; ``near(o)`` gives the places of ``padded`` at an offset."""
+    for o in OFFSETS:
+        yield padded[near(o)] & (N_SHAPE - 1)
+    for o in WORD_OFFSETS:
+        yield padded[near(o)] >> 9
+    yield files[near(0)]
 
 
 def training_tags(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -177,51 +142,61 @@ def training_tags(text: str) -> tuple[np.ndarray, np.ndarray]:
         if len(inside):
             tags[inside] = INSIDE
             tags[inside[0]] = BEGIN
-    return shapes(text), tags
+    return codes(text), tags
 
 
 def _segments_body():
-    """``text, h`` in; the segments of each text out, with the classes around them."""
-    names = ["h", "lo", "file", "hit", "shapes", "tags"]
+    """``text, h`` in; the segments of each text out, with the codes around them."""
+    names = ["h", "lo", "file", "hit", "codes", "tags"]
 
     def run(batches):
         for batch in batches:
             for text, h in zip(batch.column(0), batch.column(1)):
-                shape, tag = training_tags(text.as_py())
-                kind, tag = file_class(shape), tag.astype(np.int8)
-                padded = np.concatenate([[EDGE] * 3, shape, [EDGE]]).astype("<i2")
-                for first in range(0, len(shape), SEGMENT << 12):
-                    at = range(first, min(first + (SEGMENT << 12), len(shape)), SEGMENT)
+                code, tag = training_tags(text.as_py())
+                kind, tag = file_class(code), tag.astype(np.int8)
+                padded = np.concatenate([[EDGE] * REACH, code, [EDGE] * REACH]).astype("<i4")
+                for first in range(0, len(code), SEGMENT << 12):
+                    at = range(first, min(first + (SEGMENT << 12), len(code)), SEGMENT)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([h.as_py()] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array([kind] * len(at), pa.int64()),
                          pa.array([bool(tag[lo:lo + SEGMENT].any()) for lo in at], pa.bool_()),
-                         pa.array([padded[lo:lo + SEGMENT + 4].tobytes() for lo in at], pa.binary()),
+                         pa.array([padded[lo:lo + SEGMENT + 2 * REACH].tobytes() for lo in at], pa.binary()),
                          pa.array([tag[lo:lo + SEGMENT].tobytes() for lo in at], pa.binary())], names)
     return run
 
 
-def fit_segments(rows: list, seed: int = 11) -> Field | None:
-    """``rows`` are (file, shapes, tags) of segments, the classes around them included."""
+def without_keywords(code: np.ndarray, rng) -> np.ndarray:
+    """A plain word of the same stretch in the place of each keyword."""
+    keyword = code % N_SHAPE == KEYWORD
+    plain = code[(code >= N_SHAPE) & ~keyword]
+    if not len(plain):
+        plain = np.array([code_of("value")])
+    return np.where(keyword, rng.choice(plain, len(code)), code)
+
+
+def fit_segments(rows: list, seed: int = 11) -> crf.Chain | None:
+    """``rows`` are (file, codes, tags) of segments, the codes around them included."""
     rng = np.random.default_rng(seed)
-    around, files, tags, used = [], [], [], []
-    for kind, shape, tag in rows:
-        shape, tag = np.frombuffer(shape, "<i2").astype(np.int64), np.frombuffer(tag, np.int8).astype(np.int64)
+    hit = np.array([any(tag) for _, _, tag in rows], bool)
+    if not hit.any():
+        return None
+    plain = rng.permutation(np.flatnonzero(~hit))[:PLAIN_SEGMENTS * int(hit.sum())]
+    pick = np.sort(np.concatenate([np.flatnonzero(hit), plain]))
+    feats = np.zeros((len(pick), SEGMENT, len(SIZES)), np.int32)
+    tags, used = np.zeros((len(pick), SEGMENT), np.int64), np.zeros((len(pick), SEGMENT), bool)
+    for i, r in enumerate(pick):
+        kind, code, tag = rows[r]
+        code, tag = np.frombuffer(code, "<i4"), np.frombuffer(tag, np.int8)
         if rng.random() < 0.5:
-            shape = np.where(shape == KEYWORD, NAME, shape)
+            code, kind = without_keywords(code, rng), kind & ~1
         n = len(tag)
-        around.append(np.pad(np.stack([shape[3 + o:3 + o + n] for o in OFFSETS], axis=1), ((0, SEGMENT - n), (0, 0))))
-        files.append(kind)
-        tags.append(np.pad(tag, (0, SEGMENT - n)))
-        used.append(np.arange(SEGMENT) < n)
-    with_secret = np.array([t.any() for t in tags], bool)
-    if not with_secret.any():
-        return None
-    plain = rng.permutation(np.flatnonzero(~with_secret))[:PLAIN_SEGMENTS * int(with_secret.sum())]
-    pick = np.sort(np.concatenate([np.flatnonzero(with_secret), plain]))
-    return fit(*(np.array(x)[pick] for x in (around, files, tags, used)))
+        for k, f in enumerate(features(code, np.full(len(code), kind), lambda o: slice(REACH + o, REACH + o + n))):
+            feats[i, :n, k] = f
+        tags[i, :n], used[i, :n] = tag, True
+    return crf.fit(feats, tags, used, SIZES, ALLOWED)
 
 
-def train(docs: DataFrame) -> Field | None:
+def train(docs: DataFrame) -> crf.Chain | None:
     """A field from a bounded sample of ``docs``, lowest hashes of text first."""
     text_batches(docs.sparkSession)
     has = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -238,80 +213,68 @@ def train(docs: DataFrame) -> Field | None:
         return None
     wanted = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in chosen], "h long"))
     texts = docs.select(has.alias("text"), F.xxhash64(has).alias("h")).join(wanted, "h").dropDuplicates(["h"]).select("text", "h")
-    cut = written(texts.transform(map_arrow, _segments_body(), "h long, lo long, file long, hit boolean, shapes binary, tags binary"),
+    cut = written(texts.transform(map_arrow, _segments_body(), "h long, lo long, file long, hit boolean, codes binary, tags binary"),
                   "secret-segments")
     rows = [r for hit, most in ((True, MOST_SEGMENTS), (False, PLAIN_SEGMENTS * MOST_SEGMENTS))
             for r in cut.where(F.col("hit") == hit).orderBy(F.xxhash64("h", "lo"), "h", "lo").limit(most).collect()]
-    return fit_segments([(r["file"], r["shapes"], r["tags"]) for r in sorted(rows, key=lambda r: (r["h"], r["lo"]))])
-
-
-def viterbi(u: np.ndarray, steps: np.ndarray) -> list[int]:
-    """Best tags of a stretch whose neighbours on both sides are outside."""
-    rows, s = u.tolist(), steps.tolist()
-    best, back = [s[OUT][t] + rows[0][t] for t in range(3)], []
-    for row in rows[1:]:
-        came = [max(range(3), key=lambda p: best[p] + s[p][t]) for t in range(3)]
-        back.append(came)
-        best = [best[came[t]] + s[came[t]][t] + row[t] for t in range(3)]
-    t = max(range(3), key=lambda p: best[p] + s[p][OUT])
-    tags = [t]
-    for came in reversed(back):
-        t = came[t]
-        tags.append(t)
-    return tags[::-1]
-
-
-def decode(field: Field, shape: np.ndarray, caution: float = CAUTION) -> list[tuple[int, int]]:
-    """Token ranges (first, end) of entities."""
-    if not len(shape):
-        return []
-    u = field.scores(_around(shape), np.array(file_class(shape)))
-    u[:, OUT] += caution
-    s = field.steps
-    # most that a token, and the two ends of an entity, can gain over outside
-    inner = max(0.0, s[INSIDE, INSIDE] - s[OUT, OUT], s[BEGIN, INSIDE] - s[OUT, OUT], s[BEGIN, BEGIN] - s[OUT, OUT],
-                s[INSIDE, BEGIN] - s[OUT, OUT], s[OUT, INSIDE] - s[OUT, OUT])
-    ends = max(0.0, max(s[OUT, BEGIN], s[OUT, INSIDE]) + max(s[BEGIN, OUT], s[INSIDE, OUT]) - 2 * s[OUT, OUT])
-    gain = np.maximum(u[:, BEGIN], u[:, INSIDE]) - u[:, OUT] + inner
-    most = gain[gain > 0].sum() + ends
-    hot = np.flatnonzero(gain + ends > 0)         # every entity has such a token
-    if not len(hot):
-        return []
-    loss = np.cumsum(np.maximum(-gain, 0))
-    first = np.searchsorted(loss, loss[hot] - most - 1e-9)
-    last = np.searchsorted(loss, loss[hot] + most + 1e-9, "right")
-    out, at = [], 0
-    while at < len(hot):
-        lo, hi = max(int(first[at]) - 1, 0), min(int(last[at]) + 1, len(shape))
-        while at + 1 < len(hot) and first[at + 1] - 1 <= hi:
-            at += 1
-            hi = min(int(last[at]) + 1, len(shape))
-        at += 1
-        tags = viterbi(u[lo:hi], s)
-        i = 0
-        while i < len(tags):
-            if tags[i] != OUT:
+    return fit_segments([(r["file"], bytes(r["codes"]), bytes(r["tags"])) for r in sorted(rows, key=lambda r: (r["h"], r["lo"]))])
+
+
+class Reader:
+    """A field ready to read batches of texts."""
+
+    def __init__(self, chain: crf.Chain, caution: float = CAUTION):
+        self.chain, self.caution = chain, caution
+        self.bounds = crf.Bounds(chain, caution)
+
+    def entities(self, own: list[np.ndarray]) -> list[list[tuple[int, int]]]:
+        """Token ranges (first, end) of the entities of each text, given as codes."""
+        out: list = [[] for _ in own]
+        gap = np.full(REACH, EDGE, np.int32)
+        parts, begins, files, at = [gap], [], [np.zeros(REACH, np.int8)], REACH
+        for c in own:
+            begins.append(at)
+            parts += [c, gap]
+            files.append(np.full(len(c) + REACH, file_class(c), np.int8))
+            at += len(c) + REACH
+        padded, files = np.concatenate(parts), np.concatenate(files)
+        inner = len(padded) - 2 * REACH           # tokens with all their neighbours
+        if inner <= 0:
+            return out
+        first, end = self.bounds.stretches(features(padded, files, lambda o: slice(REACH + o, REACH + o + inner)),
+                                           padded[REACH:REACH + inner] == EDGE)
+        tags = crf.decode(self.chain, first, end, lambda p: features(padded, files, lambda o: p + REACH + o), self.caution)
+        owner = np.searchsorted(begins, first + REACH, "right") - 1
+        for lo, doc, tag in zip(first, owner, tags):
+            lo, i = int(lo) + REACH - begins[doc], 0
+            while i < len(tag):
                 j = i + 1
-                while j < len(tags) and tags[j] == INSIDE:
-                    j += 1
-                out.append((lo + i, lo + j))
+                if tag[i] != OUT:
+                    while j < len(tag) and tag[j] == INSIDE:
+                        j += 1
+                    out[doc].append((lo + i, lo + j))
                 i = j
-            else:
-                i += 1
-    return out
+        return out
+
+
+def find_all(texts: list[str], reader: Reader | None, min_chars: int = MIN_CHARS) -> list[list[tuple[str, int, int]]]:
+    """All spans of each text: (kind, start, end) in code points, by start and kind."""
+    out = [[s[:3] for s in base_spans(t)] for t in texts]
+    if reader is not None:
+        for text, spans, entities in zip(texts, out, reader.entities([codes(t) for t in texts])):
+            if not entities:
+                continue
+            places, base = [m.span() for m in _TOKEN.finditer(text)], list(spans)
+            for lo, hi in entities:
+                a, b = places[lo][0], places[hi - 1][1]
+                if b - a >= min_chars and all(b <= s[1] or a >= s[2] for s in base):
+                    spans.append(("crf", a, b))
+    return [sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))) for spans in out]
 
 
-def find(text: str, field: Field | None) -> list[tuple[str, int, int]]:
-    """All spans of a text: (kind, start, end) in code points, by start and kind."""
-    spans = [s[:3] for s in base_spans(text)]
-    entities = decode(field, shapes(text)) if field is not None and text else []
-    if entities:
-        places = [m.span() for m in _TOKEN.finditer(text)]
-        for lo, hi in entities:
-            a, b = places[lo][0], places[hi - 1][1]
-            if b - a >= MIN_CHARS and all(b <= s[1] or a >= s[2] for s in spans if s[0] != "crf"):
-                spans.append(("crf", a, b))
-    return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
+def find(text: str, chain: crf.Chain | None, caution: float = CAUTION, min_chars: int = MIN_CHARS) -> list[tuple[str, int, int]]:
+    """:func:`find_all` of one text."""
+    return find_all([text], Reader(chain, caution) if chain is not None else None, min_chars)[0]
 
 
 def redact(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
@@ -323,32 +286,33 @@ def redact(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
     return "".join(out) + text[at:]
 
 
-def scan(docs: DataFrame, field: Field | None, mark: str | None = None) -> DataFrame:
+def scan(docs: DataFrame, chain: crf.Chain | None, mark: str | None = None, caution: float = CAUTION,
+         min_chars: int = MIN_CHARS) -> DataFrame:
     """``row`` (a struct of all columns of ``docs`` but text), spans; with a
     ``mark`` also text, in which it replaces every span."""
     text_batches(docs.sparkSession)
     others = [c for c in docs.columns if c != "text"]
     base = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    sent = docs.sparkSession.sparkContext.broadcast(chain)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def rows(batches):
-        model = sent.value
+        reader = Reader(sent.value, caution) if sent.value is not None else None
         for batch in batches:
-            lo, held, spans, texts = 0, 0, [], []
-            column = batch.column("text")
-            for i in range(batch.num_rows):
-                text = column[i].as_py()
-                found = find(text or "", model)
-                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-                texts.append(redact(text, found, mark) if mark is not None and text is not None and found else text)
-                held += len(text or "") + 64
-                if held > 8 << 20 or i == batch.num_rows - 1:
-                    out = [batch.column("row").slice(lo, i + 1 - lo), pa.array(spans, span)]
-                    if mark is not None:
-                        out.append(pa.array(texts, pa.string()))
-                    yield pa.RecordBatch.from_arrays(out, ["row", "spans", "text"][:len(out)])
-                    lo, held, spans, texts = i + 1, 0, [], []
+            column, lo = batch.column("text"), 0
+            while lo < batch.num_rows:
+                texts, size, hi = [], 0, lo
+                while hi < batch.num_rows and (hi == lo or size < CHUNK_CHARS):
+                    texts.append(column[hi].as_py())
+                    size += len(texts[-1] or "")
+                    hi += 1
+                found = find_all([t or "" for t in texts], reader, min_chars)
+                spans = [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in found]
+                out = [batch.column("row").slice(lo, hi - lo), pa.array(spans, span)]
+                if mark is not None:
+                    out.append(pa.array([redact(t, s, mark) if t is not None and s else t for t, s in zip(texts, found)], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, ["row", "spans", "text"][:len(out)])
+                lo = hi
 
     kind = base.schema["row"].dataType.simpleString()
     return base.transform(map_arrow, rows, f"row {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
