@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ALL_COMPLETED, FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +50,7 @@ ERR_NO_CONTENT = "no content"
 ERR_EMPTY = "empty content"
 ERR_UNKNOWN_FORM = "unknown provider form"
 ERR_NO_REQUEST = "no request body"
+ERR_WRONG_TYPE = "content is not text"      # followed by its type
 
 
 def _chat_msgs(system: Column, user: Column) -> Column:
@@ -158,6 +159,43 @@ def extract_response(df: DataFrame, provider: str = "provider", raw: str = "raw"
             .withColumn(error, F.col("_ex_e")).drop("_ex_t", "_ex_e"))
 
 
+def extract_variant(df: DataFrame, provider: str = "provider", raw: str = "raw",
+                    error: str = "error", out: str = "text") -> DataFrame:
+    """As :func:`extract_response`, from one typed parse a reply. Content that is
+    a list of strings or of parts with a text is their texts, joined; a number, a
+    truth value, an object or a list with anything else is an error of its own that
+    names the type, apart from a path that is not there or null."""
+    p, r, v, kind = F.col(provider), F.col(raw), F.col("_ex_v"), F.col("_ex_k")
+    found = None
+    for form, spec in FORMS.items():
+        at = F.try_variant_get(F.col("_ex_j"), spec["path"], "variant")
+        found = F.when(p == F.lit(form), at) if found is None else found.when(p == F.lit(form), at)
+
+    def of_part(x):
+        own = F.schema_of_variant(x)
+        return (F.when(own == "STRING", F.try_variant_get(x, "$", "string"))
+                .when(F.schema_of_variant(F.try_variant_get(x, "$.text", "variant")) == "STRING", F.try_variant_get(x, "$.text", "string")))
+
+    parts = F.transform(F.try_variant_get(v, "$", "array<variant>"), of_part)
+    text = (F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
+            .when(kind.startswith("ARRAY") & ~F.exists("_ex_p", lambda x: x.isNull()), F.array_join("_ex_p", "")))
+    prior = F.col(error) if error in df.columns else F.lit(None).cast("string")
+    t = F.col("_ex_t")
+    err = (F.when(prior.isNotNull(), prior)
+           .when(r.isNull(), F.lit(ERR_MALFORMED))
+           .when(~p.isin(list(FORMS)) | p.isNull(), F.lit(ERR_UNKNOWN_FORM))
+           .when(F.col("_ex_j").isNull(), F.lit(ERR_MALFORMED))
+           .when(v.isNull() | F.is_variant_null(v), F.lit(ERR_NO_CONTENT))
+           .when(t.isNull(), F.concat(F.lit(f"{ERR_WRONG_TYPE}: "), kind))
+           .when(t == "", F.lit(ERR_EMPTY)))
+    return (df.withColumn("_ex_j", F.try_parse_json(r)).withColumn("_ex_v", found)
+            .withColumn("_ex_k", F.schema_of_variant(v))
+            .withColumn("_ex_p", F.when(kind.startswith("ARRAY"), parts))
+            .withColumn("_ex_t", text).withColumn("_ex_e", err)
+            .withColumn(out, F.when(F.col("_ex_e").isNull(), t))
+            .withColumn(error, F.col("_ex_e")).drop("_ex_j", "_ex_v", "_ex_k", "_ex_p", "_ex_t", "_ex_e"))
+
+
 def successes(df: DataFrame, error: str = "error") -> DataFrame:
     return df.where(F.col(error).isNull())
 
@@ -185,15 +223,119 @@ def _safe(call: Call):
     return run
 
 
+BYTE_BUDGET = 64 << 20   # of prompts in flight and of replies not yet handed on, each
+OUT_ROWS = 2048          # replies handed on at once, at most
+
+
+class _Window:
+    """Calls in flight, over the batches of a task: as soon as one ends, the next
+    row is called, whatever the other rows of its batch do. At most ``calls`` are in
+    flight, and a row waits while prompts of ``budget`` bytes are."""
+
+    def __init__(self, call, calls: int, budget: int):
+        self.call, self.calls, self.budget = call, calls, budget
+        self.pool = ThreadPoolExecutor(calls) if calls > 1 else None
+        self.flying: dict = {}              # future -> (batch, row, bytes)
+        self.flying_bytes = self.most_bytes = 0
+        self.ended: list = []               # (batch, row, raw, error)
+        self.ended_bytes = 0
+
+    def _end(self, batch: int, row: int, result) -> None:
+        self.ended.append((batch, row, *result))
+        self.ended_bytes += sum(len(x) for x in result if x)
+
+    def land(self, every: bool = False) -> None:
+        """Wait for one call, or for all of them."""
+        ready, _ = wait(self.flying, return_when=ALL_COMPLETED if every else FIRST_COMPLETED)
+        for f in ready:
+            batch, row, size = self.flying.pop(f)
+            self.flying_bytes -= size
+            self._end(batch, row, f.result())
+
+    def start(self, batch: int, row: int, rec: dict) -> None:
+        if self.pool is None:
+            self._end(batch, row, self.call(rec))
+            return
+        size = sum(len(x) for x in rec.values() if isinstance(x, str))
+        while self.flying and (len(self.flying) >= self.calls or self.flying_bytes + size > self.budget):
+            self.land()
+        self.flying_bytes += size
+        self.most_bytes = max(self.most_bytes, self.flying_bytes)
+        self.flying[self.pool.submit(self.call, rec)] = (batch, row, size)
+
+    def full(self) -> bool:
+        return len(self.ended) >= OUT_ROWS or self.ended_bytes > self.budget
+
+    def close(self) -> None:
+        if self.pool:
+            self.pool.shutdown(cancel_futures=True)
+
+
+def _slices(rb, fields: list[str], budget: int):
+    """``(first row, records)`` of a batch, a few rows at a time: only they become
+    Python objects."""
+    import pyarrow as pa
+
+    columns = [rb.column(rb.schema.get_field_index(f)) for f in fields]
+    row_bytes = max(1, sum(c.nbytes for c in columns if pa.types.is_string(c.type)) // max(rb.num_rows, 1))
+    step = min(max(budget // 8 // row_bytes, 1), 1024)
+    for lo in range(0, rb.num_rows, step):
+        values = [c.slice(lo, step).to_pylist() for c in columns]
+        yield lo, [dict(zip(fields, v)) for v in zip(*values)]
+
+
+def _generated(batches, window: _Window, fields: list[str], out_cols: list[str]):
+    """Rows with replies, in the order in which the calls end."""
+    import pyarrow as pa
+
+    held: dict = {}             # batch -> [rows, rows not yet handed on]
+
+    def hand_on():
+        by_batch: dict = {}
+        for batch, *row in window.ended:
+            by_batch.setdefault(batch, []).append(row)
+        window.ended, window.ended_bytes = [], 0
+        for batch, rows in by_batch.items():
+            rb = held[batch][0]
+            at = pa.array([r[0] for r in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(rb.column(rb.schema.get_field_index(c)).take(at) for c in out_cols),
+                 pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())],
+                names=out_cols + ["raw", "error"])
+            held[batch][1] -= len(rows)
+            if not held[batch][1]:
+                del held[batch]
+
+    try:
+        for n, rb in enumerate(batches):
+            if not rb.num_rows:
+                continue
+            held[n] = [rb, rb.num_rows]
+            for lo, recs in _slices(rb, fields, window.budget):
+                for i, rec in enumerate(recs):
+                    window.start(n, lo + i, rec)
+                    if window.full():
+                        yield from hand_on()
+        if window.flying:
+            window.land(every=True)
+        yield from hand_on()
+    finally:
+        window.close()
+
+
 def bulk_generate(requests: DataFrame, call: Call, concurrency: int | None = None,
                   fields: tuple[str, ...] = ("slot_id", "provider", "body"),
-                  keep_body: bool = False) -> DataFrame:
+                  keep_body: bool = False, byte_budget: int = BYTE_BUDGET) -> DataFrame:
     """One call per row; adds ``raw`` (reply body) and ``error`` (string).
 
     ``call(record) -> raw`` receives ``fields`` of the row as a dict and may
     raise; the exception text becomes the row's ``error``. Up to
-    ``concurrency`` calls are in flight per task (network-bound backends);
-    by default the backend's own ``concurrency`` attribute, else 8.
+    ``concurrency`` calls are in flight per task (network-bound backends), over
+    the whole task: a slow call holds up no other, and its row comes out when it
+    ends; by default the backend's own ``concurrency`` attribute, else 8.
+    Prompts in flight and replies not yet handed on take at most about
+    ``byte_budget`` characters each (a larger one is alone); beside them a task
+    holds the Arrow batches of the rows in flight.
     All other columns pass through (scalar columns only: select first);
     the request ``body`` is dropped from the output unless ``keep_body``
     (it is re-derivable from the plan and would store the prompt again).
@@ -211,23 +353,7 @@ def bulk_generate(requests: DataFrame, call: Call, concurrency: int | None = Non
     keep = list(fields)
 
     def run(batches):
-        import pyarrow as pa
-
-        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
-        try:
-            for rb in batches:
-                # only the fields the backend reads become Python objects;
-                # pass-through columns stay Arrow arrays
-                cols = [rb.column(rb.schema.get_field_index(f)).to_pylist() for f in keep]
-                recs = [dict(zip(keep, vals)) for vals in zip(*cols)]
-                res = list(pool.map(safe, recs)) if pool else [safe(r) for r in recs]
-                arrays = [rb.column(rb.schema.get_field_index(c)) for c in out_cols]
-                arrays += [pa.array([x for x, _ in res], pa.string()),
-                           pa.array([e for _, e in res], pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, names=out_cols + ["raw", "error"])
-        finally:
-            if pool:
-                pool.shutdown()
+        yield from _generated(batches, _Window(safe, concurrency, byte_budget), keep, out_cols)
 
     return requests.mapInArrow(run, out_schema)
 

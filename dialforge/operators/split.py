@@ -7,7 +7,8 @@ partitioning. The full rows are never shuffled (see ``rank.flag_smallest``).
 
 Manifest: per epoch ``e`` every row gets a position by the draw
 ``u(seed, id, "epoch:e")`` (a reshuffle per epoch); ``micro_batch`` and
-``step`` follow from the position, the batch size and the accumulation.
+``step`` follow from the position, the batch size and the accumulation. The
+permuted manifest ranks the ids once and permutes the ranks in every epoch.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialforge.functions.draw import u
+from dialforge.functions.permute import permuted
 from dialforge.operators.rank import exact_rank, flag_smallest
 
 # Eval share 0.05 and seed 42 of the split; 5 epochs, 4 rows per
@@ -77,8 +79,38 @@ def batch_manifest(df: DataFrame, id_col: str, epochs: int = EPOCHS,
             .drop(h, "_pos1"))
 
 
+def permuted_manifest(df: DataFrame, id_col: str, epochs: int = EPOCHS, micro_batch: int = MICRO_BATCH,
+                      accumulation: int = ACCUMULATION, seed: int = SPLIT_SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of :func:`batch_manifest`, with the ids ranked once: an epoch's
+    position is a keyed permutation of the rank (``functions.permute``), computed row
+    by row, so nothing is shuffled by epoch. The rows are counted first."""
+    if epochs < 1 or micro_batch < 1 or accumulation < 1:
+        raise ValueError("epochs, micro_batch and accumulation must be >= 1")
+    n = max(df.count(), 1)
+    h = "_man_h"
+    ranked = exact_rank(df.select(id_col, *keep).withColumn(h, u(seed, id_col, "manifest")), h, id_col, out="_rank1")
+    places = F.array(*[F.struct(F.lit(e).alias("epoch"), permuted(F.col("_rank1") - 1, n, seed, f"epoch:{e}").alias("position"))
+                       for e in range(epochs)])
+    rows = ranked.select(id_col, *keep, F.explode(places).alias("_at"))
+    pos = F.col("_at.position")
+    return rows.select(id_col, *keep, "_at.epoch", pos.alias("position"), F.floor(pos / micro_batch).cast("long").alias("micro_batch"),
+                       F.floor(pos / (micro_batch * accumulation)).cast("long").alias("step"))
+
+
+def write_positions(manifest: DataFrame, path: str, rows: int, epochs: int = EPOCHS, rows_per_file: int = 1 << 20,
+                    mode: str = "overwrite") -> None:
+    """Ordered shards of a manifest of ``rows`` records: the positions of an epoch
+    are known to be ``0 .. rows-1``, so files are cut at known positions, without
+    sampling (which would rank the rows twice)."""
+    files = max(-(-rows // rows_per_file), 1)
+    width = max(-(-rows // files), 1)
+    part = (F.col("epoch") * files + F.floor(F.col("position") / width)).cast("int")
+    (manifest.repartitionById(files * epochs, part).sortWithinPartitions("epoch", "position")
+     .write.mode(mode).partitionBy("epoch").parquet(path))
+
+
 def write_manifest(manifest: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Ordered shards: range-partitioned by (epoch, step), sorted inside, so a
+    """Ordered shards where the number of rows is not known: range-partitioned by (epoch, step), sorted inside, so a
     reader streams each epoch's steps in order file by file."""
     (manifest.repartitionByRange("epoch", "step")
      .sortWithinPartitions("epoch", "position")

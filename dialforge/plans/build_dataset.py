@@ -109,11 +109,11 @@ def _scalar_plan(plan: DataFrame) -> DataFrame:
 
 def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path: str,
              cfg: BuildConfig, done: DataFrame | None = None,
-             run_id: str | None = None) -> T.StructType:
+             run_id: str | None = None, counts: mt.RunCounts | None = None) -> T.StructType:
     """Append one result row per attempted slot to ``results_path``.
 
     ``done`` holds the keys already successful (default: none); rows are
-    tagged with ``run_id``. Each wave is its own job and commit; without slots
+    tagged with ``run_id``; ``counts`` counts them as they are written. Each wave is its own job and commit; without slots
     left no wave runs. Returns the schema of the result rows (to read them back
     without inference), or None if no wave ran.
     """
@@ -131,8 +131,8 @@ def generate(spark: SparkSession, plan: DataFrame, call: gen.Call, results_path:
         # then never parse stored replies again
         out = gen.extract_response(out).withColumn(
             "raw", F.when(F.col("error").isNotNull(), F.col("raw")))
-        store.write_table(out, results_path, mode="append", long_text=LONG_TEXT,
-                          compression=TEXT_CODEC)
+        store.write_table(counts.watch(out) if counts else out, results_path, mode="append",
+                          long_text=LONG_TEXT, compression=TEXT_CODEC)
         schema = out.schema
     return schema
 
@@ -273,7 +273,8 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     written tables, read back: ``plan``, ``results``, ``records``,
     ``failures``, ``metrics`` (attempted, generated, failed over all runs, and
     the elapsed time of this one), ``run_metrics`` (the same for this run) and
-    ``report`` (this run's attempts by category and successes by provider).
+    ``report`` (this run's attempts by category and successes by provider, counted
+    while its results were written, unless it has very many categories).
     Rerunning retries only slots without a success; a plan with more slots
     than the stored one extends it; a plan that differs on a stored slot (other
     seed, catalogue, provider) is an error; with nothing to do no job runs. The
@@ -295,14 +296,18 @@ def build_dataset(spark: SparkSession, plan: DataFrame, call: gen.Call, out_dir:
     run_id = new_run_id()
     t0 = time.perf_counter()
     done = successful_keys(spark, results_path)
-    schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id)
+    providers = [p for p in (cfg.first_provider, cfg.second_provider) if p]
+    counts = mt.RunCounts.of_plan(stored, providers)
+    schema = generate(spark, stored, call, results_path, cfg, done=done, run_id=run_id, counts=counts)
     elapsed = time.perf_counter() - t0
     results = (spark.read.schema(schema) if schema else spark.read).parquet(results_path)
     records, fails = records_from_results(results, cfg)
     if export_path:
         export_new(spark, results, export_path, cfg)
-    this_run = results_view(results.where(F.col("run_id") == run_id))
+    if counts:
+        run_metrics, report = counts.metrics(spark, elapsed), counts.report(spark)
+    else:
+        this_run = results_view(results.where(F.col("run_id") == run_id))
+        run_metrics, report = mt.run_metrics(this_run, elapsed), mt.run_report(spark, this_run, providers)
     return {"plan": stored, "results": results, "records": records, "failures": fails,
-            "metrics": mt.run_metrics(results_view(results), elapsed),
-            "run_metrics": mt.run_metrics(this_run, elapsed),
-            "report": mt.run_report(spark, this_run, [p for p in (cfg.first_provider, cfg.second_provider) if p])}
+            "metrics": mt.run_metrics(results_view(results), elapsed), "run_metrics": run_metrics, "report": report}

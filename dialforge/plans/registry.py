@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from dialforge.functions import chat
 from dialforge.functions.draw import pick_from_array, pick_from_list_sql, sql_str, u, u_sql
+from dialforge.functions.permute import PRIME, ROUNDS, round_keys
 from dialforge.operators import generation as gen
 from dialforge.operators import identity
 from dialforge.operators import messages as msg
@@ -34,7 +35,7 @@ from dialforge.plans import prepare_training as pt
 from dialforge.schemas import CHAT_RECORD
 from dialforge.session import read_table, scratch_path
 from dialforge.sources import catalog as cat
-from dialforge.sources import jsonl, store
+from dialforge.sources import jsonl, shapes, store
 from dialforge.sources import sink as sk
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +191,34 @@ def q_union_provider_shards(spark, sf_dir):
 
 # ================================================= 2.2 sampling and planning
 
+@register("union_nested_shards", f"""
+WITH m AS (SELECT conv_id, count(*) AS n, arg_max(role, turn) AS last,
+                  string_agg(role || '{US}' || coalesce(text, '{NULLMARK}') || '{US}' || CASE WHEN conv_id % 3 = 0 THEN '-' ELSE CAST(turn AS VARCHAR) END,
+                             '{RS}' ORDER BY turn) AS flat
+           FROM conversations GROUP BY conv_id)
+SELECT conv_id, CAST(n AS BIGINT) AS n_messages, flat, CASE WHEN conv_id % 3 <> 2 THEN CAST(n AS BIGINT) END AS meta_n,
+       CASE WHEN conv_id % 3 = 1 THEN last END AS meta_last
+FROM m""")
+def q_union_nested_shards(spark, sf_dir):
+    """#6 three writers of one record: without a field inside the messages, with
+    the fields in another order and wider numbers, and without a whole struct."""
+    def packed(shard, *fields):
+        m = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("t"), F.col("role"), F.col("text").alias("content"))))
+        last = F.max_by("role", "turn")
+        turns = _conversations(spark, sf_dir).where(F.col("conv_id") % 3 == shard)
+        made = {"role": lambda x: x["role"], "content": lambda x: x["content"], "turn": lambda x: x["t"], "small": lambda x: x["t"].cast("int").alias("turn")}
+        return turns.groupBy("conv_id").agg(m.alias("m"), F.count(F.lit(1)).alias("n"), last.alias("last")).select(
+            "conv_id", F.transform("m", lambda x: F.struct(*[made[f](x).alias("turn" if f == "small" else f) for f in fields])).alias("messages"), "n", "last")
+
+    a = packed(0, "role", "content").select("conv_id", "messages", F.struct(F.col("n").cast("int").alias("n")).alias("meta"))
+    b = packed(1, "turn", "content", "role").select(F.struct("last", "n").alias("meta"), "messages", "conv_id")
+    c = packed(2, "role", "small", "content").select("conv_id", "messages")
+    every = shapes.union_nested(a, b, c)
+    flat = F.array_join(F.transform("messages", lambda x: F.concat_ws(
+        US, x["role"], F.coalesce(x["content"], F.lit(NULLMARK)), F.coalesce(x["turn"].cast("string"), F.lit("-")))), RS)
+    return every.select("conv_id", _n_messages(), flat.alias("flat"), F.col("meta.n").alias("meta_n"), F.col("meta.last").alias("meta_last"))
+
+
 @register("topup_plan", """
 SELECT o.o_orderkey AS slot_id FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_orderkey = o.o_orderkey)""")
@@ -385,6 +414,45 @@ def q_extract_response(spark, sf_dir):
     return gen.extract_response(wrapped).select("conv_id", "turn", "provider", "text", "error")
 
 
+_VALUE_KIND_SQL = """CASE WHEN role = 'user' AND turn = 0 THEN 'missing' WHEN role = 'assistant' AND turn = 1 THEN 'BOOLEAN'
+  WHEN role = 'system' THEN 'BIGINT' WHEN role = 'assistant' THEN 'parts' ELSE 'string' END"""
+
+
+@register("extract_variant", f"""
+WITH k AS (SELECT *, {_VALUE_KIND_SQL} AS kind FROM conversations),
+t AS (SELECT *, CASE kind WHEN 'string' THEN text WHEN 'parts' THEN text || role || text END AS found FROM k)
+SELECT conv_id, turn, {_FORMS_SQL}[({U(['conv_id', 'turn'], 'form')} % 4) + 1] AS provider,
+       CASE WHEN found <> '' THEN found END AS text,
+       CASE WHEN kind = 'missing' THEN '{gen.ERR_NO_CONTENT}'
+            WHEN kind IN ('BOOLEAN', 'BIGINT') THEN '{gen.ERR_WRONG_TYPE}: ' || kind
+            WHEN kind = 'parts' AND found IS NULL THEN '{gen.ERR_WRONG_TYPE}: ARRAY<OBJECT<text: VOID, type: STRING>>'
+            WHEN found IS NULL THEN '{gen.ERR_NO_CONTENT}' WHEN found = '' THEN '{gen.ERR_EMPTY}' END AS error
+FROM t""")
+def q_extract_variant(spark, sf_dir):
+    """#15 replies of all forms whose content is a string, a list of parts, a
+    number or a truth value, or is not there."""
+    def quoted(c):
+        listed = F.to_json(F.array(c), {"ignoreNullFields": "false"})
+        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+    def part(c):
+        return F.concat(F.lit('{"type":"text","text":'), quoted(c), F.lit("}"))
+
+    role, first = F.col("role"), F.col("turn")
+    value = (F.when((role == "assistant") & (first == 1), F.lit("true")).when(role == "system", F.col("conv_id").cast("string"))
+             .when(role == "assistant", F.concat(F.lit("["), part(F.col("text")), F.lit(","), quoted(role), F.lit(","), part(F.col("text")), F.lit("]")))
+             .otherwise(quoted(F.col("text"))))
+    p = F.col("provider")
+    raw = (F.when((role == "user") & (first == 0), F.lit('{"other":[1,{"text":"x"}]}'))
+           .when(p == "messages_api", F.concat(F.lit('{"content":[{"type":"text","text":'), value, F.lit("}]}")))
+           .when(p == "single_prompt", F.concat(F.lit('{"candidates":[{"content":{"parts":[{"text":'), value, F.lit("}]}}]}")))
+           .when(p == "chat_completions", F.concat(F.lit('{"choices":[{"message":{"content":'), value, F.lit("}}]}")))
+           .otherwise(F.concat(F.lit('{"message":{"content":'), value, F.lit("}}"))))
+    forms = F.array(*[F.lit(f) for f in FORM_LIST])
+    turns = _conversations(spark, sf_dir).withColumn("provider", pick_from_array(SEED, ["conv_id", "turn"], "form", forms))
+    return gen.extract_variant(turns.withColumn("raw", raw).drop("text")).select("conv_id", "turn", "provider", "text", "error")
+
+
 @register("extract_json_field", """
 SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
 def q_extract_json_field(spark, sf_dir):
@@ -640,6 +708,37 @@ def q_batch_manifest(spark, sf_dir):
                                                     "micro_batch", "step")
 
 
+_KEYS_SQL = " UNION ALL ".join(
+    f"SELECT {e} AS epoch, {r} AS k, {a}::BIGINT AS a, {b}::BIGINT AS b, {c}::BIGINT AS c, {d}::BIGINT AS d"
+    for e in range(sp.EPOCHS) for r, (a, b, c, d) in enumerate(round_keys(SEED, f"epoch:{e}")))
+_RIGHT_BITS = "CASE WHEN (w.k % {rounds}) % 2 = 0 THEN m // 2 ELSE m - m // 2 END".format(rounds=ROUNDS)
+
+
+@register("permuted_manifest", f"""
+WITH RECURSIVE keys AS ({_KEYS_SQL}),
+ids AS (SELECT doc_id, row_number() OVER (ORDER BY {U('doc_id', 'manifest')}, doc_id) - 1 AS place FROM documents),
+size AS (SELECT count(*) AS n, greatest(2, CASE WHEN count(*) <= 1 THEN 0 ELSE length(bin(count(*) - 1)) END) AS m FROM documents),
+w AS (
+  SELECT e.epoch, i.doc_id, i.place AS x, 0 AS k FROM ids i, (SELECT DISTINCT epoch FROM keys) e
+  UNION ALL
+  SELECT epoch, doc_id, (low << (m - r)) | xor(high, ((((a * low + b) % {PRIME}) * ((low + c) % {PRIME}) + d) % {PRIME}) & ((1::BIGINT << (m - r)) - 1)), k + 1
+  FROM (SELECT w.epoch, w.doc_id, w.k % {ROUNDS} AS k, m, {_RIGHT_BITS} AS r, keys.a, keys.b, keys.c, keys.d,
+               w.x & ((1::BIGINT << ({_RIGHT_BITS})) - 1) AS low, w.x >> ({_RIGHT_BITS}) AS high
+        FROM w, size JOIN keys ON keys.epoch = w.epoch AND keys.k = w.k % {ROUNDS}
+        WHERE w.k < {ROUNDS} OR w.x >= n) s)
+SELECT CAST(epoch AS INTEGER) AS epoch, doc_id, x AS position, x // {sp.MICRO_BATCH} AS micro_batch,
+       x // {sp.MICRO_BATCH * sp.ACCUMULATION} AS step
+FROM w, size WHERE k = {ROUNDS} AND x < n""")
+def q_permuted_manifest(spark, sf_dir):
+    """#29 one rank of the ids, permuted anew in every epoch; written as ordered
+    shards and read back."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    manifest = sp.permuted_manifest(docs, "doc_id", seed=SEED)
+    path = scratch_path(spark, "permuted")
+    sp.write_positions(manifest, path, docs.count())
+    return spark.read.schema(manifest.schema).parquet(path).select("epoch", "doc_id", "position", "micro_batch", "step")
+
+
 # ================================================= 2.7 end-to-end jobs
 
 def _pool_weights(spark, sf_dir) -> DataFrame:
@@ -753,14 +852,23 @@ def q_build_failures(spark, sf_dir):
     return _conv_build(spark, sf_dir, runs=2)["failures"].select("slot_id", "provider", "error", "attempts")
 
 
-@register("build_report", f"""{_RUN_SQL}
+_REPORT_SQL = f"""{_RUN_SQL}
 SELECT 'attempts by category' AS section, category AS name, count(*) AS n FROM r GROUP BY category
 UNION ALL
 SELECT 'successes by provider', p.provider, CAST(count(r.slot_id) AS BIGINT)
 FROM (VALUES ('{PROVIDERS_RUN[0]}'), ('{PROVIDERS_RUN[1]}')) p(provider)
-LEFT JOIN r ON r.provider = p.provider AND r.error IS NULL GROUP BY p.provider""")
+LEFT JOIN r ON r.provider = p.provider AND r.error IS NULL GROUP BY p.provider"""
+
+
+@register("build_report", _REPORT_SQL)
 def q_build_report(spark, sf_dir):
-    """#24-#26 what a build reports of its run."""
+    """#24-#26 the report of a build, from its stored results."""
+    return mt.run_report(spark, bd.results_view(_conv_build(spark, sf_dir)["results"]), list(PROVIDERS_RUN))
+
+
+@register("observed_report", _REPORT_SQL)
+def q_observed_report(spark, sf_dir):
+    """#24-#26 the report of a build, counted while its results were written."""
     return _conv_build(spark, sf_dir)["report"]
 
 
@@ -831,8 +939,16 @@ SELECT conv_id, CASE WHEN rk <= CAST(ceil(0.05::DOUBLE * n) AS BIGINT) THEN 'eva
        n_messages, ntok AS n_tokens, ntok > {tk.MAX_SEQ_LENGTH} AS truncated, text
 FROM x""")
 def q_prepare_training_set(spark, sf_dir):
-    """#33 records -> trim -> normalise -> render -> split -> cap, written
-    as split-partitioned Parquet and read back."""
+    """#33 turns -> answered records -> split -> normalise -> render -> cap,
+    written as split-partitioned Parquet and read back."""
+    out = pt.prepare_from_turns(spark, _conversations(spark, sf_dir), "conv_id",
+                                scratch_path(spark, "training-set"), seed=SEED)
+    return out["data"].select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")
+
+
+@register("prepare_answered", ORACLES["prepare_training_set"])
+def q_prepare_answered(spark, sf_dir):
+    """#33 the same from records that are assembled already."""
     out = pt.prepare_training_set(spark, _records(spark, sf_dir), "conv_id",
                                   scratch_path(spark, "training-set"), seed=SEED, answered_only=True)
     return out["data"].select("conv_id", "split", _n_messages(), "n_tokens", "truncated", "text")
