@@ -5,7 +5,8 @@ and set between markers. Of every ``K`` consecutive pieces, the k-mer, the
 smallest hash of its inner runs of two pieces must lie at one of its edges;
 then the k-mer is an anchor. Whether it is depends on the k-mer alone, so a
 passage has the same anchors wherever it stands, but for those at its ends.
-The likeness of two texts is the Dice share of their distinct anchors.
+The likeness of two texts is the Dice share of their distinct anchors, as the
+fingerprint lists them.
 
 Cases: a null text is empty; a text without pieces has no anchors, an empty
 fingerprint, and likeness 1 to another such text and 0 to others; a text of one
@@ -25,6 +26,7 @@ from dialforge.llm.store import shuffle_partitions
 K, INNER = 6, 2
 PIECE = r"\S{1,6}"
 WINDOW = K - INNER + 1            # inner runs in a k-mer
+BUCKET_ROWS = 1 << 15             # rows of a bucket at most, about
 
 
 def _after(array: str, by: int) -> Column:
@@ -36,7 +38,7 @@ def _ahead(array: str, by: int) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the hashes of the anchors of ``text``, in its order."""
+    """Add ``out``: the 32-bit hashes of the distinct anchors of ``text``, in its order."""
     p = f"{out}_"
 
     def least(array: str, by: int) -> Column:
@@ -55,14 +57,15 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
                                              F.slice(_after(p + "m", 2), 1, F.size(p + "l")).alias("b"),
                                              _after(p + "m", WINDOW - 1).alias("c")))
     df = df.withColumn(out, F.transform(
-        F.filter(p + "z", lambda x: F.least(x["a"], x["c"]) == x["l"]), lambda x: F.xxhash64(x["a"], x["b"], x["c"])))
+        F.filter(p + "z", lambda x: F.least(x["a"], x["c"]) == x["l"]),
+        lambda x: F.shiftrightunsigned(F.xxhash64(x["a"], x["b"], x["c"]), 32)))
     df = df.withColumn(out, F.array_distinct(out))
     return df.drop(*[p + c for c in "hmlz"])
 
 
 def fingerprint(anchors: str) -> Column:
     """Sorted distinct anchors as text, 8 hexadecimal digits each."""
-    return F.array_join(F.transform(F.array_sort(anchors), lambda x: F.lpad(F.lower(F.hex(F.shiftrightunsigned(x, 32))), 8, "0")), "")
+    return F.array_join(F.transform(F.array_sort(anchors), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -78,7 +81,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     (the last one's: of the first). Only the buckets' bounds reach the driver."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63))).alias("key"))
-    buckets = shuffle_partitions(docs.sparkSession)
+    buckets = shuffle_partitions(docs.sparkSession, docs.count(), BUCKET_ROWS)
     cuts = rows.select(F.percentile_approx("key", [i / buckets for i in range(1, buckets)] or [0.5], 50 * buckets)).first()[0] or []
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>")
     rows = rows.withColumn("bucket", F.size(F.filter(bounds, lambda c: c < F.col("key"))))
@@ -86,7 +89,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     turned = [(key, firsts[i - 1][0]) for i, (_, key) in enumerate(firsts)]
     heads = docs.sparkSession.createDataFrame(turned, "key long, bucket int")
     extra = rows.drop("bucket").join(F.broadcast(heads), "key").select("doc_id", "text", "key", "bucket", F.lit(1).alias("extra"))
-    return rows.withColumn("extra", F.lit(0)).unionByName(extra).repartition(buckets, "bucket")
+    return rows.withColumn("extra", F.lit(0)).unionByName(extra).repartitionById(buckets, "bucket")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
