@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from dialforge.llm.byte_bpe import byte_alphabet
 from dialforge.llm.store import map_arrow, text_batches
@@ -42,6 +43,41 @@ NO_RANK = np.int64(1) << 40
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
+class Odd:
+    """Characters that this Python knows nothing of and the ``regex`` package may
+    class otherwise than the library: each is put to the library's own normaliser
+    and splitter once."""
+
+    def __init__(self, path: str):
+        lib = Tokenizer.from_file(path)
+        unknown = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
+        self.marks, self.lower = [], {}
+        for c in regex.findall(r"[\p{L}\p{N}]", unknown):
+            plain = lib.normalizer.normalize_str(c)
+            if plain != c.lower():
+                self.lower[ord(c)] = plain
+            if len(lib.pre_tokenizer.pre_tokenize_str(f"a{plain}b!{plain}")) == 4:      # a mark, joined to the other
+                self.marks.append(plain)
+        every = {*map(ord, self.marks), *self.lower}
+        self.least = chr(min(every)) if every else None          # texts below it need no second look
+        self.any = regex.compile(f"[{_ranges(every)}]") if every else None
+        marks = _ranges(set(map(ord, self.marks)))
+        own = f"--[{marks}]" if marks else ""
+        self.words = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{own}]+|[\p{{N}}{own}]|(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]"
+                                   + (f"|[{marks}]" if marks else "") + ")+")
+
+
+def _ranges(points: set[int]) -> str:
+    """Code points as the inside of a character class."""
+    out: list = []
+    for c in sorted(points):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
 class _Codes(dict):
     """Numbers of words in order of first sight; ``new`` are not encoded yet."""
 
@@ -64,6 +100,7 @@ class WordBpe:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added_split = regex.compile(
             "(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
+        self.odd = Odd(path)
         size = max([*vocab.values(), *self.added.values()]) + 1
         self.tokens = np.full(size, "", object)
         for token, i in [*vocab.items(), *self.added.items()]:
@@ -192,11 +229,13 @@ class WordBpe:
                     for w in ([part] if part in self.added else self._plain(part))]
         return self._plain(text)
 
-    @staticmethod
-    def _plain(text: str) -> list[str]:
+    def _plain(self, text: str) -> list[str]:
         # white space only separates words, so making it one space changes none;
         # lower case one character at a time as the library does: no final sigma
-        return _WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        plain, words = unicodedata.normalize("NFC", text).replace("Σ", "σ"), _WORDS
+        if plain and self.odd.any is not None and max(plain) >= self.odd.least and self.odd.any.search(plain):
+            plain, words = plain.translate(self.odd.lower), self.odd.words
+        return words.findall(plain.lower())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """``uint32`` ids of every text."""
