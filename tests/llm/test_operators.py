@@ -318,7 +318,25 @@ def test_anchors_are_closed_syncmers(spark):
     m = [p["m"] for p in pairs]
     chosen = [(m[i], m[i + 2], m[i + 4]) for i in range(len(m) - 4) if min(m[i:i + 5]) in (m[i], m[i + 4])]
     want = spark.createDataFrame(chosen, "a long, b long, c long").select(F.xxhash64("a", "b", "c")).collect()
-    assert r["a"] == list(dict.fromkeys(w[0] for w in want))
+    assert r["a"] == list(dict.fromkeys(w[0] % (1 << 64) >> 32 for w in want))
+
+
+def test_likeness_is_that_of_the_fingerprints(spark):
+    for r in Q.op7_fingerprints(spark, "/root/testdata/sf0.001").collect():
+        one, two = ([f[i:i + 8] for i in range(0, len(f), 8)] for f in (r["fingerprint"], r["edited_fingerprint"]))
+        assert one == sorted(set(one)) and two == sorted(set(two))
+        share = 2 * len(set(one) & set(two)) / (len(one) + len(two)) if one or two else 1.0
+        assert r["near_edited"] == pytest.approx(share)
+
+
+def test_buckets_fill_every_task(table, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", 4)
+    rows = [(i, words(5, i)) for i in range(100)] + [(50, words(5, 50))] * 3 + [(None, "x y"), (None, None)]
+    placed = fingerprints.with_next(table(rows))
+    tasks = {(r["p"], r["bucket"]) for r in placed.withColumn("p", F.spark_partition_id()).select("p", "bucket").distinct().collect()}
+    assert len(tasks) >= 20 and len({p for p, _ in tasks}) == len(tasks)
+    got = {r["doc_id"]: r["next_text"] for r in fingerprints.fingerprints(table(rows)).where("doc_id <> 50").collect()}
+    assert all(got[i] == rows[i + 1][1] for i in range(99) if i not in (49, 50)) and got[99] in ("x y", "")
 
 
 def test_fingerprints_are_native(spark):
