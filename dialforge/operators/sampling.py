@@ -31,22 +31,17 @@ from dialforge.sources.catalog import validate_weights
 
 DEFAULT_BINS = 1 << 16
 BROADCAST_ROWS = 2_000_000  # rows of (bin, category, lo, hi) safe to broadcast
-FEW = 100_000  # categories whose weights one task may sum up
 DRAWS_PER_KEY = 10_000  # draws that one (item, salt) key takes on average
 
 
 def category_bounds(weights: DataFrame, category: str = "category", weight: str = "weight",
                     order: str | None = None) -> DataFrame:
     """``(category, lo, hi)``: slot range of each category of a table written
-    by :func:`_once`. Up to ``FEW`` categories are summed up in one window; of
-    more, written in ranges, the running sum is taken inside each range, above the
-    sums of the ranges before, and no task sees all categories. Zero-weight
-    categories get an empty range and are dropped.
+    by :func:`_once`. The running sum is taken inside each range partition of
+    it, above the sums of the partitions before; no task sees all categories.
+    Zero-weight categories get an empty range and are dropped.
     """
     live = weights.where(F.col(weight) > 0).withColumn("_wd_w", F.col(weight).cast("long"))
-    if "_wd_part" not in weights.columns:
-        up_to = Window.orderBy(order or category, category).rowsBetween(Window.unboundedPreceding, 0)
-        return live.withColumn("hi", F.sum("_wd_w").over(up_to)).select(category, (F.col("hi") - F.col("_wd_w")).alias("lo"), "hi")
     inside = (Window.partitionBy("_wd_part").orderBy(order or category, category)
               .rowsBetween(Window.unboundedPreceding, 0))
     before = Window.orderBy("_wd_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,24 +54,23 @@ def category_bounds(weights: DataFrame, category: str = "category", weight: str
 
 def _checked(weights: DataFrame, category: str, weight: str, order: str | None, extra: tuple[str, ...] = ()
              ) -> tuple[DataFrame, int, int]:
-    """(written weights, total weight, categories): one write and one aggregate
-    over it; raises before any job on the plan if the weights cannot be drawn from
-    or a weighted category has no name. Only a table of more than ``FEW`` rows is
-    written again, in ranges."""
-    cols = [category, weight, order, *extra]
-    weights = _once(weights, cols)
-    total, k = validate_weights(weights, weight, named=category)
-    if k > FEW:
-        weights = _once(weights, cols, [order or category, category])
-    return weights, total, k
+    """(written weights, total weight, categories): one write, in ranges, and one
+    aggregate over it; raises before any job on the plan if the weights cannot be
+    drawn from or a weighted category has no name."""
+    weights = _once(weights, [category, weight, order, *extra], [order or category, category])
+    return weights, *validate_weights(weights, weight, named=category)
 
 
 def _lookup(rows: DataFrame, slot: str, weights: DataFrame, category: str, weight: str,
-            order: str | None, bins: int, total: int, k: int) -> DataFrame:
+            order: str | None, bins: int, total: int, k: int, stored: bool = True) -> DataFrame:
     """``rows`` with the category whose slot range holds ``slot``: an equi-join
-    on the bin, then the range. The bin table carries keys and bounds only."""
+    on the bin, then the range. The bin table carries keys and bounds only;
+    ``stored``: the bounds are written, which keeps their exchange out of the plan
+    of ``rows``."""
     width = -(-total // bins)  # ceil
     bounds = category_bounds(weights, category, weight, order)
+    if stored:
+        bounds = _once(bounds, [category, "lo", "hi"])
     bin_tbl = bounds.select(
         category, "lo", "hi",
         F.explode(F.sequence(F.floor(F.col("lo") / width),
@@ -96,7 +90,7 @@ def weighted_slots(weights: DataFrame, category: str = "category", weight: str =
     split over tasks and never held as one array."""
     weights, total, k = _checked(weights, category, weight, order)
     slots = weights.sparkSession.range(total).withColumnRenamed("id", "slot")
-    return _lookup(slots, "slot", weights, category, weight, order, bins, total, k).select(category, "slot")
+    return _lookup(slots, "slot", weights, category, weight, order, bins, total, k, stored=False).select(category, "slot")
 
 
 def _once(weights: DataFrame, cols: list[str | None], sort: list[str] | None = None) -> DataFrame:
