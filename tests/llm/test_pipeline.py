@@ -43,15 +43,35 @@ def test_stages(spark):
 
 
 def test_awkward_rows(spark, table, tmp_path):
+    """Each stage on nulls, empty and repeated rows, very long texts and columns
+    with names used inside, against what its docstring says."""
+    from tokenizers import Tokenizer
+
     spark.createDataFrame([(0, 1), (10, 0), (12, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
-    for rows in (EDGE_ROWS, []):
-        docs = table(rows)
-        for i, (name, stage) in enumerate(P.STAGES):
-            out = written(stage(spark, docs, str(tmp_path)), "awkward")
-            if i < len(P.STAGES) - 1:
-                assert out.schema.names == docs.schema.names
-                docs = out
-        assert out.count() >= 0
+    docs, empty = table(EDGE_ROWS), table([])
+    for name, stage in P.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0
+        if name != "packing":
+            kept = stage(spark, docs, str(tmp_path))
+            assert kept.schema.names == docs.schema.names
+            assert {tuple(r) for r in kept.select("lang", "row", "key", "ref", "places").distinct().collect()} == {("en", "r", "k", None, 7)}
+
+    given = Counter(EDGE_ROWS)
+    good = Counter(rows_of(P.good_quality(spark, docs, str(tmp_path))))
+    assert all(n == given[row] for row, n in good.items())              # repeated rows all stay or all go
+    distinct = Counter(rows_of(P.distinct_documents(spark, docs, "")))
+    named = [(i, t) for i, t in EDGE_ROWS if i is not None]
+    want = {(i, t) for (i, t), (_, n, least) in zip(named, brute_components(named)) if not n or i == least}
+    assert distinct == Counter(want | {r for r in given if r[0] is None})
+    cut = rows_of(P.without_repeats(spark, docs, ""))
+    assert Counter((i, t is None, tuple(WORD.findall(t or ""))) for i, t in cut) == Counter(
+        (i, t is None, tuple(k)) for (i, t), (_, _, k) in zip(EDGE_ROWS, brute_removed([t for _, t in EDGE_ROWS])))
+    assert Counter(rows_of(P.without_secrets(spark, docs, ""))) == given
+    lib = Tokenizer.from_file(P.BYTE_BPE)
+    once = [r for r in given if r[0] is not None]
+    check_pieces(P.packed(spark, table(once), "").collect(), Counter((i, (*lib.encode(t or "", add_special_tokens=False).ids, 1)) for i, t in once))
+    assert P.packed(spark, docs, "").where("start = 0").count() == len(EDGE_ROWS)
 
 
 def test_nothing_else_needs_the_folder():
