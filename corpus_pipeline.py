@@ -4,8 +4,17 @@ passages, secrets, packing.
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``. All but the last
 return the columns of ``docs``; a stage that changes a text also brings its
-``n_chars`` up to date. The stages handle nulls, empty and repeated rows as
-their operators say; an empty table gives an empty table at every stage.
+``n_chars`` up to date. An empty table gives an empty table at every stage, and
+other columns come through untouched. Null and repeated rows:
+
+- quality: a null text is scored as an empty one; a row without doc_id has no label
+  but is scored; repeated rows are judged alike, and all stay or all go;
+- near duplicates: a document without words is linked with nothing and stays; rows
+  that repeat doc_id and text are one; a group without any doc_id keeps one row;
+- repeated passages: a null text stays null; copies of a passage go from every row
+  that holds it, repeated rows included;
+- secrets: a null text stays null; repeated rows are marked alike;
+- packing: a null or empty text is one closing id; every row is packed.
 """
 
 from __future__ import annotations
