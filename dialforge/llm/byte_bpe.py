@@ -17,7 +17,7 @@ import pyarrow as pa
 
 #: Fixed value: the split pattern of byte-level BPE files with ``use_regex``.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_RARE = re.compile("[^\x00-ſ‐-‧]")
+RARE = re.compile("[^\x00-ſ‐-‧]")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -48,7 +48,7 @@ class Encoder:
         """``uint32`` ids of one text."""
         if not text:
             return np.zeros(0, np.uint32)
-        if _RARE.search(text) or any(a in text for a in self.added):
+        if RARE.search(text) or any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.ranks.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
 

@@ -33,11 +33,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialforge.llm.byte_bpe import SPLIT, encoder
+from dialforge.llm.byte_bpe import RARE, SPLIT, encoder
 from dialforge.llm.store import map_arrow, text_batches
 
 BLOCK = 64
 BACK = 4
+KNOWN = 300_000             # pre-tokens whose counts a worker remembers
 #: The pre-token pattern with Unicode white space, as the library runs it.
 _CUT = regex.compile(SPLIT.replace(r"\s+(?!\S)|\s+", r"\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
                      .replace(r"[^\s", r"[^\p{White_Space}"))
@@ -54,8 +55,10 @@ class SumTree:
         self.size = 1 << max(self.n - 1, 0).bit_length()
         self.node = np.zeros((2 * self.size, 2), np.int64)
         self.node[self.size:self.size + self.n] = leaves
-        for i in range(self.size - 1, 0, -1):
-            self.node[i] = self.node[2 * i] + self.node[2 * i + 1]
+        lo = self.size // 2
+        while lo:                             # a level of the tree at a time
+            self.node[lo:2 * lo] = self.node[2 * lo:4 * lo:2] + self.node[2 * lo + 1:4 * lo:2]
+            lo //= 2
 
     @property
     def leaves(self) -> np.ndarray:
@@ -89,16 +92,31 @@ class SumTree:
             self.build(np.concatenate([self.leaves[:lo], np.asarray(leaves, np.int64).reshape(-1, 2), self.leaves[hi:]]))
 
 
+class _Counts(dict):
+    """Numbers of tokens of pre-tokens, as they are met."""
+
+    def __init__(self, enc, added: set[str]):
+        self.enc, self.added = enc, added
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) > KNOWN:
+            self.clear()
+        self[piece] = n = (1 if piece in self.added else len(self.enc.library.encode(piece, add_special_tokens=False).ids)
+                           if RARE.search(piece) else len(self.enc.ranks.encode_ordinary(piece)))
+        return n
+
+
 class Pieces:
     """The pre-tokens of texts under one tokenizer file, and their numbers of tokens."""
 
     def __init__(self, path: str):
-        self.enc, self.known = encoder(path), {}
+        enc = encoder(path)
         with open(path, encoding="utf-8") as f:
             odd = [t["content"] for t in json.load(f).get("added_tokens", []) if t["lstrip"] or t["rstrip"] or t["single_word"]]
         if odd:
             raise ValueError(f"added tokens that depend on the text around them: {odd}")
-        self.added = set(self.enc.added)
+        self.added = set(enc.added)
+        self.known = _Counts(enc, self.added)
         self.find_added = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         self.back = BACK + max(map(len, self.added), default=0)
 
@@ -114,13 +132,7 @@ class Pieces:
         return itertools.chain.from_iterable(self._stretches(text, start))
 
     def count(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
-            if len(self.known) > 100_000:
-                self.known.clear()
-            self.known[piece] = n = 1 if piece in self.added else len(self.enc.ranks.encode_ordinary(piece)) if piece.isascii() else \
-                len(self.enc.library.encode(piece, add_special_tokens=False).ids)
-        return n
+        return self.known[piece]
 
 
 @functools.lru_cache(2)
@@ -131,6 +143,11 @@ def _pieces(path: str) -> Pieces:
 def leaves_of(text: str, start: int, pieces: Pieces, stop=None) -> tuple[list[tuple[int, int]], int]:
     """Blocks of the pre-tokens from ``start`` on, until ``stop(place)`` holds
     at a block's or pre-token's edge; the blocks and the place reached."""
+    if stop is None and start == 0 and not any(t in text for t in pieces.added):     # a whole text, all at once
+        found = _CUT.findall(text)
+        both = np.stack([np.fromiter(map(len, found), np.int64, len(found)),
+                         np.fromiter(map(pieces.known.__getitem__, found), np.int64, len(found))], axis=1)
+        return list(map(tuple, np.add.reduceat(both, np.arange(0, len(found), BLOCK)).tolist())) if found else [], len(text)
     out, chars, tokens, n, at, count = [], 0, 0, 0, start, pieces.count
     for m in pieces.cut(text, start):
         if stop is not None and m.start() > start and stop(m.start()):
