@@ -48,9 +48,9 @@ class Encoder:
         """``uint32`` ids of one text."""
         if not text:
             return np.zeros(0, np.uint32)
-        if RARE.search(text) or any(a in text for a in self.added):
+        if not text.isascii() and RARE.search(text) or any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
+        return np.array(self.ranks.encode_ordinary(text), np.uint32)    # looks for no special token at every place
 
 
 @functools.lru_cache(2)

@@ -101,6 +101,18 @@ def unpack_ids(packed: bytes) -> bytes:
     return raw if packed[0] == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
 
+def unpack_all(packed: pa.Array) -> pa.Array:
+    """:func:`unpack_ids` of a batch, written into one buffer."""
+    rows = [x.as_buffer() for x in packed]
+    heads = [(r[0], int.from_bytes(r[1:5].to_pybytes(), "little")) for r in rows]
+    ends = np.cumsum([0, *[size * 4 // width for width, size in heads]])
+    out = np.empty(int(ends[-1]) // 4, "<u4")
+    codec = pa.Codec(_ZSTD)
+    for r, (width, size), a, b in zip(rows, heads, ends // 4, ends[1:] // 4):
+        out[a:b] = np.frombuffer(codec.decompress(r[5:], size), "<u4" if width == 4 else "<u2") if size else 0
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
+
+
 def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFrame:
     """The columns of ``seqs`` in ``row``, slot, shard and record, range-partitioned
     and sorted by slot. The sequences are written first: their numbers are then
@@ -126,7 +138,7 @@ def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFram
 
     @F.arrow_udf("binary")
     def unpacked(ids: pa.Array) -> pa.Array:
-        return pa.array([unpack_ids(x.as_py()) for x in ids], pa.binary())
+        return unpack_all(ids)
 
     others = [c for c in seqs.columns if c != "ids"]
     numbered = stored.select(F.struct(*others).alias("others"), "ids", F.col("_metadata.file_path").alias("file"),
