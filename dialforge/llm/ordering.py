@@ -57,8 +57,10 @@ def feistel(x: np.ndarray, n: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1) -> DataFrame:
-    """``doc_id, start, n_ids, ids`` (little-endian uint32, padded to ``length``)."""
+def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1, packed: bool = False) -> DataFrame:
+    """``doc_id, start, n_ids, ids`` (little-endian uint32, padded to ``length``);
+    ``packed``: the ids by :func:`pack_ids`, in a column of that name."""
+    ids_name = "packed" if packed else "ids"
     text_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -72,15 +74,16 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
                     rows.append(i)
                     starts.append(s)
                     sizes.append(len(part) // 4)
-                    parts.append(part + PAD.to_bytes(4, "little") * (length - len(part) // 4))
+                    part += PAD.to_bytes(4, "little") * (length - len(part) // 4)
+                    parts.append(pack_ids(part) if packed else part)
                 if len(parts) * 4 * length > 8 << 20 or i == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
-                         pa.array(parts, pa.binary())], ["key", "start", "n_ids", "ids"])
+                         pa.array(parts, pa.binary())], ["key", "start", "n_ids", ids_name])
                     rows, starts, sizes, parts = [], [], [], []
 
     ids = docs.select(F.col("doc_id").alias("key"), F.col("text").cast("string").alias("text"))
-    return ids.transform(map_arrow, cut, f"key {kind}, start long, n_ids long, ids binary").withColumnRenamed("key", "doc_id")
+    return ids.transform(map_arrow, cut, f"key {kind}, start long, n_ids long, {ids_name} binary").withColumnRenamed("key", "doc_id")
 
 
 _ZSTD = "zstd"
@@ -116,10 +119,12 @@ def unpack_all(packed: pa.Array) -> pa.Array:
 def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFrame:
     """The columns of ``seqs`` in ``row``, slot, shard and record, range-partitioned
     and sorted by slot. The sequences are written first: their numbers are then
-    fixed, whatever executor is lost. Ids cross the exchange packed."""
+    fixed, whatever executor is lost. Ids cross the exchange packed; ``seqs`` with
+    ``packed`` in place of ``ids`` are written so, and packed by no task of their own."""
     spark = seqs.sparkSession
     path = scratch_path(spark, "llm-sequences")
-    seqs.write.option("compression", "zstd").parquet(path)
+    ids = "packed" if "packed" in seqs.columns else "ids"
+    seqs.write.option("compression", "zstd" if ids == "ids" else "uncompressed").parquet(path)
     stored = spark.read.schema(seqs.schema).parquet(path)
     files = stored.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count("*").alias("n")).orderBy("file").collect()
     first, n = {}, 0
@@ -140,15 +145,15 @@ def in_training_order(seqs: DataFrame, key: str, shard: int = SHARD) -> DataFram
     def unpacked(ids: pa.Array) -> pa.Array:
         return unpack_all(ids)
 
-    others = [c for c in seqs.columns if c != "ids"]
-    numbered = stored.select(F.struct(*others).alias("others"), "ids", F.col("_metadata.file_path").alias("file"),
+    others = [c for c in seqs.columns if c != ids]
+    numbered = stored.select(F.struct(*others).alias("others"), F.col(ids).alias("ids"), F.col("_metadata.file_path").alias("file"),
                              F.col("_metadata.row_index").alias("at"))
     numbered = numbered.join(F.broadcast(starts), "file").select("others", "ids", (F.col("first") + F.col("at")).alias("number"))
-    placed = numbered.select("others", packed("ids").alias("ids"), place("number").alias("slot"))
+    placed = numbered.select("others", packed("ids").alias("ids") if ids == "ids" else "ids", place("number").alias("slot"))
     tasks, shards = shuffle_partitions(spark, n, 1 << 15), max(1, -(-n // shard))
     number = F.floor(F.col("slot") / shard).cast("long")
     dealt = placed.repartitionById(tasks, F.floor(number * tasks / shards).cast("int")).select("others", "slot", unpacked("ids").alias("ids"))
-    row = F.struct(*[F.col("ids") if c == "ids" else F.col("others").getField(c).alias(c) for c in seqs.columns])
+    row = F.struct(*[F.col("ids") if c == ids else F.col("others").getField(c).alias(c) for c in seqs.columns])
     return dealt.select(row.alias("row"), "slot", number.alias("shard"), (F.col("slot") % shard).cast("long").alias("record")
                         ).sortWithinPartitions("shard", "slot")
 

@@ -172,7 +172,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = scratch_path(spark, "llm-shards")
-    ordering.write_shards(ordering.in_training_order(ordering.sequences(docs, BYTE_BPE), key="epoch-0"), path)
+    ordering.write_shards(ordering.in_training_order(ordering.sequences(docs, BYTE_BPE, packed=True), key="epoch-0"), path)
     shards = ordering.read_shards(spark, path, docs.schema["doc_id"].dataType.simpleString())
     return shards.select("slot", "shard", "record", "doc_id", "start", "n_ids", F.crc32("ids").alias("ids_crc32"))
 

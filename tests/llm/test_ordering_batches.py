@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 from dialforge.llm import byte_bpe, ordering
+from dialforge.llm import queries as Q
 
 
 def test_a_batch_unpacks_as_its_rows():
@@ -29,3 +30,12 @@ def test_no_special_token_is_looked_for():
     want = [enc.library.encode(t, add_special_tokens=False).ids for t in texts]
     enc.ranks = Ranks
     assert [enc.ids(t).tolist() for t in texts] == want
+
+
+def test_packed_sequences_give_the_same_order(spark):
+    rows = [(i, "word " * (i * 7 % 90)) for i in range(60)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    plain, packed = (ordering.in_training_order(ordering.sequences(docs, Q.BYTE_BPE, length=16, packed=p), "k", shard=32) for p in (False, True))
+    assert packed.schema == plain.schema
+    got = [sorted(map(tuple, x.select("slot", "shard", "record", "row.*").collect())) for x in (plain, packed)]
+    assert got[0] == got[1] and len(got[0]) > 60
