@@ -323,6 +323,8 @@ def _texts(docs: DataFrame, sets: DataFrame, refs: DataFrame) -> DataFrame:
 def _checked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` (a is shared by many) that do link, as ``u, v``."""
     pairs = written(_bounded(pairs, sets, percent), "pairs")
+    if pairs.isEmpty():
+        return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
     refs = pairs.select(F.col("a").alias("ref")).unionAll(pairs.select("b")).distinct()
     texts = _texts(docs, sets, refs)
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_GROUP).alias("groups"))
@@ -458,7 +460,7 @@ def _stars(early: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     tile = F.floor(F.log("n") / math.log(100 / percent) + 1e-9)
     rows = early.join(spread, "ref").select("token", "ref", "spread", tile.alias("tile"))
     hubs = rows.groupBy("token", "tile").agg(F.max_by("ref", F.struct("spread", "ref")).alias("a"))
-    both = hubs.unionAll(hubs.select("token", F.col("tile") - 1, "a"))       # a band meets the next one's hub too
+    both = hubs.select("token", F.explode(F.array("tile", F.col("tile") - 1)).alias("tile"), "a")  # a band meets the next one's hub too
     return rows.join(both, ["token", "tile"]).where("a <> ref").select("a", F.col("ref").alias("b")).distinct()
 
 
@@ -529,8 +531,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "tile-pairs")
         new = written(_checked(pairs, docs, sets, width, percent), "tile-links")
         if not new.isEmpty():
-            links = links.unionAll(new)
-            found = connected(links)
+            found = connected(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(new))
         elif best:
             best = False
             checked = checked.unionAll(pairs)

@@ -16,6 +16,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    trim()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,6 +37,14 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(TEXT_ROWS))
 
 
+def trim() -> None:
+    """Hand freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
 def lean(body):
     """A task body that hands freed memory back to the system at its end:
     workers live on, and what each keeps in reserve counts for the executor."""
@@ -43,10 +52,7 @@ def lean(body):
         try:
             yield from body(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            trim()
     return run
 
 

@@ -120,6 +120,11 @@ def _expand(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(_ZSTD.decompress(raw[4:], 4 * n, asbytes=True), "<u4").astype(np.int64))
 
 
+def _bits(cells: np.ndarray) -> bytes:
+    """One bit per cell, "two or more", compressed."""
+    return _ZSTD.compress(np.packbits(cells > 1).tobytes(), asbytes=True)
+
+
 def _partial_sketch_body(width: int, n_bits: int):
     def run(batches):
         salt = TaskContext.get().partitionId() % SALTS
@@ -152,7 +157,7 @@ def _partial_sketch_body(width: int, n_bits: int):
 
 def _merge_body(final: bool):
     """Partial sketches of some shards in; merged ones out, as sparse counts or
-    at last as one bit per cell."""
+    at last as one bit per cell, compressed: the driver takes in all of them."""
     def run(batches):
         shards: dict[tuple, np.ndarray] = {}
         for batch in batches:
@@ -163,7 +168,7 @@ def _merge_body(final: bool):
                 cells[_expand(more)] = 2
         for (shard, salt), cells in shards.items():
             if final:
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(cells > 1).tobytes()])],
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([_bits(cells)])],
                                                  ["shard", "bits"])
             else:
                 yield pa.RecordBatch.from_arrays(
@@ -201,7 +206,7 @@ def sketch(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     merged = some.repartition(shards, "shard").transform(map_arrow, _merge_body(True), "shard int, bits binary").collect()
     out = np.zeros((shards, 1 << SHARD_BITS - 3), np.uint8)
     for r in merged:
-        out[r["shard"]] = np.frombuffer(r["bits"], np.uint8)
+        out[r["shard"]] = np.frombuffer(_ZSTD.decompress(r["bits"], 1 << SHARD_BITS - 3, asbytes=True), np.uint8)
     return out.reshape(DEPTH, -1)
 
 
